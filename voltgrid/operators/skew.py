@@ -1,0 +1,55 @@
+"""Joins that survive hot keys."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Rows of one key that one task may take before the key is split.
+ROWS_PER_SPLIT = 1_000_000
+
+SALT = "_salt"
+_PARTS = "_parts"
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_split: int = ROWS_PER_SPLIT) -> DataFrame:
+    """Keys with more than ``rows_per_split`` rows and the number of splits they need.
+
+    At most ``rows / rows_per_split`` keys can qualify, which bounds the table
+    no matter how the data is distributed, so it may be broadcast.
+    """
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > rows_per_split)
+        .select(*keys, F.ceil(F.col("_rows") / F.lit(rows_per_split)).cast("int").alias(_PARTS))
+    )
+
+
+def split_hot_keys(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    rows_per_split: int = ROWS_PER_SPLIT,
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Salt both sides of an equi-join whose ``left`` side may hold hot keys.
+
+    Left rows of a hot key are spread over its splits by a hash of the whole
+    row; right rows of that key are repeated once per split.  Every left row
+    still meets every right row of its key exactly once, so inner, left, semi
+    and anti joins on the returned keys give the same result as on ``keys``.
+    """
+    hot = F.broadcast(hot_keys(left, keys, rows_per_split))
+    salted_left = (
+        left.join(hot, list(keys), "left")
+        .withColumn(SALT, F.pmod(F.xxhash64(*left.columns), F.coalesce(F.col(_PARTS), F.lit(1))).cast("int"))
+        .drop(_PARTS)
+    )
+    salted_right = (
+        right.join(hot, list(keys), "left")
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_PARTS), F.lit(1)) - 1)))
+        .drop(_PARTS)
+    )
+    return salted_left, salted_right, [*keys, SALT]
