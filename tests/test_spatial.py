@@ -93,7 +93,7 @@ HOLE = [(4_000.0, 4_000.0), (6_000.0, 4_000.0), (6_000.0, 6_000.0), (4_000.0, 6_
 def polygons(spark):
     rings = [[{"x": x, "y": y} for x, y in ring] for ring in (SQUARE, HOLE)]
     df = spark.createDataFrame([(1, rings)], "area long, rings array<array<struct<x:double,y:double>>>")
-    return df.select("area", G.ring_edges(F.col("rings")).alias("edges"))
+    return df.selectExpr("area", f"{G.ring_edges('rings')} AS edges")
 
 
 def test_points_by_polygons(spark, polygons):
@@ -162,10 +162,8 @@ def test_split_hot_keys_changes_no_result(spark):
 def test_projection_round_trip_and_known_points(spark):
     rows = [(-3.0, 40.0), (-9.0, 35.5), (4.5, 44.0), (2.1734, 41.3851), (0.0, 38.0)]
     df = spark.createDataFrame(rows, "lon double, lat double")
-    x, y = G.lonlat_to_utm30(F.col("lon"), F.col("lat"))
-    df = df.select("lon", "lat", x.alias("x"), y.alias("y"))
-    lon, lat = G.utm30_to_lonlat(F.col("x"), F.col("y"))
-    for r in df.select("*", lon.alias("lon2"), lat.alias("lat2")).collect():
+    df = G.with_utm30(df, "lon", "lat")
+    for r in G.with_lonlat(df, "x", "y", "lon2", "lat2").collect():
         assert abs(r.lon - r.lon2) < 1e-9 and abs(r.lat - r.lat2) < 1e-9
     first = df.where("lon = -3").first()
     # meridian arc of GRS80 to 40 degrees is 4 429 529.030 m
@@ -176,9 +174,7 @@ def test_projection_round_trip_and_known_points(spark):
 def test_line_interpolation(spark):
     v = [{"x": 0.0, "y": 0.0}, {"x": 3.0, "y": 4.0}, {"x": 3.0, "y": 9.0}]
     df = spark.createDataFrame([(v,)], "v array<struct<x:double,y:double>>")
-    out = df.select(
-        G.line_length(F.col("v")).alias("n"),
-        *(G.point_along(F.col("v"), F.lit(f)).alias(f"p{i}") for i, f in enumerate([0.0, 0.25, 0.5, 0.75, 1.0])),
-    ).first()
+    fractions = enumerate(["0D", "0.25D", "0.5D", "0.75D", "1D"])
+    out = df.selectExpr(f"{G.line_length('v')} AS n", *(f"{G.point_along('v', f)} AS p{i}" for i, f in fractions)).first()
     assert out.n == 10.0
     assert [tuple(out[f"p{i}"]) for i in range(5)] == [(0, 0), (1.5, 2.0), (3, 4), (3, 6.5), (3, 9)]

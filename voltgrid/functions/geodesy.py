@@ -1,7 +1,10 @@
-"""Plane and ellipsoid geometry as column expressions.
+"""Plane and ellipsoid geometry as SQL expressions.
 
-Points are numeric columns, segments are four numbers, polygons are arrays of
-edges ``struct<x1,y1,x2,y2>``.  Everything stays in generated JVM code.
+Points are two numbers, segments four, polygons arrays of edges
+``struct<x1,y1,x2,y2>``.  Functions take and return SQL expression text, which
+one ``F.expr`` turns into a column: a formula of a hundred terms is then parsed
+once in the JVM instead of being assembled call by call from Python, and it
+stays inside generated code.
 """
 
 from __future__ import annotations
@@ -9,11 +12,9 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
-
 
 # --------------------------------------------------------------------------
 # transverse Mercator, zone 30 north on GRS80
@@ -92,203 +93,191 @@ class TransverseMercator:
 UTM30 = TransverseMercator()
 
 
-def utm30_to_lonlat(x: Column, y: Column) -> tuple[Column, Column]:
-    """Metres in zone 30 north to (longitude, latitude) in degrees; null in, null out."""
+def with_lonlat(df: DataFrame, x: str = "x", y: str = "y", lon: str = "longitude", lat: str = "latitude") -> DataFrame:
+    """Add degrees for metres in zone 30 north; null in, null out."""
     p = UTM30
-    xi = y / F.lit(p.scale * p.radius)
-    eta = (x - F.lit(p.false_easting)) / F.lit(p.scale * p.radius)
-    xi0, eta0 = xi, eta
-    for j, b in enumerate(p.from_plane, start=1):
-        xi0 = xi0 - F.lit(b) * F.sin(xi * F.lit(2.0 * j)) * F.cosh(eta * F.lit(2.0 * j))
-        eta0 = eta0 - F.lit(b) * F.cos(xi * F.lit(2.0 * j)) * F.sinh(eta * F.lit(2.0 * j))
-    chi = F.asin(F.sin(xi0) / F.cosh(eta0))
-    phi = chi
-    for j, d in enumerate(p.to_latitude, start=1):
-        phi = phi + F.lit(d) * F.sin(chi * F.lit(2.0 * j))
-    lam = F.atan2(F.sinh(eta0), F.cos(xi0))
-    return F.degrees(lam) + F.lit(p.central_meridian), F.degrees(phi)
-
-
-def lonlat_to_utm30(lon: Column, lat: Column) -> tuple[Column, Column]:
-    """Degrees to metres in zone 30 north; null in, null out."""
+    k = p.scale * p.radius
+    xi, eta = "_xi", "_eta"
+    xi0 = " - ".join(
+        [xi, *(f"{b!r}D * sin({2 * j}D * {xi}) * cosh({2 * j}D * {eta})" for j, b in enumerate(p.from_plane, 1))]
+    )
+    eta0 = " - ".join(
+        [eta, *(f"{b!r}D * cos({2 * j}D * {xi}) * sinh({2 * j}D * {eta})" for j, b in enumerate(p.from_plane, 1))]
+    )
+    phi = " + ".join(["_chi", *(f"{d!r}D * sin({2 * j}D * _chi)" for j, d in enumerate(p.to_latitude, 1))])
+    kept = [c for c in df.columns if c not in (lon, lat)]
+    step = df.select(
+        *kept, F.expr(f"{y} / {k!r}D").alias(xi), F.expr(f"({x} - {p.false_easting!r}D) / {k!r}D").alias(eta)
+    )
+    step = step.select(*kept, F.expr(xi0).alias("_xi0"), F.expr(eta0).alias("_eta0"))
+    step = step.select(*kept, "_xi0", "_eta0", F.expr("asin(sin(_xi0) / cosh(_eta0))").alias("_chi"))
+    return step.select(
+        *kept,
+        F.expr(f"degrees(atan2(sinh(_eta0), cos(_xi0))) + ({p.central_meridian!r}D)").alias(lon),
+        F.expr(f"degrees({phi})").alias(lat),
+    )
+
+
+def with_utm30(df: DataFrame, lon: str = "longitude", lat: str = "latitude", x: str = "x", y: str = "y") -> DataFrame:
+    """Add metres in zone 30 north for degrees; null in, null out."""
     p = UTM30
-    phi = F.radians(lat)
-    lam = F.radians(lon - F.lit(p.central_meridian))
-    e = F.lit(p.eccentricity)
-    t = F.sinh(F.atanh(F.sin(phi)) - e * F.atanh(e * F.sin(phi)))
-    xi0 = F.atan2(t, F.cos(lam))
-    eta0 = F.atanh(F.sin(lam) / F.sqrt(F.lit(1.0) + t * t))
-    xi, eta = xi0, eta0
-    for j, a in enumerate(p.to_plane, start=1):
-        xi = xi + F.lit(a) * F.sin(xi0 * F.lit(2.0 * j)) * F.cosh(eta0 * F.lit(2.0 * j))
-        eta = eta + F.lit(a) * F.cos(xi0 * F.lit(2.0 * j)) * F.sinh(eta0 * F.lit(2.0 * j))
-    k = F.lit(p.scale * p.radius)
-    return k * eta + F.lit(p.false_easting), k * xi
+    k, e = p.scale * p.radius, p.eccentricity
+    kept = [c for c in df.columns if c not in (x, y)]
+    step = df.select(
+        *kept,
+        F.expr(f"radians({lon} - ({p.central_meridian!r}D))").alias("_lam"),
+        F.expr(f"sinh(atanh(sin(radians({lat}))) - {e!r}D * atanh({e!r}D * sin(radians({lat}))))").alias("_t"),
+    )
+    step = step.select(
+        *kept,
+        F.expr("atan2(_t, cos(_lam))").alias("_xi"),
+        F.expr("atanh(sin(_lam) / sqrt(1D + _t * _t))").alias("_eta"),
+    )
+    xi = " + ".join(
+        ["_xi", *(f"{a!r}D * sin({2 * j}D * _xi) * cosh({2 * j}D * _eta)" for j, a in enumerate(p.to_plane, 1))]
+    )
+    eta = " + ".join(
+        ["_eta", *(f"{a!r}D * cos({2 * j}D * _xi) * sinh({2 * j}D * _eta)" for j, a in enumerate(p.to_plane, 1))]
+    )
+    return step.select(
+        *kept,
+        F.expr(f"{k!r}D * ({eta}) + {p.false_easting!r}D").alias(x),
+        F.expr(f"{k!r}D * ({xi})").alias(y),
+    )
 
 
 EARTH_RADIUS_M = 6371008.8
 
 
-def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+def haversine_m(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     """Great-circle distance in metres."""
-    dphi = F.radians(lat2 - lat1) / 2
-    dlam = F.radians(lon2 - lon1) / 2
-    a = F.pow(F.sin(dphi), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(dlam), 2)
-    return F.lit(2 * EARTH_RADIUS_M) * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    a = (
+        f"pow(sin(radians(({lat2}) - ({lat1})) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
+        f" * pow(sin(radians(({lon2}) - ({lon1})) / 2), 2)"
+    )
+    return f"{2 * EARTH_RADIUS_M!r}D * asin(least(1D, sqrt({a})))"
 
 
 # --------------------------------------------------------------------------
 # plane geometry
 # --------------------------------------------------------------------------
-def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+Segment = tuple[str, str, str, str]
+
+
+def ends(prefix: str = "") -> Segment:
+    """Names of the four numbers of a segment."""
+    return tuple(f"{prefix}{c}" for c in ("x1", "y1", "x2", "y2"))
+
+
+def distance(x1: str, y1: str, x2: str, y2: str) -> str:
     """Straight distance of two points."""
-    return F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
+    return f"sqrt(({x2} - {x1}) * ({x2} - {x1}) + ({y2} - {y1}) * ({y2} - {y1}))"
 
 
-def point_segment_distance(px: Column, py: Column, x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+def point_segment_distance(px: str, py: str, seg: Segment) -> str:
     """Distance of a point to a segment; a segment of length zero is a point."""
-    dx, dy = x2 - x1, y2 - y1
-    length2 = dx * dx + dy * dy
-    along = ((px - x1) * dx + (py - y1) * dy) / F.when(length2 > 0, length2).otherwise(F.lit(1.0))
-    t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
-    ex, ey = px - x1 - t * dx, py - y1 - t * dy
-    return F.sqrt(ex * ex + ey * ey)
+    x1, y1, x2, y2 = seg
+    dx, dy = f"({x2} - {x1})", f"({y2} - {y1})"
+    length2 = f"({dx} * {dx} + {dy} * {dy})"
+    along = f"(({px} - {x1}) * {dx} + ({py} - {y1}) * {dy})"
+    t = f"greatest(0D, least(1D, {along} / if({length2} > 0D, {length2}, 1D)))"
+    ex, ey = f"({px} - {x1} - {t} * {dx})", f"({py} - {y1} - {t} * {dy})"
+    return f"sqrt({ex} * {ex} + {ey} * {ey})"
 
 
-def _side(ax: Column, ay: Column, bx: Column, by: Column, cx: Column, cy: Column) -> Column:
-    return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
+def _side(a: tuple[str, str], b: tuple[str, str], c: tuple[str, str]) -> str:
+    return f"(({b[0]} - {a[0]}) * ({c[1]} - {a[1]}) - ({b[1]} - {a[1]}) * ({c[0]} - {a[0]}) > 0D)"
 
 
-def segments_cross(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
+def segments_cross(a: Segment, b: Segment) -> str:
     """True where the insides of two segments cross (touching ends have distance zero)."""
-    d1 = _side(*b, a[0], a[1])
-    d2 = _side(*b, a[2], a[3])
-    d3 = _side(*a, b[0], b[1])
-    d4 = _side(*a, b[2], b[3])
-    return ((d1 > 0) != (d2 > 0)) & ((d3 > 0) != (d4 > 0))
-
-
-def segment_distance(a: tuple[Column, ...], b: tuple[Column, ...]) -> Column:
-    """Distance of two segments given as ``(x1, y1, x2, y2)``; zero where they cross."""
-    return F.when(segments_cross(a, b), F.lit(0.0)).otherwise(
-        F.least(
-            point_segment_distance(a[0], a[1], *b),
-            point_segment_distance(a[2], a[3], *b),
-            point_segment_distance(b[0], b[1], *a),
-            point_segment_distance(b[2], b[3], *a),
-        )
+    a1, a2, b1, b2 = a[:2], a[2:], b[:2], b[2:]
+    return (
+        f"({_side(b1, b2, a1)} != {_side(b1, b2, a2)} AND {_side(a1, a2, b1)} != {_side(a1, a2, b2)})"
     )
 
 
-def inside_edges(px: Column, py: Column, edges: Column) -> Column:
-    """Even-odd test of a point against the edges of all rings of a polygon."""
+def segments_within(a: Segment, b: Segment, radius: float) -> str:
+    """True where two segments cross or come as near as ``radius``."""
+    near = " OR ".join(
+        f"{point_segment_distance(p[0], p[1], s)} <= {float(radius)!r}D"
+        for p, s in ((a[:2], b), (a[2:], b), (b[:2], a), (b[2:], a))
+    )
+    return f"({segments_cross(a, b)} OR {near})"
 
-    def crossed(e: Column) -> Column:
-        spans = (e["y1"] > py) != (e["y2"] > py)
-        at = (e["x2"] - e["x1"]) * (py - e["y1"]) / F.when(spans, e["y2"] - e["y1"]) + e["x1"]
-        return spans & (px < at)
 
-    return F.size(F.filter(edges, crossed)) % 2 == 1
+def inside_edges(px: str, py: str, edges: str) -> str:
+    """Even-odd test of a point against the edges of all rings of a polygon."""
+    spans = f"((e.y1 > {py}) != (e.y2 > {py}))"
+    at = f"((e.x2 - e.x1) * ({py} - e.y1) / if({spans}, e.y2 - e.y1, 1D) + e.x1)"
+    return f"(size(filter({edges}, e -> {spans} AND {px} < {at})) % 2 = 1)"
 
 
-def edges_distance(px: Column, py: Column, edges: Column) -> Column:
-    """Distance of a point to the outline of a polygon."""
-    return F.array_min(
-        F.transform(edges, lambda e: point_segment_distance(px, py, e["x1"], e["y1"], e["x2"], e["y2"]))
-    )
+def near_edges(px: str, py: str, edges: str, radius: float) -> str:
+    """Point strictly nearer than ``radius`` to the outline of a polygon."""
+    return f"exists({edges}, e -> {point_segment_distance(px, py, ends('e.'))} < {float(radius)!r}D)"
 
 
-def within_buffer(px: Column, py: Column, edges: Column, radius: float) -> Column:
+def within_buffer(px: str, py: str, edges: str, radius: float = 0.0) -> str:
     """Point strictly inside the polygon grown by ``radius`` (a point on the rim is not within)."""
-    return inside_edges(px, py, edges) | (edges_distance(px, py, edges) < F.lit(float(radius)))
+    inside = inside_edges(px, py, edges)
+    return f"({inside} OR {near_edges(px, py, edges, radius)})" if radius > 0 else inside
 
 
-def segment_meets_buffer(seg: tuple[Column, ...], edges: Column, radius: float) -> Column:
+def segment_meets_buffer(seg: Segment, edges: str, radius: float) -> str:
     """Segment shares a point with the polygon grown by ``radius`` (touching counts)."""
-    near = F.exists(
-        edges,
-        lambda e: segment_distance(seg, (e["x1"], e["y1"], e["x2"], e["y2"])) <= F.lit(float(radius)),
+    return (
+        f"({inside_edges(seg[0], seg[1], edges)}"
+        f" OR exists({edges}, e -> {segments_within(seg, ends('e.'), radius)}))"
     )
-    return inside_edges(seg[0], seg[1], edges) | near
 
 
-def ring_edges(rings: Column) -> Column:
+def ring_edges(rings: str) -> str:
     """``array<array<struct<x,y>>>`` to one array of edges, closing each ring."""
+    edge = "named_struct('x1', p.x, 'y1', p.y, 'x2', q.x, 'y2', q.y)"
+    shifted = "concat(slice(r, 2, greatest(size(r) - 1, 0)), slice(r, 1, 1))"
+    closed = f"filter(zip_with(r, {shifted}, (p, q) -> {edge}), e -> e.x1 != e.x2 OR e.y1 != e.y2)"
+    return f"flatten(transform({rings}, r -> {closed}))"
 
-    def one(ring: Column) -> Column:
-        shifted = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
-        edge = F.zip_with(
-            ring,
-            shifted,
-            lambda p, q: F.struct(p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")),
-        )
-        return F.filter(edge, lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
 
-    return F.flatten(F.transform(rings, one))
+def line_segments(vertices: str) -> str:
+    """Vertices of a line to an array of its segments."""
+    count = f"greatest(size({vertices}) - 1, 0)"
+    edge = "named_struct('x1', p.x, 'y1', p.y, 'x2', q.x, 'y2', q.y)"
+    return f"zip_with(slice({vertices}, 1, {count}), slice({vertices}, 2, {count}), (p, q) -> {edge})"
 
 
-def line_segments(vertices: Column) -> Column:
-    """Vertices of a line to its segments."""
-    count = F.greatest(F.size(vertices) - 1, F.lit(0))
-    return F.zip_with(
-        F.slice(vertices, 1, count),
-        F.slice(vertices, 2, count),
-        lambda p, q: F.struct(p["x"].alias("x1"), p["y"].alias("y1"), q["x"].alias("x2"), q["y"].alias("y2")),
-    )
-
-
-def line_length(vertices: Column) -> Column:
+def line_length(vertices: str) -> str:
     """Length of a line."""
-    return F.aggregate(
-        line_segments(vertices),
-        F.lit(0.0),
-        lambda acc, s: acc + distance(s["x1"], s["y1"], s["x2"], s["y2"]),
-    )
-
+    return f"aggregate({line_segments(vertices)}, 0D, (acc, s) -> acc + {distance('s.x1', 's.y1', 's.x2', 's.y2')})"
 
-def point_along(vertices: Column, fraction: Column) -> Column:
-    """``struct<x,y>`` at a fraction of the length of a line (0 first vertex, 1 last vertex)."""
-    target = line_length(vertices) * fraction
-    start = F.struct(
-        F.lit(0.0).alias("done"),
-        F.lit(False).alias("found"),
-        vertices[0]["x"].alias("x"),
-        vertices[0]["y"].alias("y"),
-    )
 
-    def step(acc: Column, s: Column) -> Column:
-        length = distance(s["x1"], s["y1"], s["x2"], s["y2"])
-        here = (~acc["found"]) & (acc["done"] + length >= target) & (length > 0)
-        share = (target - acc["done"]) / F.when(length > 0, length).otherwise(F.lit(1.0))
-        return F.struct(
-            (acc["done"] + length).alias("done"),
-            (acc["found"] | here).alias("found"),
-            F.when(acc["found"], acc["x"])
-            .when(here, s["x1"] + (s["x2"] - s["x1"]) * share)
-            .otherwise(s["x2"])
-            .alias("x"),
-            F.when(acc["found"], acc["y"])
-            .when(here, s["y1"] + (s["y2"] - s["y1"]) * share)
-            .otherwise(s["y2"])
-            .alias("y"),
-        )
+def point_along(vertices: str, fraction: str) -> str:
+    """``struct<x,y>`` at a fraction of the length of a line (0 first vertex, 1 last vertex).
 
-    walked = F.aggregate(line_segments(vertices), start, step)
-    last = F.element_at(vertices, -1)
-    return (
-        F.when(fraction <= 0, F.struct(vertices[0]["x"].alias("x"), vertices[0]["y"].alias("y")))
-        .when(fraction >= 1, F.struct(last["x"].alias("x"), last["y"].alias("y")))
-        .otherwise(F.struct(walked["x"].alias("x"), walked["y"].alias("y")))
+    Walks the segments with the distance still to go and stops moving once the
+    target lies on a segment.
+    """
+    length = distance("s.x1", "s.y1", "s.x2", "s.y2")
+    start = (
+        f"named_struct('left', {line_length(vertices)} * ({fraction}), 'x', {vertices}[0].x, 'y', {vertices}[0].y)"
+    )
+    share = f"(a.left / {length})"
+    step = (
+        "CASE WHEN a.left <= 0D THEN a"
+        f" WHEN a.left < {length} THEN named_struct('left', 0D,"
+        f" 'x', s.x1 + (s.x2 - s.x1) * {share}, 'y', s.y1 + (s.y2 - s.y1) * {share})"
+        f" ELSE named_struct('left', a.left - {length}, 'x', s.x2, 'y', s.y2) END"
     )
+    walked = f"aggregate({line_segments(vertices)}, {start}, (a, s) -> {step}, a -> named_struct('x', a.x, 'y', a.y))"
+    last = f"named_struct('x', element_at({vertices}, -1).x, 'y', element_at({vertices}, -1).y)"
+    return f"if(({fraction}) >= 1D, {last}, {walked})"
 
 
-def line_meets_box(vertices: Column, x_range: tuple[float, float], y_range: tuple[float, float]) -> Column:
+def line_meets_box(vertices: str, x_range: tuple[float, float], y_range: tuple[float, float]) -> str:
     """Extent of a line overlaps a closed box."""
-    xs = F.transform(vertices, lambda v: v["x"])
-    ys = F.transform(vertices, lambda v: v["y"])
+    xs, ys = f"transform({vertices}, v -> v.x)", f"transform({vertices}, v -> v.y)"
     return (
-        (F.array_max(xs) >= F.lit(x_range[0]))
-        & (F.array_min(xs) <= F.lit(x_range[1]))
-        & (F.array_max(ys) >= F.lit(y_range[0]))
-        & (F.array_min(ys) <= F.lit(y_range[1]))
+        f"(array_max({xs}) >= {x_range[0]!r}D AND array_min({xs}) <= {x_range[1]!r}D"
+        f" AND array_max({ys}) >= {y_range[0]!r}D AND array_min({ys}) <= {y_range[1]!r}D)"
     )

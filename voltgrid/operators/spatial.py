@@ -11,34 +11,31 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geodesy as G
+from ..session import materialise
 from .skew import split_hot_keys
 
 CELL_X, CELL_Y = "_cx", "_cy"
 
-
-def cell_of(x: Column, y: Column, size: float) -> list[Column]:
-    """Cell indexes of a position."""
-    return [
-        F.floor(x / F.lit(float(size))).cast("long").alias(CELL_X),
-        F.floor(y / F.lit(float(size))).cast("long").alias(CELL_Y),
-    ]
+#: Positions of one cell that one task tests against the cell's lines or polygons.
+ROWS_PER_CELL = 100_000
 
 
 def with_cell(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
-    """Add the cell a point lies in."""
-    return df.select("*", *cell_of(F.col(x), F.col(y), size))
+    """Add the cell a position (two SQL expressions) lies in."""
+    return df.selectExpr("*", f"floor(({x}) / {size!r}D) AS {CELL_X}", f"floor(({y}) / {size!r}D) AS {CELL_Y}")
 
 
-def cover_box(df: DataFrame, box: Sequence[Column], size: float) -> DataFrame:
+def cover_box(df: DataFrame, box: Sequence[str], size: float) -> DataFrame:
     """One row per cell that the box ``(x0, y0, x1, y1)`` touches."""
-    s = F.lit(float(size))
-    x0, y0, x1, y1 = (F.floor(c / s).cast("long") for c in box)
-    return df.withColumn(CELL_X, F.explode(F.sequence(x0, x1))).withColumn(CELL_Y, F.explode(F.sequence(y0, y1)))
+    x0, y0, x1, y1 = (f"floor(({c}) / {size!r}D)" for c in box)
+    return df.selectExpr("*", f"explode(sequence({x0}, {x1})) AS {CELL_X}").selectExpr(
+        "*", f"explode(sequence({y0}, {y1})) AS {CELL_Y}"
+    )
 
 
 # --------------------------------------------------------------------------
@@ -49,7 +46,7 @@ SEGMENT = ("x1", "y1", "x2", "y2")
 
 def line_to_segments(lines: DataFrame, vertices: str, keep: Sequence[str]) -> DataFrame:
     """One row per segment with columns ``x1 y1 x2 y2``."""
-    return lines.select(*keep, F.inline(G.line_segments(F.col(vertices))))
+    return lines.selectExpr(*keep, f"inline({G.line_segments(vertices)})")
 
 
 def cut_segments(segments: DataFrame, piece: float) -> DataFrame:
@@ -58,18 +55,16 @@ def cut_segments(segments: DataFrame, piece: float) -> DataFrame:
     Adds the box of each piece (``bx0 by0 bx1 by1``) and leaves the segment's
     own ends in place, so that distances are taken to the whole segment.
     """
-    x1, y1, x2, y2 = (F.col(c) for c in SEGMENT)
-    parts = F.greatest(F.lit(1), F.ceil(G.distance(x1, y1, x2, y2) / F.lit(float(piece)))).cast("int")
-    cut = segments.withColumn("_n", parts).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    a, b = F.col("_i") / F.col("_n"), (F.col("_i") + 1) / F.col("_n")
-    ax, ay = x1 + (x2 - x1) * a, y1 + (y2 - y1) * a
-    bx, by = x1 + (x2 - x1) * b, y1 + (y2 - y1) * b
-    return cut.select(
+    parts = f"cast(greatest(1, ceil({G.distance(*SEGMENT)} / {piece!r}D)) AS int)"
+    cut = segments.selectExpr("*", f"{parts} AS _n").selectExpr("*", "explode(sequence(0, _n - 1)) AS _i")
+    ax, ay = "x1 + (x2 - x1) * _i / _n", "y1 + (y2 - y1) * _i / _n"
+    bx, by = "x1 + (x2 - x1) * (_i + 1) / _n", "y1 + (y2 - y1) * (_i + 1) / _n"
+    return cut.selectExpr(
         *segments.columns,
-        F.least(ax, bx).alias("bx0"),
-        F.least(ay, by).alias("by0"),
-        F.greatest(ax, bx).alias("bx1"),
-        F.greatest(ay, by).alias("by1"),
+        f"least({ax}, {bx}) AS bx0",
+        f"least({ay}, {by}) AS by0",
+        f"greatest({ax}, {bx}) AS bx1",
+        f"greatest({ay}, {by}) AS by1",
     )
 
 
@@ -90,34 +85,38 @@ def within_distance_of_lines(
     touch; a point looks only into its own cell.  Positions shared by many
     points are tested once.
     """
-    size = cell or max(radius * 4, 2_000.0)
-    r = F.lit(float(radius))
+    size = float(cell or max(radius * 4, 2_000.0))
+    r = f"{float(radius)!r}D"
     pieces = cover_box(
         cut_segments(segments.select(*SEGMENT).distinct(), size),
-        [F.col("bx0") - r, F.col("by0") - r, F.col("bx1") + r, F.col("by1") + r],
+        [f"bx0 - {r}", f"by0 - {r}", f"bx1 + {r}", f"by1 + {r}"],
         size,
     ).select(CELL_X, CELL_Y, *SEGMENT)
-    spots = with_cell(points.select(F.col(x).alias("_px"), F.col(y).alias("_py")).distinct(), "_px", "_py", size)
-    left, right, keys = split_hot_keys(spots, pieces, [CELL_X, CELL_Y])
-    left, right = left.alias("l"), right.alias("r")
-    near = G.point_segment_distance(F.col("_px"), F.col("_py"), *(F.col(f"r.{c}") for c in SEGMENT)) < r
-    hits = left.join(right, _equal(keys) & near, "left_semi").select("_px", "_py")
-    return _keep_positions(points, hits, x, y, "left_semi")
+    spots = with_cell(_positions(points, x, y), "_px", "_py", size)
+    near = f"{G.point_segment_distance('l._px', 'l._py', G.ends('r.'))} < {r}"
+    return _keep_positions(points, _cell_semi_join(spots, pieces, near).select("_px", "_py"), x, y, "left_semi")
+
 
+def _positions(points: DataFrame, x: str, y: str) -> DataFrame:
+    """Distinct positions; rows that share one are handled once."""
+    return points.selectExpr(f"{x} AS _px", f"{y} AS _py").where("_px IS NOT NULL AND _py IS NOT NULL").distinct()
 
-def _equal(keys: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for i, k in enumerate(keys):
-        same = F.col(f"l.{k}") == F.col(f"r.{k}")
-        condition = same if i == 0 else condition & same
-    return condition
+
+def _cell_semi_join(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
+    """Rows of ``left`` with a partner in their cell; crowded cells are split over tasks."""
+    left, right, keys = split_hot_keys(left, right, [CELL_X, CELL_Y], ROWS_PER_CELL)
+    same = " AND ".join(f"l.{k} = r.{k}" for k in keys)
+    return left.alias("l").join(right.alias("r"), F.expr(f"{same} AND {condition}"), "left_semi")
 
 
 def _keep_positions(points: DataFrame, hits: DataFrame, x: str, y: str, how: str) -> DataFrame:
-    """Semi- or anti-join rows with a table of positions."""
-    marked = points.withColumns({"_px": F.col(x), "_py": F.col(y)})
-    left, right, keys = split_hot_keys(marked, hits, ["_px", "_py"])
-    return left.join(right, keys, how).select(*points.columns)
+    """Semi- or anti-join rows with a table of distinct positions.
+
+    ``hits`` has one row per position, so a position that many rows share only
+    makes the row side long; the planner's skew join splits that side.
+    """
+    same = F.expr(f"p.{x} = h._px AND p.{y} = h._py")
+    return points.alias("p").join(hits.alias("h"), same, how)
 
 
 # --------------------------------------------------------------------------
@@ -125,13 +124,11 @@ def _keep_positions(points: DataFrame, hits: DataFrame, x: str, y: str, how: str
 # --------------------------------------------------------------------------
 def polygon_cells(polygons: DataFrame, edges: str, grow: float, cell: float) -> DataFrame:
     """One row per cell that a polygon's grown box touches, with its edges."""
-    boxed = polygons.select(F.col(edges).alias("edges")).distinct()
-    e, g = F.col("edges"), F.lit(float(grow))
-    xs = F.flatten(F.transform(e, lambda s: F.array(s["x1"], s["x2"])))
-    ys = F.flatten(F.transform(e, lambda s: F.array(s["y1"], s["y2"])))
-    return cover_box(
-        boxed, [F.array_min(xs) - g, F.array_min(ys) - g, F.array_max(xs) + g, F.array_max(ys) + g], cell
-    )
+    g = f"{float(grow)!r}D"
+    xs = "flatten(transform(edges, e -> array(e.x1, e.x2)))"
+    ys = "flatten(transform(edges, e -> array(e.y1, e.y2)))"
+    box = [f"array_min({xs}) - {g}", f"array_min({ys}) - {g}", f"array_max({xs}) + {g}", f"array_max({ys}) + {g}"]
+    return cover_box(polygons.select(F.col(edges).alias("edges")).distinct(), box, cell)
 
 
 def points_by_polygons(
@@ -146,14 +143,9 @@ def points_by_polygons(
 ) -> DataFrame:
     """Points within (semi) or outside (anti) the polygons grown by ``radius``."""
     cells = polygon_cells(polygons, edges, radius, cell)
-    spots = with_cell(points.select(F.col(x).alias("_px"), F.col(y).alias("_py")).distinct(), "_px", "_py", cell)
-    left, right, keys = split_hot_keys(spots, cells, [CELL_X, CELL_Y])
-    left, right = left.alias("l"), right.alias("r")
-    inside = G.inside_edges(F.col("_px"), F.col("_py"), F.col("r.edges"))
-    if radius > 0:
-        inside = G.within_buffer(F.col("_px"), F.col("_py"), F.col("r.edges"), radius)
-    hits = left.join(right, _equal(keys) & inside, "left_semi").select("_px", "_py")
-    return _keep_positions(points, hits, x, y, how)
+    spots = with_cell(_positions(points, x, y), "_px", "_py", cell)
+    inside = G.within_buffer("l._px", "l._py", "r.edges", radius)
+    return _keep_positions(points, _cell_semi_join(spots, cells, inside).select("_px", "_py"), x, y, how)
 
 
 def lines_clear_of_polygons(
@@ -172,24 +164,22 @@ def lines_clear_of_polygons(
     cells = polygon_cells(polygons, edges, radius, cell)
     pieces = cover_box(
         cut_segments(line_to_segments(lines, vertices, [line_id]), cell),
-        [F.col("bx0"), F.col("by0"), F.col("bx1"), F.col("by1")],
+        ["bx0", "by0", "bx1", "by1"],
         cell,
     ).select(CELL_X, CELL_Y, line_id, *SEGMENT)
-    left, right, keys = split_hot_keys(pieces, cells, [CELL_X, CELL_Y])
-    left, right = left.alias("l"), right.alias("r")
-    touches = G.segment_meets_buffer(tuple(F.col(f"l.{c}") for c in SEGMENT), F.col("r.edges"), radius)
-    touched = left.join(right, _equal(keys) & touches, "left_semi").select(line_id).distinct()
+    touches = G.segment_meets_buffer(G.ends("l."), "r.edges", radius)
+    touched = _cell_semi_join(pieces, cells, touches).select(line_id).distinct()
     return lines.join(touched, line_id, "left_anti").select(*lines.columns)
 
 
 # --------------------------------------------------------------------------
 # nearest neighbour
 # --------------------------------------------------------------------------
-#: Cell sizes of the search pyramid, each a multiple of the next.  The upper
-#: two levels are bounded by the mapped area, not by the number of items.
-PYRAMID = (262_144.0, 16_384.0, 1_024.0)
+#: Cell sizes of the search pyramid, each a multiple of the next.  The number of
+#: cells is bounded by the mapped area (1,300 x 1,100 km hold 340 cells of the
+#: upper and 340,000 of the lower level), not by the number of items.
+PYRAMID = (65_536.0, 2_048.0)
 _SLACK = 1e-3
-_NODE = ["x0", "y0", "x1", "y1"]
 
 
 def nearest(
@@ -209,36 +199,29 @@ def nearest(
     several items at the same distance the lowest ``tie_break`` wins.  Points
     without position, or without any item to find, get nulls.
     """
-    best = "_best"
-    spots = (
-        points.select(F.col(x).alias("_px"), F.col(y).alias("_py"))
-        .where(F.col("_px").isNotNull() & F.col("_py").isNotNull())
-        .distinct()
-    )
-    leaves = _leaf_items(items, payload, tie_break, geometry, pyramid[-1])
+    spots = _positions(points, x, y)
+    leaves = materialise(_leaf_items(items, payload, tie_break, geometry, pyramid[-1]))
     frontier = _descend(spots, leaves, pyramid)
-
-    left, right, keys = split_hot_keys(frontier, leaves, [CELL_X, CELL_Y])
-    px, py = F.col("_px"), F.col("_py")
     if geometry == "point":
-        dist = G.distance(px, py, F.col("x1"), F.col("y1"))
+        dist = G.distance("_px", "_py", "x1", "y1")
     else:
-        dist = G.point_segment_distance(px, py, *(F.col(c) for c in SEGMENT))
+        dist = G.point_segment_distance("_px", "_py", G.ends())
+    # a crowded cell is split at run time: the planner's skew join cuts the frontier side
     found = (
-        left.join(right, keys)
-        .select("_px", "_py", F.struct(dist.alias("d"), F.col("_item")).alias(best))
+        frontier.join(leaves, [CELL_X, CELL_Y])
+        .selectExpr("_px", "_py", f"named_struct('d', {dist}, 'item', _item) AS _found")
         .groupBy("_px", "_py")
-        .agg(F.min(best).alias(best))
-        .select(
-            "_px",
-            "_py",
-            F.col(f"{best}.d").alias(distance_col),
-            *(F.col(f"{best}._item.{c}").alias(c) for c in payload),
+        .agg(F.min("_found").alias("_best"))
+        .selectExpr(
+            "_px", "_py", f"_best.d AS {distance_col}", *(f"_best.item.{c} AS {c}" for c in payload)
         )
     )
-    marked = points.withColumns({"_px": F.col(x), "_py": F.col(y)})
-    left, right, keys = split_hot_keys(marked, found, ["_px", "_py"])
-    return left.join(right, keys, "left").select(*points.columns, *payload, distance_col)
+    same = F.expr(f"p.{x} = f._px AND p.{y} = f._py")
+    return (
+        points.alias("p")
+        .join(found.alias("f"), same, "left")
+        .select("p.*", *(f"f.{c}" for c in payload), f"f.{distance_col}")
+    )
 
 
 def _leaf_items(
@@ -246,84 +229,72 @@ def _leaf_items(
 ) -> DataFrame:
     """Items with their leaf cell and box; equal geometries are merged into the winner of a tie."""
     fields = [tie_break, *(c for c in payload if c != tie_break)]
-    item = F.struct(*fields)
+    item = "named_struct(" + ", ".join(f"'{c}', {c}" for c in fields) + ") AS _item"
     if geometry == "point":
         shape = ["x1", "y1"]
-        rows = items.select(F.col("x").alias("x1"), F.col("y").alias("y1"), item.alias("_item"))
+        rows = items.selectExpr("x AS x1", "y AS y1", item)
     else:
         shape = list(SEGMENT)
-        rows = items.select(*SEGMENT, item.alias("_item"))
+        rows = items.selectExpr(*SEGMENT, item)
     rows = rows.na.drop(subset=shape).groupBy(*shape).agg(F.min("_item").alias("_item"))
     if geometry == "point":
-        rows = rows.withColumns({"bx0": F.col("x1"), "by0": F.col("y1"), "bx1": F.col("x1"), "by1": F.col("y1")})
+        rows = rows.selectExpr("*", "x1 AS bx0", "y1 AS by0", "x1 AS bx1", "y1 AS by1")
     else:
         rows = cut_segments(rows, cell * 4)
-    mx, my = (F.col("bx0") + F.col("bx1")) / 2, (F.col("by0") + F.col("by1")) / 2
-    return rows.select("*", *cell_of(mx, my, cell))
+    return with_cell(rows, "(bx0 + bx1) / 2", "(by0 + by1) / 2", cell)
 
 
 def _descend(spots: DataFrame, leaves: DataFrame, pyramid: Sequence[float]) -> DataFrame:
     """For each position the leaf cells that can hold its nearest item."""
     nodes = leaves.groupBy(CELL_X, CELL_Y).agg(
-        F.min("bx0").alias("x0"), F.min("by0").alias("y0"), F.max("bx1").alias("x1"), F.max("by1").alias("y1")
+        F.expr("min(bx0) AS x0"), F.expr("min(by0) AS y0"), F.expr("max(bx1) AS x1"), F.expr("max(by1) AS y1")
     )
-    packed = []  # from fine to coarse: children of each parent cell in one array
-    for fine, coarse in zip(reversed(pyramid), list(reversed(pyramid))[1:]):
-        ratio = int(coarse / fine)
+    kids = F.expr(f"collect_list(struct({CELL_X}, {CELL_Y}, x0, y0, x1, y1)) AS kids")
+    packed = []  # from fine to coarse: the children of each parent cell in one array
+    for fine, coarse in zip(pyramid[::-1], pyramid[-2::-1]):
+        up = f"{int(coarse / fine)}"
         parent = nodes.groupBy(
-            F.floor(F.col(CELL_X) / ratio).alias("_ux"), F.floor(F.col(CELL_Y) / ratio).alias("_uy")
+            F.expr(f"floor({CELL_X} / {up}) AS _ux"), F.expr(f"floor({CELL_Y} / {up}) AS _uy")
         ).agg(
-            F.collect_list(F.struct(CELL_X, CELL_Y, *_NODE)).alias("kids"),
-            *(F.min(c).alias(c) for c in ("x0", "y0")),
-            *(F.max(c).alias(c) for c in ("x1", "y1")),
+            kids, F.expr("min(x0) AS x0"), F.expr("min(y0) AS y0"), F.expr("max(x1) AS x1"), F.expr("max(y1) AS y1")
         )
-        packed.append(parent.select(F.col("_ux").alias(CELL_X), F.col("_uy").alias(CELL_Y), "kids"))
-        nodes = parent.select(F.col("_ux").alias(CELL_X), F.col("_uy").alias(CELL_Y), *_NODE)
+        renamed = parent.withColumnsRenamed({"_ux": CELL_X, "_uy": CELL_Y})
+        packed.append(renamed.select(CELL_X, CELL_Y, "kids"))
+        nodes = renamed.drop("kids")
 
     # the coarsest cells of the mapped area fit one array; it is read as a scalar
-    top = nodes.agg(F.collect_list(F.struct(CELL_X, CELL_Y, *_NODE)).alias("kids"))
-    frontier = _prune(spots.withColumn("kids", top.scalar()), carry_bound=False)
-    for depth, level in enumerate(reversed(packed)):
+    top = nodes.agg(kids)
+    frontier = _prune(spots.withColumn("kids", top.scalar()), first=True)
+    for depth, level in enumerate(packed[::-1]):
         # the level below the top is bounded by the area too; deeper ones are left to the planner
         side = F.broadcast(level) if depth == 0 else level
-        frontier = _prune(frontier.join(side, [CELL_X, CELL_Y]), carry_bound=True)
+        frontier = _prune(frontier.join(side, [CELL_X, CELL_Y]), first=False)
     return frontier.select("_px", "_py", CELL_X, CELL_Y)
 
 
-def _prune(df: DataFrame, carry_bound: bool) -> DataFrame:
+_NEAR = (
+    "sqrt(pow(greatest(k.x0 - _px, _px - k.x1, 0D), 2) + pow(greatest(k.y0 - _py, _py - k.y1, 0D), 2))"
+)
+_FAR = (
+    "sqrt(pow(greatest(abs(_px - k.x0), abs(_px - k.x1)), 2) + pow(greatest(abs(_py - k.y0), abs(_py - k.y1)), 2))"
+)
+
+
+def _prune(df: DataFrame, first: bool) -> DataFrame:
     """Open the child boxes and keep those that may hold the nearest item.
 
     A box is certain to hold an item within its far corner, so the smallest far
     corner distance over all boxes of a position bounds the answer; boxes whose
     near side lies beyond that bound are dropped.
     """
-    px, py = F.col("_px"), F.col("_py")
-
-    def bounds(k: Column) -> Column:
-        dx0, dx1 = k["x0"] - px, px - k["x1"]
-        dy0, dy1 = k["y0"] - py, py - k["y1"]
-        zero = F.lit(0.0)
-        nx, ny = F.greatest(dx0, dx1, zero), F.greatest(dy0, dy1, zero)
-        fx = F.greatest(F.abs(px - k["x0"]), F.abs(px - k["x1"]))
-        fy = F.greatest(F.abs(py - k["y0"]), F.abs(py - k["y1"]))
-        return F.struct(
-            k[CELL_X].alias(CELL_X),
-            k[CELL_Y].alias(CELL_Y),
-            F.sqrt(nx * nx + ny * ny).alias("near"),
-            F.sqrt(fx * fx + fy * fy).alias("far"),
-        )
-
-    kids = df.select("_px", "_py", *(["_bound"] if carry_bound else []), F.transform("kids", bounds).alias("kids"))
-    own = F.array_min(F.transform("kids", lambda k: k["far"]))
-    bound = F.least(F.col("_bound"), own) if carry_bound else own
-    kids = kids.withColumn("_bound", bound)
-    limit = F.col("_bound") + F.lit(_SLACK)
-    opened = kids.select(
-        "_px", "_py", "_bound", F.inline(F.filter("kids", lambda k: k["near"] <= limit))
-    )
-    if not carry_bound:
-        return opened.drop("far", "near")
-    shared = F.min("_bound").over(Window.partitionBy("_px", "_py"))
-    return (
-        opened.withColumn("_bound", shared).where(F.col("near") <= F.col("_bound") + F.lit(_SLACK)).drop("far", "near")
+    bounds = f"named_struct('{CELL_X}', k.{CELL_X}, '{CELL_Y}', k.{CELL_Y}, 'near', {_NEAR}, 'far', {_FAR})"
+    own = "array_min(transform(kids, k -> k.far))"
+    opened = (
+        df.selectExpr("_px", "_py", *([] if first else ["_bound"]), f"transform(kids, k -> {bounds}) AS kids")
+        .selectExpr("_px", "_py", "kids", f"{own if first else f'least(_bound, {own})'} AS _bound")
+        .selectExpr("_px", "_py", "_bound", f"inline(filter(kids, k -> k.near <= _bound + {_SLACK}D))")
     )
+    if not first:
+        shared = F.min("_bound").over(Window.partitionBy("_px", "_py"))
+        opened = opened.withColumn("_bound", shared).where(f"near <= _bound + {_SLACK}D")
+    return opened.drop("far", "near")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geodesy as G
 from ..session import materialise
-from .spatial import CELL_X, CELL_Y, cell_of
+from .spatial import CELL_X, CELL_Y, with_cell
 
 _REACH = 2  # a cell is radius / sqrt(2) wide, so conflicts reach two cells at most
 
@@ -41,7 +41,7 @@ def greedy_thinning(
     open_points = materialise(
         points.groupBy(F.col(x).alias("_x"), F.col(y).alias("_y"))
         .agg(F.min(row).alias("p"))
-        .select("_x", "_y", "p", *cell_of(F.col("_x"), F.col("_y"), cell))
+        .transform(with_cell, "_x", "_y", cell)
     )
     kept_rounds: list[DataFrame] = []
     while not open_points.isEmpty():
@@ -58,13 +58,12 @@ def greedy_thinning(
 
 def _spread_cells(df: DataFrame) -> DataFrame:
     """Repeat each row for the cells around its own (and its own)."""
-    steps = F.sequence(F.lit(-_REACH), F.lit(_REACH))
-    return (
-        df.withColumn("_dx", F.explode(steps))
-        .withColumn("_dy", F.explode(steps))
-        .withColumns({CELL_X: F.col(CELL_X) + F.col("_dx"), CELL_Y: F.col(CELL_Y) + F.col("_dy")})
-        .drop("_dx", "_dy")
-    )
+    other = [c for c in df.columns if c not in (CELL_X, CELL_Y)]
+
+    def around(c: str) -> str:
+        return f"explode(sequence({c} - {_REACH}, {c} + {_REACH})) AS {c}"
+
+    return df.selectExpr(*other, CELL_Y, around(CELL_X)).selectExpr(*other, CELL_X, around(CELL_Y))
 
 
 def _round_winners(open_points: DataFrame) -> DataFrame:
@@ -90,6 +89,6 @@ def _drop_near(open_points: DataFrame, kept: DataFrame, radius: float) -> DataFr
     """
     near = _spread_cells(kept.select(CELL_X, CELL_Y, F.col("_x").alias("_kx"), F.col("_y").alias("_ky")))
     o, k = open_points.alias("o"), near.alias("k")
-    hit = G.distance(F.col("o._x"), F.col("o._y"), F.col("k._kx"), F.col("k._ky")) <= F.lit(float(radius))
-    same = (F.col(f"o.{CELL_X}") == F.col(f"k.{CELL_X}")) & (F.col(f"o.{CELL_Y}") == F.col(f"k.{CELL_Y}"))
-    return o.join(k, same & hit, "left_anti")
+    hit = f"{G.distance('o._x', 'o._y', 'k._kx', 'k._ky')} <= {float(radius)!r}D"
+    same = f"o.{CELL_X} = k.{CELL_X} AND o.{CELL_Y} = k.{CELL_Y}"
+    return o.join(k, F.expr(f"{same} AND {hit}"), "left_anti")

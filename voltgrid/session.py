@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # call-site capture costs milliseconds per column expression while plans are built
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
