@@ -67,23 +67,31 @@ def fixed_width_parse(spark, sf):
     )
 
 
-_NUMBER_TEXTS = (
-    "concat(CAST(o_orderkey AS {t}), '.', lpad(CAST(o_custkey % 1000 AS {t}), 3, '0'), ',5') AS thousands,"
-    " concat(' ', CAST(o_custkey AS {t}), ',25 ') AS comma,"
-    " CASE WHEN o_orderkey % 4 = 0 THEN '*12' WHEN o_orderkey % 4 = 1 THEN '1*2*3' WHEN o_orderkey % 4 = 2 THEN '' ELSE '7.5' END AS starred"
-)
+_NUMBER_TEXTS = [
+    "concat(CAST(o_orderkey AS {t}), '.', lpad(CAST(o_custkey % 1000 AS {t}), 3, '0'), ',5') AS thousands",
+    "concat(' ', CAST(o_custkey AS {t}), ',25 ') AS comma",
+    "CASE o_orderkey % 4 WHEN 0 THEN '*12' WHEN 1 THEN '1*2*3' WHEN 2 THEN '' ELSE '7.5' END AS starred",
+]
+
+
+def _as(columns: list[str], t: str, **more: str) -> list[str]:
+    return [c.format(t=t, **more) for c in columns]
+
+
+def _listed(columns: list[str], **more: str) -> str:
+    return ", ".join(_as(columns, "VARCHAR", **more))
 
 
 @query(
     "spanish_numbers",
-    f"""WITH t AS (SELECT o_orderkey, {_NUMBER_TEXTS.format(t='VARCHAR')} FROM orders)
+    f"""WITH t AS (SELECT o_orderkey, {_listed(_NUMBER_TEXTS)} FROM orders)
         SELECT o_orderkey AS id, TRY_CAST(replace(replace(thousands, '.', ''), ',', '.') AS DOUBLE) AS spanish,
                TRY_CAST(trim(replace(comma, ',', '.')) AS DOUBLE) AS decimal_comma,
                TRY_CAST(trim(replace(thousands, ',', '.')) AS DOUBLE) AS dots_kept,
                TRY_CAST(regexp_replace(starred, '\\*', '') AS DOUBLE) AS starred FROM t""",
 )
 def spanish_numbers(spark, sf):
-    t = spark.read.parquet(f"{sf}/orders.parquet").selectExpr("o_orderkey AS id", _NUMBER_TEXTS.format(t="STRING"))
+    t = spark.read.parquet(f"{sf}/orders.parquet").selectExpr("o_orderkey AS id", *_as(_NUMBER_TEXTS, "STRING"))
     return t.select(
         "id",
         text.spanish_number(F.col("thousands")).alias("spanish"),
@@ -124,43 +132,46 @@ def bucket_filter(spark, sf):
 
 
 # ---- flow files: raw columns as text, some keys missing
-_RAW_OD = (
-    "{date} AS date, CASE WHEN l_suppkey % 13 <> 0 THEN lpad(CAST(l_suppkey % 52 + 1 AS {t}), 2, '0') END AS origen,"
-    " lpad(CAST(l_partkey % 52 + 1 AS {t}), 2, '0') AS destino, CAST(l_orderkey AS {t}) AS ruta,"
-    " CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(l_partkey AS {t}) END AS distancia,"
-    " CAST(CAST(l_quantity AS INTEGER) AS {t}) AS viajes"
-)
+_RAW_OD = [
+    "{date} AS date",
+    "CASE WHEN l_suppkey % 13 <> 0 THEN lpad(CAST(l_suppkey % 52 + 1 AS {t}), 2, '0') END AS origen",
+    "lpad(CAST(l_partkey % 52 + 1 AS {t}), 2, '0') AS destino",
+    "CAST(l_orderkey AS {t}) AS ruta",
+    "CASE WHEN l_linenumber = 7 THEN 'n/a' ELSE CAST(l_partkey AS {t}) END AS distancia",
+    "CAST(CAST(l_quantity AS INTEGER) AS {t}) AS viajes",
+]
 
 
 @query(
     "clean_od",
-    f"""WITH raw AS (SELECT {_RAW_OD.format(t='VARCHAR', date="strftime(l_shipdate, '%Y%m%d')")} FROM lineitem)
+    f"""WITH raw AS (SELECT {_listed(_RAW_OD, date="strftime(l_shipdate, '%Y%m%d')")} FROM lineitem)
         SELECT CAST(try_strptime(date, '%Y%m%d') AS DATE) AS date, origen AS origin_zone, destino AS destination_zone,
                ruta AS route_id, TRY_CAST(distancia AS DOUBLE) AS distance_km, TRY_CAST(viajes AS DOUBLE) AS trips
         FROM raw WHERE origen IS NOT NULL AND destino IS NOT NULL AND ruta IS NOT NULL""",
 )
 def clean_od(spark, sf):
     raw = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr(
-        _RAW_OD.format(t="STRING", date="date_format(l_shipdate, 'yyyyMMdd')")
+        *_as(_RAW_OD, "STRING", date="date_format(l_shipdate, 'yyyyMMdd')")
     )
     return C.CLEANERS["od_routes"][1](raw)
 
 
-_RAW_SEGMENT = (
-    "CASE WHEN o_orderkey % 17 <> 0 THEN CAST(o_orderkey AS {t}) END AS tramo,"
-    " CAST(o_custkey AS {t}) AS total, CAST(o_custkey % 52 AS {t}) AS origen_principal,"
-    " CASE WHEN o_orderkey % 5 = 0 THEN '-' ELSE CAST(o_custkey % 9 AS {t}) END AS corto"
-)
+_RAW_SEGMENT = [
+    "CASE WHEN o_orderkey % 17 <> 0 THEN CAST(o_orderkey AS {t}) END AS tramo",
+    "CAST(o_custkey AS {t}) AS total",
+    "CAST(o_custkey % 52 AS {t}) AS origen_principal",
+    "CASE WHEN o_orderkey % 5 = 0 THEN '-' ELSE CAST(o_custkey % 9 AS {t}) END AS corto",
+]
 
 
 @query(
     "clean_segments",
-    f"""WITH raw AS (SELECT {_RAW_SEGMENT.format(t='VARCHAR')} FROM orders)
+    f"""WITH raw AS (SELECT {_listed(_RAW_SEGMENT)} FROM orders)
         SELECT tramo AS segment_id, TRY_CAST(total AS DOUBLE) AS trips_total, origen_principal AS main_origin,
                TRY_CAST(corto AS DOUBLE) AS trips_short FROM raw WHERE tramo IS NOT NULL""",
 )
 def clean_segments(spark, sf):
-    raw = spark.read.parquet(f"{sf}/orders.parquet").selectExpr(_RAW_SEGMENT.format(t="STRING"))
+    raw = spark.read.parquet(f"{sf}/orders.parquet").selectExpr(*_as(_RAW_SEGMENT, "STRING"))
     return C.CLEANERS["segments"][1](raw)
 
 
@@ -192,24 +203,25 @@ def parsed_dates(spark, sf):
 
 
 # ---- sites: names, coordinates as text
-_RAW_SITES = (
-    "c_custkey AS site_id, CASE c_custkey % 4 WHEN 0 THEN 'Parking Madrid Sur' WHEN 1 THEN 'Área Málaga'"
-    " WHEN 2 THEN 'estación zaragoza' ELSE c_name END AS name,"
-    " CASE WHEN c_custkey % 19 = 0 THEN '' ELSE CAST(34 + c_custkey % 12 AS {t}) END AS lat,"
-    " CAST(c_custkey % 18 - 11 AS {t}) AS lon"
-)
+_RAW_SITES = [
+    "c_custkey AS site_id",
+    "CASE c_custkey % 4 WHEN 0 THEN 'Parking Madrid Sur' WHEN 1 THEN 'Área Málaga'"
+    " WHEN 2 THEN 'estación zaragoza' ELSE c_name END AS name",
+    "CASE WHEN c_custkey % 19 = 0 THEN '' ELSE CAST(34 + c_custkey % 12 AS {t}) END AS lat",
+    "CAST(c_custkey % 18 - 11 AS {t}) AS lon",
+]
 
 
 @query(
     "bbox_and_city_filter",
-    f"""WITH raw AS (SELECT {_RAW_SITES.format(t='VARCHAR')} FROM customer)
+    f"""WITH raw AS (SELECT {_listed(_RAW_SITES)} FROM customer)
         SELECT site_id, name, CAST(lat AS DOUBLE) AS latitude, CAST(lon AS DOUBLE) AS longitude FROM raw
         WHERE lat <> '' AND lon <> '' AND TRY_CAST(lat AS DOUBLE) BETWEEN 35.0 AND 44.5
           AND TRY_CAST(lon AS DOUBLE) BETWEEN -9.5 AND 5.0
           AND NOT regexp_matches(upper(name), 'MADRID|BARCELONA|VALENCIA|SEVILLA|ZARAGOZA|BILBAO|MALAGA')""",
 )
 def bbox_and_city_filter(spark, sf):
-    raw = spark.read.parquet(f"{sf}/customer.parquet").selectExpr(_RAW_SITES.format(t="STRING"))
+    raw = spark.read.parquet(f"{sf}/customer.parquet").selectExpr(*_as(_RAW_SITES, "STRING"))
     placed = raw.where(C.has_coordinates(F.col("lat"), F.col("lon"))).select(
         "site_id", "name",
         text.to_double(F.col("lat")).alias("latitude"), text.to_double(F.col("lon")).alias("longitude"),

@@ -255,7 +255,7 @@ view(
         UNION ALL
         SELECT n.rk, list_append(n.kept, struct_pack(x := c.x, y := c.y))
         FROM (SELECT min(c.rk) AS rk, any_value(k.kept) AS kept FROM kept k JOIN walk_order c ON c.rk > k.rk
-              WHERE list_min(list_transform(k.kept, p -> pow(p.x - c.x, 2) + pow(p.y - c.y, 2))) > {S.FILL_SPACING_M**2}
+              WHERE list_min(list_transform(k.kept, lambda p: pow(p.x - c.x, 2) + pow(p.y - c.y, 2))) > {S.FILL_SPACING_M**2}
               HAVING count(*) > 0) n
         JOIN walk_order c ON c.rk = n.rk""",
     "walk_order",
@@ -277,7 +277,7 @@ def fill_thinned(spark, sf):
 
 # ---- proposals -----------------------------------------------------------------------
 view(
-    "both",
+    "all_places",
     f"""SELECT x, y, route_segment, 'EXPAND' AS station_type, pressure_score, 0 AS type_rank, 0.0 AS weight_rank,
                site_id AS source_id, 0 AS step FROM expand
         UNION ALL SELECT x, y, {segment_label('road_name')}, 'FILL', 0.0, 1, -road_weight, road_id, step FROM thinned""",
@@ -287,8 +287,8 @@ view(
 _ORDER = "type_rank, weight_rank, source_id, step"
 view(
     "places",
-    f"""SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY {_ORDER}) AS copy FROM both WHERE {in_country('x', 'y')}""",
-    "both",
+    f"""SELECT *, row_number() OVER (PARTITION BY x, y ORDER BY {_ORDER}) AS copy FROM all_places WHERE {in_country('x', 'y')}""",
+    "all_places",
 )
 view(
     "rated",

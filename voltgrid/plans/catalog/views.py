@@ -15,7 +15,9 @@ def values(rows, columns) -> str:
     def one(v):
         if v is None:
             return "NULL"
-        return "'" + v.replace("'", "''") + "'" if isinstance(v, str) else repr(v)
+        if isinstance(v, str):
+            return "'" + v.replace("'", "''") + "'"
+        return f"CAST({v!r} AS DOUBLE)" if isinstance(v, float) else repr(v)
 
     listed = ", ".join("(" + ", ".join(one(v) for v in r) + ")" for r in rows)
     return f"SELECT * FROM (VALUES {listed}) AS t({', '.join(columns)})"
