@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from voltgrid.functions import geodesy as G
 from voltgrid.operators import spatial
-from voltgrid.operators.skew import split_hot_keys
 from voltgrid.operators.thinning import greedy_thinning
 
 
@@ -148,17 +147,6 @@ def test_thinning_of_nothing(spark):
     assert greedy_thinning(df, 10.0, ["weight", "id"], descending=["weight"]).count() == 0
 
 
-def test_split_hot_keys_changes_no_result(spark):
-    left = spark.range(3_000).select((F.col("id") % 7 == 0).cast("int").alias("k"), F.col("id").alias("v"))
-    right = spark.createDataFrame([(0, "a"), (1, "b"), (1, "c")], "k int, w string")
-    plain = left.join(right, "k")
-    l, r, keys = split_hot_keys(left, right, ["k"], rows_per_split=100)
-    assert l.where("k = 0").select("_salt").distinct().count() > 20
-    salted = l.join(r, keys)
-    assert salted.count() == plain.count()
-    assert l.join(r, keys, "left_anti").count() == 0
-
-
 def test_projection_round_trip_and_known_points(spark):
     rows = [(-3.0, 40.0), (-9.0, 35.5), (4.5, 44.0), (2.1734, 41.3851), (0.0, 38.0)]
     df = spark.createDataFrame(rows, "lon double, lat double")

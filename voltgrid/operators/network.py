@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .. import settings as S
 from ..functions import geodesy as G
 from ..functions import scoring, text
+from ..session import materialise
 from . import spatial
 from .quality import assert_no_rows
 from .ranking import above_quantile, first_per_group, with_labels
@@ -117,7 +118,7 @@ def fill_candidates(
 ) -> DataFrame:
     """Candidates in the country, outside urban areas, and farther than ``exclusion`` from every station."""
     inside = clip_to_country(candidates, country)
-    rural = spatial.points_by_polygons(inside, urban, radius=urban_radius, how="left_anti")
+    rural = materialise(spatial.points_by_polygons(inside, urban, radius=urban_radius, how="left_anti"))
     tagged = stations.selectExpr("x", "y", "1 AS _covered")
     reached = spatial.nearest(rural, tagged, ["_covered"], "_covered", distance_col="_station_m")
     return reached.where(f"_station_m IS NULL OR _station_m > {float(exclusion)!r}D").select(*candidates.columns)

@@ -17,14 +17,9 @@ from pyspark.sql.window import Window
 
 from ..functions import geodesy as G
 from ..session import materialise
-from .skew import split_hot_keys
 
 CELL_X, CELL_Y = "_cx", "_cy"
 
-#: Positions of one cell that one task tests against the cell's lines or polygons.
-ROWS_PER_CELL = 100_000
-
-
 def with_cell(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
     """Add the cell a position (two SQL expressions) lies in."""
     return df.selectExpr("*", f"floor(({x}) / {size!r}D) AS {CELL_X}", f"floor(({y}) / {size!r}D) AS {CELL_Y}")
@@ -82,8 +77,7 @@ def within_distance_of_lines(
     """Points strictly nearer than ``radius`` to any segment (semi-join).
 
     Segments are cut to cell length and written to the cells their grown boxes
-    touch; a point looks only into its own cell.  Positions shared by many
-    points are tested once.
+    touch; a point looks only into its own cell.
     """
     size = float(cell or max(radius * 4, 2_000.0))
     r = f"{float(radius)!r}D"
@@ -92,31 +86,25 @@ def within_distance_of_lines(
         [f"bx0 - {r}", f"by0 - {r}", f"bx1 + {r}", f"by1 + {r}"],
         size,
     ).select(CELL_X, CELL_Y, *SEGMENT)
-    spots = with_cell(_positions(points, x, y), "_px", "_py", size)
-    near = f"{G.point_segment_distance('l._px', 'l._py', G.ends('r.'))} < {r}"
-    return _keep_positions(points, _cell_semi_join(spots, pieces, near).select("_px", "_py"), x, y, "left_semi")
-
-
-def _positions(points: DataFrame, x: str, y: str) -> DataFrame:
-    """Distinct positions; rows that share one are handled once."""
-    return points.selectExpr(f"{x} AS _px", f"{y} AS _py").where("_px IS NOT NULL AND _py IS NOT NULL").distinct()
+    near = f"{G.point_segment_distance(f'l.{x}', f'l.{y}', G.ends('r.'))} < {r}"
+    return _cell_join(with_cell(points, x, y, size), pieces, near, "left_semi").select(*points.columns)
 
 
-def _cell_semi_join(left: DataFrame, right: DataFrame, condition: str) -> DataFrame:
-    """Rows of ``left`` with a partner in their cell; crowded cells are split over tasks."""
-    left, right, keys = split_hot_keys(left, right, [CELL_X, CELL_Y], ROWS_PER_CELL)
-    same = " AND ".join(f"l.{k} = r.{k}" for k in keys)
-    return left.alias("l").join(right.alias("r"), F.expr(f"{same} AND {condition}"), "left_semi")
+def _cell_join(left: DataFrame, right: DataFrame, condition: str, how: str) -> DataFrame:
+    """Rows of ``left`` with (semi) or without (anti) a partner in their cell.
 
+    The long side is always ``left`` and only its rows come out, so a cell that
+    holds a large part of all rows is cut by the planner's skew join: it splits
+    the left rows of a large partition over tasks and sends each the cell's
+    lines or polygons.  One pass, no pairs are listed.
+    """
+    same = f"l.{CELL_X} = r.{CELL_X} AND l.{CELL_Y} = r.{CELL_Y}"
+    return left.alias("l").join(right.alias("r"), F.expr(f"{same} AND {condition}"), how)
 
-def _keep_positions(points: DataFrame, hits: DataFrame, x: str, y: str, how: str) -> DataFrame:
-    """Semi- or anti-join rows with a table of distinct positions.
 
-    ``hits`` has one row per position, so a position that many rows share only
-    makes the row side long; the planner's skew join splits that side.
-    """
-    same = F.expr(f"p.{x} = h._px AND p.{y} = h._py")
-    return points.alias("p").join(hits.alias("h"), same, how)
+def _positions(points: DataFrame, x: str, y: str) -> DataFrame:
+    """Distinct positions; rows that share one are handled once."""
+    return points.selectExpr(f"{x} AS _px", f"{y} AS _py").where("_px IS NOT NULL AND _py IS NOT NULL").distinct()
 
 
 # --------------------------------------------------------------------------
@@ -142,10 +130,9 @@ def points_by_polygons(
     cell: float = 25_000.0,
 ) -> DataFrame:
     """Points within (semi) or outside (anti) the polygons grown by ``radius``."""
-    cells = polygon_cells(polygons, edges, radius, cell)
-    spots = with_cell(_positions(points, x, y), "_px", "_py", cell)
-    inside = G.within_buffer("l._px", "l._py", "r.edges", radius)
-    return _keep_positions(points, _cell_semi_join(spots, cells, inside).select("_px", "_py"), x, y, how)
+    inside = G.within_buffer(f"l.{x}", f"l.{y}", "r.edges", radius)
+    placed = with_cell(points, x, y, cell)
+    return _cell_join(placed, polygon_cells(polygons, edges, radius, cell), inside, how).select(*points.columns)
 
 
 def lines_clear_of_polygons(
@@ -168,7 +155,7 @@ def lines_clear_of_polygons(
         cell,
     ).select(CELL_X, CELL_Y, line_id, *SEGMENT)
     touches = G.segment_meets_buffer(G.ends("l."), "r.edges", radius)
-    touched = _cell_semi_join(pieces, cells, touches).select(line_id).distinct()
+    touched = _cell_join(pieces, cells, touches, "left_semi").select(line_id).distinct()
     return lines.join(touched, line_id, "left_anti").select(*lines.columns)
 
 
