@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geodesy as G
-from ..session import materialise
+from ..session import BROADCAST_BYTES, checked_side, materialise
 
 CELL_X, CELL_Y = "_cx", "_cy"
 
@@ -81,11 +81,13 @@ def within_distance_of_lines(
     """
     size = float(cell or max(radius * 4, 2_000.0))
     r = f"{float(radius)!r}D"
-    pieces = cover_box(
-        cut_segments(segments.select(*SEGMENT).distinct(), size),
-        [f"bx0 - {r}", f"by0 - {r}", f"bx1 + {r}", f"by1 + {r}"],
-        size,
-    ).select(CELL_X, CELL_Y, *SEGMENT)
+    pieces = checked_side(
+        cover_box(
+            cut_segments(segments.select(*SEGMENT).distinct(), size),
+            [f"bx0 - {r}", f"by0 - {r}", f"bx1 + {r}", f"by1 + {r}"],
+            size,
+        ).select(CELL_X, CELL_Y, *SEGMENT)
+    )
     near = f"{G.point_segment_distance(f'l.{x}', f'l.{y}', G.ends('r.'))} < {r}"
     return _cell_join(with_cell(points, x, y, size), pieces, near, "left_semi").select(*points.columns)
 
@@ -93,10 +95,11 @@ def within_distance_of_lines(
 def _cell_join(left: DataFrame, right: DataFrame, condition: str, how: str) -> DataFrame:
     """Rows of ``left`` with (semi) or without (anti) a partner in their cell.
 
-    The long side is always ``left`` and only its rows come out, so a cell that
-    holds a large part of all rows is cut by the planner's skew join: it splits
-    the left rows of a large partition over tasks and sends each the cell's
-    lines or polygons.  One pass, no pairs are listed.
+    ``right`` is a side of checked size: when small it is broadcast and the
+    rows stay where they are, hot cell or not.  Otherwise the rows are
+    shuffled by cell and the planner's skew join splits the rows of a large
+    cell over tasks, each with the cell's lines or polygons.  Only left rows
+    come out; no pairs are listed.
     """
     same = f"l.{CELL_X} = r.{CELL_X} AND l.{CELL_Y} = r.{CELL_Y}"
     return left.alias("l").join(right.alias("r"), F.expr(f"{same} AND {condition}"), how)
@@ -111,12 +114,13 @@ def _positions(points: DataFrame, x: str, y: str) -> DataFrame:
 # polygons
 # --------------------------------------------------------------------------
 def polygon_cells(polygons: DataFrame, edges: str, grow: float, cell: float) -> DataFrame:
-    """One row per cell that a polygon's grown box touches, with its edges."""
+    """One row per cell that a polygon's grown box touches, with its edges; a side of checked size."""
     g = f"{float(grow)!r}D"
     xs = "flatten(transform(edges, e -> array(e.x1, e.x2)))"
     ys = "flatten(transform(edges, e -> array(e.y1, e.y2)))"
     box = [f"array_min({xs}) - {g}", f"array_min({ys}) - {g}", f"array_max({xs}) + {g}", f"array_max({ys}) + {g}"]
-    return cover_box(polygons.select(F.col(edges).alias("edges")).distinct(), box, cell)
+    cells = cover_box(polygons.select(F.col(edges).alias("edges")).distinct(), box, cell)
+    return checked_side(cells, "32 + 40 * size(edges)")
 
 
 def points_by_polygons(
@@ -163,10 +167,11 @@ def lines_clear_of_polygons(
 # nearest neighbour
 # --------------------------------------------------------------------------
 #: Cell sizes of the search pyramid, each a multiple of the next.  The number of
-#: cells is bounded by the mapped area (1,300 x 1,100 km hold 340 cells of the
-#: upper and 340,000 of the lower level), not by the number of items.
-PYRAMID = (65_536.0, 2_048.0)
+#: cells is bounded by the mapped area (1,300 x 1,100 km hold 90 cells of the
+#: top and 340,000 of the lowest level), not by the number of items.
+PYRAMID = (131_072.0, 16_384.0, 2_048.0)
 _SLACK = 1e-3
+_NODE_BYTES = 64
 
 
 def nearest(
@@ -187,13 +192,13 @@ def nearest(
     without position, or without any item to find, get nulls.
     """
     spots = _positions(points, x, y)
-    leaves = materialise(_leaf_items(items, payload, tie_break, geometry, pyramid[-1]))
+    leaves = checked_side(_leaf_items(items, payload, tie_break, geometry, pyramid[-1]), "200")
     frontier = _descend(spots, leaves, pyramid)
     if geometry == "point":
         dist = G.distance("_px", "_py", "x1", "y1")
     else:
         dist = G.point_segment_distance("_px", "_py", G.ends())
-    # a crowded cell is split at run time: the planner's skew join cuts the frontier side
+    # a crowded cell of a long item table is split at run time by the planner's skew join
     found = (
         frontier.join(leaves, [CELL_X, CELL_Y])
         .selectExpr("_px", "_py", f"named_struct('d', {dist}, 'item', _item) AS _found")
@@ -233,9 +238,12 @@ def _leaf_items(
 
 def _descend(spots: DataFrame, leaves: DataFrame, pyramid: Sequence[float]) -> DataFrame:
     """For each position the leaf cells that can hold its nearest item."""
-    nodes = leaves.groupBy(CELL_X, CELL_Y).agg(
-        F.expr("min(bx0) AS x0"), F.expr("min(by0) AS y0"), F.expr("max(bx1) AS x1"), F.expr("max(by1) AS y1")
+    nodes = materialise(
+        leaves.groupBy(CELL_X, CELL_Y).agg(
+            F.expr("min(bx0) AS x0"), F.expr("min(by0) AS y0"), F.expr("max(bx1) AS x1"), F.expr("max(by1) AS y1")
+        )
     )
+    small = nodes.count() * _NODE_BYTES <= BROADCAST_BYTES
     kids = F.expr(f"collect_list(struct({CELL_X}, {CELL_Y}, x0, y0, x1, y1)) AS kids")
     packed = []  # from fine to coarse: the children of each parent cell in one array
     for fine, coarse in zip(pyramid[::-1], pyramid[-2::-1]):
@@ -252,18 +260,16 @@ def _descend(spots: DataFrame, leaves: DataFrame, pyramid: Sequence[float]) -> D
     # the coarsest cells of the mapped area fit one array; it is read as a scalar
     top = nodes.agg(kids)
     frontier = _prune(spots.withColumn("kids", top.scalar()), first=True)
-    for depth, level in enumerate(packed[::-1]):
-        # the level below the top is bounded by the area too; deeper ones are left to the planner
-        side = F.broadcast(level) if depth == 0 else level
-        frontier = _prune(frontier.join(side, [CELL_X, CELL_Y]), first=False)
+    for level in packed[::-1]:
+        frontier = _prune(frontier.join(level.hint("broadcast" if small else "merge"), [CELL_X, CELL_Y]), first=False)
     return frontier.select("_px", "_py", CELL_X, CELL_Y)
 
 
 _NEAR = (
-    "sqrt(pow(greatest(k.x0 - _px, _px - k.x1, 0D), 2) + pow(greatest(k.y0 - _py, _py - k.y1, 0D), 2))"
+    "hypot(greatest(k.x0 - _px, _px - k.x1, 0D), greatest(k.y0 - _py, _py - k.y1, 0D))"
 )
 _FAR = (
-    "sqrt(pow(greatest(abs(_px - k.x0), abs(_px - k.x1)), 2) + pow(greatest(abs(_py - k.y0), abs(_py - k.y1)), 2))"
+    "hypot(greatest(_px - k.x0, k.x1 - _px), greatest(_py - k.y0, k.y1 - _py))"
 )
 
 

@@ -60,3 +60,19 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: Largest table, in estimated bytes, that is sent whole to every executor.
+BROADCAST_BYTES = 64 * 1024 * 1024
+
+
+def checked_side(df: DataFrame, row_bytes: str = "64", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Store the short side of a join, measure it, and mark how it may be joined.
+
+    Up to ``limit`` bytes (rows times the SQL expression ``row_bytes``) it is
+    broadcast, so the long side is not shuffled.  Beyond that both sides are
+    shuffled by key and the planner's skew join cuts large keys.
+    """
+    stored = materialise(df)
+    size = stored.selectExpr(f"coalesce(sum({row_bytes}), 0) AS size").first()["size"]
+    return stored.hint("broadcast" if size <= limit else "merge")
