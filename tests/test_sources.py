@@ -111,7 +111,7 @@ def test_delimited_details(spark, tmp_path):
     path.write_text("a ;b\n1;2\n3;4;5\n6;7\n")
     assert delimited.read_strings(spark, str(path), ["a", "b"]).count() == 2
     kept = delimited.read_strings(spark, str(path), ["a", "b"], skip_bad_lines=False)
-    assert kept.where(f"{delimited.CORRUPT} IS NOT NULL").count() == 1
+    assert [r[delimited.CORRUPT] for r in kept.collect() if r[delimited.CORRUPT]] == ["3;4;5"]
     assert C.strip_headers(delimited.read_strings(spark, str(path))).columns == ["a", "b"]
     assert delimited.first_rows(kept).count() == 3
     assert [r.a for r in delimited.first_rows(kept, 1, ["a"]).collect()] == ["1"]

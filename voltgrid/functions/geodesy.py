@@ -224,14 +224,6 @@ def within_buffer(px: str, py: str, edges: str, radius: float = 0.0) -> str:
     return f"({inside} OR {near_edges(px, py, edges, radius)})" if radius > 0 else inside
 
 
-def segment_meets_buffer(seg: Segment, edges: str, radius: float) -> str:
-    """Segment shares a point with the polygon grown by ``radius`` (touching counts)."""
-    return (
-        f"({inside_edges(seg[0], seg[1], edges)}"
-        f" OR exists({edges}, e -> {segments_within(seg, ends('e.'), radius)}))"
-    )
-
-
 def ring_edges(rings: str) -> str:
     """``array<array<struct<x,y>>>`` to one array of edges, closing each ring."""
     edge = "named_struct('x1', p.x, 'y1', p.y, 'x2', q.x, 'y2', q.y)"

@@ -152,14 +152,21 @@ def lines_clear_of_polygons(
 
     A line with one touching segment goes as a whole; it is not clipped.
     """
-    cells = polygon_cells(polygons, edges, radius, cell)
+    r = f"{float(radius)!r}D"
+    outline = cut_segments(polygons.selectExpr(f"inline({edges})").distinct(), cell)
+    outline = checked_side(
+        cover_box(outline, [f"bx0 - {r}", f"by0 - {r}", f"bx1 + {r}", f"by1 + {r}"], cell).select(
+            CELL_X, CELL_Y, *SEGMENT
+        )
+    )
     pieces = cover_box(
-        cut_segments(line_to_segments(lines, vertices, [line_id]), cell),
-        ["bx0", "by0", "bx1", "by1"],
-        cell,
+        cut_segments(line_to_segments(lines, vertices, [line_id]), cell), ["bx0", "by0", "bx1", "by1"], cell
     ).select(CELL_X, CELL_Y, line_id, *SEGMENT)
-    touches = G.segment_meets_buffer(G.ends("l."), "r.edges", radius)
-    touched = _cell_join(pieces, cells, touches, "left_semi").select(line_id).distinct()
+    touches = G.segments_within(G.ends("l."), G.ends("r."), radius)
+    # a line that stays clear of every outline is inside or outside as a whole: its first vertex tells
+    starts = lines.selectExpr(line_id, f"{vertices}[0].x AS x", f"{vertices}[0].y AS y")
+    within = points_by_polygons(starts, polygons, edges, how="left_semi", cell=cell).select(line_id)
+    touched = _cell_join(pieces, outline, touches, "left_semi").select(line_id).unionByName(within).distinct()
     return lines.join(touched, line_id, "left_anti").select(*lines.columns)
 
 
@@ -191,7 +198,9 @@ def nearest(
     several items at the same distance the lowest ``tie_break`` wins.  Points
     without position, or without any item to find, get nulls.
     """
-    spots = _positions(points, x, y)
+    # the search is work, not bytes: keep as many partitions as a shuffle may have
+    width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spots = _positions(points, x, y).repartition(width, "_px", "_py")
     leaves = checked_side(_leaf_items(items, payload, tie_break, geometry, pyramid[-1]), "200")
     frontier = _descend(spots, leaves, pyramid)
     if geometry == "point":
@@ -243,8 +252,9 @@ def _descend(spots: DataFrame, leaves: DataFrame, pyramid: Sequence[float]) -> D
             F.expr("min(bx0) AS x0"), F.expr("min(by0) AS y0"), F.expr("max(bx1) AS x1"), F.expr("max(by1) AS y1")
         )
     )
-    small = nodes.count() * _NODE_BYTES <= BROADCAST_BYTES
+    way = "broadcast" if nodes.count() * _NODE_BYTES <= BROADCAST_BYTES else "merge"
     kids = F.expr(f"collect_list(struct({CELL_X}, {CELL_Y}, x0, y0, x1, y1)) AS kids")
+    frontier = _own_bound(spots, nodes.hint(way), pyramid[-1])
     packed = []  # from fine to coarse: the children of each parent cell in one array
     for fine, coarse in zip(pyramid[::-1], pyramid[-2::-1]):
         up = f"{int(coarse / fine)}"
@@ -256,38 +266,44 @@ def _descend(spots: DataFrame, leaves: DataFrame, pyramid: Sequence[float]) -> D
         renamed = parent.withColumnsRenamed({"_ux": CELL_X, "_uy": CELL_Y})
         packed.append(renamed.select(CELL_X, CELL_Y, "kids"))
         nodes = renamed.drop("kids")
+        frontier = _own_bound(frontier, nodes.hint(way), coarse)
 
     # the coarsest cells of the mapped area fit one array; it is read as a scalar
     top = nodes.agg(kids)
-    frontier = _prune(spots.withColumn("kids", top.scalar()), first=True)
+    farthest = f"array_min(transform(kids, k -> {_FAR.format('k.')}))"
+    frontier = _open(
+        frontier.withColumn("kids", top.scalar()).selectExpr(
+            "_px", "_py", "kids", f"coalesce(_bound, {farthest}) AS _bound"
+        )
+    )
     for level in packed[::-1]:
-        frontier = _prune(frontier.join(level.hint("broadcast" if small else "merge"), [CELL_X, CELL_Y]), first=False)
+        frontier = _open(frontier.join(level.hint(way), [CELL_X, CELL_Y]))
     return frontier.select("_px", "_py", CELL_X, CELL_Y)
 
 
-_NEAR = (
-    "hypot(greatest(k.x0 - _px, _px - k.x1, 0D), greatest(k.y0 - _py, _py - k.y1, 0D))"
-)
-_FAR = (
-    "hypot(greatest(_px - k.x0, k.x1 - _px), greatest(_py - k.y0, k.y1 - _py))"
-)
+_NEAR = "hypot(greatest(x0 - _px, _px - x1, 0D), greatest(y0 - _py, _py - y1, 0D))"
+_FAR = "hypot(greatest(_px - {0}x0, {0}x1 - _px), greatest(_py - {0}y0, {0}y1 - _py))"
+
+
+def _own_bound(spots: DataFrame, nodes: DataFrame, size: float) -> DataFrame:
+    """Bound the distance by the box of the position's own cell, where that cell holds items."""
+    bound = "_bound" if "_bound" in spots.columns else "cast(NULL AS double)"
+    own = with_cell(spots, "_px", "_py", size).join(nodes, [CELL_X, CELL_Y], "left")
+    return own.selectExpr("_px", "_py", f"least({bound}, {_FAR.format('')}) AS _bound")
 
 
-def _prune(df: DataFrame, first: bool) -> DataFrame:
+def _open(df: DataFrame) -> DataFrame:
     """Open the child boxes and keep those that may hold the nearest item.
 
     A box is certain to hold an item within its far corner, so the smallest far
-    corner distance over all boxes of a position bounds the answer; boxes whose
-    near side lies beyond that bound are dropped.
+    corner distance seen so far bounds the answer; boxes whose near side lies
+    beyond it are dropped, first against the bound carried along, then against
+    the one the remaining boxes give.
     """
-    bounds = f"named_struct('{CELL_X}', k.{CELL_X}, '{CELL_Y}', k.{CELL_Y}, 'near', {_NEAR}, 'far', {_FAR})"
-    own = "array_min(transform(kids, k -> k.far))"
     opened = (
-        df.selectExpr("_px", "_py", *([] if first else ["_bound"]), f"transform(kids, k -> {bounds}) AS kids")
-        .selectExpr("_px", "_py", "kids", f"{own if first else f'least(_bound, {own})'} AS _bound")
-        .selectExpr("_px", "_py", "_bound", f"inline(filter(kids, k -> k.near <= _bound + {_SLACK}D))")
+        df.selectExpr("_px", "_py", "_bound", "inline(kids)")
+        .selectExpr("_px", "_py", CELL_X, CELL_Y, f"{_NEAR} AS near", f"least(_bound, {_FAR.format('')}) AS _bound")
+        .where(f"near <= _bound + {_SLACK}D")
     )
-    if not first:
-        shared = F.min("_bound").over(Window.partitionBy("_px", "_py"))
-        opened = opened.withColumn("_bound", shared).where(f"near <= _bound + {_SLACK}D")
-    return opened.drop("far", "near")
+    shared = F.min("_bound").over(Window.partitionBy("_px", "_py"))
+    return opened.withColumn("_bound", shared).where(f"near <= _bound + {_SLACK}D").drop("near")

@@ -29,10 +29,14 @@ def read_strings(
 
     With ``columns`` the header line is skipped and names go by position, which
     is what files with repeated or padded header names need.  Bad lines are
-    dropped, or kept with their text in ``_corrupt_record``.  Gzip files are
-    read as they are.
+    dropped, or kept with their text in ``_corrupt_record``; lines are parsed
+    whole for this, because with column pruning a line would count as good or
+    bad depending on the columns a query reads.  Gzip files are read as they
+    are.
     """
-    reader = spark.read.option("header", "true").option("sep", sep).option("encoding", encoding)
+    reader = (
+        spark.read.option("header", "true").option("sep", sep).option("encoding", encoding).option("columnPruning", "false")
+    )
     if columns is None:
         df = reader.option("inferSchema", "false").csv(path)
     elif skip_bad_lines:
