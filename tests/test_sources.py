@@ -188,6 +188,9 @@ def test_geojson(spark, tmp_path):
     rows = geojson.read_lines(spark, lines, {"type": "string", "label": "string"}).orderBy("feature", "part").collect()
     assert [(r.feature, r.part, r.label, len(r.vertices)) for r in rows] == [(0, 0, "A7", 2), (1, 0, None, 2), (1, 1, None, 3)]
     assert rows[0].vertices[0].x == pytest.approx(500_000) and rows[0].vertices[0].y == pytest.approx(4_427_757.2, abs=0.1)
+    (tmp_path / "l.jsonl").write_text("\n".join(json.dumps(feature("LineString", [[-3, 40], [-2, 40]], label=k)) for k in "ab"))
+    split = geojson.read_lines(spark, str(tmp_path / "l.jsonl"), {"label": "string"}, project=False, per_line=True).collect()
+    assert sorted(r.label for r in split) == ["a", "b"] and len({r.feature for r in split}) == 2
     ring = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]
     hole = [[1, 1], [2, 1], [2, 2], [1, 2], [1, 1]]
     polygons = save("g.json", feature("Polygon", [ring, hole], code="ESP"), feature("MultiPolygon", [[ring], [hole]], code="X"))

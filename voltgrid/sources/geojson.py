@@ -1,4 +1,8 @@
-"""GeoJSON features as rows."""
+"""GeoJSON features as rows.
+
+A feature collection is one JSON document, which one task has to read.  Large
+data should come as one feature per line (``per_line``); such files split.
+"""
 
 from __future__ import annotations
 
@@ -10,16 +14,22 @@ from pyspark.sql import functions as F
 from ..functions import geodesy as G
 
 
-def _features(spark: SparkSession, path: str, properties: Mapping[str, str]) -> DataFrame:
-    """One row per feature: position in the file, kind, coordinates as text, properties (prefixed ``p_``)."""
+def _features(spark: SparkSession, path: str, properties: Mapping[str, str], per_line: bool) -> DataFrame:
+    """One row per feature: number, kind, coordinates as text, properties (prefixed ``p_``)."""
     fields = ", ".join(f"`{n}`: {t}" for n, t in properties.items())
-    schema = (
-        f"features array<struct<properties: struct<{fields}>, geometry: struct<type: string, coordinates: string>>>"
-    )
-    docs = spark.read.schema(schema).option("multiLine", "true").json(path)
-    return docs.select(F.posexplode("features")).selectExpr(
-        "pos AS feature", "col.geometry.type AS _kind", "col.geometry.coordinates AS _text",
-        *(f"col.properties.`{n}` AS `p_{n}`" for n in properties),
+    parts = f"properties struct<{fields}>, geometry struct<type: string, coordinates: string>"
+    if per_line:
+        rows = spark.read.schema(parts).json(path).where("geometry IS NOT NULL")
+        rows = rows.select(F.monotonically_increasing_id().alias("feature"), "properties", "geometry")
+    else:
+        nested = parts.replace("properties struct", "properties: struct").replace("geometry struct", "geometry: struct")
+        docs = spark.read.schema(f"features array<struct<{nested}>>").option("multiLine", "true").json(path)
+        rows = docs.select(F.posexplode("features")).selectExpr(
+            "cast(pos AS long) AS feature", "col.properties AS properties", "col.geometry AS geometry"
+        )
+    return rows.selectExpr(
+        "feature", "geometry.type AS _kind", "geometry.coordinates AS _text",
+        *(f"properties.`{n}` AS `p_{n}`" for n in properties),
     )
 
 
@@ -33,11 +43,13 @@ def _parts(rows: DataFrame, properties: Mapping[str, str], parts: str, project:
     return _project(flat, ["feature", "part"]) if project else flat
 
 
-def read_points(spark: SparkSession, path: str, properties: Mapping[str, str]) -> DataFrame:
+def read_points(
+    spark: SparkSession, path: str, properties: Mapping[str, str], per_line: bool = False
+) -> DataFrame:
     """Point features: the properties, ``longitude`` and ``latitude``."""
     point = "from_json(_text, 'array<double>')"
     return (
-        _features(spark, path, properties)
+        _features(spark, path, properties, per_line)
         .where("_kind = 'Point'")
         .selectExpr(
             *(f"`p_{n}` AS `{n}`" for n in properties), f"{point}[0] AS longitude", f"{point}[1] AS latitude"
@@ -45,22 +57,26 @@ def read_points(spark: SparkSession, path: str, properties: Mapping[str, str]) -
     )
 
 
-def read_lines(spark: SparkSession, path: str, properties: Mapping[str, str], project: bool = True) -> DataFrame:
+def read_lines(
+    spark: SparkSession, path: str, properties: Mapping[str, str], project: bool = True, per_line: bool = False
+) -> DataFrame:
     """Line and multi-line features: one row per part with ``vertices`` (metres unless ``project`` is off)."""
     parts = (
         "CASE _kind WHEN 'LineString' THEN array(from_json(_text, 'array<array<double>>'))"
         " WHEN 'MultiLineString' THEN from_json(_text, 'array<array<array<double>>>') END"
     )
-    return _parts(_features(spark, path, properties), properties, parts, project)
+    return _parts(_features(spark, path, properties, per_line), properties, parts, project)
 
 
-def read_polygons(spark: SparkSession, path: str, properties: Mapping[str, str], project: bool = True) -> DataFrame:
+def read_polygons(
+    spark: SparkSession, path: str, properties: Mapping[str, str], project: bool = True, per_line: bool = False
+) -> DataFrame:
     """Polygon and multi-polygon features: one row per feature with ``edges`` of all rings."""
     rings = (
         "CASE _kind WHEN 'Polygon' THEN from_json(_text, 'array<array<array<double>>>')"
         " WHEN 'MultiPolygon' THEN flatten(from_json(_text, 'array<array<array<array<double>>>>')) END"
     )
-    flat = _parts(_features(spark, path, properties), properties, rings, project)
+    flat = _parts(_features(spark, path, properties, per_line), properties, rings, project)
     grouped = flat.groupBy("feature").agg(
         *(F.first(n).alias(n) for n in properties), F.collect_list("vertices").alias("rings")
     )
