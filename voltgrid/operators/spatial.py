@@ -9,6 +9,7 @@ so a crowded cell far from a point costs one comparison.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions import geodesy as G
-from ..session import BROADCAST_BYTES, checked_side, materialise
+from ..session import BROADCAST_BYTES, join_way, materialise
 
 CELL_X, CELL_Y = "_cx", "_cy"
 
@@ -63,6 +64,23 @@ def cut_segments(segments: DataFrame, piece: float) -> DataFrame:
     )
 
 
+def line_cells(segments: DataFrame, grow: float, cell: float) -> DataFrame:
+    """Segments in the cells their grown pieces touch, as a join side of checked size.
+
+    A piece is at most one cell long, so its grown box touches at most
+    ``reach`` squared cells; that bounds the size before anything is cut.
+    """
+    reach = 2 + math.ceil(2 * grow / cell)
+    bound = f"greatest(1, ceil({G.distance(*SEGMENT)} / {cell!r}D)) * {reach * reach * 64}"
+    g = f"{float(grow)!r}D"
+    cells = cover_box(
+        cut_segments(segments.select(*SEGMENT).distinct(), cell),
+        [f"bx0 - {g}", f"by0 - {g}", f"bx1 + {g}", f"by1 + {g}"],
+        cell,
+    )
+    return cells.select(CELL_X, CELL_Y, *SEGMENT).hint(join_way(segments, bound))
+
+
 # --------------------------------------------------------------------------
 # within a distance of lines
 # --------------------------------------------------------------------------
@@ -79,16 +97,10 @@ def within_distance_of_lines(
     Segments are cut to cell length and written to the cells their grown boxes
     touch; a point looks only into its own cell.
     """
-    size = float(cell or max(radius * 4, 2_000.0))
+    size = float(cell or max(radius * 16, 8_000.0))
     r = f"{float(radius)!r}D"
-    pieces = checked_side(
-        cover_box(
-            cut_segments(segments.select(*SEGMENT).distinct(), size),
-            [f"bx0 - {r}", f"by0 - {r}", f"bx1 + {r}", f"by1 + {r}"],
-            size,
-        ).select(CELL_X, CELL_Y, *SEGMENT)
-    )
     near = f"{G.point_segment_distance(f'l.{x}', f'l.{y}', G.ends('r.'))} < {r}"
+    pieces = line_cells(segments, radius, size)
     return _cell_join(with_cell(points, x, y, size), pieces, near, "left_semi").select(*points.columns)
 
 
@@ -119,8 +131,10 @@ def polygon_cells(polygons: DataFrame, edges: str, grow: float, cell: float) ->
     xs = "flatten(transform(edges, e -> array(e.x1, e.x2)))"
     ys = "flatten(transform(edges, e -> array(e.y1, e.y2)))"
     box = [f"array_min({xs}) - {g}", f"array_min({ys}) - {g}", f"array_max({xs}) + {g}", f"array_max({ys}) + {g}"]
-    cells = cover_box(polygons.select(F.col(edges).alias("edges")).distinct(), box, cell)
-    return checked_side(cells, "32 + 40 * size(edges)")
+    outlines = polygons.select(F.col(edges).alias("edges"))
+    wide, high = (f"(2 + ceil((array_max({c}) - array_min({c}) + 2 * {g}) / {cell!r}D))" for c in (xs, ys))
+    way = join_way(outlines, f"{wide} * {high} * (32 + 40 * size(edges))")
+    return cover_box(outlines.distinct(), box, cell).hint(way)
 
 
 def points_by_polygons(
@@ -152,13 +166,7 @@ def lines_clear_of_polygons(
 
     A line with one touching segment goes as a whole; it is not clipped.
     """
-    r = f"{float(radius)!r}D"
-    outline = cut_segments(polygons.selectExpr(f"inline({edges})").distinct(), cell)
-    outline = checked_side(
-        cover_box(outline, [f"bx0 - {r}", f"by0 - {r}", f"bx1 + {r}", f"by1 + {r}"], cell).select(
-            CELL_X, CELL_Y, *SEGMENT
-        )
-    )
+    outline = line_cells(polygons.selectExpr(f"inline({edges})"), radius, cell)
     pieces = cover_box(
         cut_segments(line_to_segments(lines, vertices, [line_id]), cell), ["bx0", "by0", "bx1", "by1"], cell
     ).select(CELL_X, CELL_Y, line_id, *SEGMENT)
@@ -201,7 +209,8 @@ def nearest(
     # the search is work, not bytes: keep as many partitions as a shuffle may have
     width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spots = _positions(points, x, y).repartition(width, "_px", "_py")
-    leaves = checked_side(_leaf_items(items, payload, tie_break, geometry, pyramid[-1]), "200")
+    leaves = materialise(_leaf_items(items, payload, tie_break, geometry, pyramid[-1]))
+    leaves = leaves.hint(join_way(leaves, "200"))
     frontier = _descend(spots, leaves, pyramid)
     if geometry == "point":
         dist = G.distance("_px", "_py", "x1", "y1")

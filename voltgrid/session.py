@@ -12,6 +12,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # geometry is much work on few bytes: do not merge it into one task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
     # one key may hold a third of all rows: cut join partitions above 64 MB that are
     # three times the median, on the side that may be cut, at run time
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -66,13 +68,13 @@ def materialise(df: DataFrame) -> DataFrame:
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def checked_side(df: DataFrame, row_bytes: str = "64", limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Store the short side of a join, measure it, and mark how it may be joined.
+def join_way(table: DataFrame, row_bytes: str, limit: int = BROADCAST_BYTES) -> str:
+    """Hint for the short side of a join, from an upper bound of its size.
 
-    Up to ``limit`` bytes (rows times the SQL expression ``row_bytes``) it is
-    broadcast, so the long side is not shuffled.  Beyond that both sides are
-    shuffled by key and the planner's skew join cuts large keys.
+    ``row_bytes`` is an SQL expression over ``table`` whose sum bounds the bytes
+    of the side (a row may stand for the pieces it will be cut into).  Up to
+    ``limit`` the side is broadcast, so the long side is not shuffled.  Beyond
+    that both sides are shuffled by key and the skew join cuts large keys.
     """
-    stored = materialise(df)
-    size = stored.selectExpr(f"coalesce(sum({row_bytes}), 0) AS size").first()["size"]
-    return stored.hint("broadcast" if size <= limit else "merge")
+    size = table.selectExpr(f"coalesce(sum({row_bytes}), 0) AS size").first()["size"]
+    return "broadcast" if size <= limit else "merge"
