@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from ... import settings as S
-from ...functions import geodesy as G
 from ...operators import network as N
 from .. import bindings as b
 from ..network import NetworkPlan
