@@ -36,13 +36,14 @@ def letter_share(text: Column) -> Column:
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size, quality) of every document."""
+    """(doc_id, source, size, quality, text_hash) of every document."""
     text = F.col(text_col)
     return docs.select(
         F.col(id_col).alias("doc_id"),
         F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long").alias("size"),
         letter_share(text).alias("quality"),
+        F.xxhash64(F.coalesce(text, F.lit(""))).alias("text_hash"),
     )
 
 
@@ -89,7 +90,7 @@ def uniform(key: Column, seed: int) -> Column:
 
 
 def mix(documents: DataFrame, budgets: DataFrame, seed: int = 17) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) per row of ``documents`` (as `sized` gives them).
+    """(doc_id, size, source_size, target, taken, source, text_hash) per row of ``documents`` (as `sized` gives them).
 
     Keys are spread over buckets by 1 - exp(-key * least quality), which no quality
     weight can pile up more than 1 / `LEAST_QUALITY` fold, so a source of any size is
@@ -107,8 +108,26 @@ def mix(documents: DataFrame, budgets: DataFrame, seed: int = 17) -> DataFrame:
         .withColumn("key", -F.log(uniform(F.col("doc_id"), seed)) / F.col("quality"))
         .withColumn("spread", 1 - F.exp(-F.col("key") * LEAST_QUALITY))
         .withColumn("bucket", F.least(F.floor(F.col("spread") * F.col("buckets")), F.col("buckets") - 1))
-        .select("doc_id", "size", "source_size", "target", "epochs", "rest", "rank", "bucket", "key")
+        .select("doc_id", "size", "source_size", "target", "epochs", "rest", "rank", "bucket", "key", "source", "text_hash")
     )
     summed = running_total(keyed, "rank", "bucket", ["key", "doc_id", "size"], "size", "ahead")
     part = F.greatest(F.lit(0), F.least(size, rest - F.col("ahead")))
-    return summed.select("doc_id", "size", "source_size", "target", (F.col("epochs") * size + part).cast("long").alias("taken"))
+    taken = (F.col("epochs") * size + part).cast("long").alias("taken")
+    return summed.select("doc_id", "size", "source_size", "target", taken, "source", "text_hash")
+
+
+def mixed_documents(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mix as documents: each as often as it is taken, the last time perhaps with its first words only.
+
+    Rows that agree in id, text and source are one row here, taken as often as all of
+    them.  A shortened text is its words, joined by a space.
+    """
+    key = F.struct(F.col("doc_id").alias("id"), F.col("source").alias("source"), F.col("text_hash").alias("hash"))
+    shares = mixed.groupBy(key.alias("__key")).agg(F.max("size").alias("__size"), F.sum("taken").alias("__taken")).where(F.col("__taken") > 0)
+    text = F.col(text_col)
+    own = F.struct(F.col(id_col).alias("id"), F.col(source_col).alias("source"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("hash"))
+    rows = docs.withColumn("__key", own).dropDuplicates(["__key"]).join(shares, "__key")
+    left = (F.col("__taken") % F.col("__size")).cast("int")
+    whole = F.array_repeat(text, F.floor(F.col("__taken") / F.col("__size")).cast("int"))
+    cut = F.when(left > 0, F.array(F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORDS})"), 1), 1, F.greatest(left, F.lit(1))), " ")))
+    return rows.withColumn(text_col, F.explode(F.concat(whole, F.coalesce(cut, F.array().cast("array<string>"))))).select(*docs.columns)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, token_store
+from pyspark.sql import functions as F
+
+from . import hashing_search, language, licenses, mixing, packing, simhash, suffix_dedup, token_counts, token_store, vector_dedup
 from .common import shared_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +18,7 @@ QUERIES: dict[str, Query] = {}
 CHECKS: dict[str, str] = {}
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
@@ -77,9 +80,52 @@ def op3_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     from .common import stored
 
     documents = stored(mixing.sized(table(spark, folder, "documents")), "sized")
-    return mixing.mix(documents, mixing.targets(documents))
+    return mixing.mix(documents, mixing.targets(documents)).drop("source", "text_hash")
 
 
 @query("op5_pack")
 def op5_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), VOCABULARY)
+
+
+@query("op6_simhash_near_dedup")
+def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    groups = simhash.near_copies(table(spark, folder, "documents"), shingle=4, limit=4, seed=42)
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return groups.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op8_token_counts")
+def op8_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), PIECES)
+
+
+@query("op9_language")
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+    samples = language.fit(docs.where(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), language.identify(docs, F.col("text"), samples).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), F.col("found.score").alias("score"))
+
+
+@query("op4_license_scan", licenses.check_sql())
+def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"), width=50).select(
+        "rest.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+@query("op2_hashing_search")
+def op2_hashing_search(spark: SparkSession, folder: str) -> DataFrame:
+    return hashing_search.search(table(spark, folder, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
+@query("op10_vector_dedup")
+def op10_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.near_copies(table(spark, folder, "embeddings"), threshold=0.93)
