@@ -170,10 +170,11 @@ def links(prints: DataFrame, limit: int, column: str = "fingerprint") -> DataFra
 
 
 def near_copies(docs: DataFrame, shingle: int = 4, limit: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, text_hash, fingerprint, component_id) per document.
+    """(doc_id, text_hash, fingerprint, component_id, component) per document.
 
-    ``component_id`` is the smallest id reachable by links.  ``text_hash`` tells rows
-    with equal ids apart.
+    ``component_id`` is the smallest id reachable by links.  ``component`` is the
+    component's smallest fingerprint, and ``text_hash`` a hash of the text: they tell
+    components and rows apart where ids are equal or null.
     """
     ship(docs.sparkSession)
     text = F.col(text_col)
@@ -188,18 +189,17 @@ def near_copies(docs: DataFrame, shingle: int = 4, limit: int = 4, seed: int = 4
     )
     named = stored(named, "named")
     names = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    own = named.join(names, "root").select("fingerprint", "component_id")
-    return rows.join(own, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component_id")
+    own = named.join(names, "root").select("fingerprint", "component_id", F.col("root").alias("component"))
+    return rows.join(own, "fingerprint").select("doc_id", "text_hash", "fingerprint", "component_id", "component")
 
 
 def first_of_each(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stand for their group: its smallest id (of equal ids the smallest text hash).
 
-    Repeated rows stay once.  Where no id is known, one row of each fingerprint stays.
+    Repeated rows stay once.  A group without ids keeps one of its rows.
     """
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
-    unnamed = F.when(F.col("component_id").isNull(), F.col("fingerprint"))
-    kept = groups.groupBy("component_id", unnamed.alias("unnamed")).agg(F.min(order).alias("first"))
+    kept = groups.groupBy("component").agg(F.min(order).alias("first"))
     kept = kept.select(F.struct("first.id", "first.hash").alias("__key"))
     own = F.struct(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("hash"))
     return docs.withColumn("__key", own).dropDuplicates(["__key"]).join(kept, "__key", "left_semi").drop("__key")
