@@ -106,10 +106,36 @@ def test_substation_files(spark, tmp_path):
     assert counts == {"Iberdrola i-DE": 1, "Endesa e-distribución": 1, "Viesgo": 2}
 
 
+def test_files_with_different_headers(spark, tmp_path):
+    (tmp_path / "a b.csv").write_text("Subestación;Coordenada UTM X;Coordenada UTM Y\nA1;440.000;4.474.000\nA2;430.000\n")
+    (tmp_path / "b.csv").write_text("Coordenada UTM Y;Subestación;Coordenada UTM X;Comentarios\n4.480.000;B1;450.000;x\n")
+    (tmp_path / "c.csv").write_text("Subestación;Coordenada UTM X;Coordenada UTM Y\nC1;460.000;4.490.000\n")
+    rows = {r.substation_id: r for r in delimited.read_endesa(spark, str(tmp_path / "*.csv")).collect()}
+    assert {k: (r.utm_x, r.utm_y, r.source_file, r.comments) for k, r in rows.items()} == {
+        "A1": (440_000.0, 4_474_000.0, "a b.csv", None),
+        "A2": (430_000.0, None, "a b.csv", None),
+        "B1": (450_000.0, 4_480_000.0, "b.csv", "x"),
+        "C1": (460_000.0, 4_490_000.0, "c.csv", None),
+    }
+    twice = tmp_path / "twice.csv"
+    twice.write_text("Subestación;Capacidad disponible (MW);Capacidad firme disponible (MW)\nT;1,5;2,5\n")
+    raw = delimited.read_by_header(spark, str(twice), delimited.ENDESA_NAMES)
+    assert raw.columns == ["substation_id", "capacity_available_mw", "capacity_available_mw_1"]
+    for name, body in (("20240101_x.csv", "tramo;total\ns1;10\n"), ("20240102_x.csv", "total;tramo\n20;s2\n")):
+        (tmp_path / "segments").mkdir(exist_ok=True)
+        (tmp_path / "segments" / name).write_text(body)
+    seg = delimited.read_segments(spark, str(tmp_path / "segments")).collect()
+    assert sorted((r.segment_id, r.trips_total, str(r.date)) for r in seg) == [("s1", 10.0, "2024-01-01"), ("s2", 20.0, "2024-01-02")]
+
+
 def test_delimited_details(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_text("a ;b\n1;2\n3;4;5\n6;7\n")
     assert delimited.read_strings(spark, str(path), ["a", "b"]).count() == 2
+    short = tmp_path / "short.csv"
+    short.write_text("a;b;c\n1;2;3\n4;5\n6\n7;8;9;\n7;8;9;10\n7;8;9;10;11\n")
+    rows = delimited.read_strings(spark, str(short), ["a", "b", "c"]).collect()
+    assert sorted(map(tuple, rows)) == [("1", "2", "3"), ("4", "5", None), ("6", None, None), ("7", "8", "9")]
     kept = delimited.read_strings(spark, str(path), ["a", "b"], skip_bad_lines=False)
     assert [r[delimited.CORRUPT] for r in kept.collect() if r[delimited.CORRUPT]] == ["3;4;5"]
     assert C.strip_headers(delimited.read_strings(spark, str(path))).columns == ["a", "b"]
@@ -191,6 +217,11 @@ def test_geojson(spark, tmp_path):
     (tmp_path / "l.jsonl").write_text("\n".join(json.dumps(feature("LineString", [[-3, 40], [-2, 40]], label=k)) for k in "ab"))
     split = geojson.read_lines(spark, str(tmp_path / "l.jsonl"), {"label": "string"}, project=False, per_line=True).collect()
     assert sorted(r.label for r in split) == ["a", "b"] and len({r.feature for r in split}) == 2
+    (tmp_path / "many").mkdir()
+    for k in "xyz":
+        save(f"many/{k}.json", feature("LineString", [[-3, 40], [-2, 40]], label=k))
+    many = geojson.read_lines(spark, str(tmp_path / "many"), {"label": "string"}).collect()
+    assert sorted((r.label, len(r.vertices)) for r in many) == [("x", 2), ("y", 2), ("z", 2)] and len({r.feature for r in many}) == 3
     ring = [[0, 0], [4, 0], [4, 4], [0, 4], [0, 0]]
     hole = [[1, 1], [2, 1], [2, 2], [1, 2], [1, 1]]
     polygons = save("g.json", feature("Polygon", [ring, hole], code="ESP"), feature("MultiPolygon", [[ring], [hole]], code="X"))
@@ -230,3 +261,29 @@ def test_incremental_ingest(spark, tmp_path):
     (inbox / "mat_202003.txt").write_text("\n".join([fixed_line(date="07032020", brand="KIA"), fixed_line(brand="AUDI")]))
     assert run() == sorted([*first, (2020, 3, "KIA"), (2020, 1, "AUDI")])
     assert spark.read.parquet(table).where(F.col("year") == 2020).count() == 4
+
+
+def test_a_month_over_several_files_is_replaced_as_a_whole(spark, tmp_path):
+    inbox, table, checkpoint = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "cp")
+    inbox.mkdir()
+
+    def run():
+        lines = ingest.stream_lines(spark, str(inbox), files_per_trigger=1)
+        ingest.ingest_months(lines, table, checkpoint, ingest.registrations_by_month, overwrite=True)
+        return sorted((r.month, r.brand) for r in spark.read.parquet(table).collect())
+
+    for brand in ("FIAT", "SEAT", "AUDI"):
+        (inbox / f"mat_{brand}.txt").write_text(fixed_line(brand=brand))
+    (inbox / "mat_march.txt").write_text(fixed_line(date="07032020", brand="KIA"))
+    assert run() == [(1, "AUDI"), (1, "FIAT"), (1, "SEAT"), (3, "KIA")]
+    (inbox / "mat_again.txt").write_text(fixed_line(brand="OPEL"))
+    assert run() == [(1, "OPEL"), (3, "KIA")]
+
+
+def test_an_unreadable_table_is_not_a_new_one(spark, tmp_path):
+    (tmp_path / "months").mkdir()
+    (tmp_path / "months" / "part-0.parquet").write_text("no table")
+    df = spark.createDataFrame([(2020, 1, "a")], "year int, month int, v string")
+    with pytest.raises(Exception):  # noqa: B017
+        sinks.write_new_months(df, str(tmp_path / "months"))
+    assert [p.name for p in (tmp_path / "months").iterdir()] == ["part-0.parquet"]

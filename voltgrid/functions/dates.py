@@ -28,6 +28,6 @@ def months_between(start: dt.date, end: dt.date) -> int:
     return (end.year - start.year) * 12 + end.month - start.month
 
 
-def file_name_date(length: int = 8, pattern: str = "yyyyMMdd") -> Column:
+def file_name_date(length: int = 8, pattern: str = "yyyyMMdd", name: str = "_metadata.file_name") -> Column:
     """Date from the first characters of the name of the file a row came from."""
-    return parse_date(F.substring(F.col("_metadata.file_name"), 1, length), pattern)
+    return parse_date(F.substring(F.col(name), 1, length), pattern)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +16,10 @@ from ..functions.dates import file_name_date
 from ..operators import cleaning as C
 
 CORRUPT = "_corrupt_record"
+#: the file a row came from, as it is called (Spark's column has it as part of a URL)
+FILE_NAME = "url_decode(replace(_metadata.file_name, '+', '%2B'))"
+#: holds the first field after the last column
+_SURPLUS = "_surplus_field"
 
 
 def read_strings(
@@ -34,24 +40,25 @@ def read_strings(
     bad depending on the columns a query reads.  Gzip files are read as they
     are.
     """
+    if columns is None:
+        return read_by_header(spark, path, sep=sep, encoding=encoding, source_file=source_file)
+    extra = _SURPLUS if skip_bad_lines else CORRUPT
+    fields = ", ".join(f"`{c}` string" for c in [*columns, extra])
     reader = (
-        spark.read.option("header", "true").option("sep", sep).option("encoding", encoding).option("columnPruning", "false")
+        spark.read.option("header", "true")
+        .option("sep", sep)
+        .option("encoding", encoding)
+        .option("columnPruning", "false")
+        .option("mode", "PERMISSIVE")
+        .option("enforceSchema", "true")
+        .schema(fields)
     )
-    if columns is None:
-        df = reader.option("inferSchema", "false").csv(path)
-    elif skip_bad_lines:
-        fields = ", ".join(f"`{c}` string" for c in columns)
-        df = reader.option("mode", "DROPMALFORMED").option("enforceSchema", "true").schema(fields).csv(path)
-    else:
-        fields = ", ".join(f"`{c}` string" for c in [*columns, CORRUPT])
-        df = (
-            reader.option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT)
-            .option("enforceSchema", "true")
-            .schema(fields)
-            .csv(path)
-        )
-    return df.select("*", F.col("_metadata.file_name").alias("source_file")) if source_file else df
+    if skip_bad_lines:
+        df = reader.csv(path).where(F.col(_SURPLUS).isNull())
+        named = [F.col(f"`{c}`") for c in columns]
+        return df.select(*named, *[F.expr(FILE_NAME).alias("source_file")] * source_file)
+    df = reader.option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    return df.select("*", F.expr(FILE_NAME).alias("source_file")) if source_file else df
 
 
 def header_of(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> list[str]:
@@ -61,6 +68,31 @@ def header_of(spark: SparkSession, path: str, sep: str = ";", encoding: str = "U
     return C.unique_headers([n.replace("\n", " ").strip().strip('"').strip() for n in names])
 
 
+def read_by_header(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    names: Mapping[str, str] | None = None,
+    sep: str = ";",
+    encoding: str = "UTF-8",
+    source_file: bool = False,
+) -> DataFrame:
+    """Files whose headers may differ, as text columns joined by name.
+
+    Every file is read with its own header (renamed by ``names``, repeats numbered), files
+    with equal headers together; a column that a file lacks is null there.
+    """
+    files = [unquote(f) for f in spark.read.text(path).inputFiles()]
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(files):
+        header = C.unique_headers([(names or {}).get(c, c) for c in header_of(spark, file, sep, encoding)])
+        groups.setdefault(tuple(header), []).append(file)
+    parts = [
+        read_strings(spark, path if len(groups) == 1 else own, list(header), sep, encoding, source_file=source_file)
+        for header, own in groups.items()
+    ]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
 def with_spanish_numbers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Parse the columns that exist as ``1.234,5`` numbers."""
     return df.withColumns({c: text.spanish_number(F.col(c)) for c in columns if c in df.columns})
@@ -81,14 +113,13 @@ def read_clean_od(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def read_raw_flows(spark: SparkSession, path: str | Sequence[str], kind: str) -> DataFrame:
     """Raw (optionally gzip) flow files of one kind, cleaned by its registered cleaner."""
     sep, cleaner = C.CLEANERS[kind]
-    raw = spark.read.option("header", "true").option("sep", sep).option("inferSchema", "false").csv(path)
-    return cleaner(raw)
+    return cleaner(read_by_header(spark, path, sep=sep))
 
 
 def read_segments(spark: SparkSession, path: str | Sequence[str], sep: str = ";") -> DataFrame:
     """Segment files with the date taken from the first eight characters of the file name."""
-    raw = spark.read.option("header", "true").option("sep", sep).option("inferSchema", "false").csv(path)
-    return C.clean_segments(raw.withColumn("date", file_name_date()))
+    raw = read_by_header(spark, path, sep=sep, source_file=True)
+    return C.clean_segments(raw.withColumn("date", file_name_date(name="source_file")).drop("source_file"))
 
 
 # --------------------------------------------------------------------------
@@ -131,9 +162,7 @@ CAPACITIES = ["voltage_kv", "capacity_available_mw", "capacity_regulatory_mw", "
 
 
 def _substations(spark, path, names, encoding, decimal_only, boxed, source_file) -> DataFrame:
-    probe = path if isinstance(path, str) else path[0]
-    columns = [names.get(c, c) for c in header_of(spark, probe, encoding=encoding)]
-    df = read_strings(spark, path, columns, encoding=encoding, source_file=source_file)
+    df = read_by_header(spark, path, names, encoding=encoding, source_file=source_file)
     number = text.decimal_comma_number if decimal_only else text.spanish_number
     df = df.withColumns({c: number(F.col(c)) for c in CAPACITIES if c in df.columns})
     df = with_spanish_numbers(df, ["utm_x", "utm_y"]).withColumns({"x": F.col("utm_x"), "y": F.col("utm_y")})

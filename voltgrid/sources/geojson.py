@@ -24,8 +24,9 @@ def _features(spark: SparkSession, path: str, properties: Mapping[str, str], per
     else:
         nested = parts.replace("properties struct", "properties: struct").replace("geometry struct", "geometry: struct")
         docs = spark.read.schema(f"features array<struct<{nested}>>").option("multiLine", "true").json(path)
-        rows = docs.select(F.posexplode("features")).selectExpr(
-            "cast(pos AS long) AS feature", "col.properties AS properties", "col.geometry AS geometry"
+        # positions repeat from file to file, so features are numbered over all of them
+        rows = docs.select(F.explode("features")).selectExpr(
+            "monotonically_increasing_id() AS feature", "col.properties AS properties", "col.geometry AS geometry"
         )
     return rows.selectExpr(
         "feature", "geometry.type AS _kind", "geometry.coordinates AS _text",

@@ -9,10 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def stored_keys(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame | None:
-    """Partitions already in a table, or nothing when the table is not there yet."""
+    """Partitions already in a table, or nothing when the table is not there yet.
+
+    A table that is there but does not read is an error, not a new table.
+    """
     try:
         return spark.read.parquet(path).select(*keys).distinct()
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 

@@ -33,8 +33,9 @@ def ingest_months(
     The stream checkpoint remembers which files are done.  A batch writes
     into a folder of its own under each month, which it replaces when it is
     run again after a failure; so months may arrive over several batches
-    and no row is stored twice.  With ``overwrite`` a batch replaces the
-    months it brings.
+    and no row is stored twice.  With ``overwrite`` a run replaces the months
+    it brings; it takes all new files as one batch then, since a month's
+    files may not be torn apart.
     """
     keys = list(keys)
 
@@ -51,9 +52,8 @@ def ingest_months(
             .parquet(table)
         )
 
-    query = (
-        stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
+    when = {"once": True} if overwrite else {"availableNow": True}
+    query = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**when).start()
     query.awaitTermination()
 
 
