@@ -98,6 +98,14 @@ def test_line_box(spark):
     df = spark.createDataFrame([(v,)], "v array<struct<x:double,y:double>>")
     row = df.selectExpr(
         f"{geodesy.line_meets_box('v', (4.0, 9.0), (0.0, 1.0))} AS a",
-        f"{geodesy.line_meets_box('v', (4.1, 9.0), (0.0, 1.0))} AS b",
+        f"{geodesy.line_meets_box('v', (4.0, 9.0), (0.0, 4.0))} AS b",
+        f"{geodesy.line_meets_box('v', (1.0, 2.0), (0.0, 9.0))} AS c",
+        f"{geodesy.line_meets_box('v', (4.1, 9.0), (0.0, 9.0))} AS d",
+        f"{geodesy.line_meets_box('v', (1.0, 2.0), (0.0, 1.0))} AS e",
     ).first()
-    assert (row.a, row.b) == (True, False)
+    # extents overlap in all but d; the line itself misses the first box and touches a corner of the last
+    assert tuple(row) == (False, True, True, False, True)
+    bent = [{"x": 0.0, "y": 0.0}, {"x": 10.0, "y": 0.0}, {"x": 10.0, "y": 10.0}]
+    rows = spark.createDataFrame([(bent,), ([{"x": 5.0, "y": 5.0}] * 2,)], df.schema)
+    got = [r.a for r in rows.selectExpr(f"{geodesy.line_meets_box('v', (2.0, 6.0), (2.0, 6.0))} AS a").collect()]
+    assert got == [False, True]

@@ -267,9 +267,15 @@ def point_along(vertices: str, fraction: str) -> str:
 
 
 def line_meets_box(vertices: str, x_range: tuple[float, float], y_range: tuple[float, float]) -> str:
-    """Extent of a line overlaps a closed box."""
-    xs, ys = f"transform({vertices}, v -> v.x)", f"transform({vertices}, v -> v.y)"
-    return (
-        f"(array_max({xs}) >= {x_range[0]!r}D AND array_min({xs}) <= {x_range[1]!r}D"
-        f" AND array_max({ys}) >= {y_range[0]!r}D AND array_min({ys}) <= {y_range[1]!r}D)"
+    """A segment of the line has a point in the closed box.
+
+    Extents overlap and the corners of the box do not all lie on one side of the
+    segment's line: no axis separates the two.
+    """
+    extent = " AND ".join(
+        f"greatest(s.{c}1, s.{c}2) >= {low!r}D AND least(s.{c}1, s.{c}2) <= {high!r}D"
+        for c, (low, high) in (("x", x_range), ("y", y_range))
     )
+    sides = [f"(s.x2 - s.x1) * ({y!r}D - s.y1) - (s.y2 - s.y1) * ({x!r}D - s.x1)" for x in x_range for y in y_range]
+    apart = f"least({', '.join(sides)}) > 0D OR greatest({', '.join(sides)}) < 0D"
+    return f"exists({line_segments(vertices)}, s -> {extent} AND NOT ({apart}))"

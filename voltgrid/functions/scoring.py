@@ -44,9 +44,9 @@ def pressure_score(growth: Column, weight: Column, connectors: Column) -> Column
     return half_even(growth * weight / chargers, 3)
 
 
-def growth_multiplier(projected: Column, base: float = S.BASE_BEV) -> Column:
+def growth_multiplier(projected: Column, base: float | Column = S.BASE_BEV) -> Column:
     """Projected vehicles over the base fleet."""
-    return projected / F.lit(float(base))
+    return projected / (base if isinstance(base, Column) else F.lit(float(base)))
 
 
 def charging_demand(bev: Column, other: Column, weight: float | Column = S.HYBRID_CHARGING_WEIGHT) -> Column:

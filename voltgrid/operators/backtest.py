@@ -46,6 +46,8 @@ SqlForecast = Callable[[str, int], str]
 #: models that are plain array expressions; add an entry to plug one in
 SQL_MODELS: dict[str, SqlForecast] = {"Naive": naive, "Seasonal Naive": seasonal_naive, "Drift": drift}
 FALLBACK_MODEL = "Seasonal Naive"
+#: the array models that may be chosen for planning; the others are benchmarks
+CANDIDATES: dict[str, SqlForecast] = {FALLBACK_MODEL: seasonal_naive}
 
 
 # --------------------------------------------------------------------------

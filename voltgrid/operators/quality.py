@@ -64,7 +64,11 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 
 def summary_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, nulls, mean, standard deviation, minimum, maximum per column, in one pass."""
+    """count, nulls, mean, standard deviation, minimum, quartiles, maximum per column, in one pass.
+
+    Quartiles are exact (linear between neighbours); an aggregate holds the distinct
+    values of a column, which suits series and reports.
+    """
     stats = []
     for c in columns:
         v = F.col(c).cast("double")
@@ -76,6 +80,7 @@ def summary_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                 F.avg(v).alias("mean"),
                 F.stddev_samp(v).alias("std"),
                 F.min(v).alias("min"),
+                *(F.percentile(v, q).alias(f"p{100 * q:.0f}") for q in (0.25, 0.5, 0.75)),
                 F.max(v).alias("max"),
             )
         )
@@ -108,14 +113,28 @@ def assert_no_rows(df: DataFrame, condition: Column, message: str) -> DataFrame:
 
 
 def flow_profile(od: DataFrame) -> DataFrame:
-    """One row over the origin-destination table."""
+    """One row over the origin-destination table.
+
+    Distinct routes and pairs are counted in branches of their own, each over the
+    columns it needs: several distinct counts in one aggregation would multiply all rows.
+    """
+
+    def distinct(*columns: str) -> Column:
+        known = od.select(*columns).na.drop().distinct()
+        return known.agg(F.count(F.lit(1)).cast("long").alias("n")).scalar()
+
     return od.agg(
         F.coalesce(F.sum("trips"), F.lit(0.0)).alias("total_trips"),
-        F.countDistinct("route_id").cast("long").alias("unique_routes"),
-        F.countDistinct("origin_zone", "destination_zone").cast("long").alias("unique_pairs"),
         F.avg("distance_km").alias("avg_distance_km"),
         F.min("date").alias("first_date"),
         F.max("date").alias("last_date"),
+    ).select(
+        "total_trips",
+        distinct("route_id").alias("unique_routes"),
+        distinct("origin_zone", "destination_zone").alias("unique_pairs"),
+        "avg_distance_km",
+        "first_date",
+        "last_date",
     )
 
 

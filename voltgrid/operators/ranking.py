@@ -35,8 +35,8 @@ def value_counts(df: DataFrame, *columns: str, count: str = "n", k: int | None =
 
 
 def seeded_sample(df: DataFrame, ids: Sequence[str], n: int = S.SAMPLE_SIZE, seed: int = S.SAMPLE_SEED) -> DataFrame:
-    """``n`` rows chosen by a hash of their id and the seed: repeatable, independent of row order."""
-    lot = F.xxhash64(*ids, F.lit(seed))
+    """``n`` rows chosen by a digest of the seed and their ids: repeatable, independent of row order."""
+    lot = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in ids]).cast("binary"))
     return df.withColumn("_lot", lot).orderBy("_lot", *ids).limit(n).drop("_lot")
 
 

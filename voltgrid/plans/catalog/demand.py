@@ -31,7 +31,7 @@ def demand(spark, sf, **options) -> DemandPlan:
         initial=b.CV_INITIAL,
         step=b.CV_STEP,
         cv_horizon=b.CV_HORIZON,
-        **options,
+        **{"sql_models": B.SQL_MODELS, **options},
     )
 
 
@@ -88,7 +88,7 @@ _ROUND4 = ", ".join(f"round({m}, 4) AS {m}" for m in METRICS)
 
 def _backtest(model: str):
     def run(spark, sf):
-        return rounded(demand(spark, sf, sql_models={model: B.SQL_MODELS[model]}).benchmark_cv, 4, *METRICS)
+        return rounded(demand(spark, sf, benchmarks={model: B.SQL_MODELS[model]}).benchmark_cv, 4, *METRICS)
 
     return run
 
@@ -173,6 +173,35 @@ def model_performance(spark, sf):
     return rounded(demand(spark, sf).performance, 4, "CV_RMSE", "CV_MAE", "CV_sMAPE")
 
 
+@query(
+    "candidates_and_benchmarks",
+    sql(
+        """SELECT s.Series, 'Seasonal Naive' AS chosen, round(s.RMSE, 4) AS chosen_rmse, r.Model AS best_of_all,
+                  round(r.RMSE, 4) AS best_rmse, r.RMSE < s.RMSE AS a_benchmark_is_better, round(n.RMSE, 4) AS naive_sigma
+           FROM summary s JOIN ranked r ON r.Series = s.Series AND r.rn = 1
+           JOIN summary n ON n.Series = s.Series AND n.Model = 'Naive'
+           WHERE s.Model = 'Seasonal Naive'""",
+        "summary",
+        "ranked",
+    ),
+)
+def candidates_and_benchmarks(spark, sf):
+    """A benchmark is never chosen, however good it is; its spread is known all the same."""
+    from ...operators.ranking import first_per_group
+
+    plan = demand(spark, sf, sql_models=B.CANDIDATES)
+    order = [F.col(c) for c in ("RMSE", "sMAPE", "MAE", "Model")]
+    best = first_per_group(plan.benchmark_summary, ["Series"], order).selectExpr("Series", "Model AS best_of_all", "RMSE AS best_rmse")
+    chosen = plan.plan.selectExpr("Series", "models[0] AS chosen")
+    sigma = plan.sigma
+    own = sigma.selectExpr("Series", "Model AS chosen", "sigma AS chosen_rmse")
+    naive = sigma.where("Model = 'Naive'").selectExpr("Series", "sigma AS naive_sigma")
+    joined = chosen.join(best, "Series").join(own, ["Series", "chosen"]).join(naive, "Series")
+    better = joined.withColumn("a_benchmark_is_better", F.col("best_rmse") < F.col("chosen_rmse"))
+    out = better.select("Series", "chosen", "chosen_rmse", "best_of_all", "best_rmse", "a_benchmark_is_better", "naive_sigma")
+    return rounded(out, 4, "chosen_rmse", "best_rmse", "naive_sigma")
+
+
 # ---- forecasts -------------------------------------------------------------------
 view(
     "points",

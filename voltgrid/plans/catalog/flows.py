@@ -198,7 +198,10 @@ def points_in_radius(spark, sf):
     return near.select("site_id", F.round("distance_m", 3).alias("distance_m"))
 
 
-@query("seeded_sample")
+@query(
+    "seeded_sample",
+    sql(f"SELECT * FROM sites ORDER BY md5('{S.SAMPLE_SEED}:' || CAST(site_id AS VARCHAR)), site_id LIMIT {S.SAMPLE_SIZE}", "sites"),
+)
 def seeded_sample(spark, sf):
     return R.seeded_sample(b.sites(spark, sf), ["site_id"])
 

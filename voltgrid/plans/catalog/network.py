@@ -3,31 +3,38 @@
 from pyspark.sql import functions as F
 
 from ... import settings as S
+from ...functions.scoring import growth_multiplier
 from ...operators import network as N
 from .. import bindings as b
+from ..demand import DemandPlan
 from ..network import NetworkPlan
 from ..registry import query, sql, view
 from . import demand as D
 from .flows import lonlat_sql
 
-GROWTH_YEARS = (1999, 2000)
 
 
-def growth(spark, sf):
-    """Growth of full electric registrations between the last two whole years (read as a scalar)."""
-    year, bev = F.year("registration_date"), F.col("ev_category") == "BEV"
-    last, before = (F.count_if(bev & (year == y)) for y in reversed(GROWTH_YEARS))
-    return b.registrations(spark, sf).agg((last / before).alias("growth")).scalar()
+def growth(spark, sf, plan: DemandPlan):
+    """The planning number over the full electric fleet registered so far (both read as scalars)."""
+    fleet = b.registrations(spark, sf).agg(F.count_if(F.col("ev_category") == "BEV").alias("fleet"))
+    return growth_multiplier(plan.planning_number.scalar(), fleet.scalar())
 
 
-def network(spark, sf) -> NetworkPlan:
+def network(spark, sf, plan: DemandPlan | None = None) -> NetworkPlan:
     return NetworkPlan(
         b.sites(spark, sf),
         b.roads(spark, sf),
         b.urban_areas(spark, sf),
         b.country(spark),
         b.substations(spark, sf),
-        growth(spark, sf),
+        growth(spark, sf, plan or D.demand(spark, sf)),
+    )
+
+
+def places(spark, sf) -> NetworkPlan:
+    """The plan for what does not depend on growth."""
+    return NetworkPlan(
+        b.sites(spark, sf), b.roads(spark, sf), b.urban_areas(spark, sf), b.country(spark), b.substations(spark, sf), F.lit(1.0)
     )
 
 
@@ -107,17 +114,29 @@ def interurban_roads(spark, sf):
 
 @query("interurban_sites", sql(f"SELECT {_SITE} FROM stations", "stations"))
 def interurban_sites(spark, sf):
-    return network(spark, sf).stations
+    return places(spark, sf).stations
 
 
 _BOX = ((200_000.0, 500_000.0), (4_100_000.0, 4_500_000.0))
 
 
+def _share(c: str, low: float, high: float) -> str:
+    """[from, to] of the parameters at which a segment is between two sides; [1, 0] if never."""
+    a, step = f"{c}1", f"({c}2 - {c}1)"
+    ends = f"({low} - {a}) / {step}, ({high} - {a}) / {step}"
+    return (
+        f"CASE WHEN {step} <> 0 THEN [least({ends}), greatest({ends})]"
+        f" WHEN {a} BETWEEN {low} AND {high} THEN [0.0, 1.0] ELSE [1.0, 0.0] END"
+    )
+
+
+
 @query(
     "roads_in_box",
+    # the part of the segment, from 0 to 1, that lies between each pair of sides
     sql(
-        f"""SELECT road_id FROM kept_roads WHERE greatest(x1, x2) >= {_BOX[0][0]} AND least(x1, x2) <= {_BOX[0][1]}
-              AND greatest(y1, y2) >= {_BOX[1][0]} AND least(y1, y2) <= {_BOX[1][1]}""",
+        f"""SELECT road_id FROM (SELECT road_id, {_share('x', *_BOX[0])} AS sx, {_share('y', *_BOX[1])} AS sy FROM kept_roads)
+            WHERE greatest(sx[1], sy[1], 0) <= least(sx[2], sy[2], 1)""",
         "kept_roads",
     ),
 )
@@ -140,9 +159,10 @@ def segment_label(label: str) -> str:
 
 view(
     "growth",
-    f"""SELECT count(CASE WHEN ev_category = 'BEV' AND year(registration_date) = {GROWTH_YEARS[1]} THEN 1 END)
-             / count(CASE WHEN ev_category = 'BEV' AND year(registration_date) = {GROWTH_YEARS[0]} THEN 1 END) AS g FROM reg""",
+    f"""SELECT (SELECT {S.DEMAND_METRIC} FROM planning WHERE scenario = 'normal')
+             / count(CASE WHEN ev_category = 'BEV' THEN 1 END) AS g FROM reg""",
     "reg",
+    "planning",
 )
 view(
     "snapped",
@@ -230,7 +250,7 @@ view(
     sql("SELECT road_id, step, round(x, 3) AS x, round(y, 3) AS y, road_name, road_weight FROM candidates", "candidates"),
 )
 def road_candidates(spark, sf):
-    points = N.road_candidates(network(spark, sf).roads)
+    points = N.road_candidates(places(spark, sf).roads)
     return points.withColumns({"x": F.round("x", 3), "y": F.round("y", 3)})
 
 
@@ -239,7 +259,7 @@ def road_candidates(spark, sf):
     sql("SELECT road_id, step, round(x, 3) AS x, round(y, 3) AS y, road_name, road_weight FROM gaps", "gaps"),
 )
 def fill_candidates(spark, sf):
-    return network(spark, sf).fill.withColumns({"x": F.round("x", 3), "y": F.round("y", 3)})
+    return places(spark, sf).fill.withColumns({"x": F.round("x", 3), "y": F.round("y", 3)})
 
 
 view(
@@ -271,7 +291,7 @@ def walk_sql(final: str, *reads: str) -> str:
     walk_sql("SELECT road_id, step, round(x, 3) AS x, round(y, 3) AS y, road_name, road_weight FROM thinned", "thinned"),
 )
 def fill_thinned(spark, sf):
-    return network(spark, sf).thinned.withColumns({"x": F.round("x", 3), "y": F.round("y", 3)})
+    return places(spark, sf).thinned.withColumns({"x": F.round("x", 3), "y": F.round("y", 3)})
 
 
 # ---- proposals -----------------------------------------------------------------------
@@ -387,4 +407,5 @@ def priority_stations(spark, sf):
     ),
 )
 def kpi_scorecard(spark, sf):
-    return network(spark, sf).scorecard(D.demand(spark, sf).planning_number)
+    plan = D.demand(spark, sf)
+    return network(spark, sf, plan).scorecard(plan.planning_number)

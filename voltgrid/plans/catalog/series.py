@@ -238,7 +238,9 @@ def null_profile(spark, sf):
         " UNION ALL ".join(
             f"""SELECT '{c}' AS "column", count({c}) AS "count", CAST(0 AS BIGINT) AS null_count,
                 round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std,
-                CAST(min({c}) AS DOUBLE) AS "min", CAST(max({c}) AS DOUBLE) AS "max" FROM wide"""
+                CAST(min({c}) AS DOUBLE) AS "min", quantile_cont(CAST({c} AS DOUBLE), 0.25) AS p25,
+                quantile_cont(CAST({c} AS DOUBLE), 0.5) AS p50, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS p75,
+                CAST(max({c}) AS DOUBLE) AS "max" FROM wide"""
             for c in SE.WIDE_SERIES
         ),
         "wide",

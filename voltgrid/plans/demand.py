@@ -14,6 +14,7 @@ from ..operators import backtest as B
 from ..operators import forecast as FC
 from ..operators import overlay as O
 from ..operators import series as SE
+from ..operators import smoothing as SM
 from ..operators.cleaning import with_ev_flags, with_forecast_bucket
 from ..session import materialise
 
@@ -40,14 +41,18 @@ class DemandPlan:
         holdout: int = S.HOLDOUT_MONTHS,
         sql_models: Mapping[str, B.SqlForecast] | None = None,
         py_models: Mapping[str, B.PyForecast] | None = None,
+        benchmarks: Mapping[str, B.SqlForecast] | None = None,
     ) -> None:
         self.registrations = registrations
         self.first_month, self.last_month, self.target_month = first_month, last_month, target_month
         self.focus_year, self.year_shift = focus_year, year_shift
         self.cv = {"initial": initial, "step": step, "horizon": cv_horizon}
         self.holdout = holdout
-        self.sql_models = dict(sql_models or B.SQL_MODELS)
-        self.py_models = dict(py_models or {})
+        # candidates may be chosen; benchmarks are only compared with
+        default = sql_models is None and py_models is None
+        self.sql_models = dict(B.CANDIDATES if sql_models is None else sql_models)
+        self.py_models = dict(SM.PY_MODELS if default else py_models or {})
+        self.benchmarks = dict(B.SQL_MODELS if benchmarks is None else benchmarks)
 
     # ---- series
     @cached_property
@@ -73,6 +78,14 @@ class DemandPlan:
     # ---- validation
     @cached_property
     def benchmark_cv(self) -> DataFrame:
+        return B.backtest(self.training, self.benchmarks, **self.cv)
+
+    @cached_property
+    def benchmark_summary(self) -> DataFrame:
+        return B.summarise(self.benchmark_cv)
+
+    @cached_property
+    def candidate_cv(self) -> DataFrame:
         return B.backtest(self.training, self.sql_models, **self.cv)
 
     @cached_property
@@ -82,9 +95,11 @@ class DemandPlan:
     @cached_property
     def summary(self) -> DataFrame:
         """Candidate summary: array models and, when given, Python models (fitted once, stored)."""
-        plain = B.summarise(self.benchmark_cv)
+        plain = B.summarise(self.candidate_cv) if self.sql_models else None
         if not self.py_models:
             return plain
+        if plain is None:
+            return materialise(B.summarise(self.python_cv))
         return plain.unionByName(materialise(B.summarise(self.python_cv)))
 
     @cached_property
@@ -99,9 +114,15 @@ class DemandPlan:
     @cached_property
     def modelled(self) -> DataFrame:
         return FC.forecast_detail(
-            self.histories(self.wide), self.plan, FC.sigma_table(self.summary), self.horizon, self.py_models
+            self.histories(self.wide), self.plan, self.sigma, self.horizon, self.py_models
         )
 
+    @property
+    def sigma(self) -> DataFrame:
+        """Spread of each model: of candidates, and of the benchmarks that are none."""
+        known = set(self.benchmarks) <= set(self.sql_models)
+        return FC.sigma_table(self.summary, None if known else self.benchmark_summary)
+
     @cached_property
     def modelled_stored(self) -> DataFrame:
         return materialise(self.modelled)

@@ -57,9 +57,10 @@ class NetworkPlan:
 
     @cached_property
     def proposed(self) -> DataFrame:
+        """Places in the country, each once, then rated: what is dropped is never looked up."""
         both = N.proposals(self.expand, self.thinned)
-        rated = N.with_grid_status(both, self.substations)
-        return materialise(N.unique_places(N.clip_to_country(rated, self.country)))
+        places = N.unique_places(N.clip_to_country(both, self.country))
+        return materialise(N.with_grid_status(places, self.substations))
 
     @property
     def proposed_stations(self) -> DataFrame:
