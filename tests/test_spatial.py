@@ -166,3 +166,54 @@ def test_line_interpolation(spark):
     out = df.selectExpr(f"{G.line_length('v')} AS n", *(f"{G.point_along('v', f)} AS p{i}" for i, f in fractions)).first()
     assert out.n == 10.0
     assert [tuple(out[f"p{i}"]) for i in range(5)] == [(0, 0), (1.5, 2.0), (3, 4), (3, 6.5), (3, 9)]
+
+
+def test_nearest_among_crowded_items(spark):
+    rng = random.Random(8)
+    items = [(i, 300_000 + rng.random() * 900, 4_200_000 + rng.random() * 900) for i in range(400)]
+    places = [(i, 300_000 + rng.random() * 900, 4_200_000 + rng.random() * 900) for i in range(60)] + [(60, 1.0, 2.0)]
+    left = spark.createDataFrame(places, "id long, x double, y double")
+    right = spark.createDataFrame(items, "item long, x double, y double")
+    levels, _ = spatial._crowded_levels(right, ["item"], "item", "point", spatial.PYRAMID, 4)
+    assert len(levels) > len(spatial.PYRAMID)
+    got = {r.id: r for r in spatial.nearest(left, right, ["item"], "item", crowd=4).collect()}
+    for i, x, y in places:
+        assert got[i].item == min((math.hypot(x - a, y - b), k) for k, a, b in items)[1]
+
+
+def test_within_distance_among_crowded_lines(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(x, y, x + rng.random() * 50, y + rng.random() * 50) for x, y in ((rng.random() * 3_000, rng.random() * 3_000) for _ in range(300))]
+    places = [(i, rng.random() * 3_000, rng.random() * 3_000) for i in range(120)]
+    monkeypatch.setattr(spatial, "CROWD", 5)
+    lines = spark.createDataFrame(rows, "x1 double, y1 double, x2 double, y2 double")
+    got = spatial.within_distance_of_lines(spark.createDataFrame(places, "id long, x double, y double"), lines, 40.0)
+    expected = [i for i, x, y in places if any(seg_dist(x, y, *r) < 40 for r in rows)]
+    assert sorted(r.id for r in got.collect()) == expected and 0 < len(expected) < 120
+
+
+@pytest.mark.parametrize("radius", [0.0, 700.0])
+def test_detailed_outline_with_a_hole(spark, radius):
+    def ring(r, n):
+        wave = [r * (1 + 0.2 * math.sin(7 * k * 2 * math.pi / n)) for k in range(n)]
+        return [{"x": 10_000 + w * math.cos(k * 2 * math.pi / n), "y": 5_000 + w * math.sin(k * 2 * math.pi / n)} for k, w in enumerate(wave)]
+
+    rings = [ring(8_000, 300), ring(2_500, 90)]
+    area = spark.createDataFrame([(rings,)], "rings array<array<struct<x:double,y:double>>>").selectExpr(f"{G.ring_edges('rings')} AS edges")
+    rng = random.Random(4)
+    places = [(i, rng.random() * 24_000 - 2_000, rng.random() * 24_000 - 7_000) for i in range(400)]
+    left = spark.createDataFrame(places, "id long, x double, y double")
+
+    def within(x, y):
+        inside, near = False, False
+        for r in rings:
+            for p, q in zip(r, r[1:] + r[:1]):
+                if (p["y"] > y) != (q["y"] > y) and x < (q["x"] - p["x"]) * (y - p["y"]) / (q["y"] - p["y"]) + p["x"]:
+                    inside = not inside
+                near = near or seg_dist(x, y, p["x"], p["y"], q["x"], q["y"]) < radius
+        return inside or near
+
+    expected = [i for i, x, y in places if within(x, y)]
+    for how, ids in (("left_semi", expected), ("left_anti", sorted({p[0] for p in places} - set(expected)))):
+        got = spatial.points_by_polygons(left, area, radius=radius, how=how, cell=1_500.0)
+        assert sorted(r.id for r in got.collect()) == ids

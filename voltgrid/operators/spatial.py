@@ -20,6 +20,11 @@ from ..functions import geodesy as G
 from ..session import BROADCAST_BYTES, join_way, materialise
 
 CELL_X, CELL_Y = "_cx", "_cy"
+#: metres that rounding may move a position against its cell
+_SLACK = 1e-3
+#: items a cell may hold before cells are made smaller
+CROWD = 256
+
 
 def with_cell(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
     """Add the cell a position (two SQL expressions) lies in."""
@@ -95,15 +100,24 @@ def within_distance_of_lines(
     """Points strictly nearer than ``radius`` to any segment (semi-join).
 
     Segments are cut to cell length and written to the cells their grown boxes
-    touch; a point looks only into its own cell.
+    touch; a point looks only into its own cell.  Without ``cell`` the cells are
+    halved while one holds more than `CROWD` segments, but not below the radius.
     """
     size = float(cell or max(radius * 16, 8_000.0))
+    while cell is None and size / 2 >= max(radius, 1.0) and _fullest(segments, size) > CROWD:
+        size /= 2
     r = f"{float(radius)!r}D"
     near = f"{G.point_segment_distance(f'l.{x}', f'l.{y}', G.ends('r.'))} < {r}"
     pieces = line_cells(segments, radius, size)
     return _cell_join(with_cell(points, x, y, size), pieces, near, "left_semi").select(*points.columns)
 
 
+def _fullest(segments: DataFrame, size: float) -> int:
+    """Most pieces of distinct segments whose middle is in one cell."""
+    middle = with_cell(cut_segments(segments.select(*SEGMENT).distinct(), size), "(bx0 + bx1) / 2", "(by0 + by1) / 2", size)
+    return middle.groupBy(CELL_X, CELL_Y).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def _cell_join(left: DataFrame, right: DataFrame, condition: str, how: str) -> DataFrame:
     """Rows of ``left`` with (semi) or without (anti) a partner in their cell.
 
@@ -126,7 +140,13 @@ def _positions(points: DataFrame, x: str, y: str) -> DataFrame:
 # polygons
 # --------------------------------------------------------------------------
 def polygon_cells(polygons: DataFrame, edges: str, grow: float, cell: float) -> DataFrame:
-    """One row per cell that a polygon's grown box touches, with its edges; a side of checked size."""
+    """Cells where a polygon may be within ``grow``, with the edges that decide there; a side of checked size.
+
+    Whether a place is inside is told by the edges that a ray to the right crosses, and
+    whether it is near by those whose grown box it is in.  So a cell keeps the edges that
+    share its height (grown) and do not end left of it (grown), and a cell without any is
+    outside: a detailed outline is not copied whole to every cell.
+    """
     g = f"{float(grow)!r}D"
     xs = "flatten(transform(edges, e -> array(e.x1, e.x2)))"
     ys = "flatten(transform(edges, e -> array(e.y1, e.y2)))"
@@ -134,7 +154,11 @@ def polygon_cells(polygons: DataFrame, edges: str, grow: float, cell: float) ->
     outlines = polygons.select(F.col(edges).alias("edges"))
     wide, high = (f"(2 + ceil((array_max({c}) - array_min({c}) + 2 * {g}) / {cell!r}D))" for c in (xs, ys))
     way = join_way(outlines, f"{wide} * {high} * (32 + 40 * size(edges))")
-    return cover_box(outlines.distinct(), box, cell).hint(way)
+    slack = f"({g} + {_SLACK!r}D)"
+    low, high, left = f"{CELL_Y} * {cell!r}D - {slack}", f"({CELL_Y} + 1) * {cell!r}D + {slack}", f"{CELL_X} * {cell!r}D - {slack}"
+    own = f"filter(edges, e -> greatest(e.y1, e.y2) >= {low} AND least(e.y1, e.y2) <= {high} AND greatest(e.x1, e.x2) >= {left})"
+    cells = cover_box(outlines.distinct(), box, cell).selectExpr(CELL_X, CELL_Y, f"{own} AS edges")
+    return cells.where("size(edges) > 0").hint(way)
 
 
 def points_by_polygons(
@@ -185,7 +209,8 @@ def lines_clear_of_polygons(
 #: cells is bounded by the mapped area (1,300 x 1,100 km hold 90 cells of the
 #: top and 340,000 of the lowest level), not by the number of items.
 PYRAMID = (131_072.0, 16_384.0, 2_048.0)
-_SLACK = 1e-3
+#: below the lowest level, cells shrink by this factor where items crowd, down to the smallest size
+SHRINK, SMALLEST = 8.0, 0.5
 _NODE_BYTES = 64
 
 
@@ -199,17 +224,20 @@ def nearest(
     y: str = "y",
     distance_col: str = "distance_m",
     pyramid: Sequence[float] = PYRAMID,
+    crowd: int = CROWD,
 ) -> DataFrame:
     """Left join with the nearest item: adds ``payload`` columns and the distance.
 
     ``items`` are points (columns ``x y``) or segments (``x1 y1 x2 y2``); of
     several items at the same distance the lowest ``tie_break`` wins.  Points
-    without position, or without any item to find, get nulls.
+    without position, or without any item to find, get nulls.  Levels are added
+    below ``pyramid`` until no cell holds more than ``crowd`` items, so the work
+    for a position does not grow with the density of the items.
     """
     # the search is work, not bytes: keep as many partitions as a shuffle may have
     width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spots = _positions(points, x, y).repartition(width, "_px", "_py")
-    leaves = materialise(_leaf_items(items, payload, tie_break, geometry, pyramid[-1]))
+    pyramid, leaves = _crowded_levels(items, payload, tie_break, geometry, pyramid, crowd)
     leaves = leaves.hint(join_way(leaves, "200"))
     frontier = _descend(spots, leaves, pyramid)
     if geometry == "point":
@@ -234,6 +262,17 @@ def nearest(
     )
 
 
+def _crowded_levels(items, payload, tie_break, geometry, pyramid, crowd) -> tuple[list[float], DataFrame]:
+    """The levels of the pyramid that the items need, and the stored items of the lowest."""
+    levels = list(pyramid)
+    while True:
+        leaves = materialise(_leaf_items(items, payload, tie_break, geometry, levels[-1]))
+        fullest = leaves.groupBy(CELL_X, CELL_Y).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if (fullest or 0) <= crowd or levels[-1] <= SMALLEST:
+            return levels, leaves
+        levels.append(levels[-1] / SHRINK)
+
+
 def _leaf_items(
     items: DataFrame, payload: Sequence[str], tie_break: str, geometry: str, cell: float
 ) -> DataFrame:
@@ -266,7 +305,7 @@ def _descend(spots: DataFrame, leaves: DataFrame, pyramid: Sequence[float]) -> D
     frontier = _own_bound(spots, nodes.hint(way), pyramid[-1])
     packed = []  # from fine to coarse: the children of each parent cell in one array
     for fine, coarse in zip(pyramid[::-1], pyramid[-2::-1]):
-        up = f"{int(coarse / fine)}"
+        up = f"{coarse / fine!r}D"
         parent = nodes.groupBy(
             F.expr(f"floor({CELL_X} / {up}) AS _ux"), F.expr(f"floor({CELL_Y} / {up}) AS _uy")
         ).agg(
