@@ -7,42 +7,102 @@ from array import array
 
 #: longest chunk, in bytes, that is remembered
 CHUNK_BYTES = 64
-#: chunks remembered in each of the two generations
-REMEMBERED = 300_000
+#: chunks and words remembered in each of two generations
+CHUNKS = 150_000
+WORDS = 300_000
 
+#: ASCII punctuation that may stand after a word (an apostrophe may belong to it)
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+#: what `_split_holds` tries: words, marks
+_PROBES = (("is", "Und", "ÉTÉ", "straße", "数据"), ("", ".", "!!", "),", "<|endoftext|>", "%%%"))
 
-class Encoder(dict):
+
+class _Remembered(dict):
+    """A dict that `turn` keeps to two generations of a bounded number of entries."""
+
+    def __init__(self, size: int):
+        super().__init__()
+        self.size = size
+        self.older: dict = {}
+
+    def turn(self) -> None:
+        if len(self) > self.size:
+            self.older = dict(self)
+            self.clear()
+
+
+class Words(_Remembered):
+    """Lower-case word of letters -> its ids, by the library's model alone: no pattern needs to be tried."""
+
+    def __init__(self, whole, size: int):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+        super().__init__(size)
+        self.tokenizer = Tokenizer(whole.model)
+        self.tokenizer.normalizer = normalizers.NFC()
+        self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word)
+        if found is None:
+            found = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        if len(word) <= CHUNK_BYTES:
+            self[word] = found
+        return found
+
+
+class Encoder(_Remembered):
     """Chunk of a text between ASCII white space (UTF-8) -> its ids, 4 bytes each, little-endian.
 
     The vocabularies used here drop white space and match nothing across it, so the
     ids of a text are the ids of its chunks in a row.  Chunks repeat, and the library
-    sees each only when it is not remembered.  Memory is bounded: `ids` turns to a
-    new generation when one is full.
+    sees each only when it is not remembered.  Most chunks are a word and marks after
+    it; where the vocabulary lower-cases and separates the two, which is tried when it
+    is loaded, the word and the marks are remembered on their own.  Memory is bounded:
+    `ids` turns to a new generation when one is full.
     """
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, chunks: int = CHUNKS, words: int = WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        super().__init__()
+        super().__init__(chunks)
         self.tokenizer = Tokenizer.from_file(path)
-        self.remembered = remembered
-        self.older: dict[bytes, bytes] = {}
+        self.words = Words(self.tokenizer, words)
+        self.marks: dict[str, bytes] = {"": b""}
+        self.splits = self._split_holds()
+
+    def whole(self, text: str) -> bytes:
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _split_holds(self) -> bool:
+        return all(self.whole(w + m) == self.words[w.lower()] + self.whole(m) for w in _PROBES[0] for m in _PROBES[1])
 
     def __missing__(self, chunk: bytes) -> bytes:
         found = self.older.get(chunk)
         if found is None:
-            ids = self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
-            found = array("I", ids).tobytes()
+            text = chunk.decode("utf-8", "replace")
+            word = text.rstrip(_MARKS)
+            lower = word.lower()
+            # a capital sigma is lower-cased by its place, and a letter may turn into several characters
+            if self.splits and lower.isalpha() and "\u03a3" not in word:
+                tail = text[len(word) :]
+                marks = self.marks.get(tail)
+                if marks is None:
+                    marks = self.whole(tail)
+                    if len(self.marks) < CHUNKS and len(tail) <= CHUNK_BYTES:
+                        self.marks[tail] = marks
+                found = self.words[lower] + marks
+            else:
+                found = self.whole(text)
         if len(chunk) <= CHUNK_BYTES:
             self[chunk] = found
         return found
 
     def ids(self, text: bytes) -> bytes:
         """All ids of a text."""
-        if len(self) > self.remembered:
-            self.older = dict(self)
-            self.clear()
+        self.turn()
+        self.words.turn()
         return b"".join(map(self.__getitem__, text.split()))
 
 
