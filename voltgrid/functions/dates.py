@@ -18,11 +18,6 @@ def month_of(c: Column) -> Column:
     return F.trunc(c, "MM")
 
 
-def month_number(c: Column) -> Column:
-    """Months since year zero; differences count months between dates."""
-    return F.year(c) * 12 + F.month(c)
-
-
 def months_between(start: dt.date, end: dt.date) -> int:
     """Whole months from ``start`` to ``end``."""
     return (end.year - start.year) * 12 + end.month - start.month

@@ -24,18 +24,3 @@ def total(c: Column) -> Column:
 def half_even(c: Column, digits: int = 0) -> Column:
     """Round with ties to the even neighbour."""
     return F.bround(c, digits)
-
-
-def to_count(c: Column) -> Column:
-    """Nearest whole number (ties to even) as a long."""
-    return half_even(c).cast("long")
-
-
-def sum_of_array(arr: Column) -> Column:
-    """Sum of an array of doubles, in order."""
-    return F.aggregate(arr, F.lit(0.0), lambda acc, v: acc + v)
-
-
-def mean_of_array(arr: Column) -> Column:
-    """Mean of an array of doubles."""
-    return sum_of_array(arr) / F.size(arr)

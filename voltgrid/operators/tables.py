@@ -36,8 +36,3 @@ def provinces(spark: SparkSession, key: str = "number") -> DataFrame:
 def driver_path(spark: SparkSession, year_shift: int = 0) -> DataFrame:
     """Macro drivers by year; ``year_shift`` moves the years for data of another period."""
     return literal_table(spark, ["year", *S.DRIVERS], [(y + year_shift, *v) for y, v in S.DRIVER_PATH.items()])
-
-
-def scenario_deltas(spark: SparkSession) -> DataFrame:
-    """Scenario offsets of the macro drivers."""
-    return literal_table(spark, ["scenario", *S.DRIVERS], [(s, *v) for s, v in S.SCENARIO_DELTAS.items()])

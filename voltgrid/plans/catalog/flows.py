@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ... import settings as S
 from ...functions import geodesy as G
 from ...operators import flows as FL
+from ...operators import quality as Q
 from ...operators import ranking as R
 from ...session import ensure_checkpoint_dir
 from ...streaming.ingest import ingest_months
@@ -206,6 +207,37 @@ def seeded_sample(spark, sf):
     return R.seeded_sample(b.sites(spark, sf), ["site_id"])
 
 
+# ---- connectors as lists per site ------------------------------------------------
+@query(
+    "site_connectors",
+    sql(
+        """SELECT site_id, n_connectors, CASE WHEN n_connectors > 0 THEN CAST(n_connectors * 22 AS DOUBLE) END AS max_power_kw,
+                  CASE WHEN n_connectors > 2 THEN 'ccs, chademo, type2' WHEN n_connectors = 2 THEN 'ccs, chademo'
+                       WHEN n_connectors = 1 THEN 'chademo' END AS connector_types FROM sites""",
+        "sites",
+    ),
+)
+def site_connectors(spark, sf):
+    """Connectors come as lists, which hold the strongest anywhere and types more than once."""
+    places = "filter(sequence(0, cast(n_connectors AS int)), k -> k > 0)"
+    listed = b.sites(spark, sf).selectExpr(
+        "site_id",
+        f"transform(reverse({places}), k -> k * 22000D) AS powers",
+        f"transform({places}, k -> element_at(array('type2', 'chademo', 'ccs'), k % 3 + 1)) AS types",
+    )
+    return FL.connector_summary(listed)
+
+
+@query("flow_profile_sketch", "SELECT true AS routes_close, true AS pairs_close")
+def flow_profile_sketch(spark, sf):
+    """Distinct counts by sketch against the exact ones, within three times the stated error."""
+    od = b.od_routes(spark, sf)
+    exact, sketch = Q.flow_profile(od), Q.approx_flow_profile(od, error=0.02)
+    both = exact.select("unique_routes", "unique_pairs", *[sketch.select(c).scalar().alias(f"s_{c}") for c in sketch.columns])
+    close = lambda c: (F.abs(F.col(f"s_{c}") - F.col(c)) <= 0.06 * F.col(c))
+    return both.select(close("unique_routes").alias("routes_close"), close("unique_pairs").alias("pairs_close"))
+
+
 @query(
     "incremental_ingest",
     """SELECT CAST(ts AS DATE) AS day, event_type, count(*) AS n, round(sum(value), 4) AS total

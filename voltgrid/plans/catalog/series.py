@@ -6,7 +6,7 @@ from ... import settings as S
 from ...operators import quality as Q
 from ...operators import ranking as R
 from ...operators import series as SE
-from ...operators.cleaning import clean_segments, with_ev_flags, with_forecast_bucket
+from ...operators.cleaning import clean_segments, tagged_union, with_ev_flags, with_forecast_bucket
 from .. import bindings as b
 from ..registry import query, sql, view
 from . import views  # noqa: F401
@@ -251,6 +251,19 @@ def series_statistics(spark, sf):
     return stats.withColumns({c: F.round(c, 6) for c in ("mean", "std")})
 
 
+@query(
+    "series_preview",
+    sql(
+        """SELECT 'first' AS part, month, TOTAL_ALL_CARS FROM (SELECT * FROM wide ORDER BY month LIMIT 6)
+           UNION ALL SELECT 'last', month, TOTAL_ALL_CARS FROM (SELECT * FROM wide ORDER BY month DESC LIMIT 6)""",
+        "wide",
+    ),
+)
+def series_preview(spark, sf):
+    wide = monthly_series_wide(spark, sf).select("month", "TOTAL_ALL_CARS")
+    return tagged_union({"first": R.head(wide, 6, ["month"]), "last": R.tail(wide, 6, ["month"])}, "part").select("part", "month", "TOTAL_ALL_CARS")
+
+
 @query(
     "dataset_gate",
     """SELECT true AS is_valid, 'ok' AS reason, count(*) AS row_count, '' AS missing_columns FROM orders""",
