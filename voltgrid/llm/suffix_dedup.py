@@ -44,8 +44,8 @@ WIDTH = 50
 #: bytes of a minimiser
 ANCHOR = 20
 #: bytes of text in a block, blocks for each part of the minimisers
-BLOCK_BYTES = 8 * 1024 * 1024
-BLOCKS_PER_PART = 4
+BLOCK_BYTES = 4 * 1024 * 1024
+BLOCKS_PER_PART = 2
 #: documents that share a minimiser before it is split
 CROWD = 4_096
 #: bytes that are hashed at once, strings that are ordered at once
@@ -134,7 +134,9 @@ def _stretches(data: np.ndarray, valid: np.ndarray, width: int) -> tuple[np.ndar
     counts = np.diff(np.r_[starts, len(place)])
     keep = valid[starts]
     starts, counts = starts[keep], counts[keep]
-    return starts, counts, hashed[place[starts]] >> np.uint64(64 - KEY_BITS)
+    # the smallest of many hashes is small: mixed again, keys fall evenly into the parts
+    least = hashed[place[starts]] * np.uint64(_BASE)
+    return starts, counts, (least ^ (least >> np.uint64(32))) * np.uint64(_MIX) >> np.uint64(64 - KEY_BITS)
 
 
 def stretches(data: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -222,6 +224,8 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _messages(rows: list[tuple[int, int, int, bytes]]) -> pa.Table:
+    """The result of a group; what Arrow has freed goes back to the system before the next one."""
+    pa.default_memory_pool().release_unused()
     columns = list(zip(*rows, strict=True)) or [()] * 4
     kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary())
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["block", "part", "kind", "payload"])
@@ -252,17 +256,29 @@ def _return_common(crowd: int):
     def common(table: pa.Table) -> pa.Table:
         part = table.column("part")[0].as_py()
         blocks = table.column("block").to_pylist()
-        sent = [unpack_arrays(v.as_py()) for v in table.column("payload")]
-        keys = [np.cumsum(k, dtype=np.uint64) for k, _ in sent]
-        known, at = np.unique(np.concatenate(keys), return_inverse=True)
-        docs = np.bincount(at, np.concatenate([d for _, d in sent])).astype(np.int64)
+        keys, many, sizes = [], [], []
+        for value in table.column("payload"):
+            own, docs = unpack_arrays(value.as_py())
+            keys.append(np.cumsum(own, dtype=np.uint64))
+            many.append(docs)
+            sizes.append(len(own))
+        joined, docs = np.concatenate(keys), np.concatenate(many)
+        del keys, many
+        # equal keys stand together; the documents of each are summed and written back to its places
+        order = np.argsort(joined, kind="stable")
+        ranked = joined[order]
+        first = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+        total = np.add.reduceat(docs[order].astype(np.int64), first)
+        docs = np.empty(len(order), np.int64)
+        docs[order] = np.repeat(total, np.diff(np.r_[first, len(order)]))
+        del order, ranked, first, total
         rows, a = [], 0
-        for block, own in zip(blocks, keys, strict=True):
-            many = docs[at[a : a + len(own)]]
-            a += len(own)
-            both = own[many > 1]
+        for block, n in zip(blocks, sizes, strict=True):
+            own, met = joined[a : a + n], docs[a : a + n]
+            a += n
+            both = own[met > 1]
             if len(both):
-                rows.append((block, part, COMMON, pack_arrays(gaps(both), gaps(own[many >= crowd]))))
+                rows.append((block, part, COMMON, pack_arrays(gaps(both), gaps(own[met >= crowd]))))
         return _messages(rows)
 
     return common
@@ -467,7 +483,7 @@ def remove_repeats(
     strings = only.groupBy("block").cogroup(common.groupBy("block")).applyInArrow(_send_strings(width, parts), MESSAGES)
     found = stored(strings.groupBy("part").applyInArrow(_return_found(width), MESSAGES), "found")
     fields = [
-        StructField("rest", dealt.schema["rest"].dataType),
+        StructField("rest", staged.schema["rest"].dataType),
         StructField("kept", BinaryType()),
         StructField("n_bytes", LongType()),
         StructField("n_removed", LongType()),
