@@ -566,7 +566,77 @@ def weight_sensitivity(spark, sf):
     return FC.weight_sensitivity(demand(spark, sf).planning, b.FOCUS_YEAR)
 
 
-# ---- models that need recursion: no SQL twin -----------------------------------------
+# ---- models that need recursion -------------------------------------------------------
+def _grid(values) -> str:
+    return f"(VALUES {', '.join(f'({i}, CAST({v!r} AS DOUBLE))' for i, v in enumerate(values))})"
+
+
+def holt_winters_sql(model: str, dampings) -> str:
+    """Every grid point walked month by month by a recursive statement; the one with the least error forecasts."""
+    season = S.SEASON
+    view(
+        f"walks_{len(dampings)}",
+        f"""SELECT h.Series, h.Fold, h.origin, g.*, 0 AS t, h.y, h.level, h.slope, h.seasonal, CAST(0 AS DOUBLE) AS sse
+            FROM hw_start h CROSS JOIN (
+                SELECT ((a.i * {len(SM.TRENDS)} + b.i) * {len(SM.SEASONALS)} + c.i) * {len(dampings)} + d.i AS point,
+                       a.v AS alpha, b.v AS beta, c.v AS gamma, d.v AS phi
+                FROM {_grid(SM.LEVELS)} a(i, v), {_grid(SM.TRENDS)} b(i, v), {_grid(SM.SEASONALS)} c(i, v), {_grid(dampings)} d(i, v)) g
+            UNION ALL
+            SELECT Series, Fold, origin, point, alpha, beta, gamma, phi, t + 1, y, expected + alpha * e, phi * slope + beta * alpha * e,
+                   list_transform(seasonal, lambda v, i: CASE WHEN i = t % {season} + 1 THEN v + gamma * (1 - alpha) * e ELSE v END), sse + e * e
+            FROM (SELECT *, level + phi * slope AS expected, y[t + 1] - (level + phi * slope) - seasonal[t % {season} + 1] AS e
+                  FROM walks_{len(dampings)} WHERE t < origin)""",
+        "hw_start",
+    )
+    view(
+        f"hw_errors_{len(dampings)}",
+        f"""SELECT w.Series, w.Fold, a.y AS actual,
+                   greatest(level + slope * list_sum(list_transform(range(1, i.i + 1), lambda j: pow(phi, j)))
+                            + seasonal[(origin + i.i - 1) % {season} + 1], 0) AS p
+            FROM (SELECT *, row_number() OVER (PARTITION BY Series, Fold ORDER BY sse, point) AS rn
+                  FROM walks_{len(dampings)} WHERE t = origin) w
+            CROSS JOIN range(1, {b.CV_HORIZON + 1}) AS i(i)
+            JOIN modelled a ON a.Series = w.Series AND a.pos = w.origin + i.i - 1 WHERE w.rn = 1""",
+        f"walks_{len(dampings)}",
+        "modelled",
+    )
+    final = f"""SELECT Series, '{model}' AS Model, Fold, round(sqrt(avg(pow(actual - p, 2))), 4) AS RMSE, round(avg(abs(actual - p)), 4) AS MAE,
+              round(avg(abs(actual - p) / ((abs(actual) + abs(p)) / 2 + 1e-10)) * 100, 4) AS sMAPE,
+              round(sum(abs(actual - p)) / (sum(abs(actual)) + 1e-10) * 100, 4) AS WAPE,
+              round(coalesce(avg(CASE WHEN actual <> 0 THEN abs((actual - p) / actual) END) * 100, 0), 4) AS MAPE,
+              CAST(NULL AS VARCHAR) AS error
+       FROM hw_errors_{len(dampings)} GROUP BY Series, Fold"""
+    return sql(final, f"hw_errors_{len(dampings)}").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+view(
+    "hw_train",
+    f"""SELECT m.Series, f.Fold, f.origin, list(m.y ORDER BY m.pos) AS y
+        FROM (SELECT DISTINCT Fold, origin FROM fold_points) f JOIN modelled m ON m.pos < f.origin GROUP BY m.Series, f.Fold, f.origin""",
+    "fold_points",
+    "modelled",
+)
+view(
+    "hw_means",
+    f"""SELECT *, list_transform(range(0, origin // {S.SEASON}), lambda c: list_avg(y[c * {S.SEASON} + 1 : c * {S.SEASON} + {S.SEASON}])) AS means
+        FROM hw_train""",
+    "hw_train",
+)
+view(
+    "hw_gaps",
+    f"""SELECT *, (means[2] - means[1]) / {S.SEASON} AS slope,
+               list_transform(range(1, {S.SEASON} + 1), lambda s: list_avg(list_transform(range(0, len(means)),
+                   lambda c: y[c * {S.SEASON} + s] - means[c + 1]))) AS gaps FROM hw_means""",
+    "hw_means",
+)
+view(
+    "hw_start",
+    f"""SELECT Series, Fold, origin, y, means[1] - slope * {S.SEASON - 1} / 2 - slope AS level, slope,
+               list_transform(gaps, lambda g: g - list_avg(gaps)) AS seasonal FROM hw_gaps""",
+    "hw_gaps",
+)
+
+
 def _python(models):
     def run(spark, sf):
         return rounded(demand(spark, sf, py_models=models).python_cv, 4, *METRICS)
@@ -574,8 +644,8 @@ def _python(models):
     return run
 
 
-query("holt_winters_backtest")(_python({"Holt-Winters": SM.holt_winters}))
-query("holt_winters_damped_backtest")(_python({"HW Damped": SM.holt_winters_damped}))
+query("holt_winters_backtest", holt_winters_sql("Holt-Winters", (1.0,)))(_python({"Holt-Winters": SM.holt_winters}))
+query("holt_winters_damped_backtest", holt_winters_sql("HW Damped", SM.DAMPINGS))(_python({"HW Damped": SM.holt_winters_damped}))
 query("ridge_backtest")(_python(SM.RIDGE_MODEL))
 
 
