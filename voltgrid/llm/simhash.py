@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb, prod
+from math import comb
 
 import numpy as np
 import pandas as pd
