@@ -179,13 +179,14 @@ def clean_segments(spark, sf):
     "clean_segment_routes",
     """SELECT CAST(l_suppkey AS VARCHAR) AS origen, CAST(l_partkey AS VARCHAR) AS destino,
               CAST(l_orderkey AS VARCHAR) AS ruta, nullif(l_returnflag, 'N') AS tramo,
-              TRY_CAST(l_linestatus AS DOUBLE) AS viajes
+              TRY_CAST(CASE WHEN l_linenumber = 7 THEN l_linestatus ELSE CAST(l_quantity AS VARCHAR) END AS DOUBLE) AS viajes
        FROM lineitem WHERE l_returnflag <> 'N'""",
 )
 def clean_segment_routes(spark, sf):
     raw = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr(
         "cast(l_suppkey AS string) AS origen", "cast(l_partkey AS string) AS destino",
-        "cast(l_orderkey AS string) AS ruta", "nullif(l_returnflag, 'N') AS tramo", "l_linestatus AS viajes",
+        "cast(l_orderkey AS string) AS ruta", "nullif(l_returnflag, 'N') AS tramo",
+        "if(l_linenumber = 7, l_linestatus, cast(l_quantity AS string)) AS viajes",  # some are no numbers
     )
     return C.CLEANERS["segment_routes"][1](raw)
 

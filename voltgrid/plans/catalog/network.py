@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ... import settings as S
 from ...functions.scoring import growth_multiplier
 from ...operators import network as N
+from ...operators.spatial import points_by_polygons
 from .. import bindings as b
 from ..demand import DemandPlan
 from ..network import NetworkPlan
@@ -262,24 +263,30 @@ def fill_candidates(spark, sf):
     return places(spark, sf).fill.withColumns({"x": F.round("x", 3), "y": F.round("y", 3)})
 
 
-view(
-    "walk_order",
-    "SELECT *, row_number() OVER (ORDER BY road_weight DESC, road_id, step) AS rk FROM gaps",
-    "gaps",
-)
-#: each step adds the first candidate that keeps the spacing to all kept so far
-view(
-    "kept",
-    f"""SELECT rk, kept FROM (SELECT rk, [struct_pack(x := x, y := y)] AS kept FROM walk_order ORDER BY rk LIMIT 1) AS seed
-        UNION ALL
-        SELECT n.rk, list_append(n.kept, struct_pack(x := c.x, y := c.y))
-        FROM (SELECT min(c.rk) AS rk, any_value(k.kept) AS kept FROM kept k JOIN walk_order c ON c.rk > k.rk
-              WHERE list_min(list_transform(k.kept, lambda p: pow(p.x - c.x, 2) + pow(p.y - c.y, 2))) > {S.FILL_SPACING_M**2}
-              HAVING count(*) > 0) n
-        JOIN walk_order c ON c.rk = n.rk""",
-    "walk_order",
-)
-view("thinned", "SELECT w.* FROM walk_order w WHERE rk IN (SELECT rk FROM kept)", "walk_order", "kept")
+
+
+def walk_views(source: str, spacing: float, suffix: str = "") -> None:
+    """Views of the walk over ``source``: each step adds the first candidate that keeps the spacing to all kept so far."""
+    order, kept = f"walk_order{suffix}", f"kept{suffix}"
+    view(order, f"SELECT *, row_number() OVER (ORDER BY road_weight DESC, road_id, step) AS rk FROM {source}", source)
+    view(
+        kept,
+        f"""SELECT rk, kept FROM (SELECT rk, [struct_pack(x := x, y := y)] AS kept FROM {order} ORDER BY rk LIMIT 1) AS seed
+            UNION ALL
+            SELECT n.rk, list_append(n.kept, struct_pack(x := c.x, y := c.y))
+            FROM (SELECT min(c.rk) AS rk, any_value(k.kept) AS kept FROM {kept} k JOIN {order} c ON c.rk > k.rk
+                  WHERE list_min(list_transform(k.kept, lambda p: pow(p.x - c.x, 2) + pow(p.y - c.y, 2))) > {spacing**2}
+                  HAVING count(*) > 0) n
+            JOIN {order} c ON c.rk = n.rk""",
+        order,
+    )
+    view(f"thinned{suffix}", f"SELECT w.* FROM {order} w WHERE rk IN (SELECT rk FROM {kept})", order, kept)
+
+
+walk_views("gaps", S.FILL_SPACING_M)
+#: many places that stand close: the same walk over all rural candidates
+DENSE_SPACING_M = 40_000.0
+walk_views("rural", DENSE_SPACING_M, "_dense")
 
 
 def walk_sql(final: str, *reads: str) -> str:
@@ -294,6 +301,19 @@ def fill_thinned(spark, sf):
     return places(spark, sf).thinned.withColumns({"x": F.round("x", 3), "y": F.round("y", 3)})
 
 
+@query(
+    "rural_thinned",
+    walk_sql("SELECT road_id, step, round(x, 3) AS x, round(y, 3) AS y, road_weight FROM thinned_dense", "thinned_dense"),
+)
+def rural_thinned(spark, sf):
+    """The same thinning where hundreds of places stay, whatever stations are near."""
+    plan = places(spark, sf)
+    inside = N.clip_to_country(N.road_candidates(plan.roads), plan.country)
+    rural = points_by_polygons(inside, plan.urban, radius=S.URBAN_BUFFER_M, how="left_anti")
+    kept = N.thin_candidates(rural, DENSE_SPACING_M)
+    return kept.select("road_id", "step", F.round("x", 3).alias("x"), F.round("y", 3).alias("y"), "road_weight")
+
+
 # ---- proposals -----------------------------------------------------------------------
 view(
     "all_places",
