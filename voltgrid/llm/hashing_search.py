@@ -81,10 +81,10 @@ class Coder:
         return min(self.bits, ceil(self.bits * share + MARGIN * sqrt(self.bits * share * (1 - share))))
 
     def radii(self, rows: np.ndarray) -> list[int]:
-        """First radius of each query, from its scores on the sample."""
+        """First radius of each query, from its scores on the sample; one bit more spares most queries a second turn."""
         norms = np.linalg.norm(rows, axis=1) * self.largest
         scores = rows @ self.sample.T / norms[:, None]
-        return [self.radius(c) for c in (scores.mean(1) + self.z * scores.std(1)).tolist()]
+        return [min(self.bits, self.radius(c) + 1) for c in (scores.mean(1) + self.z * scores.std(1)).tolist()]
 
 
 def allowed(radius: np.ndarray, parts: int) -> np.ndarray:
