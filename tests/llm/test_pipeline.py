@@ -64,3 +64,13 @@ def test_stages_on_an_empty_table(spark, no_documents):
 def test_stages_are_the_registered_ones():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_near_dedup", "suffix_array_dedup", "mix_sources", "best_fit_packing"]
     assert sorted(int(q.split("_")[0][2:]) for q in queries.QUERIES) == list(range(1, 11))
+
+
+def test_language_stage_rejects_texts_without_letters_alone(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang")
+    top = docs.agg(F.max("doc_id")).first()[0]
+    texts = ["A.", "A.\nAll rights reserved.", "I", "a b c", "été", "数", "", None, " 12 -- !", "_9_"]
+    short = spark.createDataFrame([(top + 1 + i, t, "en") for i, t in enumerate(texts)], docs.schema)
+    both = docs.unionByName(short)
+    kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, both, "").select("doc_id").collect()}
+    assert kept == {r.doc_id for r in both.collect() if any(map(str.isalpha, r.text or ""))}
