@@ -11,7 +11,7 @@ empty tables and further columns, as its operator's docstring states.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voltgrid.llm import language, mixing, packing, simhash, suffix_dedup
@@ -19,6 +19,8 @@ from voltgrid.llm.common import stored
 
 #: no stage uses it; the plain run in tests/llm/test_pipeline.py reads it
 LEAST_MATCH = 1.5
+#: characters that stand as escapes while partial characters are dropped, the escapes' first one before all
+ESCAPES = [("\x01", "\x01a"), ("\ufffd", "\x01b")]
 
 
 def with_text(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -40,14 +42,28 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     return simhash.first_of_each(docs, simhash.near_copies(docs, shingle=4, limit=4))
 
 
+def without_partial_characters(text: Column) -> Column:
+    """The text without bytes that are no character.
+
+    `make_valid_utf8` puts U+FFFD in their place, so those that the text contains are
+    written as an escape meanwhile, and the escape's own first character as another.
+    """
+    for plain, escape in ESCAPES:
+        text = F.replace(text, F.lit(plain), F.lit(escape))
+    text = F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit(""))
+    for plain, escape in reversed(ESCAPES):
+        text = F.replace(text, F.lit(escape), F.lit(plain))
+    return text
+
+
 def drop_repeats(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Texts without the passages of documents with smaller ids; a text of which nothing is left goes.
 
-    Cuts are made between bytes; a character that a cut splits goes with the passage.
+    Cuts are made between bytes; a character that a cut splits goes with the passage,
+    a U+FFFD that the text contains stays.
     """
     cut = suffix_dedup.remove_repeats(docs, width=50)
-    whole = F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit(""))
-    text = F.when(F.col("n_removed") > 0, whole).otherwise(F.col("kept").cast("string"))
+    text = F.when(F.col("n_removed") > 0, without_partial_characters(F.col("kept").cast("string"))).otherwise(F.col("kept").cast("string"))
     left = cut.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_bytes")))
     return with_text(left.select("rest.*", text.alias("text")), docs.columns)
 

@@ -74,3 +74,21 @@ def test_language_stage_rejects_texts_without_letters_alone(spark, small):
     both = docs.unionByName(short)
     kept = {r.doc_id for r in corpus_pipeline.identify_language(spark, both, "").select("doc_id").collect()}
     assert kept == {r.doc_id for r in both.collect() if any(map(str.isalpha, r.text or ""))}
+
+
+def test_replacement_characters_of_the_text_stay(spark):
+    passage = "é" + "a passage of more than fifty bytes that two texts share" + "é"
+    other = passage.replace("é", "è")  # its last character begins as é does: the cut leaves the second half
+    half = "©" + passage[1:]  # its first character ends as é does: the cut leaves the first half
+    own = [(1, passage), (2, f"\ufffdone \x01b {passage} \ufffd\x01 two\ufffd"), (3, f"\ufffd {other}\ufffd"), (4, f"\x01\ufffd{half} \x01a")]
+    docs = spark.createDataFrame(own, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_repeats(spark, docs, "").collect()}
+    left = {d: bytes(x for x, gone in zip(b, mask, strict=True) if not gone).decode("utf-8", "ignore") for d, b, mask in brute.cut(own)}
+    assert got == left
+    assert got[2] == "\ufffdone \x01b  \ufffd\x01 two\ufffd" and got[3].count("\ufffd") == 2
+
+
+def test_partial_characters_go_as_in_a_decoder_that_ignores_them(spark):
+    own = [b"\xc3", b"a\xc3b", b"\xa9\x01\xef\xbf\xbd\x01a", b"\x01b\xe2\x82\xef\xbf\xbd\xf0\x9f", b"\xf0\x9f\x98\x80\x01\x01b\xff", b"\xef\xbf", b"\x01ab\x01", b""]
+    rows = spark.createDataFrame([(b,) for b in own], "b binary").select("b", corpus_pipeline.without_partial_characters(F.col("b").cast("string")).alias("t")).collect()
+    assert {bytes(r.b): r.t for r in rows} == {b: b.decode("utf-8", "ignore") for b in own}
