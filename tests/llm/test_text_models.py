@@ -65,6 +65,15 @@ def test_fit_is_bounded_and_repeatable(spark, small, odd):
     assert set(language.fit(odd)) == {"en", "fr", "de", "es"}
 
 
+def test_fit_takes_no_more_rows_of_an_id_than_of_a_language(spark):
+    word = lambda i: "".join(chr(97 + i // 26**k % 26) for k in range(3))
+    rows = [(7, word(i), "en") for i in range(3 * language.SAMPLE_DOCS)] + [(7, "mot", "fr"), (8, "autre", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    a, b = language.fit(docs), language.fit(docs.repartition(5, "text"))
+    assert a == b and sorted(a["fr"]) == ["autre", "mot"]
+    assert sorted(a["en"]) == sorted(word(i) for i in range(3 * language.SAMPLE_DOCS))[: language.SAMPLE_DOCS]
+
+
 def plain_count(word, scores, spelled):
     best = [(0, 0)]
     for end in range(1, len(word) + 1):

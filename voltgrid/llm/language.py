@@ -158,22 +158,22 @@ _parsers: dict[int, Parser] = {}
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, list[str]]:
     """Distinct words per language from a bounded sample of labelled rows.
 
-    The sample is the `SAMPLE_DOCS` documents of each language with the smallest hash
-    of their id; tasks rank ids alone and send that many of each language at most.
+    The sample is the `SAMPLE_DOCS` rows of each language with the smallest hash of
+    their id, of rows with equal ids those with the smallest texts.  Ids alone are
+    ranked first, then the rows that carry a chosen id; either way tasks send that
+    many rows of each language at most, and no more reach the driver.
     """
     narrow = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    order = Window.partitionBy(lang_col).orderBy(F.xxhash64(id_col), id_col)
-    chosen = (
-        narrow.select(id_col, lang_col).withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= SAMPLE_DOCS)
+    narrow = narrow.select(
+        F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"), F.xxhash64(id_col).alias("place")
     )
-    ids = [r[0] for r in chosen.select(id_col).distinct().collect()]
+    first = lambda rows, *order: rows.withColumn(
+        "rank", F.row_number().over(Window.partitionBy("lang").orderBy("place", "id", *order))
+    ).where(F.col("rank") <= SAMPLE_DOCS)
+    ids = [r[0] for r in first(narrow.select("id", "lang", "place")).select("id").distinct().collect()]
     if not ids:
         return {}
-    texts = (
-        narrow.where(F.col(id_col).isin(ids))
-        .select(F.col(lang_col).alias("lang"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"), F.xxhash64(id_col).alias("place"))
-        .collect()
-    )
+    texts = first(narrow.where(F.col("id").isin(ids)), "text").select("lang", "text", "place").collect()
     samples: dict[str, dict[str, None]] = {}
     letters: dict[str, int] = {}
     for row in sorted(texts, key=lambda r: (r["lang"], r["place"], r["text"])):
