@@ -63,6 +63,21 @@ def test_equal_and_null_ids(spark):
     assert rows_of(suffix_dedup.remove_repeats(df)) == expected(own)
 
 
+def test_rows_equal_in_id_and_text_spread_over_blocks(spark, monkeypatch):
+    passage = "a passage of more than fifty bytes that all of these rows have in common"
+    own = [(None, passage + " and no id")] * 200 + [(5, "five: " + passage)] * 200 + [(i, f"{i} {passage} {i}") for i in (4, 6, 7)] + [(None, None)] * 100
+    sizes, remove = [], suffix_dedup.remove_path
+
+    def look(spark, path):
+        sizes.extend(spark.read.parquet(path).groupBy("block").agg({"text": "count"}).toPandas()["count(text)"])
+        remove(spark, path)
+
+    monkeypatch.setattr(suffix_dedup, "remove_path", look)
+    df = spark.createDataFrame(own, "doc_id long, text string")
+    assert rows_of(suffix_dedup.remove_repeats(df, block_bytes=4_000)) == expected(own)
+    assert sum(sizes) == len(own) and max(sizes) < 120
+
+
 def test_empty_table(no_documents):
     assert suffix_dedup.remove_repeats(no_documents).isEmpty()
 

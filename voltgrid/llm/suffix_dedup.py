@@ -3,7 +3,8 @@
 Order of work, for a collection that no task can hold:
 
 1. Documents are dealt into blocks of a few MB and stored as a bucketed table, which
-   later steps read block by block without another shuffle.
+   later steps read block by block without another shuffle.  Rows equal in id and text
+   stand in one block, unless together they outweigh a block: those are spread over all.
 2. Every string of ``width`` bytes belongs to its minimiser, the smallest hash among its
    substrings of `ANCHOR` bytes; equal strings have equal minimisers, and neighbours
    mostly share theirs.  Blocks send their distinct minimisers; those of at least two
@@ -46,6 +47,8 @@ ANCHOR = 20
 #: bytes of text in a block, blocks for each part of the minimisers
 BLOCK_BYTES = 4 * 1024 * 1024
 BLOCKS_PER_PART = 2
+#: what a row counts besides its text when rows equal in id and text are weighed against a block
+ROW_BYTES = 64
 #: documents that share a minimiser before it is split
 CROWD = 4_096
 #: bytes that are hashed at once, strings that are ordered at once
@@ -466,13 +469,19 @@ def remove_repeats(
     spark = docs.sparkSession
     ship(spark)
     text = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    named = F.xxhash64(F.col(id_col).cast("long"), text)
+    weighed = docs.groupBy(named.alias("named")).agg(F.sum(F.octet_length(text)).alias("bytes"), F.count("*").alias("n"))
+    heavy = F.when((F.col("n") > 1) & (F.col("bytes") + F.col("n") * ROW_BYTES > block_bytes), F.col("named"))
+    # at most as many as there are blocks' weights in the table
+    total, spread = weighed.agg(F.sum("bytes"), F.collect_list(heavy)).first()
+    total = total or 0
     blocks = max(1, -(-total // block_bytes))
     parts = max(1, -(-blocks // BLOCKS_PER_PART))
     rest = F.struct(*[F.col(c) for c in docs.columns if c != text_col])
-    dealt = docs.select(rest.alias("rest"), F.col(id_col).cast("long").alias("id"), text.alias("text")).withColumn(
-        "block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int")
-    )
+    # equal ids never remove each other's bytes, in whatever blocks they are
+    place = F.when(named.isin(spread), F.xxhash64(F.monotonically_increasing_id())).otherwise(named) if spread else named
+    block = F.pmod(place, F.lit(blocks)).cast("int")
+    dealt = docs.select(rest.alias("rest"), F.col(id_col).cast("long").alias("id"), text.alias("text"), block.alias("block"))
     name, path = f"suffix_blocks_{uuid.uuid4().hex}", shared_path(spark, "blocks")
     dealt.repartition(blocks, "block").write.bucketBy(blocks, "block").option("compression", "zstd").option("path", path).saveAsTable(name)
     staged = spark.table(name)
