@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from . import hashing_search, language, licenses, mixing, packing, simhash, suffix_dedup, token_counts, token_store, vector_dedup
+from . import byte_bpe, fill_middle, hard_negatives, hashing_search, language, licenses, mixing, packing, simhash, suffix_dedup, token_counts, token_store, vector_dedup
 from .common import shared_path, stored
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -19,6 +19,7 @@ CHECKS: dict[str, str] = {}
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
@@ -129,3 +130,55 @@ def op2_hashing_search(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_vector_dedup")
 def op10_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return vector_dedup.near_copies(table(spark, folder, "embeddings"), threshold=0.93)
+
+
+@query("op11_hard_negatives")
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, folder, "embeddings").withColumn("label", moved), F.col("id") % 100 == 0)
+
+
+@query("op12_byte_bpe")
+def op12_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    encoded = byte_bpe.encode(table(spark, folder, "documents"), RANKS)
+    decoded = encoded.withColumn("decoded", byte_bpe.decode(F.col("ids"), RANKS))
+    digits = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(digits, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
+@query(
+    "op13_fill_middle",
+    r"""
+    WITH cut AS (
+        SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS ls,
+            sha256('7:' || doc_id) AS h FROM documents
+    ), drawn AS (
+        SELECT *, len(ls)::BIGINT AS n, ('0x' || h[1:8])::BIGINT % (len(ls) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(ls) + 1) AS b,
+            ('0x' || h[17:24])::BIGINT % 100 AS c, ('0x' || h[25:32])::BIGINT % 100 AS d FROM cut
+    ), parts AS (
+        SELECT *, array_to_string(ls[1:least(a, b)], '') AS p, array_to_string(ls[least(a, b) + 1:greatest(a, b)], '') AS m,
+            array_to_string(ls[greatest(a, b) + 1:], '') AS s,
+            CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 100 THEN 'plain'
+                 WHEN d < 50 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+        sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                         WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+        sha256(t) AS restored_sha256
+    FROM parts
+    """,
+)
+def op13_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = fill_middle.rearrange(table(spark, folder, "documents"))
+    return cut.select(
+        "rest.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
