@@ -1,10 +1,11 @@
 """Byte-level BPE: each distinct word of the collection is encoded once.
 
 Texts are cut into pre-tokens block by block.  A block (some MB of texts) holds its
-distinct words once and, per text, the word number at each position; only the
-distinct words of blocks are shuffled, by word, so that each word of the whole
-collection is encoded once.  Their ids are joined back by word, brought to their block,
-and put at the positions of the texts.  Decoding looks each id up in the token-byte table.
+distinct words once and, per text, the word number at each position.  Blocks are stored
+as a table bucketed by block.  Only their distinct words are shuffled, by word, so that
+each word of the whole collection is encoded once; the ids go back to the word's blocks
+and are put at the positions of the texts, which stay where they are stored.  Decoding
+looks each id up in the token-byte table.
 
 A word that occurs in every block has as many rows as there are blocks, not as it
 occurs; a block's rows are bounded by its size, so no task holds more than a block.
@@ -19,6 +20,7 @@ empty result; only the columns named are kept, and none can clash.
 from __future__ import annotations
 
 import base64
+import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -29,10 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
-from .common import ship, stored
+from .common import shared_path, ship
 
-#: bytes of text in a block
-BLOCK_BYTES = 8 << 20
+#: bytes of text in a block, and of those cut (characters) or put together (positions) at once
+BLOCK_BYTES = 32 << 20
+AT_ONCE = 1 << 21
 
 MARK, LETTER, NUMBER, SPACE = range(4)
 
@@ -134,7 +137,14 @@ def number_words(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
     at, data = _binary(texts)
     if not len(data):
         return pa.array([], pa.large_binary()), pa.array([[]] * len(texts), pa.list_(pa.int32()))
-    starts = word_starts(data, np.unique(at[:-1][np.diff(at) > 0]))
+    starts, first = [], 0
+    while first < len(texts):
+        end = max(first + 1, int(np.searchsorted(at, at[first] + AT_ONCE, "right")) - 1)
+        own = at[first : end + 1] - at[first]
+        if own[-1]:
+            starts.append(at[first] + word_starts(data[at[first] : at[end]], own[:-1][np.diff(own) > 0]))
+        first = end
+    starts = np.concatenate(starts)
     bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
     found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(data)]).dictionary_encode()
     ends = np.searchsorted(starts, at).astype(np.int32)
@@ -177,45 +187,67 @@ def encode(
             table = table.combine_chunks()
             rows, own = table.num_rows, table.columns[:-1]
             known, places = number_words(table.column(table.num_columns - 1).combine_chunks())
-            texts = [pa.array([name] * rows, pa.int64()), *(c.combine_chunks() for c in own), places, pa.nulls(rows, pa.list_(pa.binary()))]
             names = ["block", *(f.name for f in numbered), "codes", "words"]
-            yield pa.RecordBatch.from_arrays(texts, names)
-            first = pa.array([[]], pa.list_(pa.binary()))
-            if len(known):
-                first = pa.ListArray.from_arrays(pa.array([0, len(known)], pa.int32()), known.cast(pa.binary()))
-            rest = [pa.nulls(1, c.type) for c in own]
-            yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *rest, pa.nulls(1, pa.list_(pa.int32())), first], names)
+            texts = [pa.array([name] * rows, pa.int64()), *(c.combine_chunks() for c in own), places, pa.nulls(rows, pa.list_(pa.binary()))]
+            yield from pa.table(texts, names=names).to_batches(max_chunksize=1_000)
+            all_words = pa.ListArray.from_arrays(pa.array([0, len(known)], pa.int32()), known.cast(pa.binary()))
+            yield pa.RecordBatch.from_arrays([pa.array([name], pa.int64()), *(pa.nulls(1, c.type) for c in own), pa.nulls(1, pa.list_(pa.int32())), all_words], names)
             name += 1
 
-    source = docs.select(*[F.col(f"`{c}`").alias(f.name) for c, f in zip(keep, numbered, strict=True)], F.col(f"`{text_col}`").cast("string").cast("binary"))
-    cut_texts = stored(source.mapInArrow(cut, StructType([block, *numbered, codes, words])), "blocks")
-
-    here = cut_texts.where("words IS NOT NULL").select("block", F.posexplode("words").alias("code", "word"))
+    text = F.col(f"`{text_col}`").cast("string").cast("binary")
+    source = docs.select(*[F.col(f"`{c}`").alias(f.name) for c, f in zip(keep, numbered, strict=True)], text)
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    buckets = max(spark.sparkContext.defaultParallelism, -(-2 * size // block_bytes) if block_bytes >= AT_ONCE else 1)
+    name = f"word_blocks_{uuid.uuid4().hex}"
+    cut_texts = source.mapInArrow(cut, StructType([block, *numbered, codes, words]))
+    # numbers of words are spread too widely for a dictionary page to help
+    plain = {"compression": "zstd", "parquet.enable.dictionary": "false", "path": shared_path(spark, "blocks")}
+    cut_texts.write.bucketBy(buckets, "block").options(**plain).saveAsTable(name)
+    staged = spark.table(name)
 
     def encode_words(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = _encoder(path)
+        piece, last, ids = _encoder(path), None, []
         for part in parts:
-            ids = [piece(w) for w in part.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
-
-    known = here.select("word").distinct().mapInArrow(encode_words, "word binary, ids array<int>")
-    found = here.join(known, "word").select("block", "code", "ids")
-
-    def rebuild(key: tuple, texts: pa.Table, ids: pa.Table) -> pa.Table:
-        order = np.argsort(ids.column("code").to_numpy())
-        lists = ids.column("ids").combine_chunks()
-        ends = lists.offsets.to_numpy().astype(np.int64)
-        many, first = np.diff(ends)[order], ends[:-1][order]
+            order = np.argsort(part.column(0).to_numpy(), kind="stable")
+            found = []
+            for word in part.column(2).to_pylist():  # sorted: equal words follow each other
+                if word != last:
+                    last, ids = word, piece(word)
+                found.append(ids)
+            own = pa.array(found, pa.list_(pa.int32())).take(pa.array(order))
+            blocks, codes = part.column(0).to_numpy()[order], part.column(1).to_numpy()[order]
+            many = pc.list_value_length(own).to_numpy()
+            first = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]) if len(blocks) else np.zeros(0, np.int64)
+            ends = np.append(first, len(blocks)).astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x, pa.int32())) for x in (codes, many)]
+            flat = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)][ends].astype(np.int32)), own.flatten())
+            yield pa.RecordBatch.from_arrays([pa.array(blocks[first], pa.int64()), *lists, flat], ["block", "codes", "counts", "ids"])
+
+    here = staged.where("words IS NOT NULL").select("block", F.posexplode("words").alias("code", "word"))
+    sorted_words = here.repartition("word").sortWithinPartitions("word")
+    found = sorted_words.mapInArrow(encode_words, "block long, codes array<int>, counts array<int>, ids array<int>")
+
+    def rebuild(key: tuple, texts: pa.Table, words: pa.Table) -> pa.Table:
+        flat = lambda column: column.combine_chunks().flatten().to_numpy()
+        code, counts, ids = (flat(words.column(c)) for c in ("codes", "counts", "ids"))
+        many, first = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
+        many[code], first[code] = counts, np.cumsum(counts) - counts
         places = texts.column("codes").combine_chunks()
-        code = places.flatten().to_numpy()
-        after = np.cumsum(many[code]) if len(code) else np.zeros(0, np.int64)
-        take = np.arange(after[-1] if len(after) else 0) + np.repeat(first[code] - after + many[code], many[code])
-        flat = lists.values.to_numpy()[take] if len(take) else np.zeros(0, np.int32)
-        text_ends = np.r_[0, after][places.offsets.to_numpy() - places.offsets[0].as_py()]
-        result = pa.ListArray.from_arrays(pa.array(text_ends.astype(np.int32)), pa.array(flat, pa.int32()))
+        at, numbers = places.offsets.to_numpy().astype(np.int64), places.values.to_numpy()
+        chunks, a = [], 0
+        while a < len(places):
+            b = max(a + 1, int(np.searchsorted(at, at[a] + AT_ONCE, "right")) - 1)
+            own = numbers[at[a] : at[b]]
+            after = np.cumsum(many[own])
+            total = int(after[-1]) if len(after) else 0
+            take = np.arange(total) + np.repeat(first[own] - after + many[own], many[own])
+            ends = np.r_[0, after][at[a : b + 1] - at[a]]
+            chunks.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids[take], pa.int32())))
+            a = b
+        result = pa.chunked_array(chunks, pa.list_(pa.int32()))
         return pa.Table.from_arrays([*(texts.column(f.name) for f in numbered), result], [*(f.name for f in numbered), "ids"])
 
-    texts = cut_texts.where("words IS NULL").drop("words")
+    texts = staged.where("words IS NULL").drop("words")
     texts, found = (df.toDF(*df.columns) for df in (texts, found))  # columns of their own: both come from one table
     both = texts.groupBy("block").cogroup(found.groupBy("block"))
     result = both.applyInArrow(rebuild, StructType([*numbered, StructField("ids", ArrayType(IntegerType()))]))
