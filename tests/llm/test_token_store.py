@@ -1,7 +1,9 @@
+import functools
 import glob
 
 import brute
 import public_tokenizers
+import pyarrow as pa
 import pyarrow.parquet as pq
 from conftest import ODD
 from hypothesis import given, settings
@@ -13,6 +15,11 @@ from voltgrid.llm.encoding import Encoder
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 
+@functools.cache
+def forgetful():
+    return Encoder(VOCABULARY, chunks=20, words=10)
+
+
 def expected(rows, end=2):
     out, start = {}, 0
     for d, text in sorted(rows):
@@ -71,5 +78,25 @@ def test_null_ids_repeated_rows_and_empty_table(spark, odd, no_documents, tmp_pa
 @settings(max_examples=150, deadline=None)
 @given(st.text(st.one_of(st.sampled_from("aAéÉ's.,\n\t 1½ΣςİßΩǅ<|endoftext|>  ́"), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_chunks_give_the_ids_of_the_whole(text):
-    codes = test_chunks_give_the_ids_of_the_whole.__dict__.setdefault("codes", Encoder(VOCABULARY, chunks=20, words=10))
+    codes = forgetful()
     assert list(memoryview(codes.ids(text.encode())).cast("I")) == brute.token_ids(text, 0)[:-1]
+
+
+def test_every_letter_alone_after_a_letter_and_before_a_mark():
+    """Also letters that come apart when they are normalised, and those that a lower case has several of."""
+    codes = Encoder(VOCABULARY)
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000 and (c < 0x20000 or c % 256 == 0)]
+    text = "\n".join(f"{c} a{c} {c}. {c}b a{c}\u0301," for c in every)
+    assert list(memoryview(codes.ids(text.encode())).cast("I")) == brute.token_ids(text, 0)[:-1]
+    for word in ("হয়", "সময়", "सड़क", "पढ़.", "שׁלום"):
+        assert list(memoryview(codes.ids(word.encode())).cast("I")) == brute.token_ids(word, 0)[:-1]
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("aé \n.!'1<|endoftext|>", max_size=12), max_size=8))
+def test_texts_of_a_batch_stay_apart(texts):
+    codes = forgetful()
+    got = []
+    for _, ids, ends in codes.encode(pa.array([t.encode() for t in texts], pa.binary()), 2):
+        got += [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    assert got == [brute.token_ids(t, 2) for t in texts]

@@ -2,108 +2,178 @@
 
 from __future__ import annotations
 
+import json
 import os
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 
 #: longest chunk, in bytes, that is remembered
 CHUNK_BYTES = 64
 #: chunks and words remembered in each of two generations
-CHUNKS = 150_000
-WORDS = 300_000
+CHUNKS = 400_000
+WORDS = 400_000
+#: bytes of text that are encoded at once
+AT_ONCE = 1 << 22
 
 #: ASCII punctuation that may stand after a word (an apostrophe may belong to it)
 _MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
-#: what `_split_holds` tries: words, marks
-_PROBES = (("is", "Und", "ÉTÉ", "straße", "数据"), ("", ".", "!!", "),", "<|endoftext|>", "%%%"))
+#: fixed values: the rules of a vocabulary that separates words of letters from marks
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_ASCII_SPACE = np.frombuffer(b" \t\n\r\x0b\x0c", np.uint8)
 
 
 class _Remembered(dict):
-    """A dict that `turn` keeps to two generations of a bounded number of entries."""
+    """Two generations of a bounded number of entries: `turn` begins a new one when one is full."""
 
     def __init__(self, size: int):
         super().__init__()
         self.size = size
         self.older: dict = {}
 
+    def find(self, key):
+        found = self.get(key)
+        if found is None:
+            found = self.older.get(key)
+            if found is not None:
+                self[key] = found
+        return found
+
     def turn(self) -> None:
         if len(self) > self.size:
             self.older = dict(self)
             self.clear()
 
 
-class Words(_Remembered):
-    """Lower-case word of letters -> its ids, by the library's model alone: no pattern needs to be tried."""
-
-    def __init__(self, whole, size: int):
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
-
-        super().__init__(size)
-        self.tokenizer = Tokenizer(whole.model)
-        self.tokenizer.normalizer = normalizers.NFC()
-        self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-
-    def __missing__(self, word: str) -> bytes:
-        found = self.older.get(word)
-        if found is None:
-            found = array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
-        if len(word) <= CHUNK_BYTES:
-            self[word] = found
-        return found
-
-
-class Encoder(_Remembered):
-    """Chunk of a text between ASCII white space (UTF-8) -> its ids, 4 bytes each, little-endian.
+class Encoder:
+    """Ids of texts, as the library gives them.
 
     The vocabularies used here drop white space and match nothing across it, so the
-    ids of a text are the ids of its chunks in a row.  Chunks repeat, and the library
-    sees each only when it is not remembered.  Most chunks are a word and marks after
-    it; where the vocabulary lower-cases and separates the two, which is tried when it
-    is loaded, the word and the marks are remembered on their own.  Memory is bounded:
-    `ids` turns to a new generation when one is full.
+    ids of a text are the ids of its chunks between ASCII white space in a row.  The
+    distinct chunks of some MB of texts are encoded once, and the library sees only those
+    that are not remembered.  Where the vocabulary's rules, as its file states them,
+    separate letters from marks, a chunk that is a word and marks after it is put
+    together from the two; whether the word is one of letters is asked after the
+    library's own normalising.  Memory is bounded by the generations and the texts.
     """
 
     def __init__(self, path: str, chunks: int = CHUNKS, words: int = WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        super().__init__(chunks)
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = Words(self.tokenizer, words)
-        self.marks: dict[str, bytes] = {"": b""}
-        self.splits = self._split_holds()
+        rules = json.loads(self.tokenizer.to_str())
+        suffix = rules["model"].get("end_of_word_suffix")
+        steps = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers", [])]
+        cuts = (rules["pre_tokenizer"] or {}).get("pretokenizers", [])
+        self.splits = bool(suffix) and steps == _NORMALIZERS and bool(cuts) and cuts[0].get("pattern") == {"Regex": _PATTERN}
+        self.chunks, self.words, self.marks = _Remembered(chunks), _Remembered(words), _Remembered(words)
+        if self.splits:
+            self.model = Tokenizer(self.tokenizer.model)
+            self.model.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            own = self.tokenizer.get_vocab(with_added_tokens=False)
+            self.last = np.zeros(max(own.values()) + 1, bool)
+            self.last[[i for token, i in own.items() if token.endswith(suffix)]] = True
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _split_holds(self) -> bool:
-        return all(self.whole(w + m) == self.words[w.lower()] + self.whole(m) for w in _PROBES[0] for m in _PROBES[1])
-
-    def __missing__(self, chunk: bytes) -> bytes:
-        found = self.older.get(chunk)
-        if found is None:
+    def _word_and_marks(self, text: str) -> tuple[str, str] | None:
+        """The word as the model sees it, and the marks; None if the chunk is anything else."""
+        word = text.rstrip(_MARKS)
+        if word.isascii():
+            normal = word.lower()
+        else:
+            # the library normalises before it looks for letters; some letters come apart then
+            normal = self.tokenizer.normalizer.normalize_str(word)
+        return (normal, text[len(word) :]) if normal.isalpha() else None
+
+    def _learn_words(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of words, encoded in one go: a word ends where a token with the suffix does."""
+        if not words:
+            return {}
+        ids = np.array(self.model.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+        data = ids.tobytes()
+        return {w: data[a:b] for w, a, b in zip(words, [0, *ends[:-1].tolist()], ends.tolist(), strict=True)}
+
+    def _learn(self, chunks: list[bytes]) -> dict[bytes, bytes]:
+        parts, unknown, out = {}, {}, {}
+        for chunk in chunks:
             text = chunk.decode("utf-8", "replace")
-            word = text.rstrip(_MARKS)
-            lower = word.lower()
-            # a capital sigma is lower-cased by its place, and a letter may turn into several characters
-            if self.splits and lower.isalpha() and "\u03a3" not in word:
-                tail = text[len(word) :]
-                marks = self.marks.get(tail)
-                if marks is None:
-                    marks = self.whole(tail)
-                    if len(self.marks) < CHUNKS and len(tail) <= CHUNK_BYTES:
-                        self.marks[tail] = marks
-                found = self.words[lower] + marks
-            else:
-                found = self.whole(text)
-        if len(chunk) <= CHUNK_BYTES:
-            self[chunk] = found
-        return found
+            pair = self._word_and_marks(text) if self.splits else None
+            if pair is None:
+                out[chunk] = self.whole(text)
+                continue
+            parts[chunk] = pair
+            if self.words.find(pair[0]) is None:
+                unknown[pair[0]] = None
+        learnt = self._learn_words(list(unknown))
+        for chunk, (word, marks) in parts.items():
+            found, tail = learnt.get(word) or self.words.find(word), b""
+            if marks:
+                tail = self.marks.find(marks)
+                if tail is None:
+                    tail = self.whole(marks)
+                    if len(marks) <= CHUNK_BYTES:
+                        self.marks[marks] = tail
+            out[chunk] = found + tail
+        self.words |= {w: ids for w, ids in learnt.items() if len(w) <= CHUNK_BYTES}
+        return out
+
+    def _encode(self, data: np.ndarray, at: np.ndarray, end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        space = np.isin(data, _ASCII_SPACE) if len(data) else np.zeros(0, bool)
+        begin = np.zeros(len(data) + 1, bool)
+        begin[at[:-1]] = True
+        keep = ~space
+        first = keep & (np.r_[True, space[:-1]][: len(data)] | begin[:-1])
+        text = data[keep]
+        starts = np.flatnonzero(first[keep])
+        bounds = pa.py_buffer(np.append(starts, len(text)).astype(np.int64))
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(text)]).dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        found = [self.chunks.find(c) for c in distinct]
+        new = self._learn([c for c, ids in zip(distinct, found, strict=True) if ids is None])
+        found = [new[c] if ids is None else ids for c, ids in zip(distinct, found, strict=True)]
+        self.chunks |= {c: ids for c, ids in new.items() if len(c) <= CHUNK_BYTES}
+        for memory in (self.chunks, self.words, self.marks):
+            memory.turn()
+
+        if end is not None:
+            found.append(np.array([end], "<u4").tobytes())
+        many = np.array([len(x) // 4 for x in found], np.int64)
+        begins = np.cumsum(many) - many
+        flat = np.frombuffer(b"".join(found), "<u4")
+        # chunks before each text's end, counted among the chunks of all texts
+        ends = np.r_[0, np.cumsum(first)][at]
+        codes = coded.indices.to_numpy().astype(np.int64)
+        if end is not None:
+            codes = np.insert(codes, ends[1:], len(found) - 1)
+            ends = ends + np.arange(len(ends))
+        after = np.cumsum(many[codes])
+        take = np.arange(after[-1] if len(after) else 0) + np.repeat(begins[codes] - after + many[codes], many[codes])
+        return flat[take], np.r_[0, after][ends]
+
+    def encode(self, texts: pa.Array, end: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(number of the first text, ids, places where a text's ids begin and end) for some MB of texts at a time.
+
+        ``texts`` are UTF-8 bytes without nulls; ``end`` is appended to each text's ids.
+        """
+        texts = texts.cast(pa.large_binary())
+        at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+        a = 0
+        while a < len(texts):
+            b = max(a + 1, int(np.searchsorted(at, at[a] + AT_ONCE, "right")) - 1)
+            yield (a, *self._encode(data[at[a] : at[b]], at[a : b + 1] - at[a], end))
+            a = b
 
     def ids(self, text: bytes) -> bytes:
-        """All ids of a text."""
-        self.turn()
-        self.words.turn()
-        return b"".join(map(self.__getitem__, text.split()))
+        """All ids of one text, 4 bytes each, little-endian."""
+        return b"".join(ids.tobytes() for _, ids, _ in self.encode(pa.array([text], pa.large_binary())))
 
 
 _encoders: dict[str, Encoder] = {}

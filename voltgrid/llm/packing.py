@@ -15,7 +15,6 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,20 +29,21 @@ def cut(vocabulary: str, end_id: int, places: int):
     """Batches of (doc_id, text as binary) to batches of `PIECES`."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, end = encoder(vocabulary), np.array([end_id], "<u4").tobytes()
+        codes = encoder(vocabulary)
         for part in rows:
-            out = []
-            for name, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                ids = codes.ids(text.as_py()) + end
-                for piece, at in enumerate(range(0, len(ids), 4 * places)):
-                    own = ids[at : at + 4 * places]
-                    out.append((name, piece, at // 4, len(own) // 4, zlib.crc32(own)))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                ["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
+            names = part.column(0).to_pylist()
+            for first, ids, ends in codes.encode(part.column(1), end_id):
+                out = []
+                for name, a, b in zip(names[first:], ends[:-1].tolist(), ends[1:].tolist(), strict=False):
+                    for piece, at in enumerate(range(a, b, places)):
+                        own = ids[at : min(at + places, b)]
+                        out.append((name, piece, at - a, len(own), zlib.crc32(own.tobytes())))
+                columns = list(zip(*out, strict=True)) or [()] * 5
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                    ["doc_id", "piece", "start", "length", "ids_crc32"],
+                )
 
     return batches
 

@@ -33,40 +33,20 @@ ROW_GROUP_BYTES = 16 * 1024 * 1024
 PAGE_BYTES = 128 * 1024
 PAGE_ROWS = 1_000
 TOKENS = "doc_id long, start long, n_tokens long, ids array<int>"
-#: rows that are handed on at once
-BATCH_IDS = 1_000_000
 
 
 def encode_rows(vocabulary: str, end_id: int):
     """Batches of (doc_id, text as binary) to batches of `TOKENS`, in the order they come."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes, end, start = encoder(vocabulary), np.array([end_id], "<u4").tobytes(), 0
-
-        def batch(names, ids):
-            nonlocal start
-            sizes = np.array([len(x) // 4 for x in ids], np.int64)
-            ends = np.cumsum(sizes)
-            starts = start + ends - sizes
-            start += int(ends[-1])
-            values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), values)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.int64()), pa.array(starts), pa.array(sizes), lists],
-                ["doc_id", "start", "n_tokens", "ids"],
-            )
-
+        codes, start = encoder(vocabulary), 0
         for part in rows:
-            names, ids, held = [], [], 0
-            for name, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                names.append(name)
-                ids.append(codes.ids(text.as_py()) + end)
-                held += len(ids[-1])
-                if held > 4 * BATCH_IDS:
-                    yield batch(names, ids)
-                    names, ids, held = [], [], 0
-            if names:
-                yield batch(names, ids)
+            for first, ids, ends in codes.encode(part.column(1), end_id):
+                sizes = np.diff(ends)
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.view(np.int32)))
+                names = part.column(0).slice(first, len(sizes))
+                yield pa.RecordBatch.from_arrays([names, pa.array(start + ends[:-1]), pa.array(sizes), lists], ["doc_id", "start", "n_tokens", "ids"])
+                start += int(ends[-1])
 
     return batches
 
