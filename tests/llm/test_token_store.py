@@ -17,7 +17,7 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 @functools.cache
 def forgetful():
-    return Encoder(VOCABULARY, chunks=20, words=10)
+    return Encoder(VOCABULARY, words=10)
 
 
 def expected(rows, end=2):
