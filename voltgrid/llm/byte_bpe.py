@@ -35,7 +35,7 @@ from .common import shared_path, ship
 
 #: bytes of text in a block, and of those cut (characters) or put together (positions) at once
 BLOCK_BYTES = 32 << 20
-AT_ONCE = 1 << 21
+AT_ONCE = 1 << 19
 
 MARK, LETTER, NUMBER, SPACE = range(4)
 
@@ -137,18 +137,23 @@ def number_words(texts: pa.Array) -> tuple[pa.Array, pa.Array]:
     at, data = _binary(texts)
     if not len(data):
         return pa.array([], pa.large_binary()), pa.array([[]] * len(texts), pa.list_(pa.int32()))
+    wide, kind = (np.int64, pa.LargeBinaryArray) if len(data) >= 2**31 else (np.int32, pa.BinaryArray)
     starts, first = [], 0
     while first < len(texts):
         end = max(first + 1, int(np.searchsorted(at, at[first] + AT_ONCE, "right")) - 1)
         own = at[first : end + 1] - at[first]
         if own[-1]:
-            starts.append(at[first] + word_starts(data[at[first] : at[end]], own[:-1][np.diff(own) > 0]))
+            starts.append((at[first] + word_starts(data[at[first] : at[end]], own[:-1][np.diff(own) > 0])).astype(wide))
         first = end
-    starts = np.concatenate(starts)
-    bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int64))
-    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, bounds, pa.py_buffer(data)]).dictionary_encode()
+    starts = np.concatenate([*starts, np.array([len(data)], wide)])
     ends = np.searchsorted(starts, at).astype(np.int32)
-    return found.dictionary, pa.ListArray.from_arrays(pa.array(ends), found.indices.cast(pa.int32()))
+    buffers = [None, pa.py_buffer(starts), pa.py_buffer(data)]
+    found = kind.from_buffers(pa.large_binary() if wide is np.int64 else pa.binary(), len(starts) - 1, buffers).dictionary_encode()
+    # numbered in the order of the words: neighbours begin alike, which compresses well
+    order = pc.array_sort_indices(found.dictionary).to_numpy()
+    number = np.empty(len(order), np.int32)
+    number[order] = np.arange(len(order), dtype=np.int32)
+    return found.dictionary.take(pa.array(order)), pa.ListArray.from_arrays(pa.array(ends), pa.array(number[found.indices.to_numpy()]))
 
 
 def _blocks(parts: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.Table]:
@@ -201,7 +206,7 @@ def encode(
     name = f"word_blocks_{uuid.uuid4().hex}"
     cut_texts = source.mapInArrow(cut, StructType([block, *numbered, codes, words]))
     # numbers of words are spread too widely for a dictionary page to help
-    plain = {"compression": "zstd", "parquet.enable.dictionary": "false", "path": shared_path(spark, "blocks")}
+    plain = {"compression": "zstd", "parquet.compression.codec.zstd.level": "9", "parquet.enable.dictionary": "false", "path": shared_path(spark, "blocks")}
     cut_texts.write.bucketBy(buckets, "block").options(**plain).saveAsTable(name)
     staged = spark.table(name)
 
@@ -216,22 +221,26 @@ def encode(
                 found.append(ids)
             own = pa.array(found, pa.list_(pa.int32())).take(pa.array(order))
             blocks, codes = part.column(0).to_numpy()[order], part.column(1).to_numpy()[order]
-            many = pc.list_value_length(own).to_numpy()
+            after = np.cumsum(pc.list_value_length(own).to_numpy())
+            tokens = own.flatten().to_numpy().copy()
+            tokens[after - 1] = ~tokens[after - 1]  # marks the last id of a word
             first = np.flatnonzero(np.r_[True, blocks[1:] != blocks[:-1]]) if len(blocks) else np.zeros(0, np.int64)
             ends = np.append(first, len(blocks)).astype(np.int32)
-            lists = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x, pa.int32())) for x in (codes, many)]
-            flat = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)][ends].astype(np.int32)), own.flatten())
-            yield pa.RecordBatch.from_arrays([pa.array(blocks[first], pa.int64()), *lists, flat], ["block", "codes", "counts", "ids"])
+            numbers = pa.ListArray.from_arrays(pa.array(ends), pa.array(codes, pa.int32()))
+            ids_of = pa.ListArray.from_arrays(pa.array(np.r_[0, after][ends].astype(np.int32)), pa.array(tokens, pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array(blocks[first], pa.int64()), numbers, ids_of], ["block", "codes", "ids"])
 
     here = staged.where("words IS NOT NULL").select("block", F.posexplode("words").alias("code", "word"))
     sorted_words = here.repartition("word").sortWithinPartitions("word")
-    found = sorted_words.mapInArrow(encode_words, "block long, codes array<int>, counts array<int>, ids array<int>")
+    found = sorted_words.mapInArrow(encode_words, "block long, codes array<int>, ids array<int>")
 
     def rebuild(key: tuple, texts: pa.Table, words: pa.Table) -> pa.Table:
         flat = lambda column: column.combine_chunks().flatten().to_numpy()
-        code, counts, ids = (flat(words.column(c)) for c in ("codes", "counts", "ids"))
+        code, ids = (flat(words.column(c)) for c in ("codes", "ids"))
+        ends = np.flatnonzero(ids < 0) + 1
+        counts, ids = np.diff(np.r_[0, ends]), np.where(ids < 0, ~ids, ids)
         many, first = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
-        many[code], first[code] = counts, np.cumsum(counts) - counts
+        many[code], first[code] = counts, ends - counts
         places = texts.column("codes").combine_chunks()
         at, numbers = places.offsets.to_numpy().astype(np.int64), places.values.to_numpy()
         chunks, a = [], 0
