@@ -1,5 +1,7 @@
 """The driver contract, and some registered queries against their check SQL."""
 
+import shutil
+import subprocess
 import sys
 from pathlib import Path
 
@@ -53,3 +55,14 @@ def test_query_against_sql(spark, duck, name):
     columns = [d[0] for d in result.description]
     assert {d[0]: kind(str(d[1])) for d in result.description} == dict(df.dtypes)
     assert canonical([tuple(r) for r in df.collect()], df.columns) == canonical(result.fetchall(), columns)
+
+
+def test_the_rest_loads_without_the_operators_for_training_data(tmp_path):
+    """Also where only their package is gone and the pipeline's file still stands there."""
+    root = Path(entry.__file__).resolve().parent
+    shutil.copytree(root / "voltgrid", tmp_path / "voltgrid", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    (tmp_path / "corpus_pipeline.py").write_text("from voltgrid.llm import language\n")
+    told = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()), any(q.startswith('op') and q[2].isdigit() for q in e.queries()))"
+    out = subprocess.run([sys.executable, "-c", told], cwd=tmp_path, capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) == len(entry.QUERIES) and int(out[1]) == len(entry.CHECKS) and out[2] == "False"

@@ -280,6 +280,90 @@ def test_a_month_over_several_files_is_replaced_as_a_whole(spark, tmp_path):
     assert run() == [(1, "OPEL"), (3, "KIA")]
 
 
+def test_many_files_need_a_constant_number_of_jobs(spark, tmp_path):
+    orders = ["id;name;kind", "kind;id;name", "name;id", "\ufeffid;name;kind"]
+
+    def read(n):
+        folder = tmp_path / str(n)
+        folder.mkdir()
+        for i in range(n):
+            header = orders[i % 4]
+            values = {"id": str(i), "name": f"n {i}", "kind": "é"}
+            row = ";".join(values[c] for c in header.lstrip("\ufeff").split(";"))
+            (folder / f"202003{i % 28 + 1:02d} +%20{i}.csv").write_text("" if i == 5 else f"{header}\n{row}\n", encoding="utf-8")
+        group = f"headers {n}"
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            df = delimited.read_by_header(spark, str(folder), {"name": "called"}, source_file=True)
+            jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        got = {int(r.id): (r.called, r.kind, r.source_file) for r in df.collect()}
+        assert got == {i: (f"n {i}", None if i % 4 == 2 else "é", f"202003{i % 28 + 1:02d} +%20{i}.csv") for i in range(n) if i != 5}
+        return jobs
+
+    few, many = read(150), read(1_500)  # beyond 32 paths Spark lists them in jobs of its own
+    assert many == few <= 8
+
+
+def test_folders_without_lines(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    assert delimited.read_by_header(spark, str(tmp_path)).isEmpty()
+
+
+def _inbox(tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    for name in ("a1", "a2"):
+        (inbox / f"{name}.txt").write_text(fixed_line(brand=name))
+    return inbox
+
+
+def _brands(spark, table):
+    return sorted((r.month, r.brand) for r in ingest.read_months(spark, table).collect())
+
+
+@pytest.mark.parametrize("files_per_trigger", [1, 100])
+def test_a_second_checkpoint_loses_and_repeats_nothing(spark, tmp_path, files_per_trigger):
+    inbox, table = _inbox(tmp_path), str(tmp_path / "table")
+
+    def run(checkpoint, **how):
+        lines = ingest.stream_lines(spark, str(inbox), files_per_trigger)
+        ingest.ingest_months(lines, table, str(tmp_path / checkpoint), ingest.registrations_by_month, **how)
+        return _brands(spark, table)
+
+    first = [(1, "a1"), (1, "a2")]
+    assert run("cp1") == first
+    assert run("cp2") == first  # the same files under another checkpoint
+    (inbox / "b1.txt").write_text(fixed_line(brand="b1"))
+    assert run("cp3") == [*first, (1, "b1")]  # its batches are numbered from 0 again
+    assert run("cp1") == run("cp2") == [*first, (1, "b1")]
+
+
+def test_stored_months_are_skipped(spark, tmp_path):
+    inbox, table = _inbox(tmp_path), str(tmp_path / "table")
+
+    def run(checkpoint):
+        lines = ingest.stream_lines(spark, str(inbox), files_per_trigger=1)
+        ingest.ingest_months(lines, table, str(tmp_path / checkpoint), ingest.registrations_by_month, skip_stored=True)
+        return _brands(spark, table)
+
+    first = [(1, "a1"), (1, "a2")]
+    assert run("cp1") == first
+    (inbox / "again.txt").write_text("\n".join([fixed_line(brand="a1"), fixed_line(date="07032020", brand="c")]))
+    assert run("cp1") == [*first, (3, "c")]
+    assert run("cp2") == [*first, (3, "c")]
+
+
+def test_a_batch_that_broke_before_its_record_does_not_count(spark, tmp_path):
+    inbox, table = _inbox(tmp_path), str(tmp_path / "table")
+    left = spark.createDataFrame([("x", 2020, 1, "gone-0")], "brand string, year int, month int, batch string")
+    left.write.partitionBy("year", "month", "batch").parquet(table)
+    assert _brands(spark, table) == []
+    ingest.ingest_months(ingest.stream_lines(spark, str(inbox)), table, str(tmp_path / "cp"), ingest.registrations_by_month)
+    assert _brands(spark, table) == [(1, "a1"), (1, "a2")]
+
+
 def test_an_unreadable_table_is_not_a_new_one(spark, tmp_path):
     (tmp_path / "months").mkdir()
     (tmp_path / "months" / "part-0.parquet").write_text("no table")

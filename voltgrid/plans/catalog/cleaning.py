@@ -238,7 +238,7 @@ view(
 
 
 @query(
-    "site_connectors",
+    "connector_rows",
     sql(
         """SELECT CAST(site_id AS VARCHAR) AS site_id, count(*) AS n_connectors, max(power) / 1000 AS max_power_kw,
                   array_to_string(list_sort(list(DISTINCT type)), ', ') AS connector_types
@@ -246,7 +246,7 @@ view(
         "connectors",
     ),
 )
-def site_connectors(spark, sf):
+def connector_rows(spark, sf):
     # a site holds a handful of connectors; they arrive as rows and are gathered per site
     rows = spark.read.parquet(f"{sf}/orders.parquet").selectExpr(
         "cast(o_custkey AS string) AS site_id", "cast(o_orderkey % 350 AS double) * 1000 AS power", "o_orderpriority AS type"

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ...functions import geodesy as G
+from ...functions.dates import file_name_date
 from ...operators import cleaning as C
 from ...session import ensure_checkpoint_dir
 from ...sources import delimited, fixed_width, geojson, sinks, sites_xml
@@ -143,6 +144,46 @@ def flows_by_date(spark, sf):
     return _by_day(sinks.read_parquet(spark, path))
 
 
+def _named_files(df: DataFrame, stamp: str, path: str, suffix: str) -> None:
+    """One file per value of ``stamp``, called by it, written by all tasks and moved together."""
+    spark = df.sparkSession
+    df.repartition(stamp).write.mode("append").options(header="true", sep=";").partitionBy(stamp).csv(f"{path}-parts")
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(place)
+    for part in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}-parts/{stamp}=*/part-*")):
+        value = part.getPath().getParent().getName().split("=", 1)[1]
+        fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{value}{suffix}"))
+
+
+@query(
+    "files_by_header",
+    """SELECT strftime(l_shipdate, '%Y%m') || '01 a+b%20.csv' AS source_file, CAST(date_trunc('month', l_shipdate) AS DATE) AS date, count(*) AS n,
+              CAST(sum(l_orderkey) AS BIGINT) AS orders, sum(CASE WHEN month(l_shipdate) % 3 <> 2 THEN l_quantity END) AS quantity,
+              count(CASE WHEN month(l_shipdate) % 3 = 2 THEN l_linestatus END) AS noted
+       FROM lineitem GROUP BY 1, 2""",
+)
+def files_by_header(spark, sf):
+    """A file a month in three header orders; where a row came from, and the date in the file's name."""
+    path = _folder(spark, "headers")
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet").withColumn("stamp", F.date_format(F.trunc("l_shipdate", "MM"), "yyyyMMdd"))
+    order, quantity, note = F.col("l_orderkey").alias("order"), F.col("l_quantity").alias("quantity"), F.col("l_linestatus").alias("note")
+    for k, columns in enumerate([(order, quantity), (quantity, order), (note, order)]):
+        _named_files(rows.where(F.month("l_shipdate") % 3 == k).select(*columns, "stamp"), "stamp", path, " a+b%20.csv")
+    found = delimited.read_by_header(spark, path, source_file=True)
+    return (
+        found.withColumn("date", file_name_date(name="source_file"))
+        .groupBy("source_file", "date")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.col("order").cast("long")).alias("orders"),
+            F.sum(F.col("quantity").cast("double")).alias("quantity"),
+            F.count("note").alias("noted"),
+        )
+    )
+
+
 # ---- registrations: latin-1 text, months that are left alone --------------------------
 @query(
     "fixed_width_files",

@@ -10,7 +10,7 @@ from ...operators import flows as FL
 from ...operators import quality as Q
 from ...operators import ranking as R
 from ...session import ensure_checkpoint_dir
-from ...streaming.ingest import ingest_months
+from ...streaming.ingest import ingest_months, read_months
 from .. import bindings as b
 from ..registry import query, sql, view
 from .views import values
@@ -260,3 +260,36 @@ def incremental_ingest(spark, sf):
         .groupBy(F.to_date("ts").alias("day"), "event_type")
         .agg(F.count(F.lit(1)).cast("long").alias("n"), F.round(F.sum("value"), 4).alias("total"))
     )
+
+
+@query(
+    "ingest_in_parts",
+    """SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(DISTINCT event_id) AS events, round(sum(value), 4) AS total
+       FROM events GROUP BY 1""",
+)
+def ingest_in_parts(spark, sf):
+    """Days over many files and batches, the same files again under a second checkpoint, and then stored days again."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/ingest-{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(12, "event_id").write.parquet(f"{folder}/in")
+
+    def arrive(checkpoint, files, **how):
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/in")
+        stream = stream.select("*", F.col("_metadata.file_name").alias("source_file"))
+        by_day = lambda df: df.withColumn("day", F.to_date("ts"))
+        ingest_months(stream, f"{folder}/table", f"{folder}/{checkpoint}", by_day, keys=["day"], **how)
+
+    arrive("first", 5)
+    arrive("second", 4)
+    events.repartition(2).write.mode("append").parquet(f"{folder}/in")
+    arrive("third", 100, skip_stored=True)
+    return (
+        read_months(spark, f"{folder}/table")
+        .groupBy("day")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.countDistinct("event_id").alias("events"),
+            F.round(F.sum("value"), 4).alias("total"),
+        )
+    )

@@ -40,6 +40,8 @@ def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
     """Register a query under a key, with its check if SQL can express one."""
 
     def add(function: Query) -> Query:
+        if name in QUERIES:
+            raise ValueError(f"query {name} is registered already")
         QUERIES[name] = function
         if check is not None:
             CHECKS[name] = check

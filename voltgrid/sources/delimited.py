@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +17,7 @@ from ..operators import cleaning as C
 CORRUPT = "_corrupt_record"
 #: the file a row came from, as it is called (Spark's column has it as part of a URL)
 FILE_NAME = "url_decode(replace(_metadata.file_name, '+', '%2B'))"
+FILE_PATH = "url_decode(replace(_metadata.file_path, '+', '%2B'))"
 #: holds the first field after the last column
 _SURPLUS = "_surplus_field"
 
@@ -61,11 +61,24 @@ def read_strings(
     return df.select("*", F.expr(FILE_NAME).alias("source_file")) if source_file else df
 
 
-def header_of(spark: SparkSession, path: str, sep: str = ";", encoding: str = "UTF-8") -> list[str]:
-    """Names in the first line, trimmed, without byte-order mark, repeats numbered."""
-    first = spark.read.option("encoding", encoding).option("sep", "\u0001").option("quote", "").schema("value string").csv(path).first()
-    names = (first.value if first else "").lstrip("﻿").split(sep)
-    return C.unique_headers([n.replace("\n", " ").strip().strip('"').strip() for n in names])
+def headers_of(spark: SparkSession, files: Sequence[str], sep: str = ";", encoding: str = "UTF-8") -> dict[tuple[str, ...], list[str]]:
+    """Files by the names in their first line: trimmed, without byte-order mark, repeats numbered.
+
+    One job over all files, however many there are: a file's first line is the one with
+    the smallest row id in the split that begins it.  Few rows come to the driver, one per
+    header, with the names of its files.
+    """
+    lines = spark.read.option("encoding", encoding).option("sep", "\u0001").option("quote", "").schema("value string").csv(list(files))
+    lines = lines.select(
+        "value", F.expr(FILE_PATH).alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id")
+    )
+    firsts = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "id").alias("header"))
+    found: dict[tuple[str, ...], list[str]] = {}
+    for row in firsts.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
+        names = (row["header"] or "").lstrip("\ufeff").split(sep)
+        header = C.unique_headers([n.replace("\n", " ").strip().strip('"').strip() for n in names])
+        found.setdefault(tuple(header), []).extend(row["files"])
+    return found
 
 
 def read_by_header(
@@ -79,13 +92,15 @@ def read_by_header(
     """Files whose headers may differ, as text columns joined by name.
 
     Every file is read with its own header (renamed by ``names``, repeats numbered), files
-    with equal headers together; a column that a file lacks is null there.
+    with equal headers together; a column that a file lacks is null there.  The number of
+    jobs does not grow with the files.
     """
-    files = [unquote(f) for f in spark.read.text(path).inputFiles()]
+    paths = [path] if isinstance(path, str) else list(path)
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(files):
-        header = C.unique_headers([(names or {}).get(c, c) for c in header_of(spark, file, sep, encoding)])
-        groups.setdefault(tuple(header), []).append(file)
+    for header, own in headers_of(spark, paths, sep, encoding).items():
+        groups.setdefault(tuple(C.unique_headers([(names or {}).get(c, c) for c in header])), []).extend(own)
+    if not groups:  # files without a line
+        return spark.createDataFrame([], "source_file string" if source_file else "")
     parts = [
         read_strings(spark, path if len(groups) == 1 else own, list(header), sep, encoding, source_file=source_file)
         for header, own in groups.items()
