@@ -217,3 +217,50 @@ def test_detailed_outline_with_a_hole(spark, radius):
     for how, ids in (("left_semi", expected), ("left_anti", sorted({p[0] for p in places} - set(expected)))):
         got = spatial.points_by_polygons(left, area, radius=radius, how=how, cell=1_500.0)
         assert sorted(r.id for r in got.collect()) == ids
+
+
+def crowd_and_roads(spark, crowded):
+    """1,000 lines of a kilometre all over the map, and short ones in one spot far from them."""
+    rng = random.Random(6)
+    lines = [(i, x, y, x + 1_000.0, y) for i, (x, y) in enumerate((rng.random() * 600_000, 4_000_000 + rng.random() * 600_000) for _ in range(1_000))]
+    spot = [(1_000 + i, 700_000 + rng.random() * 400, 4_700_000 + rng.random() * 400) for i in range(crowded)]
+    lines += [(i, x, y, x + rng.random() * 3, y + rng.random() * 3) for i, x, y in spot]
+    return lines, spark.createDataFrame(lines, "road long, x1 double, y1 double, x2 double, y2 double")
+
+
+def test_a_crowded_cell_leaves_the_others_as_they_are(spark):
+    lines, few = crowd_and_roads(spark, 0)
+    whole, many = crowd_and_roads(spark, 6_000)
+    counts = []
+    for df in (few, many):
+        levels, leaves = spatial._crowded_levels(df, ["road"], "road", "segment", spatial.PYRAMID, 256)
+        far = leaves.where("x1 < 650000")
+        counts.append((far.count(), far.agg(F.max("_lv")).first()[0], len(levels)))
+        tree, split = spatial._line_tree(df, 10.0, 8_000.0)
+        counts[-1] += (tree.where("x1 < 650000").count(), len(split))
+    (pieces, depth, levels, cells, split), (pieces2, depth2, levels2, cells2, split2) = counts
+    assert (pieces2, depth2, cells2) == (pieces, depth, cells) == (1_000, 2, cells)
+    assert levels2 > levels == 3 and split2 > split == 0
+    rng = random.Random(7)
+    places = [(i, 700_000 + rng.random() * 400, 4_700_000 + rng.random() * 400) for i in range(40)]
+    places += [(40 + i, rng.random() * 700_000, 4_000_000 + rng.random() * 700_000) for i in range(60)]
+    left = spark.createDataFrame(places, "id long, x double, y double")
+    got = {r.id: r for r in spatial.nearest(left, many, ["road"], "road", geometry="segment").collect()}
+    for i, x, y in places:
+        d, road = min((seg_dist(x, y, *s[1:]), s[0]) for s in whole)
+        assert (got[i].road, got[i].distance_m) == (road, pytest.approx(d))
+    near = {r.id for r in spatial.within_distance_of_lines(left, many, 10.0).collect()}
+    assert near == {i for i, x, y in places if min(seg_dist(x, y, *s[1:]) for s in whole) < 10.0} and near
+
+
+def test_long_lines_are_cut_finely_only_where_they_cross_the_crowd(spark):
+    rng = random.Random(3)
+    lines = [(i, 0.0, 4_000_000.0 + i, 900_000.0, 4_000_000.0 + i) for i in range(20)]
+    lines += [(20 + i, x, y, x + 2.0, y) for i, (x, y) in enumerate((450_000 + rng.random() * 300, 4_000_000 + rng.random() * 300) for _ in range(2_000))]
+    df = spark.createDataFrame(lines, "road long, x1 double, y1 double, x2 double, y2 double")
+    _, leaves = spatial._crowded_levels(df, ["road"], "road", "segment", spatial.PYRAMID, 64)
+    assert leaves.where("_item.road < 20").count() < 20 * 110 * 2
+    places = [(i, 449_000 + rng.random() * 2_000, 3_999_900 + rng.random() * 600) for i in range(50)]
+    left = spark.createDataFrame(places, "id long, x double, y double")
+    got = {r.id: r.road for r in spatial.nearest(left, df, ["road"], "road", geometry="segment", crowd=64).collect()}
+    assert got == {i: min((seg_dist(x, y, *s[1:]), s[0]) for s in lines)[1] for i, x, y in places}

@@ -2,15 +2,19 @@
 
 Nothing here compares all rows with all rows.  Points, line pieces and polygons
 are put into square cells, candidates meet in an equi-join on the cell, and an
-exact test decides.  The nearest-neighbour search walks down a pyramid of cells
-with bounding boxes and keeps only boxes that can still hold the nearest item,
-so a crowded cell far from a point costs one comparison.
+exact test decides.  Cells form a tree: one that holds too many items is split,
+and only what lies in it goes on to smaller cells, so the level of a cell is part of
+the join key and a crowded spot leaves the cells and pieces elsewhere as they are.
+The nearest-neighbour search walks down the tree with bounding boxes and keeps only
+boxes that can still hold the nearest item, so a crowded cell far from a point costs
+one comparison.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +24,11 @@ from ..functions import geodesy as G
 from ..session import BROADCAST_BYTES, join_way, materialise
 
 CELL_X, CELL_Y = "_cx", "_cy"
+#: depth of a cell in a tree of cells
+LEVEL = "_lv"
 #: metres that rounding may move a position against its cell
 _SLACK = 1e-3
-#: items a cell may hold before cells are made smaller
+#: items a cell may hold before it is split
 CROWD = 256
 
 
@@ -43,6 +49,7 @@ def cover_box(df: DataFrame, box: Sequence[str], size: float) -> DataFrame:
 # pieces of lines
 # --------------------------------------------------------------------------
 SEGMENT = ("x1", "y1", "x2", "y2")
+_BOX = ("bx0", "by0", "bx1", "by1")
 
 
 def line_to_segments(lines: DataFrame, vertices: str, keep: Sequence[str]) -> DataFrame:
@@ -69,6 +76,31 @@ def cut_segments(segments: DataFrame, piece: float) -> DataFrame:
     )
 
 
+#: ends of a piece of a segment
+_ENDS = ("ex1", "ey1", "ex2", "ey2")
+
+
+def _with_ends(segments: DataFrame) -> DataFrame:
+    """Each segment as a piece of its own."""
+    return segments.selectExpr("*", *(f"{c} AS {e}" for c, e in zip(SEGMENT, _ENDS)))
+
+
+def _cut_pieces(pieces: DataFrame, length: float) -> DataFrame:
+    """Pieces no longer than ``length``, with their boxes; a piece is cut where it lies, not its whole segment."""
+    rest = [c for c in pieces.columns if c not in (*_ENDS, *_BOX)]
+    parts = f"cast(greatest(1, ceil({G.distance(*_ENDS)} / {length!r}D)) AS int)"
+    cut = pieces.selectExpr(*rest, *_ENDS, f"{parts} AS _n").selectExpr("*", "explode(sequence(0, _n - 1)) AS _i")
+    ends = ["ex1 + (ex2 - ex1) * _i / _n", "ey1 + (ey2 - ey1) * _i / _n", "ex1 + (ex2 - ex1) * (_i + 1) / _n", "ey1 + (ey2 - ey1) * (_i + 1) / _n"]
+    return cut.selectExpr(*rest, *(f"{e} AS {c}" for e, c in zip(ends, _ENDS))).selectExpr(
+        "*", "least(ex1, ex2) AS bx0", "least(ey1, ey2) AS by0", "greatest(ex1, ex2) AS bx1", "greatest(ey1, ey2) AS by1"
+    )
+
+
+def _crowded(placed: DataFrame, crowd: int) -> DataFrame:
+    """Cells that hold more than ``crowd`` rows."""
+    return placed.groupBy(CELL_X, CELL_Y).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd).select(CELL_X, CELL_Y)
+
+
 def line_cells(segments: DataFrame, grow: float, cell: float) -> DataFrame:
     """Segments in the cells their grown pieces touch, as a join side of checked size.
 
@@ -100,22 +132,56 @@ def within_distance_of_lines(
     """Points strictly nearer than ``radius`` to any segment (semi-join).
 
     Segments are cut to cell length and written to the cells their grown boxes
-    touch; a point looks only into its own cell.  Without ``cell`` the cells are
-    halved while one holds more than `CROWD` segments, but not below the radius.
+    touch; a point looks only into its own cell.  Without ``cell`` a cell that holds more
+    than `CROWD` pieces is split, down to the radius; the point then looks into the
+    smallest cell it lies in.
     """
     size = float(cell or max(radius * 16, 8_000.0))
-    while cell is None and size / 2 >= max(radius, 1.0) and _fullest(segments, size) > CROWD:
-        size /= 2
     r = f"{float(radius)!r}D"
     near = f"{G.point_segment_distance(f'l.{x}', f'l.{y}', G.ends('r.'))} < {r}"
-    pieces = line_cells(segments, radius, size)
-    return _cell_join(with_cell(points, x, y, size), pieces, near, "left_semi").select(*points.columns)
-
-
-def _fullest(segments: DataFrame, size: float) -> int:
-    """Most pieces of distinct segments whose middle is in one cell."""
-    middle = with_cell(cut_segments(segments.select(*SEGMENT).distinct(), size), "(bx0 + bx1) / 2", "(by0 + by1) / 2", size)
-    return middle.groupBy(CELL_X, CELL_Y).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if cell is not None:
+        return _cell_join(with_cell(points, x, y, size), line_cells(segments, radius, size), near, "left_semi").select(*points.columns)
+    tree, split = _line_tree(segments, radius, size)
+    placed = with_cell(points, x, y, size).withColumn(LEVEL, F.lit(0))
+    for level, cells in enumerate(split):
+        # split cells are at most one in `CROWD` pieces; a point in one moves down to the smaller cell
+        size /= SPLIT
+        known = cells.selectExpr(f"{CELL_X} AS _ux", f"{CELL_Y} AS _uy", f"{level} AS _ul")
+        met = placed.join(known, F.expr(f"{CELL_X} = _ux AND {CELL_Y} = _uy AND {LEVEL} = _ul"), "left")
+        fine = [f"if(_ul IS NULL, {c}, floor(({v}) / {size!r}D)) AS {c}" for c, v in ((CELL_X, x), (CELL_Y, y))]
+        placed = met.selectExpr(*points.columns, *fine, f"if(_ul IS NULL, {LEVEL}, {level + 1}) AS {LEVEL}")
+    return _cell_join(placed, tree, f"l.{LEVEL} = r.{LEVEL} AND {near}", "left_semi").select(*points.columns)
+
+
+#: a crowded cell of lines is split into so many, each way
+SPLIT = 4
+
+
+def _line_tree(segments: DataFrame, radius: float, size: float) -> tuple[DataFrame, list[DataFrame]]:
+    """Segments in cells of mixed levels, a side of checked size, and the split cells of each level."""
+    g = f"{float(radius)!r}D"
+    grown = [f"bx0 - {g}", f"by0 - {g}", f"bx1 + {g}", f"by1 + {g}"]
+
+    def placed(pieces: DataFrame, level: int) -> DataFrame:
+        return cover_box(_cut_pieces(pieces, size), grown, size).withColumn(LEVEL, F.lit(level))
+
+    parts, split = [], []
+    rows = materialise(placed(_with_ends(segments.select(*SEGMENT).distinct()), 0))
+    while True:
+        full = _crowded(rows, CROWD)
+        if size / SPLIT < max(radius, 1.0) or full.isEmpty():
+            break
+        full = materialise(full)
+        split.append(full)
+        parts.append(rows.join(full, [CELL_X, CELL_Y], "left_anti"))
+        inside = rows.join(full, [CELL_X, CELL_Y], "left_semi").withColumnsRenamed({CELL_X: "_ux", CELL_Y: "_uy"}).drop(LEVEL)
+        size /= SPLIT
+        # a piece touches neighbours too; those are split, or hold it, on their own
+        finer = placed(inside, len(split)).where(f"floor({CELL_X} / {SPLIT}D) = _ux AND floor({CELL_Y} / {SPLIT}D) = _uy")
+        rows = materialise(finer.drop("_ux", "_uy"))
+    parts.append(rows)
+    whole = reduce(DataFrame.unionByName, [p.select(LEVEL, CELL_X, CELL_Y, *SEGMENT) for p in parts])
+    return whole.hint(join_way(whole, "64")), split
 
 
 def _cell_join(left: DataFrame, right: DataFrame, condition: str, how: str) -> DataFrame:
@@ -209,7 +275,7 @@ def lines_clear_of_polygons(
 #: cells is bounded by the mapped area (1,300 x 1,100 km hold 90 cells of the
 #: top and 340,000 of the lowest level), not by the number of items.
 PYRAMID = (131_072.0, 16_384.0, 2_048.0)
-#: below the lowest level, cells shrink by this factor where items crowd, down to the smallest size
+#: a crowded cell of the lowest level is split into cells smaller by this factor, down to the smallest size
 SHRINK, SMALLEST = 8.0, 0.5
 _NODE_BYTES = 64
 
@@ -230,23 +296,23 @@ def nearest(
 
     ``items`` are points (columns ``x y``) or segments (``x1 y1 x2 y2``); of
     several items at the same distance the lowest ``tie_break`` wins.  Points
-    without position, or without any item to find, get nulls.  Levels are added
-    below ``pyramid`` until no cell holds more than ``crowd`` items, so the work
-    for a position does not grow with the density of the items.
+    without position, or without any item to find, get nulls.  Below ``pyramid`` cells
+    are split until none holds more than ``crowd`` items, so the work for a position
+    does not grow with the density of the items, nor that of the items elsewhere.
     """
     # the search is work, not bytes: keep as many partitions as a shuffle may have
     width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spots = _positions(points, x, y).repartition(width, "_px", "_py")
-    pyramid, leaves = _crowded_levels(items, payload, tie_break, geometry, pyramid, crowd)
+    levels, leaves = _crowded_levels(items, payload, tie_break, geometry, pyramid, crowd)
     leaves = leaves.hint(join_way(leaves, "200"))
-    frontier = _descend(spots, leaves, pyramid)
+    frontier = _descend(spots, leaves, levels, len(pyramid) - 1)
     if geometry == "point":
         dist = G.distance("_px", "_py", "x1", "y1")
     else:
         dist = G.point_segment_distance("_px", "_py", G.ends())
     # a crowded cell of a long item table is split at run time by the planner's skew join
     found = (
-        frontier.join(leaves, [CELL_X, CELL_Y])
+        frontier.join(leaves, [LEVEL, CELL_X, CELL_Y])
         .selectExpr("_px", "_py", f"named_struct('d', {dist}, 'item', _item) AS _found")
         .groupBy("_px", "_py")
         .agg(F.min("_found").alias("_best"))
@@ -263,70 +329,90 @@ def nearest(
 
 
 def _crowded_levels(items, payload, tie_break, geometry, pyramid, crowd) -> tuple[list[float], DataFrame]:
-    """The levels of the pyramid that the items need, and the stored items of the lowest."""
-    levels = list(pyramid)
-    while True:
-        leaves = materialise(_leaf_items(items, payload, tie_break, geometry, levels[-1]))
-        fullest = leaves.groupBy(CELL_X, CELL_Y).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        if (fullest or 0) <= crowd or levels[-1] <= SMALLEST:
-            return levels, leaves
-        levels.append(levels[-1] / SHRINK)
-
+    """Cell sizes of the tree's levels, and its stored leaves: items in cells of mixed levels.
 
-def _leaf_items(
-    items: DataFrame, payload: Sequence[str], tie_break: str, geometry: str, cell: float
-) -> DataFrame:
-    """Items with their leaf cell and box; equal geometries are merged into the winner of a tie."""
+    A round looks only at what lies in the crowded cells of the round before.
+    """
+    levels, parts = list(pyramid), []
+    open_ = _leaf_items(items, payload, tie_break, geometry)
+    while True:
+        size = levels[-1]
+        middle = ("(bx0 + bx1) / 2", "(by0 + by1) / 2")
+        placed = materialise(with_cell(_cut_pieces(open_, size * 4), *middle, size).withColumn(LEVEL, F.lit(len(levels) - 1)))
+        full = _crowded(placed, crowd)
+        if size <= SMALLEST or full.isEmpty():
+            break
+        parts.append(placed.join(full, [CELL_X, CELL_Y], "left_anti"))
+        open_ = placed.join(full, [CELL_X, CELL_Y], "left_semi").drop(CELL_X, CELL_Y, LEVEL)
+        levels.append(size / SHRINK)
+    return levels, reduce(DataFrame.unionByName, [p.drop(*_ENDS) for p in (*parts, placed)])
+
+
+def _leaf_items(items: DataFrame, payload: Sequence[str], tie_break: str, geometry: str) -> DataFrame:
+    """Items as pieces; equal geometries are merged into the winner of a tie."""
     fields = [tie_break, *(c for c in payload if c != tie_break)]
     item = "named_struct(" + ", ".join(f"'{c}', {c}" for c in fields) + ") AS _item"
+    shape = ["x1", "y1"] if geometry == "point" else list(SEGMENT)
+    given = ["x AS x1", "y AS y1"] if geometry == "point" else shape
+    rows = items.selectExpr(*given, item).na.drop(subset=shape).groupBy(*shape).agg(F.min("_item").alias("_item"))
     if geometry == "point":
-        shape = ["x1", "y1"]
-        rows = items.selectExpr("x AS x1", "y AS y1", item)
-    else:
-        shape = list(SEGMENT)
-        rows = items.selectExpr(*SEGMENT, item)
-    rows = rows.na.drop(subset=shape).groupBy(*shape).agg(F.min("_item").alias("_item"))
-    if geometry == "point":
-        rows = rows.selectExpr("*", "x1 AS bx0", "y1 AS by0", "x1 AS bx1", "y1 AS by1")
-    else:
-        rows = cut_segments(rows, cell * 4)
-    return with_cell(rows, "(bx0 + bx1) / 2", "(by0 + by1) / 2", cell)
+        return rows.selectExpr("*", "x1 AS ex1", "y1 AS ey1", "x1 AS ex2", "y1 AS ey2")
+    return _with_ends(rows)
 
 
-def _descend(spots: DataFrame, leaves: DataFrame, pyramid: Sequence[float]) -> DataFrame:
-    """For each position the leaf cells that can hold its nearest item."""
-    nodes = materialise(
-        leaves.groupBy(CELL_X, CELL_Y).agg(
-            F.expr("min(bx0) AS x0"), F.expr("min(by0) AS y0"), F.expr("max(bx1) AS x1"), F.expr("max(by1) AS y1")
-        )
-    )
-    way = "broadcast" if nodes.count() * _NODE_BYTES <= BROADCAST_BYTES else "merge"
-    kids = F.expr(f"collect_list(struct({CELL_X}, {CELL_Y}, x0, y0, x1, y1)) AS kids")
-    frontier = _own_bound(spots, nodes.hint(way), pyramid[-1])
-    packed = []  # from fine to coarse: the children of each parent cell in one array
-    for fine, coarse in zip(pyramid[::-1], pyramid[-2::-1]):
-        up = f"{coarse / fine!r}D"
-        parent = nodes.groupBy(
-            F.expr(f"floor({CELL_X} / {up}) AS _ux"), F.expr(f"floor({CELL_Y} / {up}) AS _uy")
-        ).agg(
-            kids, F.expr("min(x0) AS x0"), F.expr("min(y0) AS y0"), F.expr("max(x1) AS x1"), F.expr("max(y1) AS y1")
+_CORNERS = ("x0", "y0", "x1", "y1")
+
+
+def _hull() -> list:
+    """The box around boxes."""
+    return [F.expr(f"{f}({c}) AS {c}") for f, c in zip(("min", "min", "max", "max"), _CORNERS)]
+
+
+def _descend(spots: DataFrame, leaves: DataFrame, levels: Sequence[float], base: int) -> DataFrame:
+    """For each position the leaf cells that can hold its nearest item.
+
+    Level ``base`` is the first that has leaves; its split cells, and theirs, have
+    children on the levels below.
+    """
+    ends = (f"{b} AS {c}" for b, c in zip(_BOX, _CORNERS))
+    ends_of_level = leaves.selectExpr(LEVEL, CELL_X, CELL_Y, *ends).groupBy(LEVEL, CELL_X, CELL_Y).agg(*_hull())
+    stored = materialise(ends_of_level)
+    way = "broadcast" if stored.count() * _NODE_BYTES <= BROADCAST_BYTES else "merge"
+    kid = f"struct({CELL_X}, {CELL_Y}, {', '.join(_CORNERS)}, _leaf, {LEVEL})"
+    frontier, inner, packed = spots, None, {}
+    for level in range(len(levels) - 1, -1, -1):
+        nodes = inner
+        if level >= base:
+            nodes = stored.where(F.col(LEVEL) == level).withColumn("_leaf", F.lit(True))
+            nodes = nodes if inner is None else nodes.unionByName(inner)
+        if level <= base:
+            cells = nodes if level != base or inner is None else nodes.groupBy(CELL_X, CELL_Y).agg(*_hull())
+            frontier = _own_bound(frontier, cells.hint(way), levels[level])
+        if level == 0:
+            break
+        # the children of each parent cell in one array
+        up = f"{levels[level - 1] / levels[level]!r}D"
+        parents = nodes.groupBy(F.expr(f"floor({CELL_X} / {up}) AS _ux"), F.expr(f"floor({CELL_Y} / {up}) AS _uy")).agg(
+            F.expr(f"collect_list({kid}) AS kids"), *_hull()
         )
-        renamed = parent.withColumnsRenamed({"_ux": CELL_X, "_uy": CELL_Y})
-        packed.append(renamed.select(CELL_X, CELL_Y, "kids"))
-        nodes = renamed.drop("kids")
-        frontier = _own_bound(frontier, nodes.hint(way), coarse)
+        packed[level] = parents.selectExpr(f"_ux AS {CELL_X}", f"_uy AS {CELL_Y}", "kids")
+        inner = parents.selectExpr(f"_ux AS {CELL_X}", f"_uy AS {CELL_Y}", *_CORNERS, "false AS _leaf", f"{level - 1} AS {LEVEL}")
 
     # the coarsest cells of the mapped area fit one array; it is read as a scalar
-    top = nodes.agg(kids)
+    top = nodes.agg(F.expr(f"collect_list({kid}) AS kids"))
     farthest = f"array_min(transform(kids, k -> {_FAR.format('k.')}))"
     frontier = _open(
-        frontier.withColumn("kids", top.scalar()).selectExpr(
-            "_px", "_py", "kids", f"coalesce(_bound, {farthest}) AS _bound"
-        )
+        frontier.withColumn("kids", top.scalar()).selectExpr("_px", "_py", "kids", f"coalesce(_bound, {farthest}) AS _bound")
     )
-    for level in packed[::-1]:
-        frontier = _open(frontier.join(level.hint(way), [CELL_X, CELL_Y]))
-    return frontier.select("_px", "_py", CELL_X, CELL_Y)
+    for level in range(1, len(levels)):
+        below = packed[level].hint(way)
+        if level <= base:
+            frontier = _open(frontier.join(below, [CELL_X, CELL_Y]))
+            continue
+        # leaves stay as they are; of a split cell the children come
+        met = frontier.join(below.withColumn("_leaf", F.lit(False)), [CELL_X, CELL_Y, "_leaf"], "left")
+        frontier = _open(met.withColumn("kids", F.expr(f"coalesce(kids, array({kid}))")))
+    return frontier.select("_px", "_py", LEVEL, CELL_X, CELL_Y)
 
 
 _NEAR = "hypot(greatest(x0 - _px, _px - x1, 0D), greatest(y0 - _py, _py - y1, 0D))"
@@ -350,8 +436,8 @@ def _open(df: DataFrame) -> DataFrame:
     """
     opened = (
         df.selectExpr("_px", "_py", "_bound", "inline(kids)")
-        .selectExpr("_px", "_py", CELL_X, CELL_Y, f"{_NEAR} AS near", f"least(_bound, {_FAR.format('')}) AS _bound")
-        .where(f"near <= _bound + {_SLACK}D")
+        .selectExpr("*", f"{_NEAR} AS near", f"least(_bound, {_FAR.format('')}) AS _nearer")
+        .where(f"near <= _nearer + {_SLACK}D")
     )
-    shared = F.min("_bound").over(Window.partitionBy("_px", "_py"))
-    return opened.withColumn("_bound", shared).where(f"near <= _bound + {_SLACK}D").drop("near")
+    shared = F.min("_nearer").over(Window.partitionBy("_px", "_py"))
+    return opened.withColumn("_bound", shared).where(f"near <= _bound + {_SLACK}D").drop("near", "_nearer")
