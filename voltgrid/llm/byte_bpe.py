@@ -291,20 +291,27 @@ def token_bytes(path: str) -> pa.Array:
 def decode(ids: Column, path: str) -> Column:
     """The bytes of a list of ids: each id is joined with the token-byte table, whose size the vocabulary bounds."""
 
-    @F.arrow_udf("binary")
-    def of(lists: pa.Array) -> pa.Array:
+    def some(lists: pa.Array) -> pa.Array:
         table = token_bytes(path)
         flat = lists.flatten()
         bad = pc.or_(pc.less(flat, 0), pc.greater_equal(flat, len(table))).fill_null(True)
         pieces = table.take(pc.if_else(bad, pa.scalar(None, flat.type), flat))
-        many = pc.list_value_length(lists).fill_null(0).to_numpy()
-        ends = np.r_[0, np.cumsum(many)]
+        ends = np.r_[0, np.cumsum(pc.list_value_length(lists).fill_null(0).to_numpy())]
         at = np.frombuffer(pieces.buffers()[1], np.int64)[pieces.offset : pieces.offset + len(pieces) + 1] if len(pieces) else np.zeros(1, np.int64)
-        lost = np.r_[0, np.cumsum(pieces.is_null().to_numpy(zero_copy_only=False))][ends]
-        valid = lists.is_valid().to_numpy(zero_copy_only=False) & (np.diff(lost) == 0)
-        whole = pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(lists), [None, pa.py_buffer(np.ascontiguousarray(at[ends])), pieces.buffers()[2] or pa.py_buffer(b"")]
-        )
+        valid = lists.is_valid().to_numpy(zero_copy_only=False)
+        if pieces.null_count:
+            valid &= np.diff(np.r_[0, np.cumsum(pieces.is_null().to_numpy(zero_copy_only=False))][ends]) == 0
+        bounds = pa.py_buffer(np.ascontiguousarray(at[ends]))
+        whole = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), [None, bounds, pieces.buffers()[2] or pa.py_buffer(b"")])
         return pc.if_else(pa.array(valid), whole, pa.scalar(None, pa.large_binary())).cast(pa.binary())
 
+    @F.arrow_udf("binary")
+    def of(lists: pa.Array) -> pa.Array:
+        ends, a, out = lists.offsets.to_numpy(), 0, []
+        while a < len(lists):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] + AT_ONCE, "right")) - 1)
+            out.append(some(lists.slice(a, b - a)))
+            a = b
+        return pa.concat_arrays(out) if out else pa.array([], pa.binary())
+
     return of(ids)
