@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from voltgrid.llm import language, mixing, packing, simhash, suffix_dedup
 from voltgrid.llm.common import stored
 
-#: no stage uses it; the plain run in tests/llm/test_pipeline.py reads it
-LEAST_MATCH = 1.5
 #: characters that stand as escapes while partial characters are dropped, the escapes' first one before all
 ESCAPES = [("\x01", "\x01a"), ("\ufffd", "\x01b")]
 
