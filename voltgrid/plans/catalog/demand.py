@@ -31,7 +31,8 @@ def demand(spark, sf, **options) -> DemandPlan:
         initial=b.CV_INITIAL,
         step=b.CV_STEP,
         cv_horizon=b.CV_HORIZON,
-        **{"sql_models": B.SQL_MODELS, **options},
+        # as for planning: seasonal naive and both Holt-Winters forms may be chosen, naive and drift may not
+        **{"sql_models": B.CANDIDATES, "py_models": SM.PY_MODELS, **options},
     )
 
 
@@ -78,10 +79,107 @@ view(
        FROM fold_errors GROUP BY Series, Model, Fold""",
     "fold_errors",
 )
+# ---- models that need recursion -------------------------------------------------------
+HW_FORMS = {"Holt-Winters": (1.0,), "HW Damped": SM.DAMPINGS}
+
+
+def _grid(values) -> str:
+    return f"(VALUES {', '.join(f'({i}, CAST({v!r} AS DOUBLE))' for i, v in enumerate(values))})"
+
+
+def holt_winters_views(model: str, dampings) -> None:
+    """Every grid point walked month by month by a recursive statement; the one with the least error forecasts."""
+    season, tag = S.SEASON, len(dampings)
+    view(
+        f"walks_{tag}",
+        f"""SELECT h.Series, h.Fold, h.origin, g.*, 0 AS t, h.y, h.level, h.slope, h.seasonal, CAST(0 AS DOUBLE) AS sse
+            FROM hw_start h CROSS JOIN (
+                SELECT ((a.i * {len(SM.TRENDS)} + b.i) * {len(SM.SEASONALS)} + c.i) * {len(dampings)} + d.i AS point,
+                       a.v AS alpha, b.v AS beta, c.v AS gamma, d.v AS phi
+                FROM {_grid(SM.LEVELS)} a(i, v), {_grid(SM.TRENDS)} b(i, v), {_grid(SM.SEASONALS)} c(i, v), {_grid(dampings)} d(i, v)) g
+            UNION ALL
+            SELECT Series, Fold, origin, point, alpha, beta, gamma, phi, t + 1, y, expected + alpha * e, phi * slope + beta * alpha * e,
+                   list_transform(seasonal, lambda v, i: CASE WHEN i = t % {season} + 1 THEN v + gamma * (1 - alpha) * e ELSE v END), sse + e * e
+            FROM (SELECT *, level + phi * slope AS expected, y[t + 1] - (level + phi * slope) - seasonal[t % {season} + 1] AS e
+                  FROM walks_{tag} WHERE t < origin)""",
+        "hw_start",
+    )
+    view(
+        f"hw_best_{tag}",
+        f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Series, Fold ORDER BY sse, point) AS rn
+                           FROM walks_{tag} WHERE t = origin) WHERE rn = 1""",
+        f"walks_{tag}",
+    )
+    ahead = f"""greatest(level + slope * list_sum(list_transform(range(1, i.i + 1), lambda j: pow(phi, j)))
+                         + seasonal[(origin + i.i - 1) % {season} + 1], 0) AS p"""
+    view(
+        f"hw_errors_{tag}",
+        f"""SELECT w.Series, w.Fold, a.y AS actual, {ahead}
+            FROM hw_best_{tag} w CROSS JOIN range(1, {b.CV_HORIZON + 1}) AS i(i)
+            JOIN modelled a ON a.Series = w.Series AND a.pos = w.origin + i.i - 1 WHERE w.Fold > 0""",
+        f"hw_best_{tag}",
+        "modelled",
+    )
+    view(
+        f"hw_cv_{tag}",
+        f"""SELECT Series, '{model}' AS Model, Fold, sqrt(avg(pow(actual - p, 2))) AS RMSE, avg(abs(actual - p)) AS MAE,
+              avg(abs(actual - p) / ((abs(actual) + abs(p)) / 2 + 1e-10)) * 100 AS sMAPE,
+              sum(abs(actual - p)) / (sum(abs(actual)) + 1e-10) * 100 AS WAPE,
+              coalesce(avg(CASE WHEN actual <> 0 THEN abs((actual - p) / actual) END) * 100, 0) AS MAPE
+            FROM hw_errors_{tag} GROUP BY Series, Fold""",
+        f"hw_errors_{tag}",
+    )
+    view(
+        f"hw_points_{tag}",
+        f"SELECT w.Series, i.i - 1 AS i, {ahead} FROM hw_best_{tag} w CROSS JOIN range(1, {HORIZON + 1}) AS i(i) WHERE w.Fold = 0",
+        f"hw_best_{tag}",
+    )
+
+
+for _model, _dampings in HW_FORMS.items():
+    holt_winters_views(_model, _dampings)
+#: the folds, and as fold 0 the whole series
+view(
+    "hw_train",
+    f"""SELECT m.Series, f.Fold, f.origin, list(m.y ORDER BY m.pos) AS y
+        FROM (SELECT DISTINCT Fold, origin FROM fold_points UNION ALL SELECT 0, {N_MONTHS}) f
+        JOIN modelled m ON m.pos < f.origin GROUP BY m.Series, f.Fold, f.origin""",
+    "fold_points",
+    "modelled",
+)
+view(
+    "hw_means",
+    f"""SELECT *, list_transform(range(0, origin // {S.SEASON}), lambda c: list_avg(y[c * {S.SEASON} + 1 : c * {S.SEASON} + {S.SEASON}])) AS means
+        FROM hw_train""",
+    "hw_train",
+)
+view(
+    "hw_gaps",
+    f"""SELECT *, (means[2] - means[1]) / {S.SEASON} AS slope,
+               list_transform(range(1, {S.SEASON} + 1), lambda s: list_avg(list_transform(range(0, len(means)),
+                   lambda c: y[c * {S.SEASON} + s] - means[c + 1]))) AS gaps FROM hw_means""",
+    "hw_means",
+)
+view(
+    "hw_start",
+    f"""SELECT Series, Fold, origin, y, means[1] - slope * {S.SEASON - 1} / 2 - slope AS level, slope,
+               list_transform(gaps, lambda g: g - list_avg(gaps)) AS seasonal FROM hw_gaps""",
+    "hw_gaps",
+)
+
+
+# ---- summaries ---------------------------------------------------------------
+_MEANS = ", ".join(f"avg({m}) AS {m}" for m in METRICS)
+view("benchmark_summary", f"SELECT Series, Model, {_MEANS} FROM cv GROUP BY Series, Model", "cv")
+#: the candidates: seasonal naive and the recursive models
 view(
     "summary",
-    "SELECT Series, Model, " + ", ".join(f"avg({m}) AS {m}" for m in METRICS) + " FROM cv GROUP BY Series, Model",
+    f"""SELECT Series, Model, {_MEANS} FROM (
+            SELECT * FROM cv WHERE Model = '{B.FALLBACK_MODEL}'
+            {' '.join(f'UNION ALL SELECT * FROM hw_cv_{len(d)}' for d in HW_FORMS.values())})
+        GROUP BY Series, Model""",
     "cv",
+    *(f"hw_cv_{len(d)}" for d in HW_FORMS.values()),
 )
 _ROUND4 = ", ".join(f"round({m}, 4) AS {m}" for m in METRICS)
 
@@ -106,11 +204,9 @@ def backtest_summary(spark, sf):
 
 
 # ---- model choice --------------------------------------------------------------
-view(
-    "ranked",
-    """SELECT *, row_number() OVER (PARTITION BY Series ORDER BY RMSE, sMAPE, MAE, Model) AS rn FROM summary""",
-    "summary",
-)
+_RANK = "SELECT *, row_number() OVER (PARTITION BY Series ORDER BY RMSE, sMAPE, MAE, Model) AS rn"
+view("ranked", f"{_RANK} FROM summary", "summary")
+view("benchmark_ranked", f"{_RANK} FROM benchmark_summary", "benchmark_summary")
 view(
     "chosen",
     f"""SELECT a.Series, a.Model AS m1, a.RMSE AS r1, z.Model AS m2, z.RMSE AS r2,
@@ -178,18 +274,18 @@ def model_performance(spark, sf):
     sql(
         """SELECT s.Series, 'Seasonal Naive' AS chosen, round(s.RMSE, 4) AS chosen_rmse, r.Model AS best_of_all,
                   round(r.RMSE, 4) AS best_rmse, r.RMSE < s.RMSE AS a_benchmark_is_better, round(n.RMSE, 4) AS naive_sigma
-           FROM summary s JOIN ranked r ON r.Series = s.Series AND r.rn = 1
-           JOIN summary n ON n.Series = s.Series AND n.Model = 'Naive'
+           FROM benchmark_summary s JOIN benchmark_ranked r ON r.Series = s.Series AND r.rn = 1
+           JOIN benchmark_summary n ON n.Series = s.Series AND n.Model = 'Naive'
            WHERE s.Model = 'Seasonal Naive'""",
-        "summary",
-        "ranked",
+        "benchmark_summary",
+        "benchmark_ranked",
     ),
 )
 def candidates_and_benchmarks(spark, sf):
     """A benchmark is never chosen, however good it is; its spread is known all the same."""
     from ...operators.ranking import first_per_group
 
-    plan = demand(spark, sf, sql_models=B.CANDIDATES)
+    plan = demand(spark, sf, py_models={})
     order = [F.col(c) for c in ("RMSE", "sMAPE", "MAE", "Model")]
     best = first_per_group(plan.benchmark_summary, ["Series"], order).selectExpr("Series", "Model AS best_of_all", "RMSE AS best_rmse")
     chosen = plan.plan.selectExpr("Series", "models[0] AS chosen")
@@ -203,17 +299,18 @@ def candidates_and_benchmarks(spark, sf):
 
 
 # ---- forecasts -------------------------------------------------------------------
+_HW_POINTS = {name: f"hw_points_{len(d)}" for name, d in HW_FORMS.items()}
 view(
     "points",
-    f"""SELECT w.Series, i.i, sum(w.w * CASE w.Model WHEN 'Naive' THEN l.y WHEN 'Drift'
-                 THEN l.y + (i.i + 1) * ((l.y - z.y) / {N_MONTHS - 1}) ELSE s.y END) AS p, sum(w.w * w.sigma) AS sigma
+    f"""SELECT w.Series, i.i, sum(w.w * CASE w.Model {' '.join(f"WHEN '{n}' THEN {v}.p" for n, v in _HW_POINTS.items())} ELSE s.y END) AS p,
+               sum(w.w * w.sigma) AS sigma
         FROM weights w CROSS JOIN range(0, {HORIZON}) AS i(i)
-        JOIN modelled l ON l.Series = w.Series AND l.pos = {N_MONTHS - 1}
-        JOIN modelled z ON z.Series = w.Series AND z.pos = 0
         JOIN modelled s ON s.Series = w.Series AND s.pos = {N_MONTHS - 12} + i.i % 12
+        {' '.join(f'JOIN {v} ON {v}.Series = w.Series AND {v}.i = i.i' for v in _HW_POINTS.values())}
         GROUP BY w.Series, i.i""",
     "weights",
     "modelled",
+    *_HW_POINTS.values(),
 )
 
 
@@ -566,77 +663,7 @@ def weight_sensitivity(spark, sf):
     return FC.weight_sensitivity(demand(spark, sf).planning, b.FOCUS_YEAR)
 
 
-# ---- models that need recursion -------------------------------------------------------
-def _grid(values) -> str:
-    return f"(VALUES {', '.join(f'({i}, CAST({v!r} AS DOUBLE))' for i, v in enumerate(values))})"
-
-
-def holt_winters_sql(model: str, dampings) -> str:
-    """Every grid point walked month by month by a recursive statement; the one with the least error forecasts."""
-    season = S.SEASON
-    view(
-        f"walks_{len(dampings)}",
-        f"""SELECT h.Series, h.Fold, h.origin, g.*, 0 AS t, h.y, h.level, h.slope, h.seasonal, CAST(0 AS DOUBLE) AS sse
-            FROM hw_start h CROSS JOIN (
-                SELECT ((a.i * {len(SM.TRENDS)} + b.i) * {len(SM.SEASONALS)} + c.i) * {len(dampings)} + d.i AS point,
-                       a.v AS alpha, b.v AS beta, c.v AS gamma, d.v AS phi
-                FROM {_grid(SM.LEVELS)} a(i, v), {_grid(SM.TRENDS)} b(i, v), {_grid(SM.SEASONALS)} c(i, v), {_grid(dampings)} d(i, v)) g
-            UNION ALL
-            SELECT Series, Fold, origin, point, alpha, beta, gamma, phi, t + 1, y, expected + alpha * e, phi * slope + beta * alpha * e,
-                   list_transform(seasonal, lambda v, i: CASE WHEN i = t % {season} + 1 THEN v + gamma * (1 - alpha) * e ELSE v END), sse + e * e
-            FROM (SELECT *, level + phi * slope AS expected, y[t + 1] - (level + phi * slope) - seasonal[t % {season} + 1] AS e
-                  FROM walks_{len(dampings)} WHERE t < origin)""",
-        "hw_start",
-    )
-    view(
-        f"hw_errors_{len(dampings)}",
-        f"""SELECT w.Series, w.Fold, a.y AS actual,
-                   greatest(level + slope * list_sum(list_transform(range(1, i.i + 1), lambda j: pow(phi, j)))
-                            + seasonal[(origin + i.i - 1) % {season} + 1], 0) AS p
-            FROM (SELECT *, row_number() OVER (PARTITION BY Series, Fold ORDER BY sse, point) AS rn
-                  FROM walks_{len(dampings)} WHERE t = origin) w
-            CROSS JOIN range(1, {b.CV_HORIZON + 1}) AS i(i)
-            JOIN modelled a ON a.Series = w.Series AND a.pos = w.origin + i.i - 1 WHERE w.rn = 1""",
-        f"walks_{len(dampings)}",
-        "modelled",
-    )
-    final = f"""SELECT Series, '{model}' AS Model, Fold, round(sqrt(avg(pow(actual - p, 2))), 4) AS RMSE, round(avg(abs(actual - p)), 4) AS MAE,
-              round(avg(abs(actual - p) / ((abs(actual) + abs(p)) / 2 + 1e-10)) * 100, 4) AS sMAPE,
-              round(sum(abs(actual - p)) / (sum(abs(actual)) + 1e-10) * 100, 4) AS WAPE,
-              round(coalesce(avg(CASE WHEN actual <> 0 THEN abs((actual - p) / actual) END) * 100, 0), 4) AS MAPE,
-              CAST(NULL AS VARCHAR) AS error
-       FROM hw_errors_{len(dampings)} GROUP BY Series, Fold"""
-    return sql(final, f"hw_errors_{len(dampings)}").replace("WITH ", "WITH RECURSIVE ", 1)
-
-
-view(
-    "hw_train",
-    f"""SELECT m.Series, f.Fold, f.origin, list(m.y ORDER BY m.pos) AS y
-        FROM (SELECT DISTINCT Fold, origin FROM fold_points) f JOIN modelled m ON m.pos < f.origin GROUP BY m.Series, f.Fold, f.origin""",
-    "fold_points",
-    "modelled",
-)
-view(
-    "hw_means",
-    f"""SELECT *, list_transform(range(0, origin // {S.SEASON}), lambda c: list_avg(y[c * {S.SEASON} + 1 : c * {S.SEASON} + {S.SEASON}])) AS means
-        FROM hw_train""",
-    "hw_train",
-)
-view(
-    "hw_gaps",
-    f"""SELECT *, (means[2] - means[1]) / {S.SEASON} AS slope,
-               list_transform(range(1, {S.SEASON} + 1), lambda s: list_avg(list_transform(range(0, len(means)),
-                   lambda c: y[c * {S.SEASON} + s] - means[c + 1]))) AS gaps FROM hw_means""",
-    "hw_means",
-)
-view(
-    "hw_start",
-    f"""SELECT Series, Fold, origin, y, means[1] - slope * {S.SEASON - 1} / 2 - slope AS level, slope,
-               list_transform(gaps, lambda g: g - list_avg(gaps)) AS seasonal FROM hw_gaps""",
-    "hw_gaps",
-)
-
-
+# ---- the recursive models alone ---------------------------------------------------------
 def _python(models):
     def run(spark, sf):
         return rounded(demand(spark, sf, py_models=models).python_cv, 4, *METRICS)
@@ -644,13 +671,15 @@ def _python(models):
     return run
 
 
-query("holt_winters_backtest", holt_winters_sql("Holt-Winters", (1.0,)))(_python({"Holt-Winters": SM.holt_winters}))
-query("holt_winters_damped_backtest", holt_winters_sql("HW Damped", SM.DAMPINGS))(_python({"HW Damped": SM.holt_winters_damped}))
+for _key, _model in (("holt_winters", "Holt-Winters"), ("holt_winters_damped", "HW Damped")):
+    _cv = f"hw_cv_{len(HW_FORMS[_model])}"
+    query(f"{_key}_backtest", sql(f"SELECT Series, Model, Fold, {_ROUND4}, CAST(NULL AS VARCHAR) AS error FROM {_cv}", _cv))(
+        _python({_model: SM.PY_MODELS[_model]})
+    )
 query("ridge_backtest")(_python(SM.RIDGE_MODEL))
 
 
-@query("full_candidate_forecast")
+@query("full_candidate_forecast", sql("SELECT * FROM detail", "detail"))
 def full_candidate_forecast(spark, sf):
-    """Model choice among seasonal naive and both Holt-Winters forms, as used for planning."""
-    candidates = {"Seasonal Naive": B.SQL_MODELS["Seasonal Naive"]}
-    return demand(spark, sf, sql_models=candidates, py_models=SM.PY_MODELS).detail
+    """Model choice by the plan's own defaults."""
+    return demand(spark, sf, sql_models=None, py_models=None).detail

@@ -33,7 +33,7 @@ def sql(final: str, *reads: str) -> str:
     for name in reads:
         visit(name)
     clauses = ", ".join(f"{n} AS ({VIEWS[n][0]})" for n in ordered)
-    return f"WITH {clauses} {final}" if clauses else final
+    return f"WITH RECURSIVE {clauses} {final}" if clauses else final  # recursive ones may be among them
 
 
 def query(name: str, check: str | None = None) -> Callable[[Query], Query]:
