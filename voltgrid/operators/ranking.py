@@ -10,6 +10,8 @@ from pyspark.sql.window import Window
 
 from .. import settings as S
 from ..session import materialise
+from .quantiles import exact_quantiles
+from .tables import literal_table
 
 
 def top_k(df: DataFrame, k: int, by: str, ties: Sequence[str]) -> DataFrame:
@@ -52,19 +54,14 @@ def first_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def exact_quantile(df: DataFrame, column: str, q: float, name: str = "threshold") -> DataFrame:
-    """One row with the exact linear-interpolated quantile.
-
-    Rows are counted per value first; the quantile then weighs values by count,
-    so what reaches the last task is the number of distinct values.
-    """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.agg(F.percentile(F.col(column), F.lit(q), F.col("_n")).alias(name))
+    """One row with the exact linear-interpolated quantile (null without values)."""
+    return literal_table(df.sparkSession, [name], exact_quantiles(df, [column], [q]).values()).select(F.col(name).cast("double"))
 
 
 def above_quantile(df: DataFrame, column: str, share: float = S.EXPAND_SHARE) -> DataFrame:
     """Rows in the top ``share`` by value; rows equal to the threshold are kept."""
-    threshold = exact_quantile(df, column, 1 - share)
-    return df.where(F.col(column) >= threshold.scalar())
+    threshold = exact_quantiles(df, [column], [1 - share])[column][0]
+    return df.where(F.col(column) >= F.lit(threshold).cast("double"))
 
 
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
