@@ -264,3 +264,43 @@ def test_long_lines_are_cut_finely_only_where_they_cross_the_crowd(spark):
     left = spark.createDataFrame(places, "id long, x double, y double")
     got = {r.id: r.road for r in spatial.nearest(left, df, ["road"], "road", geometry="segment", crowd=64).collect()}
     assert got == {i: min((seg_dist(x, y, *s[1:]), s[0]) for s in lines)[1] for i, x, y in places}
+
+
+def test_edges_are_copied_only_to_the_cells_they_pass(spark):
+    """An outline of 20,000 vertices with a hole: few copies of each edge, whole inner cells without any."""
+    n = 20_000
+
+    def ring(r, wave, count):
+        angle = [2 * math.pi * k / count for k in range(count)]
+        return [(400_000 + r * (1 + wave * math.sin(9 * a)) * math.cos(a), 4_400_000 + r * (1 + wave * math.sin(9 * a)) * math.sin(a)) for a in angle]
+
+    rings = [ring(300_000, 0.2, n), ring(60_000, 0.1, 2_000)]
+    area = spark.createDataFrame([([[{"x": x, "y": y} for x, y in r] for r in rings],)], "rings array<array<struct<x:double,y:double>>>")
+    cells = spatial.polygon_cells(area.selectExpr(f"{G.ring_edges('rings')} AS edges"), "edges", 0.0, 10_000.0).cache()
+    assert cells.agg(F.sum(F.size("edges"))).first()[0] < 1.2 * (n + 2_000)
+    assert cells.agg(F.max(F.size("edges"))).first()[0] < 400
+    assert cells.where("size(edges) = 0").count() > 500 and cells.where("size(edges) = 0 AND NOT seed").count() == 0
+    rng = random.Random(12)
+    places = [(i, rng.random() * 800_000, 4_000_000 + rng.random() * 800_000) for i in range(600)]
+
+    def inside(x, y):
+        angle, r = math.atan2(y - 4_400_000, x - 400_000), math.hypot(x - 400_000, y - 4_400_000)
+        return 60_000 * (1 + 0.1 * math.sin(9 * angle)) < r < 300_000 * (1 + 0.2 * math.sin(9 * angle))
+
+    left = spark.createDataFrame(places, "id long, x double, y double")
+    got = spatial.points_by_polygons(left, area.selectExpr(f"{G.ring_edges('rings')} AS edges"), cell=10_000.0)
+    assert {r.id for r in got.collect()} == {i for i, x, y in places if inside(x, y)}
+
+
+@pytest.mark.parametrize("cell", [3.0, 7.5, 100.0])
+def test_places_on_vertices_and_edges_are_told_as_by_one_ray(spark, cell):
+    rng = random.Random(21)
+    rings = [[(rng.randrange(30) * 1.0, rng.randrange(30) * 1.0) for _ in range(9)], [(4.0, 4.0), (20.0, 4.0), (20.0, 20.0), (4.0, 20.0)]]
+    areas = [([[{"x": x, "y": y} for x, y in r]],) for r in rings] + [([[{"x": x, "y": y} for x, y in r] for r in rings],)]
+    places = [(i * 100 + j, float(i), float(j)) for i in range(-1, 32) for j in range(-1, 32)]
+    left = spark.createDataFrame(places, "id long, x double, y double")
+    for area in areas:
+        df = spark.createDataFrame([area], "rings array<array<struct<x:double,y:double>>>").selectExpr(f"{G.ring_edges('rings')} AS edges")
+        ray = left.crossJoin(df).where(G.inside_edges("x", "y", "edges"))
+        got = spatial.points_by_polygons(left, df, cell=cell)
+        assert {r.id for r in got.collect()} == {r.id for r in ray.collect()}

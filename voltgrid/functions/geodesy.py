@@ -213,6 +213,20 @@ def inside_edges(px: str, py: str, edges: str) -> str:
     return f"(size(filter({edges}, e -> {spans} AND {px} < {at})) % 2 = 1)"
 
 
+def crossings_right(px: str, py: str, edges: str, limit: str) -> str:
+    """Number of edges that a ray from a point to the right crosses, up to ``limit``."""
+    spans = f"((e.y1 > {py}) != (e.y2 > {py}))"
+    at = f"((e.x2 - e.x1) * ({py} - e.y1) / if({spans}, e.y2 - e.y1, 1D) + e.x1)"
+    return f"size(filter({edges}, e -> {spans} AND {px} < {at} AND {at} <= {limit}))"
+
+
+def crossings_below(x: str, low: str, py: str, edges: str) -> str:
+    """Number of edges that cross a vertical line between ``low`` and a height, the height included."""
+    spans = f"((e.x1 > {x}) != (e.x2 > {x}))"
+    at = f"((e.y2 - e.y1) * ({x} - e.x1) / if({spans}, e.x2 - e.x1, 1D) + e.y1)"
+    return f"size(filter({edges}, e -> {spans} AND {at} > {low} AND {at} <= {py}))"
+
+
 def near_edges(px: str, py: str, edges: str, radius: float) -> str:
     """Point strictly nearer than ``radius`` to the outline of a polygon."""
     return f"exists({edges}, e -> {point_segment_distance(px, py, ends('e.'))} < {float(radius)!r}D)"

@@ -205,26 +205,71 @@ def _positions(points: DataFrame, x: str, y: str) -> DataFrame:
 # --------------------------------------------------------------------------
 # polygons
 # --------------------------------------------------------------------------
-def polygon_cells(polygons: DataFrame, edges: str, grow: float, cell: float) -> DataFrame:
-    """Cells where a polygon may be within ``grow``, with the edges that decide there; a side of checked size.
+#: cells of polygons begin at this share of their size, which coordinates with few digits never meet
+_OFFSET = 0.3819660112501051
+
+
+def _border(column: str, cell: float, step: int = 0) -> str:
+    """Lower border of a polygon cell, or of one ``step`` cells on."""
+    return f"(({column} + {step}) * {cell!r}D + {_OFFSET * cell!r}D)"
+
 
-    Whether a place is inside is told by the edges that a ray to the right crosses, and
-    whether it is near by those whose grown box it is in.  So a cell keeps the edges that
-    share its height (grown) and do not end left of it (grown), and a cell without any is
-    outside: a detailed outline is not copied whole to every cell.
+def polygon_cells(polygons: DataFrame, edges: str, grow: float, cell: float) -> DataFrame:
+    """Cells where a polygon may be within ``grow``; a side of checked size.
+
+    A cell has the edges that touch it (grown) and one bit, ``seed``: whether its lower right
+    corner is inside.  A place in the cell is inside if the bit, the edges between it
+    and the right border, and those that cross that border below it, are odd together
+    (`within_cell`).  So each edge is copied only to the cells it passes, and a cell wholly
+    inside has no edge at all.  Seeds come from the crossings of the cells' lower
+    borders, in order: every second span between two is inside.
     """
-    g = f"{float(grow)!r}D"
+    g, off = f"({float(grow)!r}D + {_SLACK!r}D)", f"{_OFFSET * cell!r}D"
+    outlines = polygons.select(F.col(edges).alias("edges"))
     xs = "flatten(transform(edges, e -> array(e.x1, e.x2)))"
     ys = "flatten(transform(edges, e -> array(e.y1, e.y2)))"
-    box = [f"array_min({xs}) - {g}", f"array_min({ys}) - {g}", f"array_max({xs}) + {g}", f"array_max({ys}) + {g}"]
-    outlines = polygons.select(F.col(edges).alias("edges"))
-    wide, high = (f"(2 + ceil((array_max({c}) - array_min({c}) + 2 * {g}) / {cell!r}D))" for c in (xs, ys))
-    way = join_way(outlines, f"{wide} * {high} * (32 + 40 * size(edges))")
-    slack = f"({g} + {_SLACK!r}D)"
-    low, high, left = f"{CELL_Y} * {cell!r}D - {slack}", f"({CELL_Y} + 1) * {cell!r}D + {slack}", f"{CELL_X} * {cell!r}D - {slack}"
-    own = f"filter(edges, e -> greatest(e.y1, e.y2) >= {low} AND least(e.y1, e.y2) <= {high} AND greatest(e.x1, e.x2) >= {left})"
-    cells = cover_box(outlines.distinct(), box, cell).selectExpr(CELL_X, CELL_Y, f"{own} AS edges")
-    return cells.where("size(edges) > 0").hint(way)
+    wide, high = (f"(2 + ceil((array_max({c}) - array_min({c})) / {cell!r}D))" for c in (xs, ys))
+    reach = 2 + math.ceil(2 * grow / cell)
+    around = f"aggregate(edges, 0D, (acc, e) -> acc + 2 + {G.distance(*G.ends('e.'))} / {cell!r}D)"
+    way = join_way(outlines.where("size(edges) > 0"), f"48 * {wide} * {high} + 48 * {reach * reach} * {around}")
+
+    # an outline is told by two hashes of it; equal outlines count once
+    key = ["xxhash64(edges) AS _k1", "xxhash64(1, edges) AS _k2"]
+    single = outlines.distinct().selectExpr(*key, "inline(edges)")
+    line = _border(CELL_Y, cell)
+    rows = [f"ceil((least(y1, y2) - {off}) / {cell!r}D)", f"floor((greatest(y1, y2) - {off}) / {cell!r}D)"]
+    crossed = (
+        single.selectExpr("*", f"{rows[0]} AS _r0", f"{rows[1]} AS _r1")
+        .where("_r0 <= _r1")
+        .selectExpr("*", f"explode(sequence(_r0, _r1)) AS {CELL_Y}")
+        .where(f"(y1 > {line}) != (y2 > {line})")
+        .groupBy("_k1", "_k2", CELL_Y)
+        .agg(F.expr(f"sort_array(collect_list((x2 - x1) * ({line} - y1) / (y2 - y1) + x1)) AS _at"))
+    )
+    spans = "transform(sequence(0, size(_at) div 2 - 1), k -> struct(_at[2 * k] AS a, _at[2 * k + 1] AS b))"
+    first, last = (f"ceil(({c} - {off}) / {cell!r}D) - {n}" for c, n in (("a", 1), ("b", 2)))
+    seeds = (
+        crossed.selectExpr("_k1", "_k2", CELL_Y, f"inline({spans})")
+        .selectExpr("_k1", "_k2", CELL_Y, f"{first} AS _c0", f"{last} AS _c1")
+        .where("_c0 <= _c1")
+        .selectExpr("_k1", "_k2", f"explode(sequence(_c0, _c1)) AS {CELL_X}", CELL_Y, "true AS seed")
+    )
+    pieces = cut_segments(single, cell)
+    box = [f"bx0 - {g} - {off}", f"by0 - {g} - {off}", f"bx1 + {g} - {off}", f"by1 + {g} - {off}"]
+    passed = cover_box(pieces, box, cell).groupBy("_k1", "_k2", CELL_X, CELL_Y)
+    touched = passed.agg(F.expr(f"collect_set(struct({', '.join(SEGMENT)})) AS edges"))
+    whole = touched.join(seeds, ["_k1", "_k2", CELL_X, CELL_Y], "full")
+    none = "cast(array() AS array<struct<x1:double,y1:double,x2:double,y2:double>>)"
+    return whole.selectExpr(CELL_X, CELL_Y, f"coalesce(edges, {none}) AS edges", "coalesce(seed, false) AS seed").hint(way)
+
+
+def within_cell(px: str, py: str, cell: float, radius: float) -> str:
+    """Whether a place in a row of `polygon_cells` (as ``r``) is strictly inside the grown polygon."""
+    right, low = _border(f"r.{CELL_X}", cell, 1), _border(f"r.{CELL_Y}", cell)
+    beside = G.crossings_right(px, py, "r.edges", right)
+    below = G.crossings_below(right, low, py, "r.edges")
+    inside = f"(({beside} + {below} + cast(r.seed AS int)) % 2 = 1)"
+    return f"({inside} OR {G.near_edges(px, py, 'r.edges', radius)})" if radius > 0 else inside
 
 
 def points_by_polygons(
@@ -238,8 +283,9 @@ def points_by_polygons(
     cell: float = 25_000.0,
 ) -> DataFrame:
     """Points within (semi) or outside (anti) the polygons grown by ``radius``."""
-    inside = G.within_buffer(f"l.{x}", f"l.{y}", "r.edges", radius)
-    placed = with_cell(points, x, y, cell)
+    inside = within_cell(f"l.{x}", f"l.{y}", cell, radius)
+    off = f"{_OFFSET * cell!r}D"
+    placed = with_cell(points, f"({x}) - {off}", f"({y}) - {off}", cell)
     return _cell_join(placed, polygon_cells(polygons, edges, radius, cell), inside, how).select(*points.columns)
 
 
