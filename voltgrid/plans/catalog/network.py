@@ -290,7 +290,7 @@ walk_views("rural", DENSE_SPACING_M, "_dense")
 
 
 def walk_sql(final: str, *reads: str) -> str:
-    return sql(final, *reads).replace("WITH ", "WITH RECURSIVE ", 1)
+    return sql(final, *reads)
 
 
 @query(
