@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from voltgrid import settings as S
+from voltgrid.operators import array_models as A
 from voltgrid.operators import backtest as B
 from voltgrid.operators import forecast as FC
 from voltgrid.operators import overlay as O
@@ -151,6 +152,39 @@ def test_ridge_matches_direct_leave_one_out():
     assert SM.ridge(y, 6) == pytest.approx(np.clip(best[1], 0, None), rel=1e-6)
 
 
+def test_array_models_equal_the_python_ones(spark):
+    rng = np.random.default_rng(5)
+    long = [[float(max(0, round(90 + t + 25 * math.sin(t / 6 * math.pi) + rng.normal(0, 12)))) for t in range(n)] for n in (24, 31, 48, 79)]
+    flat = [[0.0] * 30, [7.0] * 26]  # nothing to learn, many equal grid points
+    df = spark.createDataFrame(list(enumerate(long + flat)), "i int, h array<double>")
+    for name, python in {**SM.PY_MODELS, **SM.RIDGE_MODEL}.items():
+        for i, h, p in df.selectExpr("i", "h", f"{A.MODELS[name]('h', 15)} AS p").collect():
+            assert p == pytest.approx(python(np.array(h), 15), rel=1e-9, abs=1e-9), (name, i)
+
+
+def test_array_models_without_forecast(spark):
+    rows = [("none", None), ("empty", []), ("short", [5.0] * 23), ("gap", [5.0] * 30 + [None] + [5.0] * 5)]
+    df = spark.createDataFrame(rows, "Series string, history array<double>")
+    for model in A.RECURSIVE_MODELS.values():
+        assert all(r.p is None for r in df.selectExpr(f"{model('history', 4)} AS p").collect())
+    ridge = {r.Series: r.p for r in df.selectExpr("Series", f"{A.ridge('history', 2)} AS p").collect()}
+    assert [ridge[s] for s in ("none", "empty", "gap")] == [None] * 3
+    assert ridge["short"] == pytest.approx([5.0, 5.0])
+    # folds that are too short leave the model out of the choice; alone it falls back
+    short = spark.createDataFrame([("s", [float(v) for v in range(1, 23)])], "Series string, history array<double>")
+    results = B.backtest(short, A.CANDIDATES, initial=14, step=4, horizon=4)
+    assert {r.Model for r in results.where("RMSE IS NULL").collect()} == set(A.RECURSIVE_MODELS)
+    assert [r.Model for r in B.summarise(results).collect()] == ["Seasonal Naive"]
+    planned = short.selectExpr("Series", "history", "'Holt-Winters' AS Model")
+    assert FC.point_forecasts(planned, 3).first().predicted == [11.0, 12.0, 13.0]
+
+
+def test_inverse_by_elimination(spark):
+    m = np.array([[4.0, 1.0, 0.5], [1.0, 3.0, 0.2], [0.5, 0.2, 5.0]])
+    found = spark.createDataFrame([(m.tolist(),)], "m array<array<double>>").selectExpr(f"{A.inverse('m', 3)} AS v").first().v
+    assert np.allclose(np.array(found) @ m, np.eye(3))
+
+
 def summary_table(spark, rows):
     return literal_table(spark, ["Series", "Model", "RMSE", "MAE", "sMAPE"], rows)
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import settings as S
-from .backtest import FALLBACK_MODEL, SQL_MODELS, PyForecast, run_models
+from .array_models import MODELS
+from .backtest import FALLBACK_MODEL, PyForecast, run_models
 from .quality import require_columns
 
 BOUNDS = ["point_forecast", "lower_scenario", "upper_scenario", "lower95", "upper95"]
@@ -44,9 +45,11 @@ def planned_models(histories: DataFrame, plan: DataFrame) -> DataFrame:
 def point_forecasts(
     planned: DataFrame, horizon: int, py_models: Mapping[str, PyForecast] | None = None
 ) -> DataFrame:
-    """Add ``predicted``; names that are no known model use the fallback."""
-    sql = f"CASE Model {' '.join(f'''WHEN '{n}' THEN {f('history', horizon)}''' for n, f in SQL_MODELS.items())}"
-    sql += f" ELSE {SQL_MODELS[FALLBACK_MODEL]('history', horizon)} END"
+    """Add ``predicted``; names that are no known model, and models without a forecast, use the fallback."""
+    sql = f"CASE Model {' '.join(f'''WHEN '{n}' THEN {f('history', horizon)}''' for n, f in MODELS.items())} END"
+    sql = f"coalesce({sql}, {MODELS[FALLBACK_MODEL]('history', horizon)})"
+    # a fit takes a while: the models of a few series should not share one task
+    planned = planned.repartition(planned.sparkSession.sparkContext.defaultParallelism, "Series", "Model")
     if not py_models:
         return planned.selectExpr("*", f"{sql} AS predicted")
     named = F.col("Model").isin(*py_models)

@@ -1,6 +1,7 @@
-"""Recursive models fitted in tasks: Holt-Winters, damped Holt-Winters, ridge.
+"""Holt-Winters, damped Holt-Winters and ridge as Python functions, and their parameter grids.
 
-Each call sees one series of at most a few hundred months; Spark spreads the
+The plans use the array expressions of ``array_models``; these are for callers with an
+array in hand, and an example of models that are plugged in as Python.  Each call sees one series of at most a few hundred months; Spark spreads the
 series and folds.  Holt-Winters searches a grid of smoothing parameters, all
 grid points at once in NumPy vectors, so one pass over the months scores the
 whole grid.

@@ -1,8 +1,10 @@
 """Validation, model choice, forecasts, scenarios, overlay, planning."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ... import settings as S
+from ...operators import array_models as A
 from ...operators import backtest as B
 from ...operators import forecast as FC
 from ...operators import overlay as O
@@ -31,8 +33,7 @@ def demand(spark, sf, **options) -> DemandPlan:
         initial=b.CV_INITIAL,
         step=b.CV_STEP,
         cv_horizon=b.CV_HORIZON,
-        # as for planning: seasonal naive and both Holt-Winters forms may be chosen, naive and drift may not
-        **{"sql_models": B.CANDIDATES, "py_models": SM.PY_MODELS, **options},
+        **options,
     )
 
 
@@ -285,7 +286,7 @@ def candidates_and_benchmarks(spark, sf):
     """A benchmark is never chosen, however good it is; its spread is known all the same."""
     from ...operators.ranking import first_per_group
 
-    plan = demand(spark, sf, py_models={})
+    plan = demand(spark, sf, sql_models=B.CANDIDATES)
     order = [F.col(c) for c in ("RMSE", "sMAPE", "MAE", "Model")]
     best = first_per_group(plan.benchmark_summary, ["Series"], order).selectExpr("Series", "Model AS best_of_all", "RMSE AS best_rmse")
     chosen = plan.plan.selectExpr("Series", "models[0] AS chosen")
@@ -663,10 +664,11 @@ def weight_sensitivity(spark, sf):
     return FC.weight_sensitivity(demand(spark, sf).planning, b.FOCUS_YEAR)
 
 
-# ---- the recursive models alone ---------------------------------------------------------
-def _python(models):
+# ---- single candidates --------------------------------------------------------------
+def _candidate(models):
     def run(spark, sf):
-        return rounded(demand(spark, sf, py_models=models).python_cv, 4, *METRICS)
+        cv = rounded(demand(spark, sf, sql_models=models).candidate_cv, 4, *METRICS)
+        return cv.withColumn("error", F.lit(None).cast("string"))
 
     return run
 
@@ -674,12 +676,144 @@ def _python(models):
 for _key, _model in (("holt_winters", "Holt-Winters"), ("holt_winters_damped", "HW Damped")):
     _cv = f"hw_cv_{len(HW_FORMS[_model])}"
     query(f"{_key}_backtest", sql(f"SELECT Series, Model, Fold, {_ROUND4}, CAST(NULL AS VARCHAR) AS error FROM {_cv}", _cv))(
-        _python({_model: SM.PY_MODELS[_model]})
+        _candidate({_model: A.RECURSIVE_MODELS[_model]})
     )
-query("ridge_backtest")(_python(SM.RIDGE_MODEL))
+
+# ridge as relations: a row per month and feature, sums for the products, elimination by a recursive statement
+_FEATURES = S.SEASON + 2
+view(
+    "rx",
+    f"""SELECT n, t, j, CASE j WHEN 0 THEN CAST(t AS DOUBLE) / n WHEN 1 THEN pow(CAST(t AS DOUBLE) / n, 2)
+                             ELSE CASE WHEN t % {S.SEASON} = j - 2 THEN 1.0 ELSE 0.0 END::DOUBLE END AS v
+        FROM (SELECT DISTINCT origin AS n FROM hw_train) CROSS JOIN range(0, {N_MONTHS + HORIZON}) AS t(t)
+        CROSS JOIN range(0, {_FEATURES}) AS j(j) WHERE t < n + {HORIZON}""",
+    "hw_train",
+)
+view(
+    "rc",
+    "SELECT x.n, x.t, x.j, x.v - c.c AS v FROM rx x JOIN (SELECT n, j, avg(v) AS c FROM rx WHERE t < n GROUP BY n, j) c USING (n, j)",
+    "rx",
+)
+view("penalties", f"SELECT i AS alpha_no, v AS alpha FROM {_grid(SM.RIDGE_ALPHAS)} a(i, v)")
+view(
+    "gram",
+    """SELECT n, alpha_no, i, list(g ORDER BY j) AS r FROM (
+         SELECT a.n, p.alpha_no, a.j AS i, b.j, sum(a.v * b.v) + CASE WHEN a.j <> b.j THEN 0
+                WHEN a.j = 0 THEN any_value(p.alpha) / pow(a.n, 2) WHEN a.j = 1 THEN any_value(p.alpha) / pow(a.n, 4)
+                ELSE any_value(p.alpha) END AS g
+         FROM rc a JOIN rc b ON a.n = b.n AND a.t = b.t CROSS JOIN penalties p WHERE a.t < a.n GROUP BY a.n, p.alpha_no, a.j, b.j)
+       GROUP BY n, alpha_no, i""",
+    "rc",
+    "penalties",
+)
+view(
+    "elimination",
+    f"""SELECT n, alpha_no, 1 AS k, list(list_concat(r, list_transform(range(0, {_FEATURES}), lambda c: CASE WHEN c = i THEN 1.0 ELSE 0.0 END::DOUBLE))
+                                 ORDER BY i) AS m
+        FROM gram GROUP BY n, alpha_no
+        UNION ALL
+        SELECT n, alpha_no, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k THEN lead_row
+                                       ELSE list_transform(r, lambda v, c: v - r[k] * lead_row[c]) END)
+        FROM (SELECT *, list_transform(m[k], lambda v: v / m[k][k]) AS lead_row FROM elimination WHERE k <= {_FEATURES})""",
+    "gram",
+)
+view(
+    "inv",
+    f"""SELECT n, alpha_no, i.i, j.j, m[i.i + 1][{_FEATURES} + j.j + 1] AS v
+        FROM elimination CROSS JOIN range(0, {_FEATURES}) AS i(i) CROSS JOIN range(0, {_FEATURES}) AS j(j) WHERE k = {_FEATURES + 1}""",
+    "elimination",
+)
+view(
+    "rz",
+    """SELECT Series, Fold, n, t, z - avg(z) OVER (PARTITION BY Series, Fold) AS z, avg(z) OVER (PARTITION BY Series, Fold) AS mean
+       FROM (SELECT Series, Fold, origin AS n, t.t, ln(1 + y[t.t + 1]) AS z FROM hw_train CROSS JOIN range(0, origin) AS t(t))""",
+    "hw_train",
+)
+view(
+    "rw",
+    """SELECT Series, Fold, m.n, v.alpha_no, v.i AS j, sum(v.v * m.b) AS w
+       FROM (SELECT z.Series, z.Fold, z.n, x.j, sum(x.v * z.z) AS b FROM rz z JOIN rc x ON x.n = z.n AND x.t = z.t GROUP BY ALL) m
+       JOIN inv v ON v.n = m.n AND v.j = m.j GROUP BY ALL""",
+    "rz",
+    "rc",
+    "inv",
+)
+view(
+    "leverage",
+    """SELECT a.n, v.alpha_no, a.t, sum(a.v * v.v * b.v) AS h FROM inv v JOIN rc a ON a.n = v.n AND a.j = v.i
+       JOIN rc b ON b.n = v.n AND b.j = v.j AND b.t = a.t WHERE a.t < a.n GROUP BY ALL""",
+    "inv",
+    "rc",
+)
+view(
+    "rbest",
+    """SELECT Series, Fold, n, alpha_no FROM (
+         SELECT f.Series, f.Fold, f.n, f.alpha_no,
+                row_number() OVER (PARTITION BY f.Series, f.Fold ORDER BY avg(pow((z.z - f.fit) / (1 - 1.0 / f.n - h.h), 2)), f.alpha_no) AS rn
+         FROM (SELECT w.Series, w.Fold, w.n, w.alpha_no, x.t, sum(w.w * x.v) AS fit FROM rw w JOIN rc x ON x.n = w.n AND x.j = w.j GROUP BY ALL) f
+         JOIN rz z ON z.Series = f.Series AND z.Fold = f.Fold AND z.t = f.t
+         JOIN leverage h ON h.n = f.n AND h.alpha_no = f.alpha_no AND h.t = f.t
+         GROUP BY f.Series, f.Fold, f.n, f.alpha_no) WHERE rn = 1""",
+    "rw",
+    "rz",
+    "leverage",
+)
+view(
+    "ridge_errors",
+    f"""SELECT r.Series, r.Fold, any_value(a.y) AS actual, greatest(exp(sum(w.w * x.v) + any_value(z.mean)) - 1, 0) AS p
+        FROM rbest r JOIN rw w USING (Series, Fold, alpha_no) JOIN rc x ON x.n = r.n AND x.j = w.j AND x.t >= r.n AND x.t < r.n + {b.CV_HORIZON}
+        JOIN modelled a ON a.Series = r.Series AND a.pos = x.t JOIN (SELECT DISTINCT Series, Fold, mean FROM rz) z ON z.Series = r.Series AND z.Fold = r.Fold
+        WHERE r.Fold > 0 GROUP BY r.Series, r.Fold, x.t""",
+    "rbest",
+    "rw",
+    "rc",
+    "rz",
+    "modelled",
+)
+query(
+    "ridge_backtest",
+    sql(
+        """SELECT Series, 'Ridge' AS Model, Fold, round(sqrt(avg(pow(actual - p, 2))), 4) AS RMSE, round(avg(abs(actual - p)), 4) AS MAE,
+                  round(avg(abs(actual - p) / ((abs(actual) + abs(p)) / 2 + 1e-10)) * 100, 4) AS sMAPE,
+                  round(sum(abs(actual - p)) / (sum(abs(actual)) + 1e-10) * 100, 4) AS WAPE,
+                  round(coalesce(avg(CASE WHEN actual <> 0 THEN abs((actual - p) / actual) END) * 100, 0), 4) AS MAPE,
+                  CAST(NULL AS VARCHAR) AS error
+           FROM ridge_errors GROUP BY Series, Fold""",
+        "ridge_errors",
+    ),
+)(_candidate(A.RIDGE_MODEL))
 
 
 @query("full_candidate_forecast", sql("SELECT * FROM detail", "detail"))
 def full_candidate_forecast(spark, sf):
     """Model choice by the plan's own defaults."""
-    return demand(spark, sf, sql_models=None, py_models=None).detail
+    return demand(spark, sf).detail
+
+
+# ---- models that are plugged in, one of which fails -------------------------------------
+def _own_drift(history, horizon):
+    """The drift benchmark again, as a caller's own function."""
+    slope = (history[-1] - history[0]) / (len(history) - 1)
+    return history[-1] + slope * np.arange(1, horizon + 1)
+
+
+def _late(history, horizon):
+    """Fails on histories shorter than the last fold's."""
+    if len(history) < b.CV_INITIAL + b.CV_STEP:
+        raise ValueError(f"needs {b.CV_INITIAL + b.CV_STEP} months, has {len(history)}")
+    return np.repeat(history[-1], horizon)
+
+
+@query(
+    "failed_models",
+    sql(
+        f"""SELECT DISTINCT Series, 'Late' AS Model, 'ValueError: needs {b.CV_INITIAL + b.CV_STEP} months, has {b.CV_INITIAL}' AS Error,
+                   CAST(1 AS BIGINT) AS models_left FROM cv""",
+        "cv",
+    ),
+)
+def failed_models(spark, sf):
+    """A model with a failed fold is reported by its message and left out of the summary."""
+    results = demand(spark, sf, py_models={"Own Drift": _own_drift, "Late": _late}).python_cv
+    left = B.summarise(results).groupBy("Series").agg(F.count("Model").alias("models_left"))
+    return B.failures(results).join(left, "Series")

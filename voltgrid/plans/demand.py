@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame
 
 from .. import settings as S
 from ..functions.dates import months_between
+from ..operators import array_models as A
 from ..operators import backtest as B
 from ..operators import forecast as FC
 from ..operators import overlay as O
 from ..operators import series as SE
-from ..operators import smoothing as SM
 from ..operators.cleaning import with_ev_flags, with_forecast_bucket
 from ..session import materialise
 
@@ -49,9 +49,8 @@ class DemandPlan:
         self.cv = {"initial": initial, "step": step, "horizon": cv_horizon}
         self.holdout = holdout
         # candidates may be chosen; benchmarks are only compared with
-        default = sql_models is None and py_models is None
-        self.sql_models = dict(B.CANDIDATES if sql_models is None else sql_models)
-        self.py_models = dict(SM.PY_MODELS if default else py_models or {})
+        self.sql_models = dict(A.CANDIDATES if sql_models is None else sql_models)
+        self.py_models = dict(py_models or {})
         self.benchmarks = dict(B.SQL_MODELS if benchmarks is None else benchmarks)
 
     # ---- series
@@ -94,13 +93,12 @@ class DemandPlan:
 
     @cached_property
     def summary(self) -> DataFrame:
-        """Candidate summary: array models and, when given, Python models (fitted once, stored)."""
-        plain = B.summarise(self.candidate_cv) if self.sql_models else None
+        """Candidate summary: array models and, when given, Python models; fitted once, stored."""
+        plain = materialise(B.summarise(self.candidate_cv)) if self.sql_models else None
         if not self.py_models:
             return plain
-        if plain is None:
-            return materialise(B.summarise(self.python_cv))
-        return plain.unionByName(materialise(B.summarise(self.python_cv)))
+        fitted = materialise(B.summarise(self.python_cv))
+        return fitted if plain is None else plain.unionByName(fitted)
 
     @cached_property
     def plan(self) -> DataFrame:
