@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,9 +43,10 @@ def dataset_gate(spark: SparkSession, path: str, required: Sequence[str]) -> Dat
     """Gate for a Parquet path; a path that does not exist or does not read gives a row too."""
     try:
         df = spark.read.parquet(path)
-    except AnalysisException as error:
-        missing = "PATH_NOT_FOUND" in (error.getCondition() or "")
-        reason = "file_missing" if missing else f"read_failed: {error.getCondition()}"
+    except (PySparkException, Py4JJavaError) as error:
+        # a damaged footer comes as an error of the job that reads it, not of the analysis
+        condition = error.getCondition() if isinstance(error, PySparkException) else "CANNOT_READ"
+        reason = "file_missing" if condition == "PATH_NOT_FOUND" else f"read_failed: {condition}"
         return literal_table(spark, GATE_COLUMNS, [(False, reason, 0, "")]).withColumn(
             "row_count", F.col("row_count").cast("long")
         )

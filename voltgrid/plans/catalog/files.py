@@ -5,8 +5,11 @@ readers meet in practice: several files, different headers, short rows, decimal
 gzip, latin-1, XML elements, GeoJSON features.
 """
 
+import io
 import uuid
+import zipfile
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -200,6 +203,37 @@ def fixed_width_files(spark, sf):
     return parsed.groupBy("propulsion_code", "province_code_vehicle", "ev_category").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
+def _archives(lines: DataFrame) -> DataFrame:
+    """ZIP archives (``path``, ``content``) of each month's lines, one per batch of rows."""
+
+    def pack(batches):
+        for batch in batches:
+            for stamp, rows in batch.groupby("stamp"):
+                packed = io.BytesIO()
+                with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr(f"export_{stamp}.txt", "\r\n".join(rows["value"]).encode("latin-1"))
+                yield pd.DataFrame({"path": [f"/exports/export_{stamp}.zip"], "content": [packed.getvalue()]})
+
+    return lines.mapInPandas(pack, "path string, content binary")
+
+
+@query(
+    "zipped_registrations",
+    f"""WITH raw AS (SELECT {_line("strftime(o_orderdate, '%d%m%Y')", 'VARCHAR')} AS line, o_orderdate AS d FROM orders),
+        kept AS (SELECT * FROM raw WHERE length(line) >= 200 AND trim(substring(line, 94, 1)) IN ('3', 'H', 'I', 'K'))
+        SELECT CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month, trim(substring(line, 94, 1)) AS propulsion_code,
+               nullif(trim(substring(line, 454, 4)), '') AS ev_category, count(*) AS n FROM kept GROUP BY ALL""",
+)
+def zipped_registrations(spark, sf):
+    """Archives named by their month, the text inside in fixed widths."""
+    lines = spark.read.parquet(f"{sf}/orders.parquet").selectExpr(
+        f"{_line('date_format(o_orderdate, \"ddMMyyyy\")', 'STRING')} AS value", "date_format(o_orderdate, 'yyyyMM') AS stamp"
+    )
+    read = fixed_width.unzip_lines(_archives(lines))
+    dated = fixed_width.with_file_month(fixed_width.parse_registrations(read))
+    return dated.groupBy("year", "month", "propulsion_code", "ev_category").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query(
     "months_left_alone",
     """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, count(*) AS n,

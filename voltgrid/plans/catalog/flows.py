@@ -6,10 +6,14 @@ from pyspark.sql import functions as F
 
 from ... import settings as S
 from ...functions import geodesy as G
+from ...functions.text import label_of
 from ...operators import flows as FL
 from ...operators import quality as Q
 from ...operators import ranking as R
+from ...operators import sketches as SK
+from ...operators.tables import provinces as province_table
 from ...session import ensure_checkpoint_dir
+from ...sources import sinks
 from ...streaming.ingest import ingest_months, read_months
 from .. import bindings as b
 from ..registry import query, sql, view
@@ -87,6 +91,27 @@ def registrations_by_province(spark, sf):
     return out.withColumn("ratio", F.round("ratio", 6))
 
 
+view("letters", values(list(S.PLATE_LETTERS.items()), ["number", "letter"]))
+
+
+@query(
+    "registrations_by_plate",
+    sql(
+        """SELECT l.letter AS code, p.lat, p.lon, p.name, r.total_ev, r.pure_bev, r.phev,
+                  round(r.total_ev / max(r.total_ev) OVER (), 6) AS ratio
+           FROM by_province r JOIN letters l ON l.number = r.code JOIN provinces p ON p.code = r.code""",
+        "by_province",
+        "letters",
+        "provinces",
+    ),
+)
+def registrations_by_plate(spark, sf):
+    """Provinces coded by the letters of number plates; codes without letters are no province."""
+    lettered = b.registrations(spark, sf).withColumn("province_code", label_of(F.col("province_code"), S.PLATE_LETTERS))
+    out = FL.registrations_by_province(lettered, province_table(spark, key="letters"))
+    return out.withColumn("ratio", F.round("ratio", 6))
+
+
 view(
     "readiness",
     """SELECT substation_id, grid_operator, capacity_available_mw, capacity_occupied_mw,
@@ -228,14 +253,52 @@ def site_connectors(spark, sf):
     return FL.connector_summary(listed)
 
 
-@query("flow_profile_sketch", "SELECT true AS routes_close, true AS pairs_close")
+@query(
+    "flow_profile_sketch",
+    sql(
+        """SELECT count(DISTINCT route_id) AS unique_routes, count(DISTINCT origin_zone || ' ' || destination_zone) AS unique_pairs,
+                  true AS routes_close, true AS pairs_close FROM od""",
+        "od",
+    ),
+)
 def flow_profile_sketch(spark, sf):
-    """Distinct counts by sketch against the exact ones, within three times the stated error."""
+    """Exact distinct counts, and whether those by sketch are within three times the stated error."""
     od = b.od_routes(spark, sf)
     exact, sketch = Q.flow_profile(od), Q.approx_flow_profile(od, error=0.02)
     both = exact.select("unique_routes", "unique_pairs", *[sketch.select(c).scalar().alias(f"s_{c}") for c in sketch.columns])
     close = lambda c: (F.abs(F.col(f"s_{c}") - F.col(c)) <= 0.06 * F.col(c))
-    return both.select(close("unique_routes").alias("routes_close"), close("unique_pairs").alias("pairs_close"))
+    return both.select("unique_routes", "unique_pairs", close("unique_routes").alias("routes_close"), close("unique_pairs").alias("pairs_close"))
+
+
+@query(
+    "flow_profile_by_month",
+    sql(
+        """SELECT CAST(date_trunc('month', date) AS DATE) AS month, count(*) AS n_rows, sum(trips) AS total_trips,
+                  round(avg(distance_km), 4) AS avg_distance_km, count(DISTINCT route_id) AS exact_routes,
+                  count(DISTINCT origin_zone || ' ' || destination_zone) AS exact_pairs, true AS routes_close, true AS pairs_close
+           FROM od GROUP BY 1""",
+        "od",
+    ),
+)
+def flow_profile_by_month(spark, sf):
+    """Months out of stored days; the estimates lie within four standard errors of the exact counts."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/profiles-{uuid.uuid4().hex}"
+    od = b.od_routes(spark, sf)
+    sinks.write_parquet(SK.flow_sketches(od), path)
+    merged = SK.merge_sketches(sinks.read_parquet(spark, path).withColumn("month", F.trunc("date", "MM")), ["month"])
+    by_month = od.withColumn("month", F.trunc("date", "MM"))
+    routes = by_month.select("month", "route_id").distinct().groupBy("month").agg(F.count("route_id").alias("exact_routes"))
+    pairs = by_month.select("month", "origin_zone", "destination_zone").distinct().groupBy("month").agg(F.count("origin_zone").alias("exact_pairs"))
+
+    def close(kind):
+        gap = F.abs(F.col(f"unique_{kind}") - F.col(f"exact_{kind}"))
+        return (gap <= 4 * SK.STANDARD_ERROR * F.col(f"exact_{kind}")).alias(f"{kind}_close")
+
+    return merged.join(routes, "month").join(pairs, "month").select(
+        "month", "n_rows", "total_trips", F.round("avg_distance_km", 4).alias("avg_distance_km"), "exact_routes", "exact_pairs",
+        close("routes"), close("pairs"),
+    )
 
 
 @query(

@@ -145,6 +145,24 @@ def roads_in_box(spark, sf):
     return N.main_roads(b.roads(spark, sf), box=_BOX).select("road_id")
 
 
+@query(
+    "boxed_network",
+    sql(
+        f"""SELECT road_id, label FROM (SELECT *, {_share('x', *_BOX[0])} AS sx, {_share('y', *_BOX[1])} AS sy FROM road_set)
+            WHERE greatest(sx[1], sy[1], 0) <= least(sx[2], sy[2], 1)""",
+        "road_set",
+    ),
+)
+def boxed_network(spark, sf):
+    """The chain's roads inside a box; their label comes under another name, the first known one counts."""
+    roads = b.roads(spark, sf).withColumnRenamed("label", "road_number")
+    plan = NetworkPlan(
+        b.sites(spark, sf), roads, b.urban_areas(spark, sf), b.country(spark), b.substations(spark, sf), F.lit(1.0),
+        labels=("ref", "road_number", "type"), box=_BOX,
+    )
+    return plan.roads.select("road_id", "label")
+
+
 # ---- expand -----------------------------------------------------------------------
 def weight(label: str, default: float) -> str:
     cases = " ".join(

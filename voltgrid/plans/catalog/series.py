@@ -1,5 +1,9 @@
 """Monthly series, counts, audits and profiles."""
 
+import uuid
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ... import settings as S
@@ -7,6 +11,7 @@ from ...operators import quality as Q
 from ...operators import ranking as R
 from ...operators import series as SE
 from ...operators.cleaning import clean_segments, tagged_union, with_ev_flags, with_forecast_bucket
+from ...session import ensure_checkpoint_dir
 from .. import bindings as b
 from ..registry import query, sql, view
 from . import views  # noqa: F401
@@ -272,6 +277,52 @@ def dataset_gate(spark, sf):
     return Q.dataset_gate(spark, f"{sf}/orders.parquet", ["o_orderkey", "o_orderdate"])
 
 
+@query(
+    "gate_branches",
+    """SELECT 'damaged' AS kind, false AS is_valid, 'read_failed' AS reason, CAST(0 AS BIGINT) AS row_count, '' AS missing_columns
+       UNION ALL SELECT 'empty', count(*) > 0, 'empty_table', count(*), '' FROM orders WHERE o_orderkey < 0
+       UNION ALL SELECT 'lacking', false, 'missing_columns', 0, 'absent,other'
+       UNION ALL SELECT 'none', false, 'file_missing', 0, ''
+       UNION ALL SELECT 'whole', true, 'ok', count(*), '' FROM orders""",
+)
+def gate_branches(spark, sf):
+    """The gate's answers: whole, empty, columns missing, no file, files that are no Parquet."""
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/gates-{uuid.uuid4().hex}"
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    orders.where("o_orderkey < 0").write.parquet(f"{folder}/empty")
+    orders.select(F.col("o_orderpriority").alias("value")).write.text(f"{folder}/damaged")
+    whole, need = f"{sf}/orders.parquet", ["o_orderkey", "o_orderdate"]
+    cases = {
+        "whole": (whole, need),
+        "lacking": (whole, [*need, "other", "absent"]),
+        "empty": (f"{folder}/empty", need),
+        "none": (f"{folder}/none", need),
+        "damaged": (f"{folder}/damaged", need),
+    }
+    reports = [Q.dataset_gate(spark, path, columns).withColumn("kind", F.lit(kind)) for kind, (path, columns) in cases.items()]
+    out = reduce(DataFrame.unionByName, reports)
+    return out.withColumn("reason", F.substring_index("reason", ":", 1))
+
+
+@query(
+    "schema_rows",
+    """SELECT column_name AS "column", CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int'
+              WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS dtype,
+              column_type IN ('BIGINT', 'INTEGER', 'DOUBLE') AS is_numeric, 'missing columns: [''absent'', ''other'']' AS refused
+       FROM (DESCRIBE orders)""",
+)
+def schema_rows(spark, sf):
+    """The columns of a table, and the words in which a table without the required ones is refused."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    try:
+        Q.require_columns(orders, ["other", "o_orderkey", "absent"])
+        refused = ""
+    except ValueError as error:
+        refused = str(error)
+    return Q.schema_listing(orders).withColumn("refused", F.lit(refused))
+
+
 @query(
     "distinct_codes",
     sql(

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 
 from .. import settings as S
 from ..operators import network as N
+from ..operators.cleaning import first_present
 from ..session import materialise
 
 
@@ -15,7 +17,9 @@ class NetworkPlan:
     """The chain from raw geometry to proposed stations, friction points and scorecard.
 
     Intermediate tables that several branches read (kept roads, interurban
-    stations, proposals) are stored once.
+    stations, proposals) are stored once.  A road's label is the first of the columns
+    ``labels`` that the table has; with a ``box`` (ranges of x and y) only roads that
+    meet it take part.
     """
 
     def __init__(
@@ -28,14 +32,18 @@ class NetworkPlan:
         growth: Column,
         spacing: float = S.FILL_SPACING_M,
         exclusion: float = S.FILL_EXCLUSION_M,
+        labels: Sequence[str] = ("label",),
+        box: tuple[tuple[float, float], tuple[float, float]] | None = None,
     ) -> None:
         self.sites, self.all_roads, self.urban, self.country = sites, roads, urban, country
         self.substations, self.growth = substations, growth
         self.spacing, self.exclusion = spacing, exclusion
+        self.labels, self.box = labels, box
 
     @cached_property
     def roads(self) -> DataFrame:
-        return materialise(N.interurban_roads(N.main_roads(self.all_roads), self.urban))
+        named = self.all_roads.withColumn("label", first_present(self.all_roads, self.labels))
+        return materialise(N.interurban_roads(N.main_roads(named, box=self.box), self.urban))
 
     @cached_property
     def stations(self) -> DataFrame:

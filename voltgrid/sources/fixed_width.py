@@ -27,7 +27,15 @@ def read_lines(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") ->
 
 
 def read_zipped_lines(spark: SparkSession, path: str, encoding: str = "latin-1", partitions: int | None = None) -> DataFrame:
-    """Lines of the first member of each archive.
+    """Lines of the first member of each archive below a path."""
+    archives = spark.read.format("binaryFile").load(path).select("path", "content")
+    if partitions:
+        archives = archives.repartition(partitions, "path")
+    return unzip_lines(archives, encoding)
+
+
+def unzip_lines(archives: DataFrame, encoding: str = "latin-1") -> DataFrame:
+    """Lines of the first member of each archive, from rows of ``path`` and ``content``.
 
     An archive cannot be split, so it is one task's work; lines leave it in
     batches and the text is never held whole.
@@ -45,11 +53,9 @@ def read_zipped_lines(spark: SparkSession, path: str, encoding: str = "latin-1",
                             if len(lines) >= LINES_PER_BATCH:
                                 yield pd.DataFrame({"value": lines, "source_file": name})
                                 lines = []
-                        yield pd.DataFrame({"value": lines, "source_file": name})
+                        if lines:
+                            yield pd.DataFrame({"value": lines, "source_file": name})
 
-    archives = spark.read.format("binaryFile").load(path).select("path", "content")
-    if partitions:
-        archives = archives.repartition(partitions, "path")
     return archives.mapInPandas(unzip, "value string, source_file string")
 
 
