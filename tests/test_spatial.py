@@ -304,3 +304,50 @@ def test_places_on_vertices_and_edges_are_told_as_by_one_ray(spark, cell):
         ray = left.crossJoin(df).where(G.inside_edges("x", "y", "edges"))
         got = spatial.points_by_polygons(left, df, cell=cell)
         assert {r.id for r in got.collect()} == {r.id for r in ray.collect()}
+
+
+def dense_roads(spark, n, spread=20_000.0):
+    """Long roads across one spot, and places in it and beside it."""
+    rng = random.Random(31)
+    lines = []
+    for i in range(n):
+        a, x, y = rng.random() * math.pi, 400_000 + rng.random() * spread, 4_400_000 + rng.random() * spread
+        dx, dy = 30_000 * math.cos(a), 30_000 * math.sin(a)
+        lines.append((i, x - dx, y - dy, x + dx, y + dy))
+    places = [(i, 390_000 + rng.random() * 2 * spread, 4_390_000 + rng.random() * 2 * spread) for i in range(200)]
+    places += [(200 + i, 480_000.0 + 10 * i, 4_400_000.0) for i in range(20)]
+    places += [(300, None, 4_400_000.0), (301, *places[0][1:]), (302, *lines[0][1:3])]
+    return (
+        lines, spark.createDataFrame(lines, "road long, x1 double, y1 double, x2 double, y2 double"),
+        places, spark.createDataFrame(places, "id long, x double, y double"),
+    )
+
+
+@pytest.fixture
+def stored(monkeypatch):
+    """Rows of each table that the operators store."""
+    rows, store = [], spatial.materialise
+
+    def count(df):
+        kept = store(df)
+        rows.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(spatial, "materialise", count)
+    return rows
+
+
+def test_dense_lines_are_not_copied_for_places_near_them(spark, stored):
+    lines, right, places, left = dense_roads(spark, 800)
+    got = spatial.within_distance_of_lines(left, right, 500.0)
+    expected = [i for i, x, y in places if x is not None and min(seg_dist(x, y, *s[1:]) for s in lines) < 500.0]
+    assert sorted(r.id for r in got.collect()) == sorted(expected) and 100 < len(expected) < 220
+    assert max(stored) <= len(lines)
+
+
+def test_listed_cells_hold_a_place(spark):
+    _, right, places, _ = dense_roads(spark, 800)
+    spots = spark.createDataFrame([places[0][1:], places[1][1:]], "_px double, _py double")
+    whole, _ = spatial._line_tree(right, 500.0, 8_000.0)
+    listed, _ = spatial._line_tree(right, 500.0, 8_000.0, spots)
+    assert 0 < listed.count() < whole.count() / 10

@@ -132,17 +132,25 @@ def within_distance_of_lines(
     """Points strictly nearer than ``radius`` to any segment (semi-join).
 
     Segments are cut to cell length and written to the cells their grown boxes
-    touch; a point looks only into its own cell.  Without ``cell`` a cell that holds more
-    than `CROWD` pieces is split, down to the radius; the point then looks into the
-    smallest cell it lies in.
+    touch; a point looks only into its own cell.  Without ``cell`` the points in small
+    cells that a segment passes are settled first, and no line is copied for them.  For
+    the others a cell that holds more than `CROWD` pieces is split, down to the radius,
+    and only pieces in cells with such points are listed; the point then looks into
+    the smallest cell it lies in.
     """
     size = float(cell or max(radius * 16, 8_000.0))
     r = f"{float(radius)!r}D"
     near = f"{G.point_segment_distance(f'l.{x}', f'l.{y}', G.ends('r.'))} < {r}"
     if cell is not None:
         return _cell_join(with_cell(points, x, y, size), line_cells(segments, radius, size), near, "left_semi").select(*points.columns)
-    tree, split = _line_tree(segments, radius, size)
-    placed = with_cell(points, x, y, size).withColumn(LEVEL, F.lit(0))
+    lines = materialise(segments.select(*SEGMENT).distinct())
+    passed, open_, settled = _passed_cells(points, lines, radius, x, y), points, None
+    if passed is not None:
+        small = with_cell(points, x, y, _COVER * radius)
+        settled = small.join(passed, [CELL_X, CELL_Y], "left_semi").select(*points.columns)
+        open_ = materialise(small.join(passed, [CELL_X, CELL_Y], "left_anti").select(*points.columns))
+    tree, split = _line_tree(lines, radius, size, _positions(open_, x, y))
+    placed = with_cell(open_, x, y, size).withColumn(LEVEL, F.lit(0))
     for level, cells in enumerate(split):
         # split cells are at most one in `CROWD` pieces; a point in one moves down to the smaller cell
         size /= SPLIT
@@ -150,35 +158,79 @@ def within_distance_of_lines(
         met = placed.join(known, F.expr(f"{CELL_X} = _ux AND {CELL_Y} = _uy AND {LEVEL} = _ul"), "left")
         fine = [f"if(_ul IS NULL, {c}, floor(({v}) / {size!r}D)) AS {c}" for c, v in ((CELL_X, x), (CELL_Y, y))]
         placed = met.selectExpr(*points.columns, *fine, f"if(_ul IS NULL, {LEVEL}, {level + 1}) AS {LEVEL}")
-    return _cell_join(placed, tree, f"l.{LEVEL} = r.{LEVEL} AND {near}", "left_semi").select(*points.columns)
+    found = _cell_join(placed, tree, f"l.{LEVEL} = r.{LEVEL} AND {near}", "left_semi").select(*points.columns)
+    return found if settled is None else settled.unionByName(found)
+
+
+#: width of a cell, in radii, whose places are all nearer than the radius to a line through it (less than the root of 1/2)
+_COVER = 0.7
+#: pieces of that width a line may have on average; beyond, lines are too long to be walked
+_WALK = 4_096
+
+_KEY = "_ck"
+
+
+def _with_key(df: DataFrame) -> DataFrame:
+    """Add the cell as one number; far cells may share one, so it only sorts out."""
+    return df.withColumn(_KEY, F.expr(f"shiftleft({CELL_X}, 32) + {CELL_Y}"))
+
+
+def _in_held(rows: DataFrame, held: DataFrame) -> DataFrame:
+    """Rows in cells of ``held`` (or sharing their number); all rows when the cells are too many to send."""
+    keys = _with_key(held).select(_KEY).distinct()
+    if join_way(keys, "16") == "merge":
+        return rows
+    return _with_key(rows).join(F.broadcast(keys), _KEY, "left_semi").drop(_KEY)
+
+
+def _passed_cells(points: DataFrame, lines: DataFrame, radius: float, x: str, y: str) -> DataFrame | None:
+    """Small cells with a line through them, of those that hold points; nothing when a walk along the lines is too long.
+
+    Lines are walked in the tasks that read them; what leaves a task is each cell once.
+    """
+    size = _COVER * radius
+    steps = f"greatest(1, ceil({G.distance(*SEGMENT)} / {size!r}D))"
+    if radius < 1.0 or lines.selectExpr(f"coalesce(avg({steps}), 0) > {_WALK} AS far").first()["far"]:
+        return None
+    walk = lines.selectExpr(*SEGMENT, f"cast({steps} AS int) AS _n").selectExpr("*", "explode(sequence(0, _n - 1)) AS _i")
+    at = [f"{a} + ({b} - {a}) * ((_i + 0.5D) / _n)" for a, b in (("x1", "x2"), ("y1", "y2"))]
+    held = with_cell(_positions(points, x, y), "_px", "_py", size).select(CELL_X, CELL_Y)
+    met = _in_held(with_cell(walk, *at, size).select(CELL_X, CELL_Y), held)
+    return materialise(met.distinct())
 
 
 #: a crowded cell of lines is split into so many, each way
 SPLIT = 4
 
 
-def _line_tree(segments: DataFrame, radius: float, size: float) -> tuple[DataFrame, list[DataFrame]]:
-    """Segments in cells of mixed levels, a side of checked size, and the split cells of each level."""
-    g = f"{float(radius)!r}D"
+def _line_tree(segments: DataFrame, radius: float, size: float, spots: DataFrame | None = None) -> tuple[DataFrame, list[DataFrame]]:
+    """Segments in cells of mixed levels, a side of checked size, and the split cells of each level.
+
+    With ``spots`` (positions) only cells that hold one are listed.
+    """
+    g = f"({float(radius)!r}D + {_SLACK!r}D)"
     grown = [f"bx0 - {g}", f"by0 - {g}", f"bx1 + {g}", f"by1 + {g}"]
 
     def placed(pieces: DataFrame, level: int) -> DataFrame:
-        return cover_box(_cut_pieces(pieces, size), grown, size).withColumn(LEVEL, F.lit(level))
+        cells = cover_box(_cut_pieces(pieces, size), grown, size)
+        if spots is not None:
+            cells = _in_held(cells, with_cell(spots, "_px", "_py", size))
+        return cells.withColumn(LEVEL, F.lit(level))
 
+    # pieces are cut anew for each level rather than stored: a level has several times the rows of the one above
     parts, split = [], []
-    rows = materialise(placed(_with_ends(segments.select(*SEGMENT).distinct()), 0))
+    rows = placed(_with_ends(segments.select(*SEGMENT).distinct()), 0)
     while True:
-        full = _crowded(rows, CROWD)
+        full = materialise(_crowded(rows, CROWD))
         if size / SPLIT < max(radius, 1.0) or full.isEmpty():
             break
-        full = materialise(full)
         split.append(full)
         parts.append(rows.join(full, [CELL_X, CELL_Y], "left_anti"))
         inside = rows.join(full, [CELL_X, CELL_Y], "left_semi").withColumnsRenamed({CELL_X: "_ux", CELL_Y: "_uy"}).drop(LEVEL)
         size /= SPLIT
         # a piece touches neighbours too; those are split, or hold it, on their own
         finer = placed(inside, len(split)).where(f"floor({CELL_X} / {SPLIT}D) = _ux AND floor({CELL_Y} / {SPLIT}D) = _uy")
-        rows = materialise(finer.drop("_ux", "_uy"))
+        rows = finer.drop("_ux", "_uy")
     parts.append(rows)
     whole = reduce(DataFrame.unionByName, [p.select(LEVEL, CELL_X, CELL_Y, *SEGMENT) for p in parts])
     return whole.hint(join_way(whole, "64")), split
