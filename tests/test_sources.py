@@ -371,3 +371,17 @@ def test_an_unreadable_table_is_not_a_new_one(spark, tmp_path):
     with pytest.raises(Exception):  # noqa: B017
         sinks.write_new_months(df, str(tmp_path / "months"))
     assert [p.name for p in (tmp_path / "months").iterdir()] == ["part-0.parquet"]
+
+
+def test_sites_are_written_in_several_files(spark, tmp_path, monkeypatch):
+    from voltgrid.plans.catalog import files
+
+    folder = str(tmp_path / "table")
+    rows = spark.range(1, 61).selectExpr("id AS c_custkey", "concat('site ', id) AS c_name", "'M' AS c_mktsegment")
+    rows.coalesce(1).write.parquet(f"{folder}/customer.parquet")
+    monkeypatch.setattr(files, "_folder", lambda spark, name: str(tmp_path / name))
+    monkeypatch.setattr(files, "SITES_PER_FILE", 20)
+    got = files.site_xml_files(spark, folder).collect()
+    assert sorted(int(r.site_id) for r in got) == list(range(1, 61))
+    written = list((tmp_path / "sites").glob("part-*"))
+    assert len(written) == 3 and all(p.read_text().count("<_id>") + p.read_text().count(" _id=") <= 20 for p in written)

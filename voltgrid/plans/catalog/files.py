@@ -251,6 +251,8 @@ def months_left_alone(spark, sf):
 
 
 # ---- sites in XML ----------------------------------------------------------------------
+#: an XML file is read as a whole by one task, so a publication of many sites comes in several files
+SITES_PER_FILE = 20_000
 view("sites_at", lonlat_sql("sites", "site_id, name, n_connectors, operator"), "sites")
 
 
@@ -277,7 +279,7 @@ def site_xml_files(spark, sf):
         " AS locationReference",
         "array(named_struct('refillPoint', transform(filter(sequence(0, cast(n_connectors AS int)), k -> k > 0),"
         f" k -> named_struct('energyInfrastructureConnector', array({connector}))))) AS energyInfrastructureStation",
-    ).write.format("xml").options(rowTag=sites_xml.ROW_TAG, rootTag="energyInfrastructureTable").save(path)
+    ).write.format("xml").options(rowTag=sites_xml.ROW_TAG, rootTag="energyInfrastructureTable", maxRecordsPerFile=SITES_PER_FILE).save(path)
     sites = sites_xml.read_sites(spark, path, boxed=False)
     return sites.withColumns({c: F.round(c, 6) for c in ("longitude", "latitude")}).withColumn("n_connectors", F.col("n_connectors").cast("int"))
 
