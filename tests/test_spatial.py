@@ -351,3 +351,14 @@ def test_listed_cells_hold_a_place(spark):
     whole, _ = spatial._line_tree(right, 500.0, 8_000.0)
     listed, _ = spatial._line_tree(right, 500.0, 8_000.0, spots)
     assert 0 < listed.count() < whole.count() / 10
+
+
+def test_nearest_of_dense_lines_stores_no_pieces(spark, stored):
+    lines, right, places, left = dense_roads(spark, 800)
+    got = {r.id: r for r in spatial.nearest(left.where("id < 100 OR id > 300"), right, ["road"], "road", geometry="segment").collect()}
+    inside = [p for p in places if p[0] < 100 or p[0] > 300]
+    for i, x, y in inside:
+        d, road = min((seg_dist(x, y, *s[1:]), s[0]) for s in lines)
+        assert (got[i].road, got[i].distance_m) == (road, pytest.approx(d, abs=1e-6))
+    # no line is cut into stored pieces
+    assert max(stored) <= len(lines)

@@ -396,22 +396,26 @@ def nearest(
     several items at the same distance the lowest ``tie_break`` wins.  Points
     without position, or without any item to find, get nulls.  Below ``pyramid`` cells
     are split until none holds more than ``crowd`` items, so the work for a position
-    does not grow with the density of the items, nor that of the items elsewhere.
+    does not grow with the density of the items, nor that of the items elsewhere.  Among
+    segments, positions with a line close by are settled without it.
     """
     # the search is work, not bytes: keep as many partitions as a shuffle may have
     width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spots = _positions(points, x, y).repartition(width, "_px", "_py")
-    levels, leaves = _crowded_levels(items, payload, tie_break, geometry, pyramid, crowd)
-    leaves = leaves.hint(join_way(leaves, "200"))
-    frontier = _descend(spots, leaves, levels, len(pyramid) - 1)
-    if geometry == "point":
-        dist = G.distance("_px", "_py", "x1", "y1")
-    else:
+    met: list[DataFrame] = []
+    if geometry == "segment":
         dist = G.point_segment_distance("_px", "_py", G.ends())
-    # a crowded cell of a long item table is split at run time by the planner's skew join
+        met, spots = _near_passing(materialise(spots), materialise(_leaf_items(items, payload, tie_break, geometry)), dist)
+    else:
+        dist = G.distance("_px", "_py", "x1", "y1")
+    if not met or not spots.isEmpty():
+        levels, leaves = _crowded_levels(items, payload, tie_break, geometry, pyramid, crowd)
+        leaves = leaves.hint(join_way(leaves, "200"))
+        frontier = _descend(spots, leaves, levels, len(pyramid) - 1)
+        # a crowded cell of a long item table is split at run time by the planner's skew join
+        met.append(frontier.join(leaves, [LEVEL, CELL_X, CELL_Y]))
     found = (
-        frontier.join(leaves, [LEVEL, CELL_X, CELL_Y])
-        .selectExpr("_px", "_py", f"named_struct('d', {dist}, 'item', _item) AS _found")
+        reduce(DataFrame.unionByName, [m.selectExpr("_px", "_py", f"named_struct('d', {dist}, 'item', _item) AS _found") for m in met])
         .groupBy("_px", "_py")
         .agg(F.min("_found").alias("_best"))
         .selectExpr(
@@ -426,6 +430,47 @@ def nearest(
     )
 
 
+#: cells whose passing lines bound the search of a place, each a power of two and `SPLIT` of the next
+BOUNDS = (2_048.0, 512.0, 128.0, 32.0)
+
+
+def _near_passing(spots: DataFrame, lines: DataFrame, dist: str) -> tuple[list[DataFrame], DataFrame]:
+    """Positions with the lines that can be their nearest, and the positions with no line through their cell.
+
+    A line through a position's own cell is nearer than the cell's diagonal, so with the
+    smallest such cell only lines within its diagonal are compared.  Lines are walked, and
+    cut, only where there are positions; no pieces are stored.
+    """
+
+    def held(places: DataFrame, size: float) -> DataFrame:
+        return with_cell(places, "_px", "_py", size)
+
+    walk, left, tiers = lines, spots, []
+    for size in BOUNDS:
+        middle = with_cell(_cut_pieces(walk, size), "(bx0 + bx1) / 2", "(by0 + by1) / 2", size)
+        walk = _in_held(middle, held(left, size))
+        passed = materialise(walk.select(CELL_X, CELL_Y).distinct())
+        walk = walk.drop(CELL_X, CELL_Y)
+        tiers.append(materialise(held(left, size).join(passed, [CELL_X, CELL_Y], "left_anti").select("_px", "_py")))
+        left = materialise(held(left, size).join(passed, [CELL_X, CELL_Y], "left_semi").select("_px", "_py"))
+    met = []
+    for k, places in enumerate((*tiers[1:], left)):
+        if places.isEmpty():
+            continue
+        g = f"{BOUNDS[k] * 1.4143 + _SLACK!r}D"
+        grown, near = [f"bx0 - {g}", f"by0 - {g}", f"bx1 + {g}", f"by1 + {g}"], lines
+        for step in BOUNDS[: k + 1]:
+            near = near.withColumnsRenamed({CELL_X: "_ux", CELL_Y: "_uy"})
+            near = _in_held(cover_box(_cut_pieces(near, step), grown, step), held(places, step))
+            if step < BOUNDS[0]:
+                # a piece touches neighbours too; those hold it on their own
+                near = near.where(f"floor({CELL_X} / {SPLIT}D) = _ux AND floor({CELL_Y} / {SPLIT}D) = _uy").drop("_ux", "_uy")
+        own = held(places, BOUNDS[k])
+        pairs = near.join(own.hint(join_way(own, "64")), [CELL_X, CELL_Y])
+        met.append(pairs.where(f"{dist} <= {g}").select("_px", "_py", *SEGMENT, "_item"))
+    return met, tiers[0]
+
+
 def _crowded_levels(items, payload, tie_break, geometry, pyramid, crowd) -> tuple[list[float], DataFrame]:
     """Cell sizes of the tree's levels, and its stored leaves: items in cells of mixed levels.
 
