@@ -147,17 +147,30 @@ def flows_by_date(spark, sf):
     return _by_day(sinks.read_parquet(spark, path))
 
 
+#: rows that one task sorts and writes at a time
+ROWS_PER_FILE = 500_000
+
+
 def _named_files(df: DataFrame, stamp: str, path: str, suffix: str) -> None:
-    """One file per value of ``stamp``, called by it, written by all tasks and moved together."""
+    """Files called by their value of ``stamp``, written by all tasks and moved together.
+
+    The rows of a value are one file up to `ROWS_PER_FILE`; more are dealt to several
+    folders, a file of that name in each.
+    """
     spark = df.sparkSession
-    df.repartition(stamp).write.mode("append").options(header="true", sep=";").partitionBy(stamp).csv(f"{path}-parts")
+    sizes = df.groupBy(stamp).count().agg(F.max("count").alias("most"), F.sum("count").alias("all")).first()
+    folders = 1 + (sizes["most"] or 0) // ROWS_PER_FILE
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * (sizes["all"] or 0) // ROWS_PER_FILE)
+    dealt = df.withColumn("folder", F.pmod(F.xxhash64(*df.columns), F.lit(folders)))
+    dealt.repartition(tasks, stamp, "folder").write.mode("append").options(header="true", sep=";").partitionBy("folder", stamp).csv(f"{path}-parts")
     jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    fs = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.mkdirs(place)
-    for part in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{path}-parts/{stamp}=*/part-*")):
-        value = part.getPath().getParent().getName().split("=", 1)[1]
-        fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(f"{path}/{value}{suffix}"))
+    Path = jvm.org.apache.hadoop.fs.Path
+    fs = Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for part in fs.globStatus(Path(f"{path}-parts/folder=*/{stamp}=*/part-*")):
+        named = part.getPath().getParent()
+        value, folder = (p.getName().split("=", 1)[1] for p in (named, named.getParent()))
+        fs.mkdirs(Path(f"{path}/{folder}"))
+        fs.rename(part.getPath(), Path(f"{path}/{folder}/{value}{suffix}"))
 
 
 @query(
@@ -168,13 +181,13 @@ def _named_files(df: DataFrame, stamp: str, path: str, suffix: str) -> None:
        FROM lineitem GROUP BY 1, 2""",
 )
 def files_by_header(spark, sf):
-    """A file a month in three header orders; where a row came from, and the date in the file's name."""
+    """Files of a month each, in three header orders; where a row came from, and the date in the file's name."""
     path = _folder(spark, "headers")
     rows = spark.read.parquet(f"{sf}/lineitem.parquet").withColumn("stamp", F.date_format(F.trunc("l_shipdate", "MM"), "yyyyMMdd"))
     order, quantity, note = F.col("l_orderkey").alias("order"), F.col("l_quantity").alias("quantity"), F.col("l_linestatus").alias("note")
     for k, columns in enumerate([(order, quantity), (quantity, order), (note, order)]):
         _named_files(rows.where(F.month("l_shipdate") % 3 == k).select(*columns, "stamp"), "stamp", path, " a+b%20.csv")
-    found = delimited.read_by_header(spark, path, source_file=True)
+    found = delimited.read_by_header(spark, f"{path}/*", source_file=True)
     return (
         found.withColumn("date", file_name_date(name="source_file"))
         .groupBy("source_file", "date")

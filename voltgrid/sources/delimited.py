@@ -65,14 +65,17 @@ def headers_of(spark: SparkSession, files: Sequence[str], sep: str = ";", encodi
     """Files by the names in their first line: trimmed, without byte-order mark, repeats numbered.
 
     One job over all files, however many there are: a file's first line is the one with
-    the smallest row id in the split that begins it.  Few rows come to the driver, one per
-    header, with the names of its files.
+    the smallest row id in the split that begins it.  The ids alone are compared, so no
+    line is sorted; a second look takes the lines with those ids.  Few rows come to the
+    driver, one per header, with the names of its files.
     """
     lines = spark.read.option("encoding", encoding).option("sep", "\u0001").option("quote", "").schema("value string").csv(list(files))
     lines = lines.select(
         "value", F.expr(FILE_PATH).alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("id")
     )
-    firsts = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "id").alias("header"))
+    begun = lines.where("start = 0")
+    first_ids = begun.groupBy("file").agg(F.min("id").alias("id"))
+    firsts = begun.join(F.broadcast(first_ids), ["file", "id"]).select("file", F.col("value").alias("header"))
     found: dict[tuple[str, ...], list[str]] = {}
     for row in firsts.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
         names = (row["header"] or "").lstrip("\ufeff").split(sep)
