@@ -77,7 +77,8 @@ def headers_of(spark: SparkSession, files: Sequence[str], sep: str = ";", encodi
     first_ids = begun.groupBy("file").agg(F.min("id").alias("id"))
     firsts = begun.join(F.broadcast(first_ids), ["file", "id"]).select("file", F.col("value").alias("header"))
     found: dict[tuple[str, ...], list[str]] = {}
-    for row in firsts.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect():
+    rows = firsts.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).collect()
+    for row in sorted(rows, key=lambda r: r["header"] or ""):
         names = (row["header"] or "").lstrip("\ufeff").split(sep)
         header = C.unique_headers([n.replace("\n", " ").strip().strip('"').strip() for n in names])
         found.setdefault(tuple(header), []).extend(row["files"])
