@@ -362,3 +362,18 @@ def test_nearest_of_dense_lines_stores_no_pieces(spark, stored):
         assert (got[i].road, got[i].distance_m) == (road, pytest.approx(d, abs=1e-6))
     # no line is cut into stored pieces
     assert max(stored) <= len(lines)
+
+
+def test_the_search_sorts_boxes_not_all_their_children(spark):
+    items = spark.range(3_000).selectExpr("id", "cast(id * 7919 % 300000 AS double) AS x", "cast(id * 104729 % 300000 AS double) AS y")
+    places = spark.range(200).selectExpr("cast(id * 31337 % 600000 AS double) AS x", "cast(id * 27449 % 600000 AS double) AS y")
+    found = spatial.nearest(places, items, ["id"], "id")
+    plan = [line.lstrip(" +-:") for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines()]
+    windows = [k for k, line in enumerate(plan) if line.startswith("Window")]
+    assert windows
+    for k in windows:
+        below = next(line for line in plan[k + 1 :] if not line.startswith(("Project", "Filter")))
+        assert not below.startswith("Generate"), below
+    known = [(r.id, r.x, r.y) for r in items.collect()]
+    for r in found.collect():
+        assert (r.distance_m, r.id) == min((math.hypot(r.x - x, r.y - y), i) for i, x, y in known)

@@ -13,7 +13,7 @@ one comparison.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -541,25 +541,28 @@ def _descend(spots: DataFrame, leaves: DataFrame, levels: Sequence[float], base:
         packed[level] = parents.selectExpr(f"_ux AS {CELL_X}", f"_uy AS {CELL_Y}", "kids")
         inner = parents.selectExpr(f"_ux AS {CELL_X}", f"_uy AS {CELL_Y}", *_CORNERS, "false AS _leaf", f"{level - 1} AS {LEVEL}")
 
-    # the coarsest cells of the mapped area fit one array; it is read as a scalar
+    # the coarsest cells of the mapped area fit one array; it is read as a scalar, and a position is still one row
     top = nodes.agg(F.expr(f"collect_list({kid}) AS kids"))
-    farthest = f"array_min(transform(kids, k -> {_FAR.format('k.')}))"
-    frontier = _open(
-        frontier.withColumn("kids", top.scalar()).selectExpr("_px", "_py", "kids", f"coalesce(_bound, {farthest}) AS _bound")
-    )
+    frontier = _children(frontier.withColumn("kids", top.scalar()).selectExpr("_px", "_py", "kids", f"least(_bound, {_FARTHEST}) AS _bound"))
     for level in range(1, len(levels)):
         below = packed[level].hint(way)
         if level <= base:
-            frontier = _open(frontier.join(below, [CELL_X, CELL_Y]))
+            frontier = _open(frontier, lambda cells: cells.join(below, [CELL_X, CELL_Y]))
             continue
+
         # leaves stay as they are; of a split cell the children come
-        met = frontier.join(below.withColumn("_leaf", F.lit(False)), [CELL_X, CELL_Y, "_leaf"], "left")
-        frontier = _open(met.withColumn("kids", F.expr(f"coalesce(kids, array({kid}))")))
+        def with_kids(cells: DataFrame) -> DataFrame:
+            met = cells.join(below.withColumn("_leaf", F.lit(False)), [CELL_X, CELL_Y, "_leaf"], "left")
+            return met.withColumn("kids", F.expr(f"coalesce(kids, array({kid}))"))
+
+        frontier = _open(frontier, with_kids)
     return frontier.select("_px", "_py", LEVEL, CELL_X, CELL_Y)
 
 
 _NEAR = "hypot(greatest(x0 - _px, _px - x1, 0D), greatest(y0 - _py, _py - y1, 0D))"
 _FAR = "hypot(greatest(_px - {0}x0, {0}x1 - _px), greatest(_py - {0}y0, {0}y1 - _py))"
+#: the least of these over the boxes of an array
+_FARTHEST = f"array_min(transform(kids, k -> {_FAR.format('k.')}))"
 
 
 def _own_bound(spots: DataFrame, nodes: DataFrame, size: float) -> DataFrame:
@@ -569,18 +572,23 @@ def _own_bound(spots: DataFrame, nodes: DataFrame, size: float) -> DataFrame:
     return own.selectExpr("_px", "_py", f"least({bound}, {_FAR.format('')}) AS _bound")
 
 
-def _open(df: DataFrame) -> DataFrame:
+def _open(frontier: DataFrame, with_kids: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Open the child boxes and keep those that may hold the nearest item.
 
     A box is certain to hold an item within its far corner, so the smallest far
     corner distance seen so far bounds the answer; boxes whose near side lies
-    beyond it are dropped, first against the bound carried along, then against
-    the one the remaining boxes give.
+    beyond it are dropped.  The bound of a position is found over its boxes, with the
+    children looked up and let go, and the children come after it: what is sorted by
+    position are the boxes, not all their children.
     """
-    opened = (
-        df.selectExpr("_px", "_py", "_bound", "inline(kids)")
-        .selectExpr("*", f"{_NEAR} AS near", f"least(_bound, {_FAR.format('')}) AS _nearer")
-        .where(f"near <= _nearer + {_SLACK}D")
-    )
+    known = with_kids(frontier).selectExpr("_px", "_py", *_BOUNDED, f"least(_bound, {_FARTHEST}) AS _nearer")
     shared = F.min("_nearer").over(Window.partitionBy("_px", "_py"))
-    return opened.withColumn("_bound", shared).where(f"near <= _bound + {_SLACK}D").drop("near", "_nearer")
+    return _children(with_kids(known.withColumn("_bound", shared).drop("_nearer")))
+
+
+_BOUNDED = (CELL_X, CELL_Y, *_CORNERS, "_leaf", LEVEL)
+
+
+def _children(df: DataFrame) -> DataFrame:
+    """The boxes in ``kids`` that begin within the bound."""
+    return df.selectExpr("_px", "_py", "_bound", "inline(kids)").where(f"{_NEAR} <= _bound + {_SLACK}D")
