@@ -1,6 +1,7 @@
 """Language identification and token counts."""
 
 import random
+import time
 import zlib
 
 import public_tokenizers
@@ -113,3 +114,11 @@ def test_trie_gives_the_same_as_plain_segmentation(words):
     for word in words:
         expected = plain_count("▁" + word, scores, min(scores.values()) - 1_000_000)
         assert counter.count(word.encode())[1] == (expected if word else 0)
+
+
+def test_a_long_piece_does_not_slow_other_words():
+    scores = token_counts.zipf_scores(["a", "b", "ab", "c" * 6_000])
+    begin = time.process_time()
+    counter = token_counts.TrieCounter(scores)
+    assert counter.count(b"ab" * 10_000)[1] == 10_003
+    assert time.process_time() - begin < 5

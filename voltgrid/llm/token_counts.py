@@ -50,54 +50,73 @@ def sentencepiece_pieces(path: str) -> list[str]:
     return [model.IdToPiece(i) for i in range(model.GetPieceSize()) if not any(f(i) for f in skip)]
 
 
+def utf8_bytes(c: str) -> int:
+    """Bytes of a character."""
+    return 1 if c < "\x80" else 2 if c < "\u0800" else 3 if c < "\U00010000" else 4
+
+
+#: a segmentation is told by one number, its score times this less its tokens: the larger is the better
+TOKENS = 1 << 32
+CHARS = 0x110000
+
+
 class TrieCounter(dict):
     """Pre-token (UTF-8, without mark) -> number of tokens."""
 
     def __init__(self, scores: dict[str, int], nodes: int = NODES):
         super().__init__()
-        self.scores, self.nodes = scores, nodes
-        self.reach = max(map(len, scores), default=1)
-        self.byte = min(scores.values(), default=0) - 1_000_000
+        self.nodes = nodes
+        self.byte = (min(scores.values(), default=0) - 1_000_000) * TOKENS - 1
+        #: number of every end of a piece (None: no piece itself); a string that ends no piece is not in it
+        self.ends: dict[str, int | None] = dict.fromkeys(piece[at:] for piece in scores for at in range(1, len(piece)))
+        self.ends.update({piece: score * TOKENS - 1 for piece, score in scores.items()})
         self.reset()
 
     def reset(self) -> None:
-        self.children: list[dict[str, int]] = [{}]
-        #: (score, minus the tokens) of the best segmentation up to the node
-        self.best: list[tuple[int, int]] = [(0, 0)]
-
-    def forward(self, word: str, end: int, above: list[tuple[int, int]]) -> tuple[int, int]:
-        """Best segmentation of the first ``end`` characters; ``above[i]``: of the first i."""
-        spelled = len(word[end - 1].encode("utf-8", "replace"))
-        score, tokens = above[end - 1]
-        best = (score + spelled * self.byte, tokens - spelled)
-        for size in range(1, min(self.reach, end) + 1):
-            own = self.scores.get(word[end - size : end])
-            if own is not None:
-                score, tokens = above[end - size]
-                if (score + own, tokens - 1) > best:
-                    best = (score + own, tokens - 1)
-        return best
+        #: node times CHARS plus a character -> the node below; numbers only, which the collector need not visit
+        self.below: dict[int, int] = {}
+        #: the best segmentation up to the node
+        self.best: list[int] = [0]
+
+    def forward(self, word: str, above: list[int]) -> None:
+        """Best segmentations of the word's beginnings, appended to those of the shorter ones; ``above[i]``: of the first i characters."""
+        end_of, byte = self.ends.get, self.byte
+        for end in range(len(above), len(word) + 1):
+            c = word[end - 1]
+            best = above[end - 1] + (byte if c < "\x80" else utf8_bytes(c) * byte)
+            for start in range(end - 1, -1, -1):
+                own = end_of(word[start:end], 0)
+                if own:
+                    own += above[start]
+                    if own > best:
+                        best = own
+                elif own == 0:
+                    # what ends no piece is the end of no longer string that does
+                    break
+            above.append(best)
 
     def insert(self, word: str) -> int:
         """Tokens of a word; makes the nodes that its prefixes lack."""
-        node, above = 0, [self.best[0]]
-        for i, c in enumerate(word):
-            below = self.children[node].get(c)
-            if below is None:
-                below = len(self.children)
-                self.children[node][c] = below
-                self.children.append({})
-                self.best.append(self.forward(word, i + 1, above))
-            node = below
-            above.append(self.best[node])
-        return -above[-1][1]
+        below, best, node, above = self.below, self.best, 0, [self.best[0]]
+        for c in map(ord, word):
+            under = below.get(node * CHARS + c)
+            if under is None:
+                break
+            node = under
+            above.append(best[node])
+        known, new = len(above), len(best)
+        self.forward(word, above)
+        for c in map(ord, word[known - 1 :]):
+            below[node * CHARS + c] = node = new
+            new += 1
+        best += above[known:]
+        return -above[-1] % TOKENS
 
     def tokens(self, word: str) -> int:
         """Tokens of a word that is too long to keep."""
-        above = [(0, 0)]
-        for i in range(len(word)):
-            above.append(self.forward(word, i + 1, above))
-        return -above[-1][1]
+        above = [0]
+        self.forward(word, above)
+        return -above[-1] % TOKENS
 
     def __missing__(self, chunk: bytes) -> int:
         word = MARK + chunk.decode("utf-8", "replace")
@@ -109,7 +128,7 @@ class TrieCounter(dict):
 
     def count(self, text: bytes | None) -> tuple[int, int]:
         """(pre-tokens, tokens) of a text."""
-        if len(self.children) > self.nodes:
+        if len(self.best) > self.nodes:
             self.reset()
         if len(self) > REMEMBERED:
             self.clear()
