@@ -115,3 +115,27 @@ def test_every_code_within_the_radius_is_retrieved():
             limits = hashing_search.allowed(np.array([radius]), parts)
             near = apart.sum(1) <= radius
             assert (apart[near] <= limits).any(1).all()
+
+
+def test_far_blocks_give_only_what_reaches_the_floor():
+    random = np.random.default_rng(4)
+    rows = unit(random.standard_normal((300, 8)))
+    coder = hashing_search.Coder(rows, 1.0, len(rows), 20)
+    codes = [c.tobytes() for c in coder.codes(coder.lifted(rows))]
+    index = pa.table({"id": np.arange(300), "vector": [r.tobytes() for r in rows], "code": codes, "part": np.zeros(300, np.int32)})
+    scores = np.sort(rows @ rows[0])[::-1]
+    asked = {"id": [1000, 1001], "vector": [rows[0].tobytes()] * 2, "code": [coder.query_codes(rows[:1])[0].tobytes()] * 2, "radius": [128, 128]}
+    queries_ = pa.table({**asked, "floor": [(scores[4] + scores[5]) / 2, float("-inf")]})
+    found = hashing_search._probe("<f8", 8, 4, 20)(index, queries_).to_pydict()
+    assert found["query_id"].count(1000) == 5 and found["query_id"].count(1001) == 20
+    assert np.allclose([s for q, s in zip(found["query_id"], found["score"], strict=True) if q == 1000], scores[:5])
+
+
+def test_turns_over_blocks_find_the_same(spark, monkeypatch):
+    rows, _ = sample(600, 16)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<float>")
+    found = []
+    for block in (8_192, 100):
+        monkeypatch.setattr(hashing_search, "INDEX_ROWS", block)
+        found.append(sorted(map(tuple, hashing_search.search(df, F.col("id") % 20 == 0).collect())))
+    assert found[0] == found[1] and len(found[0]) == 30 * 20

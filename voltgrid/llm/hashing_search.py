@@ -11,7 +11,9 @@ is reranked by the inner products of the original vectors in double precision.
 Each query has its own radius: the distance that the expected k-th best score has with
 some margin.  A query that finds fewer than k, or whose k-th score proves that the
 radius was too small, goes again with a larger one, up to all bits, which retrieves
-every row; so queries always end with k results if there are as many rows.
+every row; so queries always end with k results if there are as many rows.  Blocks of the
+index are met in the order of the distance of their leading bits: once k rows are
+found, farther blocks give only rows that reach the k-th score.
 
 Defined cases: vectors that are null, zero, not finite or of an unusual length, and rows
 without id, take no part; of rows with equal ids one counts (the smallest bytes); ties
@@ -126,7 +128,7 @@ def _queries(coder: Coder, kind: str, length: int):
 
 
 def _probe(kind: str, length: int, parts: int, k: int):
-    """Looks up a block's queries in a block of one substring's index; the k best of each query."""
+    """Looks up a block's queries in a block of one substring's index; the k best of each query that reach its floor."""
 
     def probe(index: pa.Table, queries: pa.Table) -> pa.Table:
         found_q, found_id, found_score = [], [], []
@@ -142,6 +144,7 @@ def _probe(kind: str, length: int, parts: int, k: int):
             radius = queries.column("radius").to_numpy().astype(np.int64)
             limits = allowed(radius, parts)
             vectors, names = matrix(queries.column("vector"), kind, length), queries.column("id").to_numpy()
+            floor = queries.column("floor").to_numpy()
             step = max(1, COMPARED // max(len(codes), 1))
             for at in range(0, len(asked), step):
                 mine = slice(at, at + step)
@@ -155,6 +158,8 @@ def _probe(kind: str, length: int, parts: int, k: int):
                 new = (apart.sum(1) <= radius[q]) & (ids[row] != names[q]) & (apart[:, :part] > limits[q][:, :part]).all(1)
                 q, row = q[new], row[new]
                 score = np.concatenate([np.einsum("ij,ij->i", vectors[q[i : i + 65536]], rows[row[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.zeros(0)])
+                enough = score >= floor[q]
+                q, row, score = q[enough], row[enough], score[enough]
                 best = np.lexsort((ids[row], -score, q))
                 q, row, score = q[best], row[best], score[best]
                 start = np.searchsorted(q, q)
@@ -202,15 +207,24 @@ def search(df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id",
     limit = lambda p: F.floor(rest / parts) + F.when(F.pmod(rest, F.lit(parts)) > p, 1).otherwise(0)
     byte = lambda at: F.conv(F.hex(F.substring("code", at, 1)), 16, 10).cast("long")
     word = lambda p: sum((F.shiftleft(byte(4 * p + 1 + i), 8 * i) for i in range(4)), F.lit(0).cast("long"))
+    reach = F.array(*[F.struct(F.lit(p).alias("part"), head(word(p)).alias("lead"), limit(p).alias("limit")) for p in range(parts)])
+    every = F.sequence(F.lit(0).cast("long"), F.lit((1 << lead) - 1).cast("long"))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     while wanted > 0:
-        reach = F.array(*[F.struct(F.lit(p).alias("part"), head(word(p)).alias("lead"), limit(p).alias("limit")) for p in range(parts)])
-        asked = pending.withColumn("at", F.explode(reach)).where(F.col("at.limit") >= 0)
-        leads = F.filter(F.sequence(F.lit(0).cast("long"), F.lit((1 << lead) - 1).cast("long")), lambda x: _distance(x, F.col("at.lead")) <= F.col("at.limit"))
-        asked = asked.select("id", "vector", "code", "radius", F.col("at.part").alias("part"), F.explode(leads).alias("lead"))
-        met = meet(index, asked, ["part", "lead"], INDEX_ROWS, QUERY_ROWS)
-        found = met.applyInArrow(_probe(kind, length, parts, k), empty)
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-        found = stored(found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "found")
+        # the nearest blocks go first; a k-th score found there is a floor for what the farther ones have to give
+        farthest = pending.agg(F.max(F.greatest(*[limit(p) for p in range(parts)]))).first()[0]
+        found = spark.createDataFrame([], empty)
+        for apart in range(min(lead, farthest if farthest is not None else -1) + 1):
+            floors = found.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("n"), F.min("score").alias("floor")).where(F.col("n") >= k)
+            floored = pending.join(floors.select("id", "floor"), "id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+            asked = floored.withColumn("at", F.explode(reach)).where(F.col("at.limit") >= apart)
+            leads = F.filter(every, lambda x: _distance(x, F.col("at.lead")) == apart)  # noqa: B023
+            asked = asked.select("id", "vector", "code", "radius", "floor", F.col("at.part").alias("part"), F.explode(leads).alias("lead"))
+            met = meet(index, asked, ["part", "lead"], INDEX_ROWS, QUERY_ROWS)
+            more = found.select("query_id", "vec_id", "score").unionByName(met.applyInArrow(_probe(kind, length, parts, k), empty))
+            found = stored(more.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "found")
+        if "rank" not in found.columns:
+            found = found.withColumn("rank", F.lit(0))
         # does the k-th score prove that the radius was enough?
         worst = found.groupBy(F.col("query_id").alias("id")).agg(F.count("*").alias("n"), F.min("score").alias("worst"))
         share = F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("worst") / (F.col("norm") * largest)))) / pi
