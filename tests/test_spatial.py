@@ -377,3 +377,29 @@ def test_the_search_sorts_boxes_not_all_their_children(spark):
     known = [(r.id, r.x, r.y) for r in items.collect()]
     for r in found.collect():
         assert (r.distance_m, r.id) == min((math.hypot(r.x - x, r.y - y), i) for i, x, y in known)
+
+
+def test_only_the_nearest_of_dense_lines_are_met(spark, monkeypatch):
+    """Positions by dense lines, at borders of squares, and far from any line; sent in several turns."""
+    lines, right, places, _ = dense_roads(spark, 800)
+    lines = lines + [(800, 32_767.0, 4_390_912.0, 32_767.0, 4_400_000.0), (801, 32_767.0, 4_390_912.0, 32_767.0, 4_400_000.0)]
+    right = spark.createDataFrame(lines, right.schema)
+    places = [p for p in places[::2] if p[1] is not None] + [(400, 32_769.0, 4_390_911.0), (401, 35_000.0, 4_395_000.0), (402, 40_900.0, 4_391_000.0)]
+    left = spark.createDataFrame(places, "id long, x double, y double")
+    spots = spatial._positions(left, "x", "y")
+    dist = G.point_segment_distance("_px", "_py", G.ends())
+    met, _ = spatial._near_passing(spots, spatial._leaf_items(right, ["road"], "road", "segment"), dist)
+    assert sum(m.count() for m in met) < 4 * spots.count()  # those of a cell's diagonal were met before
+    monkeypatch.setattr(spatial, "SENT", 40)
+    monkeypatch.setattr(spatial, "FEW", 2)
+    got = {r.id: r for r in spatial.nearest(left, right, ["road"], "road", geometry="segment").collect()}
+    for i, x, y in places:
+        d, road = min((seg_dist(x, y, *s[1:]), s[0]) for s in lines)
+        assert (got[i].road, got[i].distance_m) == (road, pytest.approx(d, abs=1e-6))
+
+
+def test_lines_read_by_one_task_are_dealt_before_they_are_compared(spark, polygons):
+    roads = spark.range(50, numPartitions=1).selectExpr("id AS road_id", "array(named_struct('x', id * 900D, 'y', 0D), named_struct('x', id * 900D, 'y', 9D)) AS v")
+    clear = spatial.lines_clear_of_polygons(roads, "road_id", "v", polygons, radius=1_000.0, cell=10_000.0)
+    assert "Repartition 4, true" in clear._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.road_id for r in clear.collect()} == {i for i in range(50) if i * 900 > 11_000}

@@ -32,6 +32,11 @@ _SLACK = 1e-3
 CROWD = 256
 
 
+def _width(df: DataFrame) -> int:
+    """Partitions of a shuffle; geometry is dealt to all of them, few bytes or not."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def with_cell(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
     """Add the cell a position (two SQL expressions) lies in."""
     return df.selectExpr("*", f"floor(({x}) / {size!r}D) AS {CELL_X}", f"floor(({y}) / {size!r}D) AS {CELL_Y}")
@@ -143,7 +148,7 @@ def within_distance_of_lines(
     near = f"{G.point_segment_distance(f'l.{x}', f'l.{y}', G.ends('r.'))} < {r}"
     if cell is not None:
         return _cell_join(with_cell(points, x, y, size), line_cells(segments, radius, size), near, "left_semi").select(*points.columns)
-    lines = materialise(segments.select(*SEGMENT).distinct())
+    lines = materialise(segments.select(*SEGMENT).distinct().repartition(_width(segments)))
     passed, open_, settled = _passed_cells(points, lines, radius, x, y), points, None
     if passed is not None:
         small = with_cell(points, x, y, _COVER * radius)
@@ -355,10 +360,16 @@ def lines_clear_of_polygons(
     A line with one touching segment goes as a whole; it is not clipped.
     """
     outline = line_cells(polygons.selectExpr(f"inline({edges})"), radius, cell)
+    dealt = lines.select(line_id, vertices).repartition(_width(lines))
     pieces = cover_box(
-        cut_segments(line_to_segments(lines, vertices, [line_id]), cell), ["bx0", "by0", "bx1", "by1"], cell
-    ).select(CELL_X, CELL_Y, line_id, *SEGMENT)
-    touches = G.segments_within(G.ends("l."), G.ends("r."), radius)
+        cut_segments(line_to_segments(dealt, vertices, [line_id]), cell), ["bx0", "by0", "bx1", "by1"], cell
+    ).select(CELL_X, CELL_Y, line_id, *SEGMENT, *_BOX)
+    # the piece that holds the touching spot has its box there too
+    g = f"({float(radius)!r}D + {_SLACK!r}D)"
+    boxes = " AND ".join(
+        f"l.b{c}0 <= greatest(r.{c}1, r.{c}2) + {g} AND l.b{c}1 >= least(r.{c}1, r.{c}2) - {g}" for c in ("x", "y")
+    )
+    touches = f"{boxes} AND {G.segments_within(G.ends('l.'), G.ends('r.'), radius)}"
     # a line that stays clear of every outline is inside or outside as a whole: its first vertex tells
     starts = lines.selectExpr(line_id, f"{vertices}[0].x AS x", f"{vertices}[0].y AS y")
     within = points_by_polygons(starts, polygons, edges, how="left_semi", cell=cell).select(line_id)
@@ -400,16 +411,16 @@ def nearest(
     segments, positions with a line close by are settled without it.
     """
     # the search is work, not bytes: keep as many partitions as a shuffle may have
-    width = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spots = _positions(points, x, y).repartition(width, "_px", "_py")
+    spots = _positions(points, x, y).repartition(_width(points), "_px", "_py")
     met: list[DataFrame] = []
     if geometry == "segment":
         dist = G.point_segment_distance("_px", "_py", G.ends())
-        met, spots = _near_passing(materialise(spots), materialise(_leaf_items(items, payload, tie_break, geometry)), dist)
+        shapes = materialise(_leaf_items(items, payload, tie_break, geometry))
+        met, spots = _near_passing(materialise(spots), shapes, dist)
     else:
-        dist = G.distance("_px", "_py", "x1", "y1")
+        dist, shapes = G.distance("_px", "_py", "x1", "y1"), _leaf_items(items, payload, tie_break, geometry)
     if not met or not spots.isEmpty():
-        levels, leaves = _crowded_levels(items, payload, tie_break, geometry, pyramid, crowd)
+        levels, leaves = _split_levels(_near_lines(spots, shapes, dist) if met else shapes, pyramid, crowd)
         leaves = leaves.hint(join_way(leaves, "200"))
         frontier = _descend(spots, leaves, levels, len(pyramid) - 1)
         # a crowded cell of a long item table is split at run time by the planner's skew join
@@ -430,54 +441,175 @@ def nearest(
     )
 
 
-#: cells whose passing lines bound the search of a place, each a power of two and `SPLIT` of the next
-BOUNDS = (2_048.0, 512.0, 128.0, 32.0)
+#: cells of positions in the search along lines, each a power of two and `SPLIT` of the next
+WALK = (2_048.0, 512.0, 128.0, 32.0, 8.0)
+#: lines are cut to squares of this width before they are walked
+TILE = 32_768.0
+#: positions a cell may hold before it is split
+FEW = 8
+#: positions that are sent to the tasks at once
+SENT = 1_000_000
 
 
 def _near_passing(spots: DataFrame, lines: DataFrame, dist: str) -> tuple[list[DataFrame], DataFrame]:
     """Positions with the lines that can be their nearest, and the positions with no line through their cell.
 
-    A line through a position's own cell is nearer than the cell's diagonal, so with the
-    smallest such cell only lines within its diagonal are compared.  Lines are walked, and
-    cut, only where there are positions; no pieces are stored.
+    Positions lie in cells of mixed levels, at most `FEW` in one.  Lines are walked through the
+    cells that hold positions: the nearest of those through a position's own cell bounds its
+    search, and a second walk meets the cells around the position within that bound.  Pairs are
+    met where the lines of a square are, and only the nearest leave the task; no pieces of lines
+    are stored.
     """
-
-    def held(places: DataFrame, size: float) -> DataFrame:
-        return with_cell(places, "_px", "_py", size)
-
-    walk, left, tiers = lines, spots, []
-    for size in BOUNDS:
-        middle = with_cell(_cut_pieces(walk, size), "(bx0 + bx1) / 2", "(by0 + by1) / 2", size)
-        walk = _in_held(middle, held(left, size))
-        passed = materialise(walk.select(CELL_X, CELL_Y).distinct())
-        walk = walk.drop(CELL_X, CELL_Y)
-        tiers.append(materialise(held(left, size).join(passed, [CELL_X, CELL_Y], "left_anti").select("_px", "_py")))
-        left = materialise(held(left, size).join(passed, [CELL_X, CELL_Y], "left_semi").select("_px", "_py"))
+    tiles = _tiles(spots, lines)
+    open_, bounds, missed = materialise(_spot_cells(spots)), [], []
+    while True:
+        met = _meet(tiles, open_, lambda pairs: pairs.groupBy("_px", "_py", LEVEL).agg(F.expr(f"min({dist}) AS _bound")))
+        bounds.append(met)
+        alone = materialise(open_.join(met.select("_px", "_py"), ["_px", "_py"], "left_anti"))
+        missed.append(alone.where(f"{LEVEL} = 0").select("_px", "_py"))
+        # no line through the cell: the next larger one
+        up = [f"floor({c} / {SPLIT}D) AS {c}" for c in (CELL_X, CELL_Y)]
+        open_ = alone.where(f"{LEVEL} > 0").selectExpr("_px", "_py", *up, f"{LEVEL} - 1 AS {LEVEL}")
+        if open_.isEmpty():
+            break
+    bounded = reduce(DataFrame.unionByName, bounds)
+    near = _meet(tiles, _around(bounded), lambda pairs: pairs.where(f"{dist} <= _bound").select("_px", "_py", *SEGMENT))
+    found = near.join(lines.select(*SEGMENT, "_item"), list(SEGMENT))
+    return [found.select("_px", "_py", *SEGMENT, "_item")], reduce(DataFrame.unionByName, missed)
+
+
+def _spot_cells(spots: DataFrame) -> DataFrame:
+    """Positions in cells of mixed levels: one that holds more than `FEW` is split, down to the last level."""
+    open_, parts = spots, []
+    for level, size in enumerate(WALK):
+        placed = with_cell(open_, "_px", "_py", size).withColumn(LEVEL, F.lit(level))
+        full = materialise(_crowded(placed, FEW)) if size > WALK[-1] else None
+        if full is None or full.isEmpty():
+            break
+        parts.append(placed.join(full, [CELL_X, CELL_Y], "left_anti"))
+        open_ = placed.join(full, [CELL_X, CELL_Y], "left_semi").select("_px", "_py")
+    columns = ["_px", "_py", CELL_X, CELL_Y, LEVEL]
+    return reduce(DataFrame.unionByName, [p.select(*columns) for p in (*parts, placed)])
+
+
+def _around(bounded: DataFrame) -> DataFrame:
+    """Positions in all cells within their bound, which are half as wide as a cell where a level allows it."""
+    fits = " ".join(f"WHEN _bound * 2 <= {size!r}D THEN {level}" for level, size in reversed([*enumerate(WALK)]))
+    sizes = ", ".join(f"{size!r}D" for size in WALK)
+    level = bounded.selectExpr("_px", "_py", "_bound", f"least({LEVEL}, CASE {fits} ELSE 0 END) AS {LEVEL}")
+    sized = level.selectExpr("*", f"element_at(array({sizes}), {LEVEL} + 1) AS _s", f"_bound + {_SLACK!r}D AS _g")
+    wide = sized.selectExpr("*", f"explode(sequence(floor((_px - _g) / _s), floor((_px + _g) / _s))) AS {CELL_X}")
+    high = wide.selectExpr("*", f"explode(sequence(floor((_py - _g) / _s), floor((_py + _g) / _s))) AS {CELL_Y}")
+    return materialise(high.drop("_s", "_g"))
+
+
+def _tiles(spots: DataFrame, lines: DataFrame) -> DataFrame:
+    """Lines once for each square they pass that holds positions, those of a square in one task or a few."""
+    passed = _along(_oriented(lines), TILE)
+    # no bound is wider than a cell of the first level across
+    g = f"{WALK[0] * 1.4143 + _SLACK!r}D"
+    held = cover_box(spots, [f"_px - {g}", f"_py - {g}", f"_px + {g}", f"_py + {g}"], TILE).select(CELL_X, CELL_Y)
+    cells = passed.selectExpr(*SEGMENT, "_cu", "_cv", f"if(_steep, _cv, _cu) AS {CELL_X}", f"if(_steep, _cu, _cv) AS {CELL_Y}")
+    dealt = _in_held(cells, held).repartitionByRange(_width(lines), CELL_X, CELL_Y, *SEGMENT)
+    return dealt.select(*SEGMENT, "_cu", "_cv")
+
+
+def _oriented(lines: DataFrame) -> DataFrame:
+    """Add the direction a segment is walked: from ``_u1`` to ``_u2`` along its longer side, with slope ``_m``."""
+    steep = lines.selectExpr("*", "abs(y2 - y1) > abs(x2 - x1) AS _steep")
+    turned = steep.selectExpr("*", "if(_steep, y1 > y2, x1 > x2) AS _back")
+    ends = [f"if(_steep, if(_back, {c}2, {c}1), if(_back, {d}2, {d}1)) AS {name}" for c, d, name in (("y", "x", "_u1"), ("x", "y", "_v1"))]
+    last = [f"if(_steep, if(_back, {c}1, {c}2), if(_back, {d}1, {d}2)) AS {name}" for c, d, name in (("y", "x", "_u2"), ("x", "y", "_v2"))]
+    placed = turned.selectExpr("*", *ends, *last)
+    return placed.selectExpr("*", "if(_u2 > _u1, (_v2 - _v1) / (_u2 - _u1), 0D) AS _m").drop("_back", "_v2")
+
+
+def _along(rows: DataFrame, size: float, parent: float | None = None) -> DataFrame:
+    """Oriented segments in each cell ``_cu _cv`` they pass, of those inside the cell of size ``parent`` they came in."""
+    bounds = {"u": (f"floor(_u1 / {size!r}D)", f"floor(_u2 / {size!r}D)")}
+    at = [f"_v1 + ({u} - _u1) * _m" for u in (f"greatest(_u1, _nu * {size!r}D)", f"least(_u2, (_nu + 1) * {size!r}D)")]
+    bounds["v"] = (f"floor((least(_va, _vb) - {_SLACK!r}D) / {size!r}D)", f"floor((greatest(_va, _vb) + {_SLACK!r}D) / {size!r}D)")
+    if parent is not None:
+        k = int(parent / size)
+        bounds = {c: (f"greatest({a}, _c{c} * {k})", f"least({b}, _c{c} * {k} + {k - 1})") for c, (a, b) in bounds.items()}
+    kept = [c for c in rows.columns if c not in ("_cu", "_cv")]
+    columns = rows.selectExpr("*", f"explode(sequence({bounds['u'][0]}, {bounds['u'][1]})) AS _nu")
+    spans = columns.selectExpr("*", f"{at[0]} AS _va", f"{at[1]} AS _vb")
+    spans = spans.selectExpr(*kept, "_nu AS _cu", f"{bounds['v'][0]} AS _lo", f"{bounds['v'][1]} AS _hi").where("_lo <= _hi")
+    return spans.selectExpr(*kept, "_cu", "explode(sequence(_lo, _hi)) AS _cv")
+
+
+def _meet(tiles: DataFrame, placed: DataFrame, keep: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Positions with each line through the cells they are placed in, reduced by ``keep`` and stored.
+
+    Positions are sent to the lines, at most about `SENT` at once; a larger cell goes as a whole.
+    """
+    counts = {row[LEVEL]: row["n"] for row in placed.groupBy(LEVEL).agg(F.count(F.lit(1)).alias("n")).collect()} or {0: 0}
+    turns = max(1, math.ceil(sum(counts.values()) / SENT))
+    top = [f"shiftright({c}, 2 * {LEVEL})" for c in (CELL_X, CELL_Y)]
     met = []
-    for k, places in enumerate((*tiers[1:], left)):
-        if places.isEmpty():
-            continue
-        g = f"{BOUNDS[k] * 1.4143 + _SLACK!r}D"
-        grown, near = [f"bx0 - {g}", f"by0 - {g}", f"bx1 + {g}", f"by1 + {g}"], lines
-        for step in BOUNDS[: k + 1]:
-            near = near.withColumnsRenamed({CELL_X: "_ux", CELL_Y: "_uy"})
-            near = _in_held(cover_box(_cut_pieces(near, step), grown, step), held(places, step))
-            if step < BOUNDS[0]:
-                # a piece touches neighbours too; those hold it on their own
-                near = near.where(f"floor({CELL_X} / {SPLIT}D) = _ux AND floor({CELL_Y} / {SPLIT}D) = _uy").drop("_ux", "_uy")
-        own = held(places, BOUNDS[k])
-        pairs = near.join(own.hint(join_way(own, "64")), [CELL_X, CELL_Y])
-        met.append(pairs.where(f"{dist} <= {g}").select("_px", "_py", *SEGMENT, "_item"))
-    return met, tiers[0]
+    for turn in range(turns):
+        now = placed if turns == 1 else placed.where(f"pmod(xxhash64({', '.join(top)}), {turns}) = {turn}")
+        rows, parent, parts = _oriented(tiles), TILE, []
+        for level, size in enumerate(WALK):
+            cell = f"if(_steep, shiftleft(_cv, 32) + _cu, shiftleft(_cu, 32) + _cv) AS {_KEY}"
+            rows = _along(rows, size, parent).selectExpr("*", cell)
+            if level in counts:
+                here = _with_key(now.where(F.col(LEVEL) == level)).drop(CELL_X, CELL_Y)
+                parts.append(rows.join(F.broadcast(here), _KEY))
+            if level >= max(counts):
+                break
+            inner = now.where(F.col(LEVEL) > level)
+            up = [f"shiftright({c}, 2 * ({LEVEL} - {level})) AS {c}" for c in (CELL_X, CELL_Y)]
+            keys = _with_key(inner.selectExpr(*up)).select(_KEY).distinct()
+            rows, parent = rows.join(F.broadcast(keys), _KEY, "left_semi").drop(_KEY), size
+        columns = ["_px", "_py", LEVEL, *(c for c in placed.columns if c == "_bound"), *SEGMENT]
+        met.append(materialise(keep(reduce(DataFrame.unionByName, [p.select(*columns) for p in parts]))))
+    return reduce(DataFrame.unionByName, met)
+
+
+#: cells whose lines, and those of the cells around, bound the search of a place with none in its own, and the length of pieces for it
+FAR, _PIECE = (4_096.0, 32_768.0), 8_192.0
+
+
+def _near_lines(spots: DataFrame, lines: DataFrame, dist: str) -> DataFrame:
+    """Pieces of lines that can be the nearest of the positions; all lines when a position has none around.
+
+    One line of each cell around a position bounds its search.
+    """
+    oriented, near, open_ = _oriented(lines), [], spots
+    for size in FAR:
+        s = f"{size!r}D"
+        around = cover_box(open_, [f"_px - {s}", f"_py - {s}", f"_px + {s}", f"_py + {s}"], size)
+        passed = _along(oriented, size).selectExpr(*SEGMENT, f"if(_steep, _cv, _cu) AS {CELL_X}", f"if(_steep, _cu, _cv) AS {CELL_Y}")
+        one = _in_held(passed, around).groupBy(CELL_X, CELL_Y).agg(F.expr(f"min(struct({', '.join(SEGMENT)})) AS _one"))
+        pairs = around.join(one, [CELL_X, CELL_Y]).selectExpr("_px", "_py", "_one.*")
+        bound = materialise(pairs.groupBy("_px", "_py").agg(F.expr(f"min({dist}) AS _bound")))
+        g = f"(_bound + {_PIECE / 2 + _SLACK!r}D)"
+        cells = cover_box(bound, [f"_px - {g}", f"_py - {g}", f"_px + {g}", f"_py + {g}"], size).select(CELL_X, CELL_Y)
+        near.append((size, cells.distinct()))
+        open_ = materialise(open_.join(bound, ["_px", "_py"], "left_anti"))
+        if open_.isEmpty():
+            break
+    else:
+        return lines
+    pieces, middle = _cut_pieces(lines, _PIECE).drop(*_BOX), ("(ex1 + ex2) / 2", "(ey1 + ey2) / 2")
+    parts = [_in_held(with_cell(pieces, *middle, size), cells).drop(CELL_X, CELL_Y) for size, cells in near]
+    # a piece kept for two sizes comes twice; that changes no minimum
+    return reduce(DataFrame.unionByName, parts)
 
 
 def _crowded_levels(items, payload, tie_break, geometry, pyramid, crowd) -> tuple[list[float], DataFrame]:
+    """`_split_levels` of items as they come."""
+    return _split_levels(_leaf_items(items, payload, tie_break, geometry), pyramid, crowd)
+
+
+def _split_levels(items: DataFrame, pyramid: Sequence[float], crowd: int) -> tuple[list[float], DataFrame]:
     """Cell sizes of the tree's levels, and its stored leaves: items in cells of mixed levels.
 
     A round looks only at what lies in the crowded cells of the round before.
     """
-    levels, parts = list(pyramid), []
-    open_ = _leaf_items(items, payload, tie_break, geometry)
+    levels, parts, open_ = list(pyramid), [], items
     while True:
         size = levels[-1]
         middle = ("(bx0 + bx1) / 2", "(by0 + by1) / 2")
