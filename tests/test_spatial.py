@@ -403,3 +403,29 @@ def test_lines_read_by_one_task_are_dealt_before_they_are_compared(spark, polygo
     clear = spatial.lines_clear_of_polygons(roads, "road_id", "v", polygons, radius=1_000.0, cell=10_000.0)
     assert "Repartition 4, true" in clear._jdf.queryExecution().optimizedPlan().toString()
     assert {r.road_id for r in clear.collect()} == {i for i in range(50) if i * 900 > 11_000}
+
+
+@pytest.mark.parametrize("radius", [60.0, 50_000.0])
+def test_places_farther_than_a_radius_from_every_item(spark, monkeypatch, radius):
+    """Most places are told by cells: only those at the rim look for their nearest item."""
+    rng, looked, search = random.Random(12), [], spatial.nearest
+    monkeypatch.setattr(spatial, "nearest", lambda points, *a, **kw: looked.append(points.count()) or search(points, *a, **kw))
+    items = [(rng.random() * 9 * radius, rng.random() * 9 * radius) for _ in range(4)] + [(None, 1.0)]
+    places = [(i, (rng.random() * 13 - 2) * radius, (rng.random() * 13 - 2) * radius) for i in range(600)]
+    places += [(600, None, 3.0), (601, items[0][0] + radius, items[0][1]), (602, *items[1])]
+    left = spark.createDataFrame(places, "id long, x double, y double")
+    right = spark.createDataFrame(items, "x double, y double")
+    stay = [i for i, x, y in places if x is None or min(math.hypot(x - a, y - b) for a, b in items if a is not None) > radius]
+    got = spatial.farther_than(left, right, radius)
+    assert sorted(r.id for r in got.collect()) == stay and 100 < len(stay) < 600
+    assert sum(looked) < 200
+    assert spatial.farther_than(left, right.limit(0), radius).count() == len(places)
+
+
+def test_positions_are_searched_in_all_tasks(spark):
+    """Distinct positions are few bytes; the search over them must not be left to one task."""
+    places = spark.range(3_000).selectExpr("cast(id * 7919 % 300000 AS double) AS x", "cast(id * 104729 % 300000 AS double) AS y")
+    plan = spatial.nearest(places, places.selectExpr("x", "y", "x AS id"), ["id"], "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition 4, true" in plan
+    windows = plan.split("Window")[1:]
+    assert windows and all(w.splitlines()[1].lstrip(" +-:").startswith("RepartitionByExpression") for w in windows if "\n" in w)

@@ -49,7 +49,7 @@ def interurban_sites(
     """Sites near an interurban road and outside the grown urban areas."""
     segments = spatial.line_to_segments(roads, "vertices", ["road_id"])
     near = spatial.within_distance_of_lines(sites, segments, road_radius)
-    return spatial.points_by_polygons(near, urban, radius=urban_radius, how="left_anti")
+    return spatial.points_by_polygons(spatial.dealt(near), urban, radius=urban_radius, how="left_anti")
 
 
 def snap_to_road(sites: DataFrame, roads: DataFrame, label: str = "label") -> DataFrame:
@@ -119,9 +119,7 @@ def fill_candidates(
     """Candidates in the country, outside urban areas, and farther than ``exclusion`` from every station."""
     inside = clip_to_country(candidates, country)
     rural = materialise(spatial.points_by_polygons(inside, urban, radius=urban_radius, how="left_anti"))
-    tagged = stations.selectExpr("x", "y", "1 AS _covered")
-    reached = spatial.nearest(rural, tagged, ["_covered"], "_covered", distance_col="_station_m")
-    return reached.where(f"_station_m IS NULL OR _station_m > {float(exclusion)!r}D").select(*candidates.columns)
+    return spatial.farther_than(rural, stations, exclusion)
 
 
 def thin_candidates(fill: DataFrame, spacing: float = S.FILL_SPACING_M) -> DataFrame:

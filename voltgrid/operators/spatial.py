@@ -33,10 +33,15 @@ CROWD = 256
 
 
 def _width(df: DataFrame) -> int:
-    """Partitions of a shuffle; geometry is dealt to all of them, few bytes or not."""
+    """Partitions of a shuffle."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def dealt(df: DataFrame) -> DataFrame:
+    """Rows over as many tasks as a shuffle may have: geometry is much work on few bytes."""
+    return df.repartition(_width(df))
+
+
 def with_cell(df: DataFrame, x: str, y: str, size: float) -> DataFrame:
     """Add the cell a position (two SQL expressions) lies in."""
     return df.selectExpr("*", f"floor(({x}) / {size!r}D) AS {CELL_X}", f"floor(({y}) / {size!r}D) AS {CELL_Y}")
@@ -141,19 +146,23 @@ def within_distance_of_lines(
     cells that a segment passes are settled first, and no line is copied for them.  For
     the others a cell that holds more than `CROWD` pieces is split, down to the radius,
     and only pieces in cells with such points are listed; the point then looks into
-    the smallest cell it lies in.
+    the smallest cell it lies in.  Up to a radius of the first cells of `WALK` lines are
+    walked to those points instead, and none is listed.
     """
     size = float(cell or max(radius * 16, 8_000.0))
     r = f"{float(radius)!r}D"
     near = f"{G.point_segment_distance(f'l.{x}', f'l.{y}', G.ends('r.'))} < {r}"
     if cell is not None:
         return _cell_join(with_cell(points, x, y, size), line_cells(segments, radius, size), near, "left_semi").select(*points.columns)
-    lines = materialise(segments.select(*SEGMENT).distinct().repartition(_width(segments)))
+    lines = materialise(dealt(segments.select(*SEGMENT).distinct()))
     passed, open_, settled = _passed_cells(points, lines, radius, x, y), points, None
     if passed is not None:
         small = with_cell(points, x, y, _COVER * radius)
         settled = small.join(passed, [CELL_X, CELL_Y], "left_semi").select(*points.columns)
         open_ = materialise(small.join(passed, [CELL_X, CELL_Y], "left_anti").select(*points.columns))
+        if radius <= WALK[0]:
+            met = _within(_positions(open_, x, y), lines, radius).withColumnsRenamed({"_px": "_qx", "_py": "_qy"})
+            return settled.unionByName(open_.join(met, F.expr(f"{x} = _qx AND {y} = _qy"), "left_semi"))
     tree, split = _line_tree(lines, radius, size, _positions(open_, x, y))
     placed = with_cell(open_, x, y, size).withColumn(LEVEL, F.lit(0))
     for level, cells in enumerate(split):
@@ -172,6 +181,9 @@ _COVER = 0.7
 #: pieces of that width a line may have on average; beyond, lines are too long to be walked
 _WALK = 4_096
 
+#: one line in so many is walked first
+_FIRST = 16
+
 _KEY = "_ck"
 
 
@@ -197,11 +209,18 @@ def _passed_cells(points: DataFrame, lines: DataFrame, radius: float, x: str, y:
     steps = f"greatest(1, ceil({G.distance(*SEGMENT)} / {size!r}D))"
     if radius < 1.0 or lines.selectExpr(f"coalesce(avg({steps}), 0) > {_WALK} AS far").first()["far"]:
         return None
-    walk = lines.selectExpr(*SEGMENT, f"cast({steps} AS int) AS _n").selectExpr("*", "explode(sequence(0, _n - 1)) AS _i")
     at = [f"{a} + ({b} - {a}) * ((_i + 0.5D) / _n)" for a, b in (("x1", "x2"), ("y1", "y2"))]
-    held = with_cell(_positions(points, x, y), "_px", "_py", size).select(CELL_X, CELL_Y)
-    met = _in_held(with_cell(walk, *at, size).select(CELL_X, CELL_Y), held)
-    return materialise(met.distinct())
+
+    def met(some: DataFrame, held: DataFrame) -> DataFrame:
+        walk = some.selectExpr(*SEGMENT, f"cast({steps} AS int) AS _n").selectExpr("*", "explode(sequence(0, _n - 1)) AS _i")
+        return materialise(_in_held(with_cell(walk, *at, size).select(CELL_X, CELL_Y), held).distinct())
+
+    # a few lines pass most cells where lines are dense; all lines are walked for the cells that are left
+    held = with_cell(_positions(points, x, y), "_px", "_py", size).select(CELL_X, CELL_Y).distinct()
+    first = met(lines.where(f"pmod(xxhash64({', '.join(SEGMENT)}), {_FIRST}) = 0"), held)
+    left = materialise(held.join(first, [CELL_X, CELL_Y], "left_anti"))
+    # cells that only share a number with a held one may be met in both walks
+    return first.unionByName(met(lines, left)).distinct()
 
 
 #: a crowded cell of lines is split into so many, each way
@@ -360,20 +379,27 @@ def lines_clear_of_polygons(
     A line with one touching segment goes as a whole; it is not clipped.
     """
     outline = line_cells(polygons.selectExpr(f"inline({edges})"), radius, cell)
-    dealt = lines.select(line_id, vertices).repartition(_width(lines))
-    pieces = cover_box(
-        cut_segments(line_to_segments(dealt, vertices, [line_id]), cell), ["bx0", "by0", "bx1", "by1"], cell
-    ).select(CELL_X, CELL_Y, line_id, *SEGMENT, *_BOX)
+    segments = line_to_segments(dealt(lines.select(line_id, vertices)), vertices, [line_id])
+    pieces = cover_box(cut_segments(segments, cell), ["bx0", "by0", "bx1", "by1"], cell).select(
+        CELL_X, CELL_Y, line_id, *SEGMENT, *_BOX
+    )
     # the piece that holds the touching spot has its box there too
     g = f"({float(radius)!r}D + {_SLACK!r}D)"
     boxes = " AND ".join(
         f"l.b{c}0 <= greatest(r.{c}1, r.{c}2) + {g} AND l.b{c}1 >= least(r.{c}1, r.{c}2) - {g}" for c in ("x", "y")
     )
-    touches = f"{boxes} AND {G.segments_within(G.ends('l.'), G.ends('r.'), radius)}"
+    same = f"l.{CELL_X} = r.{CELL_X} AND l.{CELL_Y} = r.{CELL_Y}"
+    met = pieces.alias("l").join(outline.alias("r"), F.expr(f"{same} AND {boxes}"))
+    # four ends against the other segment, a row each: all in one condition is more code than the JVM compiles
+    ends = [(p, q, o) for own, o in (("l.", "r."), ("r.", "l.")) for p, q in ((f"{own}x1", f"{own}y1"), (f"{own}x2", f"{own}y2"))]
+    structs = (f"named_struct('_px', {p}, '_py', {q}, " + ", ".join(f"'{c}', {o}{c}" for c in SEGMENT) + ")" for p, q, o in ends)
+    cross = G.segments_cross(G.ends("l."), G.ends("r."))
+    four = met.selectExpr(f"l.{line_id}", f"{cross} AS _cross", f"inline(array({', '.join(structs)}))")
+    hits = four.where(f"_cross OR {G.point_segment_distance('_px', '_py', G.ends())} <= {float(radius)!r}D")
     # a line that stays clear of every outline is inside or outside as a whole: its first vertex tells
     starts = lines.selectExpr(line_id, f"{vertices}[0].x AS x", f"{vertices}[0].y AS y")
     within = points_by_polygons(starts, polygons, edges, how="left_semi", cell=cell).select(line_id)
-    touched = _cell_join(pieces, outline, touches, "left_semi").select(line_id).unionByName(within).distinct()
+    touched = hits.select(line_id).unionByName(within).distinct()
     return lines.join(touched, line_id, "left_anti").select(*lines.columns)
 
 
@@ -410,8 +436,8 @@ def nearest(
     does not grow with the density of the items, nor that of the items elsewhere.  Among
     segments, positions with a line close by are settled without it.
     """
-    # the search is work, not bytes: keep as many partitions as a shuffle may have
-    spots = _positions(points, x, y).repartition(_width(points), "_px", "_py")
+    # not by position: the planner would leave that to the step before, in as few parts as its bytes fill
+    spots = dealt(_positions(points, x, y))
     met: list[DataFrame] = []
     if geometry == "segment":
         dist = G.point_segment_distance("_px", "_py", G.ends())
@@ -441,6 +467,43 @@ def nearest(
     )
 
 
+#: cells to a radius, each way, when places farther than a radius are told by cells
+_FINE = 8
+
+
+def farther_than(points: DataFrame, items: DataFrame, radius: float, x: str = "x", y: str = "y") -> DataFrame:
+    """Points farther than ``radius`` from every item (columns ``x y``); those without position stay.
+
+    Cells that hold items tell most places: one cell all of which is within the radius of
+    a place's cell drops it, and a place with no such cell in reach stays.  Only the others
+    look for their nearest item.
+    """
+    r = float(radius)
+    size = max(r / _FINE, SMALLEST)
+    reach = math.ceil(r / size) + 1
+    held = with_cell(_positions(items, "x", "y"), "_px", "_py", size).select(CELL_X, CELL_Y).distinct()
+    spread = held.selectExpr(CELL_X, CELL_Y, f"explode(sequence(-{reach}, {reach})) AS _i").selectExpr(
+        "*", f"explode(sequence(-{reach}, {reach})) AS _j"
+    )
+    # farthest and nearest two places of the two cells
+    far = f"hypot(abs(_i) + 1, abs(_j) + 1) * {size!r}D"
+    near = f"hypot(greatest(abs(_i) - 1, 0), greatest(abs(_j) - 1, 0)) * {size!r}D"
+    told = (
+        spread.where(f"{near} <= {r + _SLACK!r}D")
+        .groupBy((F.col(CELL_X) + F.col("_i")).alias(CELL_X), (F.col(CELL_Y) + F.col("_j")).alias(CELL_Y))
+        .agg(F.expr(f"min({far}) <= {r - _SLACK!r}D AS _covered"))
+    )
+    told = materialise(told)
+    placed = with_cell(points, x, y, size).join(told.hint(join_way(told, "32")), [CELL_X, CELL_Y], "left")
+    placed = placed.select(*points.columns, F.expr(f"if({x} IS NULL OR {y} IS NULL, NULL, _covered)").alias("_covered"))
+    open_ = materialise(placed.where("NOT _covered").drop("_covered"))
+    alone = placed.where("_covered IS NULL").drop("_covered")
+    if open_.isEmpty():
+        return alone
+    found = nearest(open_, items.selectExpr("x", "y", "1 AS _item_near"), ["_item_near"], "_item_near", x=x, y=y, distance_col="_item_m")
+    return alone.unionByName(found.where(f"_item_m > {r!r}D").select(*points.columns))
+
+
 #: cells of positions in the search along lines, each a power of two and `SPLIT` of the next
 WALK = (2_048.0, 512.0, 128.0, 32.0, 8.0)
 #: lines are cut to squares of this width before they are walked
@@ -510,8 +573,18 @@ def _tiles(spots: DataFrame, lines: DataFrame) -> DataFrame:
     g = f"{WALK[0] * 1.4143 + _SLACK!r}D"
     held = cover_box(spots, [f"_px - {g}", f"_py - {g}", f"_px + {g}", f"_py + {g}"], TILE).select(CELL_X, CELL_Y)
     cells = passed.selectExpr(*SEGMENT, "_cu", "_cv", f"if(_steep, _cv, _cu) AS {CELL_X}", f"if(_steep, _cu, _cv) AS {CELL_Y}")
-    dealt = _in_held(cells, held).repartitionByRange(_width(lines), CELL_X, CELL_Y, *SEGMENT)
-    return dealt.select(*SEGMENT, "_cu", "_cv")
+    ranged = _in_held(cells, held).repartitionByRange(_width(lines), CELL_X, CELL_Y, *SEGMENT)
+    return ranged.select(*SEGMENT, "_cu", "_cv")
+
+
+def _within(spots: DataFrame, lines: DataFrame, radius: float) -> DataFrame:
+    """Positions strictly nearer than ``radius`` to a line."""
+    spots = materialise(dealt(spots))
+    if spots.isEmpty():
+        return spots
+    dist = G.point_segment_distance("_px", "_py", G.ends())
+    around = _around(spots.selectExpr("_px", "_py", f"{float(radius)!r}D AS _bound", f"{len(WALK) - 1} AS {LEVEL}"))
+    return _meet(_tiles(spots, lines), around, lambda pairs: pairs.where(f"{dist} < _bound").select("_px", "_py").distinct())
 
 
 def _oriented(lines: DataFrame) -> DataFrame:
@@ -714,6 +787,7 @@ def _open(frontier: DataFrame, with_kids: Callable[[DataFrame], DataFrame]) -> D
     position are the boxes, not all their children.
     """
     known = with_kids(frontier).selectExpr("_px", "_py", *_BOUNDED, f"least(_bound, {_FARTHEST}) AS _nearer")
+    known = known.repartition(_width(known), "_px", "_py")
     shared = F.min("_nearer").over(Window.partitionBy("_px", "_py"))
     return _children(with_kids(known.withColumn("_bound", shared).drop("_nearer")))
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from .. import settings as S
 from ..operators import network as N
 from ..operators.cleaning import first_present
+from ..operators.spatial import dealt
 from ..session import materialise
 
 
@@ -43,7 +44,8 @@ class NetworkPlan:
     @cached_property
     def roads(self) -> DataFrame:
         named = self.all_roads.withColumn("label", first_present(self.all_roads, self.labels))
-        return materialise(N.interurban_roads(N.main_roads(named, box=self.box), self.urban))
+        # stored in as many parts as a shuffle has: what follows is much work on few bytes
+        return materialise(dealt(N.interurban_roads(N.main_roads(named, box=self.box), self.urban)))
 
     @cached_property
     def stations(self) -> DataFrame:
